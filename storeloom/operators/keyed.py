@@ -5,21 +5,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def first_wins(df: DataFrame, key: str, order: Sequence[str] | None = None) -> DataFrame:
-    """One row per key: the lowest by ``order``, by default by all other columns.
+def first_wins(df: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the lowest by ``order`` and then by the other columns, NULL lowest.
 
-    Spark keeps one row per key in every map task before the shuffle, so a key that
-    holds a large share of the rows reaches its reducer as one row per task.
+    A minimum is kept per key in every map task before the shuffle, so a key that holds a
+    large share of the rows reaches its reducer as one row per task. Being an aggregate, it
+    also tells the optimizer that the key is unique: a left join to it whose columns go
+    unread is dropped.
     """
-    order = list(order or [c for c in df.columns if c != key])
-    ranking = W.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return (
-        df.withColumn("_rank", F.row_number().over(ranking)).where("_rank = 1").drop("_rank")
-    )
+    if df.columns == [key]:
+        return df.distinct()
+    ranked = [*order, *(name for name in df.columns if name not in {key, *order})]
+    lowest = df.groupBy(key).agg(F.min(F.struct(*ranked)).alias("row"))
+    return lowest.select(*[name if name == key else f"row.{name}" for name in df.columns])
 
 
 def absent_from(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
@@ -28,7 +29,7 @@ def absent_from(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
 
 
 def insert_if_absent(
-    batch: DataFrame, target: DataFrame, key: str, order: Sequence[str] | None = None
+    batch: DataFrame, target: DataFrame, key: str, order: Sequence[str] = ()
 ) -> DataFrame:
     """The rows of ``batch`` an insert would add to ``target``."""
     return absent_from(first_wins(batch, key, order), target, key)

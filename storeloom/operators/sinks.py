@@ -34,7 +34,7 @@ def append(df: DataFrame, table: str) -> None:
     df.select(*df.sparkSession.table(table).columns).write.insertInto(table)
 
 
-def load_keyed(df: DataFrame, table: str, ddl: str, order: Sequence[str] | None = None) -> None:
+def load_keyed(df: DataFrame, table: str, ddl: str, order: Sequence[str] = ()) -> None:
     """Insert the rows whose key (the first declared column) is new; change nothing else."""
     key = schemas.names(ddl)[0]
     target = df.sparkSession.table(table)

@@ -44,7 +44,7 @@ LANDED = {
 
 def keyed(select: str, key: str, *order: str) -> str:
     """One row per key, the lowest in the given order."""
-    by = ", ".join(f"{column} ASC NULLS LAST" for column in order)
+    by = ", ".join(f"{column} ASC NULLS FIRST" for column in order)
     return f"{select} QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {by}) = 1"
 
 
