@@ -22,6 +22,7 @@ from storeloom.sources import (
     sample_tables,
     write_activities,
 )
+from storeloom.streaming import load_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,7 +37,7 @@ def query(function: Query) -> Query:
 
 
 def _warehouse_table(name: str) -> Query:
-    return lambda spark, folder: warehouse.star(sample_tables.landing(spark, folder))[name]
+    return lambda spark, folder: warehouse.keyed(sample_tables.landing(spark, folder), name)
 
 
 for _name in warehouse.LOADS:
@@ -143,7 +144,9 @@ def conform_types(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _mart(build: Callable) -> Query:
-    return lambda spark, folder: build(warehouse.star(sample_tables.landing(spark, folder)))
+    return lambda spark, folder: build(
+        marts.with_totals(warehouse.star(sample_tables.landing(spark, folder)))
+    )
 
 
 for _name in (
@@ -303,6 +306,26 @@ def land_order_items(spark: SparkSession, folder: str) -> DataFrame:
     return land_table(spark, place, schemas.LANDING["order_items"], format="parquet")
 
 
+@query
+def load_new_order_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders land in two drops; each run loads only the files it has not seen."""
+    place = scratch_path(spark, "order_files")
+    ddl = schemas.wide(schemas.WAREHOUSE["dim_orders"])
+    with ScratchTable(spark, "dim_orders", ddl) as table:
+        for _ in range(2):
+            sample_tables.orders(spark, folder).write.mode("append").parquet(f"{place}/drop")
+            load_new_files(
+                spark,
+                f"{place}/drop",
+                schemas.LANDING["orders"],
+                lambda batch: warehouse.dim_orders({"orders": batch}),
+                table.name,
+                ddl,
+                checkpoint=f"{place}/seen",
+            ).awaitTermination()
+        return table.rows()
+
+
 # --- activities ------------------------------------------------------------------------------
 
 

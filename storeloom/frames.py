@@ -22,3 +22,6 @@ class Frames(Mapping[str, DataFrame]):
 
     def __len__(self) -> int:
         return len(self._builders)
+
+    def replaced(self, name: str, frame: DataFrame) -> Frames:
+        return Frames({**self._builders, name: lambda: frame})

@@ -1,4 +1,4 @@
-from storeloom.operators.keyed import absent_from, first_wins, insert_if_absent
+from storeloom.operators.keyed import absent_from, first_wins, insert_if_absent, lookup
 from storeloom.operators.sinks import append, create_if_absent, load_keyed, replace
 
 __all__ = [
@@ -8,5 +8,6 @@ __all__ = [
     "first_wins",
     "insert_if_absent",
     "load_keyed",
+    "lookup",
     "replace",
 ]

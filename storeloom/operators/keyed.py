@@ -23,6 +23,16 @@ def first_wins(df: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
     return lowest.select(*[name if name == key else f"row.{name}" for name in df.columns])
 
 
+def lookup(df: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
+    """``first_wins`` for the small side of a join whose large side may have hot keys.
+
+    Spark splits a hot partition only if both sides reach the join straight from a shuffle
+    made for it. An aggregate by the join key would take the place of that shuffle; the
+    rebalancing in between restores it. It moves only the small side.
+    """
+    return first_wins(df, key, order).hint("rebalance")
+
+
 def absent_from(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Rows of ``batch`` whose key ``target`` lacks. Only the key of ``target`` is read."""
     return batch.join(target.select(key), key, "left_anti").select(*batch.columns)

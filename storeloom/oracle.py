@@ -205,6 +205,7 @@ OTHERS = {
         UNION ALL
         SELECT id * 2, customer_id, lower(status), CAST(created_at AS DATE) FROM l_orders
         WHERE id * 2 NOT IN (SELECT id FROM l_orders)""",
+    "load_new_order_files": f"SELECT * FROM ({STAR['dim_orders']})",
     "land_append_twice": "SELECT * FROM l_items UNION ALL SELECT * FROM l_items",
     "mart_append_twice": f"""
         SELECT * FROM ({MARTS["top_spender"]}) UNION ALL SELECT * FROM ({MARTS["top_spender"]})""",

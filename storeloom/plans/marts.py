@@ -2,7 +2,8 @@
 
 Every mart adds up the sales of one customer or product before it joins, so that a customer
 or product with a large share of all sales crosses the shuffle as one row per map task.
-Ids are unique in every warehouse table; the sums below rely on that.
+Ids are unique in every warehouse table; the sums below rely on that. The functions take the
+tables of ``with_totals``.
 
 Rows come sorted. The name columns break ties, which the sort key alone would leave in one
 range partition however many rows share a value.
@@ -15,6 +16,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from storeloom.frames import Frames
 from storeloom.functions import day_of, full_name, percent_of
 from storeloom.functions.retail import NTZ
 
@@ -45,6 +47,17 @@ def logins_by_customer(logins: DataFrame) -> DataFrame:
     )
 
 
+def with_totals(star: Tables) -> Frames:
+    """The warehouse tables with the per-customer totals that several marts share."""
+    return Frames(
+        {
+            **{name: lambda name=name: star[name] for name in star},
+            "sales_by_customer": lambda: sales_by_customer(star["fact_sales"]),
+            "logins_by_customer": lambda: logins_by_customer(star["fact_login_attempts"]),
+        }
+    )
+
+
 def burn_rate(star: Tables) -> DataFrame:
     """Discount given per day, truncated for each sale before it is added."""
     sales = star["fact_sales"].select("product_id", "coupon_id", "order_date", "amount")
@@ -67,8 +80,8 @@ def _logins_and_sales(star: Tables) -> DataFrame:
     return (
         star["dim_customers"]
         .select("id", *NAME)
-        .join(logins_by_customer(star["fact_login_attempts"]), "id")
-        .join(sales_by_customer(star["fact_sales"]), "id", "left")
+        .join(star["logins_by_customer"], "id")
+        .join(star["sales_by_customer"], "id", "left")
     )
 
 
@@ -113,7 +126,7 @@ def rfm(star: Tables) -> DataFrame:
     return (
         star["dim_customers"]
         .select("id", *NAME)
-        .join(sales_by_customer(star["fact_sales"]), "id")
+        .join(star["sales_by_customer"], "id")
         .groupBy(*NAME)
         .agg(
             F.max("last_order").cast(NTZ).alias("last_purchase_date"),
@@ -134,7 +147,7 @@ def top_spender(star: Tables) -> DataFrame:
     return (
         star["dim_customers"]
         .select("id", *NAME)
-        .join(sales_by_customer(star["fact_sales"]), "id")
+        .join(star["sales_by_customer"], "id")
         .groupBy(*NAME)
         .agg(F.sum("net").alias("total_spending"))
         .select(full_name(*NAME).alias("customer_name"), "total_spending")
@@ -165,7 +178,7 @@ def customer_gender_sales(star: Tables) -> DataFrame:
     return (
         star["dim_customers"]
         .select("id", "gender")
-        .join(sales_by_customer(star["fact_sales"]), "id")
+        .join(star["sales_by_customer"], "id")
         .groupBy("gender")
         .agg(F.sum("net").alias("total_sales"))
     )

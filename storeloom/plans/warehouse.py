@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from storeloom import schemas
 from storeloom.frames import Frames
 from storeloom.functions import net_of
-from storeloom.operators.keyed import first_wins
+from storeloom.operators.keyed import first_wins, lookup
 
 Tables = Mapping[str, DataFrame]
 LAST = 2**63 - 1
@@ -98,9 +98,9 @@ def fact_sales(landing: Tables) -> DataFrame:
     Landing appends, so a file landed twice leaves copies; each other side is cut to one
     row per id first.
     """
-    products = first_wins(dim_products(landing), "id")
+    products = lookup(dim_products(landing), "id")
     orders = first_wins(dim_orders(landing), "id")
-    coupons = first_wins(dim_coupons(landing), "id")
+    coupons = lookup(dim_coupons(landing), "id")
     place = F.coalesce("id", F.lit(LAST))
     first_items = (
         priced_items(landing["order_items"], products)
@@ -127,11 +127,21 @@ LOADS = {
 }
 
 
+LOOKUPS = {"dim_products", "dim_coupons", "dim_category"}
+
+
+def keyed(landing: Tables, name: str) -> DataFrame:
+    """One warehouse table as a single load from ``landing`` leaves it, not yet written."""
+    rows = LOADS[name](landing)
+    return rows if name == "fact_sales" else first_wins(rows, schemas.key_of(name))
+
+
 def star(landing: Tables) -> Frames:
-    """The warehouse as one load from ``landing`` leaves it, not yet written."""
+    """All warehouse tables, for marts straight from ``landing``."""
 
-    def keyed(name: str) -> DataFrame:
-        rows = LOADS[name](landing)
-        return rows if name == "fact_sales" else first_wins(rows, schemas.key_of(name))
+    def table(name: str) -> DataFrame:
+        if name in LOOKUPS:
+            return lookup(LOADS[name](landing), schemas.key_of(name))
+        return keyed(landing, name)
 
-    return Frames({name: lambda name=name: keyed(name) for name in LOADS})
+    return Frames({name: lambda name=name: table(name) for name in LOADS})

@@ -9,6 +9,7 @@ import csv
 from collections import defaultdict
 from collections.abc import Callable
 from functools import reduce, wraps
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +31,7 @@ MAX_MILLIS = 9_223_372_036_854
 MAX_MICROS = 9_223_372_036_854_775
 
 
-def none_if_no_files(read: Callable[..., DataFrame]) -> Callable[..., DataFrame | None]:
+def none_if_no_files(read: Callable) -> Callable:
     @wraps(read)
     def landed(*args, **kwargs):
         try:
@@ -69,7 +70,8 @@ def _timestamp(text: Column) -> Column:
     )
 
 
-def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+@none_if_no_files
+def _headers(spark: SparkSession, path: str) -> dict[str, list[str]] | None:
     """Header line -> files that start with it.
 
     The first line of a file is the first row of the split that begins at its byte 0, and
@@ -84,38 +86,41 @@ def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
     )
     found = defaultdict(list)
     for row in first_lines.toLocalIterator():
-        found[row.header].append(row.file_path)
+        found[row.header].append(unquote(row.file_path))
     return found
 
 
-@none_if_no_files
-def land_csv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+def land_csv(spark: SparkSession, path: str, ddl: str | None = None) -> DataFrame | None:
     """CSV files with a header row. Columns are matched by name, in any order in each file.
 
-    A declared column that a file lacks is NULL there.
+    A declared column that a file lacks is NULL there. Without ``ddl`` every column found in
+    any file is kept, as text.
     """
+    headers = _headers(spark, path)
+    if not headers:
+        return None
     parts = []
-    for header, files in sorted(_headers(spark, path).items()):
+    for header, files in sorted(headers.items()):
         found = next(csv.reader([header]))
+        declared = schemas.columns(ddl) if ddl else [(name, "STRING") for name in found]
         text = T.StructType([T.StructField(name, T.StringType()) for name in found])
         rows = spark.read.csv(sorted(files), schema=text, header=True, enforceSchema=False)
+        cells = {
+            name: F.when(~F.col(f"`{name}`").isin(MISSING), F.col(f"`{name}`")) for name in found
+        }
         parts.append(
             rows.select(
                 *[
-                    (
-                        _typed(F.when(~F.col(name).isin(MISSING), F.col(name)), kind)
-                        if name in found
-                        else F.lit(None).cast(kind)
-                    ).alias(name)
-                    for name, kind in schemas.columns(ddl)
+                    _typed(cells.get(name, F.lit(None).cast("string")), kind).alias(name)
+                    for name, kind in declared
                 ]
             )
         )
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 @none_if_no_files
-def land_column_json(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+def land_column_json(spark: SparkSession, path: str, ddl: str) -> DataFrame | None:
     """JSON files of the form ``{"column": {"row": value, ...}, ...}``.
 
     Rows are the union of the row keys of all columns; a column without a row's key is NULL
@@ -146,7 +151,7 @@ def land_column_json(spark: SparkSession, path: str, ddl: str) -> DataFrame:
 
 
 @none_if_no_files
-def land_json_records(spark: SparkSession, path: str, ddl: str, lines: bool = True) -> DataFrame:
+def land_json_records(spark: SparkSession, path: str, ddl: str, lines: bool = True) -> DataFrame | None:
     """JSON lines (splittable), or with ``lines=False`` one array of records per file."""
     declared = schemas.columns(ddl)
     raw = T.StructType([T.StructField(name, T.StringType()) for name, _ in declared])
@@ -157,7 +162,7 @@ def land_json_records(spark: SparkSession, path: str, ddl: str, lines: bool = Tr
 @none_if_no_files
 def land_table(
     spark: SparkSession, path: str, ddl: str | None = None, format: str = "parquet"
-) -> DataFrame:
+) -> DataFrame | None:
     """Files that carry their own schema: Parquet, Avro, ORC.
 
     Without ``ddl`` every column is kept as it is.

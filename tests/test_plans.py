@@ -1,0 +1,174 @@
+"""What Spark is asked to do: columns read, shuffles, skew, and no row-wise Python."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as entry_points
+from storeloom import schemas
+from storeloom.plans import marts, warehouse
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def shuffled(conf):
+    """No broadcast at all: the shape a plan has when every table is large."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+
+
+@pytest.fixture
+def skewed(conf):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="10000",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20000",
+    )
+
+
+@pytest.mark.parametrize("name", sorted(marts.MARTS) + ["fact_sales"])
+def test_no_cross_join_and_no_python(spark, shuffled, name):
+    tables = marts.with_totals(warehouse.star(_landing(spark)))
+    plan = plan_of({**marts.MARTS, "fact_sales": lambda t: t["fact_sales"]}[name](tables))
+    for word in ("CartesianProduct", "NestedLoop", "Python", "BroadcastExchange", "SinglePartition"):
+        assert word not in plan
+
+
+def _landing(spark):
+    from storeloom.sources import sample_tables
+
+    return sample_tables.landing(spark, FOLDER)
+
+
+def test_only_needed_columns_are_read(spark, shuffled):
+    plan = plan_of(entry_points.queries()["top_spender"](spark, FOLDER))
+    read = set(re.findall(r"\b[lopc]_\w+(?=:)", "".join(re.findall(r"ReadSchema: \S+", plan))))
+    assert read <= {
+        "l_orderkey", "l_partkey", "l_quantity", "l_discount",
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
+        "p_partkey", "p_name", "p_type", "p_retailprice",
+        "c_custkey", "c_name", "c_mktsegment",
+    }
+    assert "PushedFilters: [IsNotNull(l_partkey), IsNotNull(l_orderkey)]" in plan
+
+
+def test_a_coupon_nobody_reads_is_not_joined(spark, shuffled):
+    """Gross totals need no discount, so the coupons are not even scanned."""
+    plan = plan_of(entry_points.queries()["rfm"](spark, FOLDER))
+    assert "Range (1, 11" not in plan
+    assert "Range (1, 11" in plan_of(entry_points.queries()["top_spender"](spark, FOLDER))
+
+
+def test_items_are_cut_to_one_per_order_before_the_orders_join(spark, shuffled):
+    plan = plan_of(entry_points.queries()["fact_sales"](spark, FOLDER))
+    assert re.search(r"Exchange hashpartitioning\(order_id.*\n.*HashAggregate\(.*partial_min_by", plan)
+    # Items by product and then by order; sales by coupon; each other table by its id.
+    exchanges = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+    assert sorted(exchanges) == [
+        "coupon_id", "id", "id", "known_coupon", "order_id", "product_id"
+    ]
+
+
+def test_sales_meet_customers_as_totals(spark, shuffled):
+    plan = plan_of(entry_points.queries()["login_purchase_correlations"](spark, FOLDER))
+    assert "Expand" not in plan
+    for total in ("partial_count(order_id", "partial_count(id"):
+        assert total in plan
+
+
+def _hot_landing(spark, n=60_000):
+    """One order, one product, one customer and one coupon each hold a third of the rows."""
+    third = "id % 3 = 0"
+    frames = {
+        "customers": "id % 500 id, 'A' first_name, cast(id % 500 as string) last_name, "
+        "'F' gender, '' address, '' zip_code",
+        "orders": f"id, if({third}, 7, id % 500) customer_id, 'A' status, "
+        "timestamp_ntz'2024-05-01' + make_dt_interval(cast(id % 90 as int)) created_at",
+        "order_items": f"id, if({third}, 7, id % 9000) order_id, "
+        "if(id % 3 = 1, 7, id % 2000) product_id, 1 + id % 9 amount, "
+        "if(id % 3 = 2, null, 1 + id % 10) coupon_id",
+        "products": "id % 2000 id, concat('p', id % 50) name, 100 + id % 2000 price, "
+        "id % 5 category_id, 1 supplier_id",
+        "product_category": "id % 5 id, concat('c', id % 5) name",
+        "coupons": "1 + id % 10 id, 10 * (1 + id % 10) discount_percent",
+        "login_attempts": f"id, if({third}, 7, id % 500) customer_id, true login_successful, "
+        "timestamp_ntz'2024-05-01' + make_dt_interval(0, 0, cast(id % 90 as int)) attempted_at",
+    }
+    sizes = {"customers": 500, "products": 2000, "product_category": 5, "coupons": 10}
+    from storeloom.functions import conform
+
+    return {
+        name: conform(
+            spark.range(0, sizes.get(name, n), 1, 4).selectExpr(*_outer(columns)),
+            schemas.LANDING[name],
+        )
+        for name, columns in frames.items()
+    }
+
+
+def _outer(text):
+    parts, depth, start = [], 0, 0
+    for at, letter in enumerate(text):
+        depth += (letter == "(") - (letter == ")")
+        if letter == "," and not depth:
+            parts.append(text[start:at])
+            start = at + 1
+    return [*parts, text[start:]]
+
+
+def test_a_hot_product_is_split(spark, skewed):
+    sales = warehouse.fact_sales(_hot_landing(spark))
+    sales.collect()
+    final = plan_of(sales).split("Initial Plan")[0]
+    assert "SortMergeJoin(skew=true) [product_id" in final
+
+
+def test_a_hot_product_is_split_for_the_burn_rate(spark, skewed):
+    star = warehouse.star(_hot_landing(spark))
+    sales = spark.range(0, 60_000, 1, 4).selectExpr(
+        "id order_id", "if(id % 3 = 1, 7, id % 2000) product_id",
+        "if(id % 3 = 2, null, 1 + id % 10) coupon_id", "date'2024-05-01' order_date",
+        "1 + id % 9 amount",
+    )
+    burn = marts.burn_rate(star.replaced("fact_sales", sales))
+    burn.collect()
+    final = plan_of(burn).split("Initial Plan")[0]
+    assert "SortMergeJoin(skew=true) [product_id" in final
+
+
+def test_a_hot_order_is_one_row_per_task(spark, conf, tmp_path):
+    """The shuffle by order carries at most one row per order and map task."""
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    landing = _hot_landing(spark)
+    hot = landing["order_items"].where("order_id = 7").count()
+    assert hot > 20_000
+    first = warehouse.fact_sales(landing)
+    assert first.where("order_id = 7").count() == 1
+    plan = plan_of(first)
+    assert "partial_min_by" in plan
+
+
+def test_hot_groups_give_the_same_marts_as_the_plain_joins(spark):
+    """Marts over skewed tables, against SQL that joins first and aggregates afterwards."""
+    star = marts.with_totals(warehouse.star(_hot_landing(spark)))
+    for name in ("fact_sales", "dim_customers", "dim_products", "dim_coupons"):
+        star[name].createOrReplaceTempView(f"hot_{name}")
+    plain = {
+        marts.top_spender: """
+            SELECT concat(first_name, ' ', last_name), sum(total_price)
+            FROM hot_fact_sales s JOIN hot_dim_customers c ON c.id = s.customer_id
+            GROUP BY first_name, last_name""",
+        marts.burn_rate: """
+            SELECT cast(order_date AS timestamp_ntz),
+                   sum(p.price * s.amount * coalesce(c.discount_percent, 0) div 100)
+            FROM hot_fact_sales s JOIN hot_dim_products p ON p.id = s.product_id
+            LEFT JOIN hot_dim_coupons c ON c.id = s.coupon_id GROUP BY order_date""",
+    }
+    for mart, sql in plain.items():
+        got = sorted(tuple(r) for r in mart(star).collect())
+        assert got == sorted(tuple(r) for r in spark.sql(sql).collect())
