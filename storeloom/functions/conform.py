@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from storeloom import schemas
@@ -14,29 +13,27 @@ INTEGERS = {"INT", "BIGINT", "SMALLINT"}
 FRACTIONS = (T.DoubleType, T.FloatType, T.DecimalType)
 
 
-def _assign(column: Column, source: T.DataType, target: str) -> Column:
+def _assign(name: str, source: T.DataType, target: str) -> str:
     if re.match(r"(VAR)?CHAR", target):
         # The length is checked by the table write, which knows the declared limit.
-        return column.cast("string")
+        return f"cast(`{name}` as string) as `{name}`"
     if target in INTEGERS and isinstance(source, FRACTIONS):
         # Halves round to the even neighbour; a bare cast would truncate.
-        column = F.bround(column, 0)
-    return column.cast(target)
+        return f"cast(bround(`{name}`, 0) as {target}) as `{name}`"
+    return f"cast(`{name}` as {target}) as `{name}`"
 
 
 def conform(df: DataFrame, ddl: str) -> DataFrame:
     """``df`` cut to the declared columns, in declared order and type."""
-    return df.select(
-        *[
-            _assign(F.col(name), df.schema[name].dataType, target).alias(name)
-            for name, target in schemas.columns(ddl)
-        ]
+    found = df.schema
+    return df.selectExpr(
+        *[_assign(name, found[name].dataType, kind) for name, kind in schemas.columns(ddl)]
     )
 
 
 def require_key(df: DataFrame, key: str) -> DataFrame:
     """Fail the job, before anything is committed, if a row has no key."""
-    checked = F.when(
-        F.col(key).isNull(), F.raise_error(F.lit(f"NULL in key column {key}"))
-    ).otherwise(F.col(key))
-    return df.withColumn(key, checked)
+    missing = f"raise_error('NULL in key column {key}')"
+    return df.selectExpr(
+        *[f"coalesce({key}, {missing}) as {key}" if n == key else f"`{n}`" for n in df.columns]
+    )

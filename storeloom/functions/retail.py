@@ -1,38 +1,33 @@
-"""Column expressions shared by the warehouse and the marts."""
+"""Expressions shared by the warehouse and the marts. Arguments are SQL expressions."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NTZ = "timestamp_ntz"
-
 
 def full_name(first: str, last: str) -> Column:
     """First and last name with a blank between; a missing name counts as empty.
 
     ``concat_ws`` would drop the blank next to a missing name.
     """
-    return F.concat(
-        F.coalesce(F.col(first), F.lit("")), F.lit(" "), F.coalesce(F.col(last), F.lit(""))
-    )
+    return F.expr(f"concat(coalesce({first}, ''), ' ', coalesce({last}, ''))")
 
 
 def percent_of(value: str, percent: str) -> Column:
     """``percent`` per cent of an integer ``value``, truncated toward zero for each row.
 
-    Both arguments are SQL expressions. The product is BIGINT so that it does not
-    overflow before the division.
+    The product is BIGINT so that it does not overflow before the division.
     """
     return F.expr(f"(cast({value} as bigint) * {percent}) div 100")
 
 
 def net_of(gross: str, coupon_id: str, percent: str) -> Column:
     """``gross`` less the coupon. A known coupon without a percentage gives NULL."""
-    discount = F.when(F.col(coupon_id).isNotNull(), percent_of(gross, percent)).otherwise(0)
-    return F.expr(gross) - discount
+    discount = f"(cast({gross} as bigint) * {percent}) div 100"
+    return F.expr(f"{gross} - if({coupon_id} is not null, {discount}, 0)")
 
 
 def day_of(ts: str) -> Column:
     """Midnight of the day of a date or timestamp, independent of the session time zone."""
-    return F.col(ts).cast("date").cast(NTZ)
+    return F.expr(f"cast(cast({ts} as date) as timestamp_ntz)")

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from storeloom.frames import Frames
 from storeloom.functions import day_of, full_name, percent_of
-from storeloom.functions.retail import NTZ
 
 Tables = Mapping[str, DataFrame]
 NAME = ("first_name", "last_name")
@@ -30,20 +29,20 @@ def _down(column: str) -> Column:
 
 def sales_by_customer(sales: DataFrame) -> DataFrame:
     """Totals of each customer's sales. Totals nobody reads are not computed."""
-    return sales.groupBy(F.col("customer_id").alias("id")).agg(
-        F.count("order_id").alias("orders"),
-        F.sum("amount").alias("items"),
-        F.sum("total_amount").alias("gross"),
-        F.sum("total_price").alias("net"),
-        F.max("order_date").alias("last_order"),
+    return sales.groupBy(F.expr("customer_id as id")).agg(
+        F.expr("count(order_id) as orders"),
+        F.expr("sum(amount) as items"),
+        F.expr("sum(total_amount) as gross"),
+        F.expr("sum(total_price) as net"),
+        F.expr("max(order_date) as last_order"),
     )
 
 
 def logins_by_customer(logins: DataFrame) -> DataFrame:
-    return logins.groupBy(F.col("customer_id").alias("id")).agg(
-        F.count("id").alias("logins"),
-        F.min("attempted_at").alias("first_login"),
-        F.max("attempted_at").alias("last_login"),
+    return logins.groupBy(F.expr("customer_id as id")).agg(
+        F.expr("count(id) as logins"),
+        F.expr("min(attempted_at) as first_login"),
+        F.expr("max(attempted_at) as last_login"),
     )
 
 
@@ -61,10 +60,8 @@ def with_totals(star: Tables) -> Frames:
 def burn_rate(star: Tables) -> DataFrame:
     """Discount given per day, truncated for each sale before it is added."""
     sales = star["fact_sales"].select("product_id", "coupon_id", "order_date", "amount")
-    prices = star["dim_products"].select(
-        F.col("id").alias("product_id"), F.col("price").cast("bigint").alias("price")
-    )
-    percents = star["dim_coupons"].select(F.col("id").alias("coupon_id"), "discount_percent")
+    prices = star["dim_products"].selectExpr("id as product_id", "cast(price as bigint) as price")
+    percents = star["dim_coupons"].selectExpr("id as coupon_id", "discount_percent")
     discount = percent_of("price * amount", "coalesce(discount_percent, 0)")
     return (
         sales.join(prices, "product_id")
@@ -129,7 +126,7 @@ def rfm(star: Tables) -> DataFrame:
         .join(star["sales_by_customer"], "id")
         .groupBy(*NAME)
         .agg(
-            F.max("last_order").cast(NTZ).alias("last_purchase_date"),
+            day_of("max(last_order)").alias("last_purchase_date"),
             F.sum("orders").alias("frequency"),
             F.sum("gross").alias("monetary"),
         )
@@ -158,12 +155,10 @@ def top_spender(star: Tables) -> DataFrame:
 def product_sales_category(star: Tables) -> DataFrame:
     """Gross sales per product name and category name."""
     by_product = star["fact_sales"].groupBy("product_id").agg(F.sum("total_amount").alias("gross"))
-    named = star["dim_products"].select(
-        F.col("id").alias("product_id"), F.col("name").alias("product_name"), "category_id"
-    )
-    categories = star["dim_category"].select(
-        F.col("id").alias("category_id"), F.col("name").alias("category_name")
+    named = star["dim_products"].selectExpr(
+        "id as product_id", "name as product_name", "category_id"
     )
+    categories = star["dim_category"].selectExpr("id as category_id", "name as category_name")
     return (
         by_product.join(named, "product_id")
         .join(categories, "category_id")

@@ -17,7 +17,7 @@ from storeloom.functions import net_of
 from storeloom.operators.keyed import first_wins, lookup
 
 Tables = Mapping[str, DataFrame]
-LAST = 2**63 - 1
+LAST = f"{2**63 - 1}L"
 
 
 def dim_customers(landing: Tables) -> DataFrame:
@@ -27,8 +27,9 @@ def dim_customers(landing: Tables) -> DataFrame:
 
 
 def dim_orders(landing: Tables) -> DataFrame:
-    created = F.col("created_at").cast("date").alias("created_at")
-    return landing["orders"].select("id", "customer_id", "status", created)
+    return landing["orders"].selectExpr(
+        "id", "customer_id", "status", "cast(created_at as date) as created_at"
+    )
 
 
 def dim_coupons(landing: Tables) -> DataFrame:
@@ -55,29 +56,28 @@ def fact_login_attempts(landing: Tables) -> DataFrame:
 
 def priced_items(items: DataFrame, products: DataFrame) -> DataFrame:
     """Items with the price of their product; an item of an unknown product is no sale."""
-    prices = products.select(F.col("id").alias("product_id"), "price")
-    return items.join(prices, "product_id")
+    return items.join(products.selectExpr("id as product_id", "price"), "product_id")
 
 
 def sales_lines(orders: DataFrame, items: DataFrame, coupons: DataFrame) -> DataFrame:
     """Orders with their priced items, and the discount of a known coupon."""
-    heads = orders.select(
-        F.col("id").alias("order_id"),
+    heads = orders.selectExpr(
+        "id as order_id",
         "customer_id",
-        F.col("status").alias("order_status"),
-        F.col("created_at").cast("date").alias("order_date"),
-    )
-    known = coupons.select(
-        F.col("id").alias("known_coupon"), F.col("discount_percent").alias("percent")
+        "status as order_status",
+        "cast(created_at as date) as order_date",
     )
-    gross = F.col("amount") * F.col("price")
+    known = coupons.selectExpr("id as known_coupon", "discount_percent as percent")
     return (
         heads.join(items, "order_id")
-        .join(known, F.col("coupon_id") == F.col("known_coupon"), "left")
-        .withColumn("total_amount", gross)
-        .withColumn("discount_percent", F.coalesce("percent", F.lit(0)))
-        .withColumn("total_price", net_of("total_amount", "known_coupon", "percent"))
-        .select(*schemas.names(schemas.WAREHOUSE["fact_sales"]))
+        .join(known, F.expr("coupon_id = known_coupon"), "left")
+        .select(
+            *["order_id", "customer_id", "product_id", "coupon_id", "order_status", "order_date"],
+            *["amount", "price"],
+            F.expr("amount * price").alias("total_amount"),
+            F.expr("coalesce(percent, 0)").alias("discount_percent"),
+            net_of("amount * price", "known_coupon", "percent").alias("total_price"),
+        )
     )
 
 
@@ -93,26 +93,20 @@ def fact_sales(landing: Tables) -> DataFrame:
     The items are cut to one per order before they meet the orders. That is a hash
     aggregate with one row per order and map task, so an order with very many items is
     never gathered in one place, and the join that follows is one to one. All ``min_by``
-    see the same id, so their values come from one item.
+    see the same id, so their values come from one item. An item without an id comes last.
 
     Landing appends, so a file landed twice leaves copies; each other side is cut to one
     row per id first.
     """
-    products = lookup(dim_products(landing), "id")
-    orders = first_wins(dim_orders(landing), "id")
-    coupons = lookup(dim_coupons(landing), "id")
-    place = F.coalesce("id", F.lit(LAST))
-    first_items = (
-        priced_items(landing["order_items"], products)
-        .groupBy("order_id")
-        .agg(
-            *[
-                F.min_by(name, place).alias(name)
-                for name in ("product_id", "amount", "coupon_id", "price")
-            ]
-        )
+    items = priced_items(landing["order_items"], lookup(dim_products(landing), "id"))
+    first_items = items.groupBy("order_id").agg(
+        *[
+            F.expr(f"min_by({name}, coalesce(id, {LAST}))").alias(name)
+            for name in ("product_id", "amount", "coupon_id", "price")
+        ]
     )
-    return sales_lines(orders, first_items, coupons)
+    orders = first_wins(dim_orders(landing), "id")
+    return sales_lines(orders, first_items, lookup(dim_coupons(landing), "id"))
 
 
 LOADS = {
