@@ -17,7 +17,6 @@ from storeloom.functions import net_of
 from storeloom.operators.keyed import first_wins, lookup
 
 Tables = Mapping[str, DataFrame]
-LAST = f"{2**63 - 1}L"
 
 
 def dim_customers(landing: Tables) -> DataFrame:
@@ -90,21 +89,17 @@ def fact_sales_lines(landing: Tables) -> DataFrame:
 def fact_sales(landing: Tables) -> DataFrame:
     """One row per order: the line of its lowest item id, as the key of the table demands.
 
-    The items are cut to one per order before they meet the orders. That is a hash
-    aggregate with one row per order and map task, so an order with very many items is
-    never gathered in one place, and the join that follows is one to one. All ``min_by``
-    see the same id, so their values come from one item. An item without an id comes last.
+    The items are cut to one per order before they meet the orders. At most one row per
+    order and map task is shuffled, so an order with very many items is never gathered in
+    one place, and the join that follows is one to one.
 
     Landing appends, so a file landed twice leaves copies; each other side is cut to one
     row per id first.
     """
-    items = priced_items(landing["order_items"], lookup(dim_products(landing), "id"))
-    first_items = items.groupBy("order_id").agg(
-        *[
-            F.expr(f"min_by({name}, coalesce(id, {LAST}))").alias(name)
-            for name in ("product_id", "amount", "coupon_id", "price")
-        ]
-    )
+    # The lowest (name, price) has the price of the row that dim_products keeps.
+    products = lookup(landing["products"].select("id", "name", "price"), "id")
+    items = priced_items(landing["order_items"], products)
+    first_items = first_wins(items, "order_id", ["id"]).drop("id")
     orders = first_wins(dim_orders(landing), "id")
     return sales_lines(orders, first_items, lookup(dim_coupons(landing), "id"))
 

@@ -30,13 +30,13 @@ def test_first_item_is_the_first_of_a_known_product(landing, rows):
     assert (row[2], row[6]) == (5, 3)
 
 
-def test_item_without_id_comes_last(landing, rows):
+def test_copies_of_an_item_that_differ_leave_the_lowest(landing, rows):
     tables = landing(
         orders=[ORDER],
-        order_items=[(None, 1, 5, 2, None), (12, 1, 5, 3, None)],
-        products=[(5, "ring", 10, 1, None)],
+        order_items=[(11, 1, 6, 1, None), (11, 1, 5, 3, None), (11, 1, 5, 2, 1)],
+        products=[(5, "ring", 10, 1, None), (6, "bolt", 20, 1, None)],
     )
-    assert rows(warehouse.fact_sales(tables))[0][6] == 3
+    assert rows(warehouse.fact_sales(tables))[0][2:8] == (5, 1, "A", date(2024, 5, 1), 2, 10)
 
 
 def test_all_values_come_from_one_item(landing, rows):
