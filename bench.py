@@ -46,7 +46,8 @@ def main() -> None:
         **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
-    QUERIES["customer_full_name"](spark, folder).write.format("noop").mode("overwrite").save()
+    # One run before the clock starts, so that the first time is not the start of the JVM.
+    QUERIES["top_spender"](spark, folder).write.format("noop").mode("overwrite").save()
     seconds = {}
     for name in names:
         start = time.perf_counter()

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from storeloom import schemas
 from storeloom.frames import Frames
 from storeloom.functions import conform
-from storeloom.operators import append, create_if_absent, load_keyed, replace
+from storeloom.operators import absent_from, append, create_if_absent, load_keyed, replace
 from storeloom.plans import marts, warehouse
 from storeloom.session import scratch_path
 from storeloom.sources import land_column_json, land_csv, land_json_records, land_table
@@ -130,6 +130,25 @@ def load_landing(store: Store, frames: Frames) -> None:
     _together(load, frames)
 
 
+def without_loaded_orders(landing: Frames, sales: DataFrame) -> Frames:
+    """``landing`` cut to the orders that ``sales`` lacks.
+
+    A loaded order never changes, so its items need not be priced again. The ids of the new
+    orders are written out first: Spark then knows their size, and on a usual day broadcasts
+    them, so that the items of old orders are dropped where they are read.
+    """
+    if sales.isEmpty():
+        return landing
+    kind = sales.schema["order_id"].dataType.simpleString()
+    ids = landing["orders"].selectExpr(f"cast(id as {kind}) as order_id")
+    place = scratch_path(sales.sparkSession, "new_orders")
+    absent_from(ids, sales, "order_id").distinct().write.parquet(place)
+    new = sales.sparkSession.read.parquet(place).selectExpr("cast(order_id as bigint) as order_id")
+    orders = landing["orders"].join(new.withColumnRenamed("order_id", "id"), "id", "left_semi")
+    items = landing["order_items"].join(new, "order_id", "left_semi")
+    return landing.replaced("orders", orders).replaced("order_items", items)
+
+
 def load_warehouse(store: Store) -> None:
     """Insert the landing rows whose key is new."""
     landing = store.tables(store.landing, schemas.LANDING)
@@ -138,7 +157,10 @@ def load_warehouse(store: Store) -> None:
         ddl = store.ddl(schemas.WAREHOUSE[name])
         bucket = (schemas.key_of(name), store.buckets) if store.buckets else None
         table = store.create(store.warehouse, name, ddl, bucket=bucket)
-        load_keyed(warehouse.LOADS[name](landing), table, ddl)
+        source = landing
+        if name == "fact_sales":
+            source = without_loaded_orders(landing, store.spark.table(table))
+        load_keyed(warehouse.LOADS[name](source), table, ddl)
 
     _together(load, warehouse.LOADS)
 

@@ -108,6 +108,30 @@ def test_two_days(store, folder, options):
         assert stored(store, store.marts, name) == rows, name
 
 
+def test_new_orders_join_the_loaded_ones(store, folder, spark):
+    store = store()
+    frames = files(store, folder)
+    daily.run(store, frames)
+    noon = datetime(2024, 5, 2, 12)
+    orders = spark.createDataFrame(
+        [(1, 1, "B", noon), (4, 2, "B", noon), (5, 2, "B", noon)], schemas.LANDING["orders"]
+    )
+    items = spark.createDataFrame(
+        [(1, 1, 6, 9, None), (21, 4, 6, 2, None), (20, 4, 5, 1, 1), (22, 5, 99, 1, None)], WIDE_ITEMS
+    )
+    daily.load_landing(store, {"orders": orders, "order_items": items})
+    landing = store.tables(store.landing, schemas.LANDING)
+    sales = spark.table(f"{store.warehouse}.fact_sales")
+    cut = daily.without_loaded_orders(landing, sales)
+    assert sorted(r.id for r in cut["orders"].collect()) == [4, 5]
+    assert sorted(r.id for r in cut["order_items"].collect()) == [20, 21, 22]
+    daily.load_warehouse(store)
+    found = stored(store, store.warehouse, "fact_sales")
+    assert [row[0] for row in found] == [1, 2, 3, 4]
+    assert found[0][4:7] == ("A", date(2024, 5, 1), 1)
+    assert found[3] == (4, 2, 5, 1, "B", date(2024, 5, 2), 1, 99, 99, 10, 90)
+
+
 def test_marts_appended(store, folder):
     store = store()
     frames = files(store, folder)
