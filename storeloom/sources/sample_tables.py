@@ -15,6 +15,9 @@ from storeloom.frames import Frames
 COUPONS = 10
 PERCENT_STEP = 10
 
+# Two numbers per file, so at most 16 MB are broadcast.
+MAX_BROADCAST_FILES = 1_000_000
+
 # The columns used of each sample table. Naming them saves a look into the files.
 TABLES = {
     "customer": "c_custkey BIGINT, c_name STRING, c_mktsegment STRING",
@@ -85,13 +88,16 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
     """The id is the row's place in the table, from 1."""
     lines = read(spark, folder, "lineitem")
     place = "_metadata.row_index + 1"
-    if len(lines._jdf.inputFiles()) > 1:  # counted in the JVM: the names stay there
+    files = len(lines._jdf.inputFiles())  # counted in the JVM: the names stay there
+    if files > 1:
         # Rows before each file: one row per file, from the file footers alone. Each line
         # finds its file by a number, which is cheaper to compare than the name.
         file = "xxhash64(_metadata.file_path) as file"
         per_file = lines.groupBy(F.expr(file), "_metadata.file_path").count()
         before = "sum(count) over (order by file_path) - count as rows_before"
         offsets = per_file.selectExpr("file", before)
+        if files <= MAX_BROADCAST_FILES:
+            offsets = F.broadcast(offsets)
         lines = lines.selectExpr("*", file, "_metadata.row_index").join(offsets, "file")
         place = "rows_before + row_index + 1"
     return lines.selectExpr(
