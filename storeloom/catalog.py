@@ -87,7 +87,7 @@ def product_category_join(spark: SparkSession, folder: str) -> DataFrame:
     return (
         landing["products"]
         .join(categories, "category_id")
-        .select(F.col("id").alias("product_id"), F.col("name").alias("product_name"), "category_name")
+        .selectExpr("id as product_id", "name as product_name", "category_name")
     )
 
 
@@ -117,10 +117,10 @@ def customer_full_name(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def order_day_trunc(spark: SparkSession, folder: str) -> DataFrame:
-    logins = sample_tables.login_attempts(spark, folder).select("id", day_of("attempted_at").alias("day"))
-    orders = sample_tables.orders(spark, folder).select("id", day_of("created_at").alias("day"))
-    return orders.select(F.lit("order").alias("kind"), "*").unionByName(
-        logins.select(F.lit("login").alias("kind"), "*")
+    orders = sample_tables.orders(spark, folder).withColumn("day", day_of("created_at"))
+    logins = sample_tables.login_attempts(spark, folder).withColumn("day", day_of("attempted_at"))
+    return orders.selectExpr("'order' as kind", "id", "day").unionAll(
+        logins.selectExpr("'login' as kind", "id", "day")
     )
 
 

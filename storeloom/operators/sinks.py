@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from storeloom import schemas
 from storeloom.functions.conform import conform, require_key
@@ -30,8 +31,16 @@ def create_if_absent(
 
 
 def append(df: DataFrame, table: str) -> None:
-    """Add the rows of ``df``, matched to the table's columns by name."""
-    df.select(*df.sparkSession.table(table).columns).write.insertInto(table)
+    """Add the rows of ``df``, matched to the table's columns by name.
+
+    A column that ``df`` lacks is NULL; one that the table lacks is an error.
+    """
+    columns = df.sparkSession.table(table).columns
+    unknown = set(df.columns) - set(columns)
+    if unknown:
+        raise ValueError(f"{table} has no column {', '.join(sorted(unknown))}")
+    found = [F.col(f"`{c}`") if c in df.columns else F.lit(None).alias(c) for c in columns]
+    df.select(*found).write.insertInto(table)
 
 
 def load_keyed(df: DataFrame, table: str, ddl: str, order: Sequence[str] = ()) -> None:

@@ -173,7 +173,9 @@ OTHERS = {
     "fact_sales_lines": LINES.format(extra=""),
     "sales_lines_join": """
         SELECT o.id AS order_id, o.customer_id, i.id AS item_id, i.product_id, i.amount, p.price
-        FROM l_orders o JOIN l_items i ON i.order_id = o.id JOIN l_products p ON p.id = i.product_id""",
+        FROM l_orders o
+        JOIN l_items i ON i.order_id = o.id
+        JOIN l_products p ON p.id = i.product_id""",
     "coupon_left_join": """
         SELECT i.id AS item_id, i.coupon_id, c.id AS known_coupon, c.discount_percent
         FROM l_items i LEFT JOIN l_coupons c ON c.id = i.coupon_id""",

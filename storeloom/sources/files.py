@@ -137,7 +137,10 @@ def land_column_json(spark: SparkSession, path: str, ddl: str) -> DataFrame | No
             F.map_entries(name),
             lambda cell: F.struct(
                 cell["key"].alias("row"),
-                *[(cell["value"] if n == name else F.lit(None).cast("string")).alias(n) for n in names],
+                *[
+                    (cell["value"] if n == name else F.lit(None).cast("string")).alias(n)
+                    for n in names
+                ],
             ),
         )
 
@@ -151,7 +154,9 @@ def land_column_json(spark: SparkSession, path: str, ddl: str) -> DataFrame | No
 
 
 @none_if_no_files
-def land_json_records(spark: SparkSession, path: str, ddl: str, lines: bool = True) -> DataFrame | None:
+def land_json_records(
+    spark: SparkSession, path: str, ddl: str, lines: bool = True
+) -> DataFrame | None:
     """JSON lines (splittable), or with ``lines=False`` one array of records per file."""
     declared = schemas.columns(ddl)
     raw = T.StructType([T.StructField(name, T.StringType()) for name, _ in declared])

@@ -6,7 +6,14 @@ import pytest
 
 from storeloom import schemas
 from storeloom.functions import conform, require_key
-from storeloom.operators import append, create_if_absent, first_wins, insert_if_absent, load_keyed, replace
+from storeloom.operators import (
+    append,
+    create_if_absent,
+    first_wins,
+    insert_if_absent,
+    load_keyed,
+    replace,
+)
 
 DIM = schemas.WAREHOUSE["dim_orders"]
 ORDERS = "id BIGINT, customer_id BIGINT, status STRING, created_at TIMESTAMP_NTZ"
@@ -91,6 +98,14 @@ def test_append_matches_by_name(spark, table):
     assert stored(spark, name) == [(2, 1)]
 
 
+def test_append_of_fewer_or_more_columns(spark, table):
+    name = table("a INT, b INT")
+    append(spark.createDataFrame([(1,)], "b INT"), name)
+    assert stored(spark, name) == [(None, 1)]
+    with pytest.raises(ValueError, match="no column c"):
+        append(spark.createDataFrame([(1, 2)], "b INT, c INT"), name)
+
+
 def test_replace(spark, table, tmp_path):
     name, place = table(), str(tmp_path / "versions")
     replace(spark.createDataFrame([(1,), (2,)], "a INT"), name, place)
