@@ -215,24 +215,33 @@ def fit(labelled: DataFrame, key: str = "doc_id", per_label: int = SAMPLE_PER_LA
     return train([(r.label, np.array(r.features, np.intp), np.array(r.counts)) for r in rows], idf)
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with lang_pred and score."""
+def guess(docs: DataFrame, model: Model | None) -> Column:
+    """Struct of lang_pred and score for the texts of ``docs``."""
     if model is None:
-        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+        return F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
 
     @F.pandas_udf("lang_pred string, score double")
-    def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = pickle.loads(shared.value)
         for texts in batches:
             found = [(UNKNOWN, 0.0) if t is None else known.predict(t) for t in texts]
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
 
-    lettered = F.when(_has_letter(), F.col("text"))
-    return docs.withColumn("_guess", guess(lettered)).select(*docs.columns, "_guess.*")
+    return run(F.when(_has_letter(), F.col("text")))
+
+
+def told(docs: DataFrame, model: Model | None, least_score: float) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose language is told surely enough."""
+    both = docs.select(F.struct(*docs.columns).alias("doc"), guess(docs, model).alias("guess"))
+    sure = (F.col("guess.lang_pred") != UNKNOWN) & (F.col("guess.score") >= least_score)
+    return both.where(sure).select("doc.*")
 
 
 def identify(docs: DataFrame, learn_from: Column, label: str = "lang") -> DataFrame:
     """(doc_id, text, lang_pred, score) per row, learned from the rows that ``learn_from`` keeps."""
     training = docs.where(learn_from).select("doc_id", "text", F.col(label).alias("label"))
-    return predict(docs.select("doc_id", "text"), fit(training))
+    texts = docs.select("doc_id", "text")
+    return texts.select("*", guess(texts, fit(training)).alias("guess")).select(
+        "doc_id", "text", "guess.*"
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeloom.llm import jaccard_join, language_id
+from storeloom.llm import decontamination, jaccard_join, language_id, mixing, secrets
 from storeloom.llm.frames import fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,12 +19,25 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words a mix of one and a half times the corpus takes of every document."""
+    found = mixing.mix(read(spark, folder, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
 @query
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose sets of four-word shingles are 85 % alike."""
     return jaccard_join.jaccard_components(read(spark, folder, "documents"), words=4, percent=85)
 
 
+@query
+def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every document: plain patterns, and literals under sensitive names."""
+    return secrets.scan(read(spark, folder, "documents"))
+
+
 @query
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from three folds of four."""
@@ -33,3 +46,18 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score"
     )
+
+
+@query
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that lie in a ten-word window of a test item."""
+    found = decontamination.scan(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )

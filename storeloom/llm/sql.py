@@ -14,7 +14,7 @@ shingled AS (
   SELECT doc_id, list_distinct(CASE
     WHEN len(w) = 0 THEN []
     WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' ')) END) AS s
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
   FROM worded),
 items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM shingled),
 shared AS (
@@ -29,3 +29,33 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles,
   least(doc_id, coalesce((SELECT min(y) FROM reach r WHERE r.x = d.doc_id), doc_id)) AS component_id
 FROM shingled d
 """
+
+ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+SQL["op10_decontamination"] = rf"""
+WITH
+docs AS (SELECT doc_id, regexp_extract_all({LOWER}, '{ITEM_WORD}') AS w FROM documents),
+tests AS (SELECT item_id, regexp_extract_all({LOWER}, '{ITEM_WORD}') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size,
+    unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1),
+      lambda i: array_to_string(w[i:i + 9], ' '))) AS item
+  FROM tests WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM windows),
+runs AS (
+  SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS pos,
+    unnest(list_transform(range(1, len(w) - size + 2),
+      lambda i: array_to_string(w[i:i + size - 1], ' '))) AS item
+  FROM docs, sizes WHERE len(w) >= size),
+found AS (SELECT doc_id, item_id, pos, r.size FROM runs r JOIN windows v USING (size, item)),
+hits AS (
+  SELECT doc_id, count(DISTINCT word) AS n
+  FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS word FROM found) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(i.n, 0) AS BIGINT) AS n_items, sha256(coalesce(i.ids, '')) AS items_sha256,
+  coalesce(h.n, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hits h USING (doc_id) LEFT JOIN named i USING (doc_id)
+"""
