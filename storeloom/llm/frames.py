@@ -26,7 +26,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    rows.place = path
+    return rows
+
+
+def emptied(df: DataFrame) -> None:
+    """Frees the files of a stored step that nothing reads any more; an empty table stays."""
+    rows = df.sparkSession.createDataFrame([], df.schema)
+    rows.coalesce(1).write.mode("overwrite").parquet(df.place)
 
 
 def map_batches(

@@ -10,8 +10,9 @@ Documents of one shingle set form a class, and classes are joined:
 - The *boundary* is the largest size up to which naming subsets costs no more than scanning.
 
 Every meeting of two classes is verified on the whole texts, except where that cannot change a
-component. First each class is compared with the list's earliest member of like size (as many
-comparisons as entries); then only classes that are still in different components are compared.
+component. First each class is compared with one other: of the earliest members of like size in
+its lists, the one it meets most often. Then only classes that are still in different components
+are compared.
 A group of near copies so costs little more than its size, while no link that joins two
 components is lost.
 
@@ -31,16 +32,16 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeloom.llm.frames import as_bytes, component_labels, map_batches, stored
+from storeloom.llm.frames import as_bytes, component_labels, emptied, map_batches, stored
 from storeloom.llm.words import distinct, shingle_sets
 
-# Frequent shingles that are ordered last: 16 bytes each, so 3.2 MB are sent to a task.
-MAX_FREQUENT = 200_000
+# Frequent shingles that are ordered last: 16 bytes each, so 8 MB are sent to a task.
+MAX_FREQUENT = 500_000
 # Shingles are counted in runs of so many, and a count below the second number is not reported.
 COUNT_RUN = 1 << 21
-LEAST_COUNT = 3
-# No set above this size can be small: its subsets are too many at any similarity.
-MAX_SMALL = 24
+LEAST_COUNT = 2
+# No set above this size can be small: the number of subsets multiplies from there on.
+MAX_SMALL = 13
 # Bits of the filter for documents to verify: 2 MB.
 FILTER_BITS = 1 << 24
 # Classes a task remembers, to enter copies into the lists only once.
@@ -113,9 +114,10 @@ def _frequent(counted: DataFrame) -> np.ndarray:
         .agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "shingle")
         .limit(MAX_FREQUENT)
-        .collect()
+        .select("shingle")
+        .toArrow()
     )
-    return np.array([r.shingle for r in reversed(rows)], np.int64).view(np.uint64)
+    return rows["shingle"].to_numpy().astype(np.int64)[::-1].copy().view(np.uint64)
 
 
 def subset_cost(n: int, percent: int) -> int:
@@ -244,7 +246,7 @@ def _pairs(met: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _pairs_with_earliest(meetings: DataFrame, percent: int) -> DataFrame:
+def _pairs_with_best(meetings: DataFrame, percent: int) -> DataFrame:
     earliest = stored(
         meetings.groupBy("key", "size_step")
         .agg(F.min(F.struct("pos", "class", "n")).alias("e"))
@@ -252,12 +254,18 @@ def _pairs_with_earliest(meetings: DataFrame, percent: int) -> DataFrame:
         "earliest",
     )
     reach = meetings.withColumn("size_step", F.explode(F.expr("array(size_step, size_step - 1)")))
-    return _pairs(
+    met = (
         reach.alias("x")
         .join(earliest.alias("y"), ["key", "size_step"])
         .where("x.class <> y.class")
         .where(_may_link(percent))
+        .groupBy("x.class", F.col("y.class").alias("partner"))
+        .agg(F.count("*").alias("lists"))
     )
+    best = met.groupBy("class").agg(F.max(F.struct("lists", "partner")).alias("best"))
+    return best.select(
+        F.least("class", "best.partner").alias("a"), F.greatest("class", "best.partner").alias("b")
+    ).distinct()
 
 
 def _pairs_between(meetings: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -347,7 +355,10 @@ def _links(docs, nodes, pairs, words: int, percent: int) -> DataFrame:
             yield kept
 
     bodies = pairs.join(texts.toDF("a", "body_a"), "a").join(texts.toDF("b", "body_b"), "b")
-    return stored(map_batches(bodies, run, "a binary, b binary"), "links")
+    links = stored(map_batches(bodies, run, "a binary, b binary"), "links")
+    emptied(pairs)
+    emptied(texts)
+    return links
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -360,9 +371,10 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     nodes = sets.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     nodes = stored(nodes, "nodes")
 
-    first = _links(docs, nodes, _pairs_with_earliest(meetings, percent), words, percent)
+    first = _links(docs, nodes, _pairs_with_best(meetings, percent), words, percent)
     labels = stored(component_labels(first), "labels")
     rest = _links(docs, nodes, _pairs_between(meetings, labels, percent), words, percent)
+    emptied(meetings)
     labels = stored(component_labels(first.union(rest)), "labels")
 
     grouped = nodes.join(labels.withColumnRenamed("node", "class"), "class", "left")
