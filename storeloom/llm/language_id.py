@@ -173,8 +173,11 @@ def _has_letter() -> Column:
 def _sampled(labelled: DataFrame, key: str, per_label: int) -> DataFrame:
     """At most ``per_label`` ids of each label, chosen by hash. Texts are not read."""
     chosen = labelled.selectExpr(f"`{key}` as id", "label", f"xxhash64(`{key}`) as h").distinct()
-    ranked = chosen.selectExpr("*", "row_number() over (partition by label order by h, id) as r")
-    return ranked.where(F.col("r") <= per_label).select("id", "label")
+    # First among shares of a label's rows, then among what they leave: no task gets them all.
+    for among in ("label, pmod(h, 64)", "label"):
+        rank = f"row_number() over (partition by {among} order by h, id) as r"
+        chosen = chosen.selectExpr("id", "label", "h", rank).where(F.col("r") <= per_label)
+    return chosen.select("id", "label")
 
 
 def fit(labelled: DataFrame, key: str = "doc_id", per_label: int = SAMPLE_PER_LABEL):
