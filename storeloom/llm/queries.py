@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeloom.llm import decontamination, jaccard_join, language_id, mixing, secrets
+from storeloom.llm import decontamination, jaccard_join, language_id, mixing, neighbours, secrets
 from storeloom.llm.frames import fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,3 +61,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query
+def op3_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors found for every twentieth id."""
+    vectors = read(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
