@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeloom.llm import decontamination, jaccard_join, language_id, mixing, neighbours, secrets
+from storeloom.llm import decontamination, jaccard_join, language_id, lattice, mixing, neighbours, secrets
 from storeloom.llm.frames import fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +68,11 @@ def op3_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 nearest vectors found for every twentieth id."""
     vectors = read(spark, folder, "embeddings")
     return neighbours.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+@query
+def op2_lattice_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Likelihood of every document, learned from six folds of seven."""
+    found = lattice.score(read(spark, folder, "documents"), fold("doc_id", 7) != 2)
+    held = (fold("doc_id", 7) == 2).alias("held_out")
+    return found.select("doc_id", held, *found.columns[1:])

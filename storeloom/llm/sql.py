@@ -59,3 +59,4 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIG
   coalesce(h.n, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN hits h USING (doc_id) LEFT JOIN named i USING (doc_id)
 """
+
