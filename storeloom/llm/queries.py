@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeloom.llm import decontamination, jaccard_join, language_id, lattice, mixing, neighbours, secrets
+from storeloom.llm import decontamination, jaccard_join, language_id, lattice, mixing, neighbours, secrets, toxicity
 from storeloom.llm.frames import fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +76,16 @@ def op2_lattice_score(spark: SparkSession, folder: str) -> DataFrame:
     found = lattice.score(read(spark, folder, "documents"), fold("doc_id", 7) != 2)
     held = (fold("doc_id", 7) == 2).alias("held_out")
     return found.select("doc_id", held, *found.columns[1:])
+
+
+@query
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from three folds of four."""
+    docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    found = toxicity.score(docs, labels, fold("doc_id", 4) != 2)
+    return found.select(
+        "doc_id",
+        (fold("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.DECISION).cast("int").alias("predicted"),
+    )
