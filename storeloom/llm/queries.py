@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeloom.llm import decontamination, jaccard_join, language_id, lattice, mixing, neighbours, secrets, toxicity
+from storeloom.llm import (
+    chat,
+    decontamination,
+    jaccard_join,
+    language_id,
+    lattice,
+    mixing,
+    neighbours,
+    secrets,
+    toxicity,
+    warc,
+)
 from storeloom.llm.frames import fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +100,26 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= toxicity.DECISION).cast("int").alias("predicted"),
     )
+
+
+@query
+def op7_warc_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to WARC archives and read back through the capture index."""
+    return warc.archived(read(spark, folder, "pages"), least=1000)
+
+
+@query
+def op5_perspective_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Every dialogue from the perspective of each of its speakers."""
+    found = chat.perspectives(read(spark, folder, "conversations"))
+    spans = F.transform("mask", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return found.select(
+        "conv_id",
+        "segment",
+        "part",
+        "speaker",
+        "n_turns",
+        F.length("text").cast("bigint").alias("n_chars"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
+        F.array_join(spans, ",").alias("mask"),
+    )

@@ -60,3 +60,36 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIG
 FROM docs d LEFT JOIN hits h USING (doc_id) LEFT JOIN named i USING (doc_id)
 """
 
+SQL["op7_warc_index"] = """
+WITH paid AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS bytes, sha1(coalesce(html, '')) AS digest FROM pages),
+last AS (SELECT digest, max(page_id) AS page FROM paid WHERE bytes >= 1000 GROUP BY digest)
+SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id < page THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < page THEN page END AS refers_to
+FROM paid LEFT JOIN last USING (digest)
+"""
+
+# The sample dialogues have few turns, so each is one part.
+SQL["op5_perspective_chat"] = r"""
+WITH rows_ AS (
+  SELECT conv_id, CAST(turn // 64 AS BIGINT) AS segment, turn, role AS speaker,
+    replace(replace(text, '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>') AS said
+  FROM conversations),
+heard AS (SELECT DISTINCT conv_id, segment, speaker FROM rows_),
+pieces AS (
+  SELECT r.conv_id, r.segment, h.speaker, r.turn, r.speaker = h.speaker AS own,
+    CASE WHEN r.speaker = h.speaker THEN '<|im_start|>assistant' || chr(10)
+      ELSE '<|im_start|>user name=' || r.speaker || chr(10) END AS head,
+    said || '<|im_end|>' AS body, r.speaker AS by
+  FROM rows_ r JOIN heard h ON r.conv_id = h.conv_id AND r.segment = h.segment),
+placed AS (
+  SELECT *, sum(length(head) + length(body) + 1) OVER (
+    PARTITION BY conv_id, segment, speaker ORDER BY turn, by, body) AS till FROM pieces)
+SELECT conv_id, segment, CAST(0 AS BIGINT) AS part, speaker, count(*) AS n_turns,
+  CAST(sum(length(head) + length(body) + 1) AS BIGINT) AS n_chars,
+  sha256(string_agg(head || body || chr(10), '' ORDER BY turn, by, body)) AS text_sha256,
+  string_agg((till - 1 - length(body)) || ':' || (till - 1), ',' ORDER BY turn, by, body)
+    FILTER (WHERE own) AS mask
+FROM placed GROUP BY conv_id, segment, speaker
+"""
