@@ -81,15 +81,15 @@ pieces AS (
   SELECT r.conv_id, r.segment, h.speaker, r.turn, r.speaker = h.speaker AS own,
     CASE WHEN r.speaker = h.speaker THEN '<|im_start|>assistant' || chr(10)
       ELSE '<|im_start|>user name=' || r.speaker || chr(10) END AS head,
-    said || '<|im_end|>' AS body, r.speaker AS by
+    said || '<|im_end|>' AS body, r.speaker AS who
   FROM rows_ r JOIN heard h ON r.conv_id = h.conv_id AND r.segment = h.segment),
 placed AS (
   SELECT *, sum(length(head) + length(body) + 1) OVER (
-    PARTITION BY conv_id, segment, speaker ORDER BY turn, by, body) AS till FROM pieces)
+    PARTITION BY conv_id, segment, speaker ORDER BY turn, who, body) AS till FROM pieces)
 SELECT conv_id, segment, CAST(0 AS BIGINT) AS part, speaker, count(*) AS n_turns,
   CAST(sum(length(head) + length(body) + 1) AS BIGINT) AS n_chars,
-  sha256(string_agg(head || body || chr(10), '' ORDER BY turn, by, body)) AS text_sha256,
-  string_agg((till - 1 - length(body)) || ':' || (till - 1), ',' ORDER BY turn, by, body)
+  sha256(string_agg(head || body || chr(10), '' ORDER BY turn, who, body)) AS text_sha256,
+  string_agg((till - 1 - length(body)) || ':' || (till - 1), ',' ORDER BY turn, who, body)
     FILTER (WHERE own) AS mask
 FROM placed GROUP BY conv_id, segment, speaker
 """
