@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storeloom.llm.frames import as_bytes, map_batches, stored
+from storeloom.llm.frames import as_bytes, map_batches, most_frequent, stored
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 # Words sent to the tasks, of at most KEY bytes each, and spellings a task keeps.
@@ -160,7 +160,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 def estimate(counts: DataFrame, prior: Lattice) -> Lattice:
     """Piece probabilities from expected counts over all words, smoothed by the prior's."""
-    shared = counts.sparkSession.sparkContext.broadcast((prior.start, prior.inside, prior.stop))
+    shared = counts.sparkSession.sparkContext.broadcast(_parts(prior))
 
     def run(batches):
         lattice = Lattice(*shared.value)
@@ -190,10 +190,27 @@ def estimate(counts: DataFrame, prior: Lattice) -> Lattice:
     )
 
 
+def with_spellings(counts: DataFrame, lattice: Lattice) -> DataFrame:
+    """(key, n, spelling): log10 probability of the spelling of each word."""
+    shared = counts.sparkSession.sparkContext.broadcast(_parts(lattice))
+
+    def run(batches):
+        model = Lattice(*shared.value)
+        for batch in batches:
+            spelled = [model.spelling(w) / LOG10 for w in batch["word"]]
+            yield {"key": batch["key"], "n": batch["n"], "spelling": spelled}
+
+    return map_batches(counts, run, "key binary, n bigint, spelling double")
+
+
+def _parts(lattice: Lattice) -> tuple:
+    return lattice.start, lattice.inside, lattice.stop
+
+
 # --- scores ------------------------------------------------------------------------------------
 
 PARTS = "doc_id bigint, row bigint, n_tokens bigint, n_known bigint, base double, score double, " \
-        "rare array<binary>, uses array<int>, spelled array<double>"
+        "rare array<struct<key: binary, uses: int, word: binary>>"
 
 
 def score(docs: DataFrame, learn_from: Column, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -205,15 +222,14 @@ def score(docs: DataFrame, learn_from: Column, vocabulary: str = VOCABULARY) ->
     total = (totals.n or 0) + texts
     distinct = totals.v + (texts > 0)
     lattice = estimate(counts, Lattice.from_file(vocabulary))
-    top = counts.orderBy(F.desc("n"), "key").limit(FREQUENT).select("key", "n").toPandas()
-    frequent = dict(zip(map(bytes, top["key"]), top["n"].tolist()))
-    least = (int(top["n"].iloc[-1]), bytes(top["key"].iloc[-1])) if len(top) else (0, b"")
+    words = stored(with_spellings(counts, lattice), "spelled_words")
+    least = most_frequent(words, FREQUENT)
+    top = words.where(F.col("n") >= least).toPandas()
+    frequent = dict(zip(map(bytes, top["key"]), zip(top["n"].tolist(), top["spelling"].tolist())))
     base_total = math.log10(total + 1 * (distinct + 1))
     model_total = math.log10(total + distinct + 1)
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(
-        (frequent, lattice.start, lattice.inside, lattice.stop)
-    )
+    shared = spark.sparkContext.broadcast((frequent, _parts(lattice)))
     # The end token is a token like others, but is not spelled: a fixed share of the rest is its.
     end_share = 1e-3
     end_score = math.log10(texts + (distinct + 1) * end_share) - model_total
@@ -229,45 +245,27 @@ def score(docs: DataFrame, learn_from: Column, vocabulary: str = VOCABULARY) ->
         return max(seen, rest) + math.log10(1 + 10 ** -abs(seen - rest))
 
     def run(batches):
-        known, *parts = shared.value
-        model = Lattice(*parts)
-        spellings: dict[bytes, float] = {}
-        scores: dict[bytes, tuple[int, float, float]] = {}
+        ready = {
+            key: (math.log10(n + 1) - base_total, mixed(n, spelling) - model_total)
+            for key, (n, spelling) in shared.value[0].items()
+        }
         for batch in batches:
-            out: dict[str, list] = {n: [] for n in ("n_tokens", "n_known", "base", "score",
-                                                    "rare", "uses", "spelled")}
+            out: dict[str, list] = {n: [] for n in ("n_tokens", "n_known", "base", "score", "rare")}
             for body in batch["body"]:
                 words = Counter(body.lower().split())
                 tokens, seen, base, value = 1, int(texts > 0), end_base, end_score
-                rare, uses, spelled = [], [], []
+                rare = []
                 for word, n in words.items():
                     tokens += n
-                    ready = scores.get(word)
-                    if ready is None:
-                        key = word_key(word)
-                        count = known.get(key)
-                        if count is None:
-                            spelling = spellings.get(key)
-                            if spelling is None:
-                                spelling = model.spelling(word) / LOG10
-                                if len(spellings) >= KEPT_SPELLINGS:
-                                    spellings.clear()
-                                spellings[key] = spelling
-                            rare.append(key)
-                            uses.append(n)
-                            spelled.append(spelling)
-                            continue
-                        ready = (
-                            1,
-                            math.log10(count + 1) - base_total,
-                            mixed(count, model.spelling(word) / LOG10) - model_total,
-                        )
-                        if len(word) <= KEY:
-                            scores[word] = ready
+                    found = ready.get(word if len(word) <= KEY else word_key(word))
+                    if found is None:
+                        long = word if len(word) > KEY else None
+                        rare.append({"key": word_key(word), "uses": n, "word": long})
+                        continue
                     seen += n
-                    base += n * ready[1]
-                    value += n * ready[2]
-                for column, x in zip(out.values(), (tokens, seen, base, value, rare, uses, spelled)):
+                    base += n * found[0]
+                    value += n * found[1]
+                for column, x in zip(out.values(), (tokens, seen, base, value, rare)):
                     column.append(x)
             yield {"doc_id": batch["doc_id"], "row": batch["row"], **out}
 
@@ -275,26 +273,36 @@ def score(docs: DataFrame, learn_from: Column, vocabulary: str = VOCABULARY) ->
         "doc_id", F.monotonically_increasing_id().alias("row"), as_bytes().alias("body")
     )
     scored = stored(map_batches(read, run, PARTS), "scored")
-    rare = scored.select("row", F.inline(F.arrays_zip("rare", "uses", "spelled"))).toDF(
-        "row", "key", "uses", "spelled"
-    )
-    rest = counts.where(
-        (F.col("n") < least[0]) | ((F.col("n") == least[0]) & (F.col("key") > F.lit(least[1])))
-    ).select("key", "n")
 
     @F.pandas_udf("double")
-    def rare_score(count: pd.Series, spelling: pd.Series) -> pd.Series:
-        return pd.Series([mixed(c, s) - model_total for c, s in zip(count, spelling)])
+    def rare_score(
+        batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]],
+    ) -> Iterator[pd.Series]:
+        """Of a word in the table by its spelling there; of another it is found here."""
+        model, kept = None, {}
+        for count, spelling, key, word in batches:
+            values = []
+            for c, s, k, w in zip(count, spelling, key, word):
+                if s != s:
+                    model = model or Lattice(*shared.value[1])
+                    if k not in kept:
+                        if len(kept) >= KEPT_SPELLINGS:
+                            kept.clear()
+                        kept[k] = model.spelling(k if w is None else w) / LOG10
+                    s = kept[k]
+                values.append(mixed(int(c), s) - model_total)
+            yield pd.Series(values, dtype="float64")
 
     n = F.coalesce("n", F.lit(0))
     met = (
-        rare.join(rest, "key", "left")
+        scored.select("row", F.inline("rare"))
+        .join(words.where(F.col("n") < least), "key", "left")
         .select(
             "row",
             "uses",
             F.when(n > 0, F.col("uses")).otherwise(0).alias("known"),
             (F.col("uses") * (F.log10(n + 1) - base_total)).alias("base"),
-            (F.col("uses") * rare_score(n, "spelled")).alias("value"),
+            (F.col("uses") * rare_score(n, "spelling", "key", "word")).alias("value"),
         )
         .groupBy("row")
         .agg(
