@@ -32,7 +32,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeloom.llm.frames import as_bytes, component_labels, emptied, map_batches, stored
+from storeloom.llm.frames import (
+    as_bytes,
+    component_labels,
+    emptied,
+    map_batches,
+    most_frequent,
+    stored,
+)
 from storeloom.llm.words import distinct, shingle_sets
 
 # Frequent shingles that are ordered last: 16 bytes each, so 8 MB are sent to a task.
@@ -108,16 +115,14 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 
 def _frequent(counted: DataFrame) -> np.ndarray:
     """The most frequent shingles, rarest first."""
-    rows = (
+    summed = (
         counted.where("class is null and shingle is not null")
         .groupBy("shingle")
         .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "shingle")
-        .limit(MAX_FREQUENT)
-        .select("shingle")
-        .toArrow()
     )
-    return rows["shingle"].to_numpy().astype(np.int64)[::-1].copy().view(np.uint64)
+    rows = summed.where(F.col("n") >= most_frequent(summed, MAX_FREQUENT)).toArrow()
+    values, n = rows["shingle"].to_numpy().astype(np.int64), rows["n"].to_numpy()
+    return values[np.lexsort((values, n))].view(np.uint64)
 
 
 def subset_cost(n: int, percent: int) -> int:
