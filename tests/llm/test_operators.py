@@ -1,0 +1,368 @@
+"""The operators on nulls, empties, ties, repeated rows, clashing columns and empty tables, and
+against plain versions on small tables."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from storeloom.llm import (
+    chat,
+    decontamination,
+    jaccard_join,
+    language_id,
+    lattice,
+    mixing,
+    neighbours,
+    secrets,
+    toxicity,
+    warc,
+)
+from storeloom.llm.frames import component_labels
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, n bigint, row int, `key` string"
+EN = "the house of the old man and the sea with this and that "
+DE = "der hund und die katze über das große haus für immer schön "
+
+
+@pytest.fixture
+def docs(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(60):
+        words = (EN if i % 2 else DE).split() * 4
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), "en" if i % 2 else "de", f"s{i % 3}"))
+    rows += [
+        (100, None, None, None), (101, "", "en", "s0"), (102, "   \n", "en", None),
+        (103, "12345 !!", "de", "s1"), (None, EN * 3, "en", "s2"), (104, EN * 40, "en", "s0"),
+        (105, EN * 40, "en", "s0"), (105, EN * 40, "en", "s0"), (106, "x" * 200_000, "en", "s1"),
+        (107, "one two", "en", "s1"), (108, "one two", None, "s1"), (109, EN * 20_000, "en", "s2"),
+    ]
+    full = [(*r, len(r[1]) if r[1] else 0, 7, 1, "k") for r in rows]
+    return spark.createDataFrame(full, DOCS)
+
+
+@pytest.fixture
+def no_docs(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def words(text):
+    return (text or "").encode().lower().split()
+
+
+def shingled(text, k):
+    w = words(text)
+    return frozenset(tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))) if w else frozenset()
+
+
+def test_jaccard_components_equal_brute_force(spark, docs):
+    rng = random.Random(1)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(150):
+        text = base[:] if i % 3 else [f"w{rng.randrange(400)}" for _ in range(rng.randrange(1, 30))]
+        for _ in range(rng.randrange(4)):
+            text[rng.randrange(len(text))] = f"v{rng.randrange(50)}"
+        rows.append((1000 + i, " ".join(text)))
+    rows += [(2000 + i, " ".join(f"z{j}" for j in range(9 + i % 2))) for i in range(6)]
+    frame = docs.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    sets = {r.doc_id: shingled(r.text, 4) for r in frame.collect() if r.doc_id is not None}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    found = jaccard_join.jaccard_components(frame, 4, 85).collect()
+    assert len(found) == frame.count()
+    for r in found:
+        if r.doc_id is None:
+            assert r.component_id is None
+        else:
+            assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), find(r.doc_id)), r
+
+
+def test_component_labels_of_a_long_chain(spark):
+    links = spark.range(1, 60).selectExpr("id as a", "id - 1 as b")
+    assert {(r.node, r.label) for r in component_labels(links).collect()} == {(i, 0) for i in range(60)}
+
+
+def test_boundary_subsets_cover_every_link():
+    for n in range(1, 14):
+        for m in jaccard_join.partner_sizes(n, 85):
+            shared = jaccard_join.least_overlap(n, m, 85)
+            assert 100 * shared >= 85 * (n + m - shared) and 100 * (shared - 1) < 85 * (n + m - shared + 1)
+
+
+def test_language_is_told_on_held_out_rows(docs):
+    found = language_id.identify(docs, F.coalesce(F.col("doc_id") % 4 != 2, F.lit(True))).collect()
+    assert len(found) == docs.count()
+    for r in found:
+        if r.text is None or not any(c.isalpha() for c in r.text):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+        elif r.doc_id is not None and r.doc_id < 60:
+            assert r.lang_pred == ("en" if r.doc_id % 2 else "de") and 0 <= r.score <= 1
+
+
+def test_windows_are_found_where_they_are(spark, docs):
+    items = [(1, "the Quick, brown fox"), (2, None), (None, "jumps over"), (3, " ".join(map(str, range(12)))),
+             (4, "--"), (1, "lazy dog")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    texts = [
+        (1, "Ünder THE quick-brown fox; jumps"), (2, " ".join(map(str, range(1, 11)))), (3, None),
+        (4, "jumps! over a lazy dog"), (5, "the quick brown foxes"), (6, " ".join(map(str, range(9)))),
+    ]
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in decontamination.scan(frame, bench).collect()}
+    assert [(got[i].n_hit, sorted(got[i].items)) for i in range(1, 7)] == [
+        (4, [1]), (10, [3]), (0, []), (4, [1]), (0, []), (0, [])]
+    assert [tuple(s) for s in got[1].spans] == [(6, 25)]
+    assert texts[0][1][6:25] == "THE quick-brown fox"
+    kept = decontamination.clean(frame, bench).select("doc_id").collect()
+    assert {r.doc_id for r in kept} == {3, 5, 6}
+
+
+def test_many_blocks_give_the_result_of_one(spark, monkeypatch):
+    rng = random.Random(3)
+    texts = [(i, " ".join(rng.choice("abcd") for _ in range(60))) for i in range(30)] + [(1, "a b")] * 2
+    bench = spark.createDataFrame(
+        [(i, " ".join(rng.choice("abcd") for _ in range(5))) for i in range(40)], "item_id bigint, text string")
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+
+    def rows():
+        found = decontamination.scan(frame, bench, 4).collect()
+        return sorted((r.doc_id, r.n_words, r.n_hit, sorted(r.items)) for r in found)
+
+    one = rows()
+    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 10)
+    assert rows() == one
+
+
+def test_secrets_equal_plain_patterns(spark):
+    texts = [
+        'k = "hunter22xyz!"\npassword = k', "PassWord: abcdefgh AKIA0123456789AB 0" + "f" * 40, None, "",
+        "token=short secret=\"longenough\" ſecret=abcdefghij", "AKIA012", "é" * 5 + "api_key = Zx9-12345678",
+    ]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    for r in secrets.scan(frame).collect():
+        text = texts[r.doc_id] or ""
+        plain = sorted(secrets.plain_spans(text))
+        naive = [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+        assert [s for s in plain if s[1] == 2] == naive
+        assert r.base_sha256 == hashlib.sha256(secrets.shown(plain).encode()).hexdigest()
+        assert set(secrets.shown(plain).split(",")) <= set(r.spans.split(",")) or not plain
+    first = secrets.spans_of(texts[0].encode())
+    assert [texts[0][a:b] for a, kind, b in first if kind == 3] == ["hunter22xyz!"]
+
+
+@pytest.mark.parametrize("text", ["password " * 40_000 + "=", 'key="' * 60_000, "x.y-" * 80_000 + " auth ="])
+def test_lexing_takes_time_in_proportion(text):
+    import time
+
+    start = time.process_time()
+    secrets.spans_of(text.encode())
+    assert time.process_time() - start < 5
+
+
+def test_mix_meets_targets(docs):
+    found = mixing.mix(docs).collect()
+    assert len(found) == docs.count()
+    sizes, targets, taken = Counter(), {}, Counter()
+    for r in found:
+        assert 0 <= r.taken <= 2 * r.size
+        sizes[r.source] += r.size
+        taken[r.source] += r.taken
+        targets[r.source] = r.target
+    weights = dict(zip(sorted(sizes, key=lambda s: (s is None, s)), [3, 1, 2] * 2))
+    want, open_, budget = {}, set(sizes), 1.5 * sum(sizes.values())
+    while open_:
+        level = (budget - sum(want.values())) / sum(weights[s] for s in open_)
+        full = {s for s in open_ if level * weights[s] > 2 * sizes[s]}
+        want |= {s: 2.0 * sizes[s] for s in full}
+        if not full:
+            want |= {s: level * weights[s] for s in open_}
+            break
+        open_ -= full
+    assert targets == pytest.approx(want)
+    assert all(abs(taken[s] - want[s]) <= 1 for s in sizes)
+    again = {(r.doc_id, r.taken) for r in mixing.mix(docs).collect()}
+    assert again == {(r.doc_id, r.taken) for r in found}
+    copies = [c for r in found for c in r.copies]
+    assert all(0 <= c.position <= 1 for c in copies)
+
+
+def test_positions_invert_the_schedule(spark):
+    schedule = [(0.0, 1.0), (0.25, 3.0), (1.0, 0.5)]
+    frame = spark.range(200).selectExpr("id / 200 as u").withColumn(
+        "segments", F.expr(mixing._segments(schedule)))
+    total = mixing.integral(schedule)
+    for r in frame.selectExpr("u", f"{mixing._time_of('u')} as t").collect():
+        grid = np.linspace(0, r.t, 2001)
+        weights = np.interp(grid, [t for t, _ in schedule], [w for _, w in schedule])
+        assert np.trapezoid(weights, grid) / total == pytest.approx(r.u, abs=1e-4)
+
+
+def test_lattice_sums_all_segmentations():
+    model = lattice.Lattice.of_weights({b"": 1.0, b"a": 2.0, b"ab": 1.0}, {b"a": 1.0, b"b": 2.0, b"ba": 1.0}, 2.0)
+
+    def brute(word, at, started):
+        total = math.exp(model.stop) if at == len(word) and started else 0.0
+        table = model.inside if started else model.start
+        for piece, weight in table.items():
+            if word.startswith(piece, at):
+                total += math.exp(weight) * brute(word, at + len(piece), True)
+        return total
+
+    for word in (b"a", b"ab", b"aba", b"abab", b"bba"):
+        assert model.spelling(word) == pytest.approx(math.log(brute(word, 0, False)))
+        start, inside = Counter(), Counter()
+        model.expect(word, 3, start, inside)
+        assert sum(start.values()) == pytest.approx(3)
+        used = sum(n * len(p) for c in (start, inside) for p, n in c.items())
+        assert used == pytest.approx(3 * len(word))
+
+
+def test_lattice_base_scores(docs):
+    learn = F.coalesce(F.col("doc_id") % 3 != 0, F.lit(True))
+    found = lattice.score(docs, learn).collect()
+    counts = Counter()
+    for r in docs.collect():
+        if r.doc_id is None or r.doc_id % 3:
+            counts.update([*words(r.text), b" "])
+    total, base = sum(counts.values()), math.log10(sum(counts.values()) + len(counts) + 1)
+    texts = Counter((r.doc_id, r.text) for r in docs.collect())
+    want = sorted(
+        (len(words(t)) + 1, round(sum(math.log10(counts[w] + 1) - base for w in [*words(t), b" "]), 4))
+        for (_, t), n in texts.items() for _ in range(n))
+    assert sorted((r.n_tokens, round(r.base_score, 4)) for r in found) == want
+    assert all(r.score < 0 and r.train_tokens == total for r in found)
+
+
+def test_neighbours_reach_the_nearest(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in v], i) for i, v in enumerate(rng.normal(size=(400, 8)))]
+    rows += [(1000, None, 1), (1001, [0.0] * 8, 1), (1002, [float("nan")] * 8, 1), (1003, [None] * 8, 1),
+             (1004, [1.0], 1), (None, [1.0] * 8, 1), (1005, rows[0][1], 1), (1005, rows[0][1], 1)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    found = neighbours.nearest(frame, F.col("vec_id") % 20 == 0, k=5).collect()
+    ids = [i for i, *_ in rows[:400]] + [1005]
+    matrix = np.array([np.float32(v) for _, v, _ in rows[:400]] + [np.float32(rows[0][1])], float)
+    hits = 0
+    for q in range(0, 400, 20):
+        scores = matrix @ matrix[q]
+        order = [j for j in np.lexsort((ids, -np.round(scores, 9))) if ids[j] != q][:5]
+        mine = sorted((r for r in found if r.query_id == q), key=lambda r: r.rank)
+        assert [r.rank for r in mine] == [1, 2, 3, 4, 5]
+        hits += len({r.vec_id for r in mine} & {ids[j] for j in order})
+    assert hits >= 0.9 * 100
+    assert not {r.vec_id for r in found} & {1000, 1001, 1002, 1003, 1004}
+
+
+def test_pages_come_back(spark):
+    big = "<p>" + "ä" * 900
+    rows = [(1, "http://a.org/x?y=1#z", big), (2, "https://b.a.org:8080", big), (3, None, big), (4, "no url\n", None),
+            (5, "http://a.org/x?y=1", "small"), (6, "http://a.org/x?y=1", "small"), (None, "http://c.org", big),
+            (7, "http://[bad", "x" * 300_000), (7, "http://[bad", "y" * 2000)]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = warc.archived(frame.withColumn("place", F.lit(1))).collect()
+    want = []
+    for page, _, html in rows:
+        body = (html or "").encode()
+        visit = len(body) >= 1000 and html == big and page != 3
+        kind, to = ("revisit", 3) if visit else ("response", None)
+        want.append((page, len(body), hashlib.sha1(body).hexdigest(), kind, to))
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_perspectives(spark):
+    rows = [(1, 0, "ann", "hi"), (1, 1, "bob", "yo <|im_end|>"), (1, 2, None, None), (2, None, "ann", "x"),
+            (None, 0, "ann", "y"), (1, 70, "ann", "late")]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    found = chat.perspectives(frame).collect()
+    assert len(found) == 6
+    ann = next(r for r in found if (r.conv_id, r.segment, r.speaker) == (1, 0, "ann"))
+    assert ann.text == (
+        "<|im_start|>assistant\nhi<|im_end|>\n<|im_start|>user name=bob\nyo < |im_end|><|im_end|>\n"
+        "<|im_start|>user name=unknown\n<|im_end|>\n")
+    assert [ann.text[s.start : s.end] for s in ann.mask] == ["hi<|im_end|>"]
+    many = spark.range(3000).selectExpr("1L as conv_id", "0L as turn", "concat('s', id % 3) as role", "'t' as text")
+    parts = chat.perspectives(many).collect()
+    assert sum(r.n_turns for r in parts if r.speaker == "s0") == 3000
+    assert max(r.n_turns for r in parts) < 4 * chat.MOST_ROWS
+
+
+def test_toxicity_learns(spark, docs):
+    rng = random.Random(4)
+    rows, marks = [], []
+    for i in range(240):
+        w = [rng.choice(EN.split()) for _ in range(30)]
+        if i % 3 == 0:
+            w[rng.randrange(30)] = "scum"
+        rows.append((i, " ".join(w), "en"))
+        marks.append((i, int(i % 3 == 0)))
+    rows += [(900, None, None), (901, "", None), (None, "scum", "en"), (902, "the " * 100_000 + "scum", "en")]
+    marks += [(900, None), (None, 1), (0, 1), (99999, 1)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    learn = F.coalesce(F.col("doc_id") % 4 != 2, F.lit(True))
+    got = {r.doc_id: r.score for r in toxicity.score(frame, labels, learn).collect()}
+    held = [i for i in range(240) if i % 4 == 2]
+    right = sum((got[i] >= toxicity.DECISION) == (i % 3 == 0) for i in held)
+    assert right >= 0.95 * len(held) and got[902] >= toxicity.DECISION > got[901]
+    none = toxicity.score(frame, labels.where("toxic = 5"), learn).collect()
+    assert {r.score for r in none} == {0.0}
+
+
+def test_empty_tables(spark, no_docs):
+    bench = spark.createDataFrame([], "item_id bigint, text string")
+    labels = spark.createDataFrame([], "doc_id bigint, toxic int")
+    vectors = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
+    pages = spark.createDataFrame([], "page_id bigint, url string, html string")
+    turns = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
+    everything = F.lit(True)
+    results = [
+        mixing.mix(no_docs), mixing.mixed_copies(no_docs), lattice.score(no_docs, everything),
+        neighbours.nearest(vectors, everything), jaccard_join.jaccard_components(no_docs),
+        chat.perspectives(turns), secrets.scan(no_docs), warc.archived(pages),
+        language_id.identify(no_docs, everything), toxicity.score(no_docs, labels, everything),
+        decontamination.scan(no_docs, bench),
+    ]
+    assert [r.count() for r in results] == [0] * len(results)
+
+
+def test_pipeline_stages(spark, docs, tmp_path):
+    bench = spark.createDataFrame([(1, "one two")], "item_id bigint, text string")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    secret = spark.createDataFrame(
+        [(300, EN + "and then password=531ccd051a92ebcb68 of", "en", "s1", 5, 7, 1, "k")], DOCS)
+    docs.union(secret).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    ids = {r.doc_id for r in rows}
+    assert not ids & {100, 101, 102, 103, 105, 107, 108, None}
+    assert {104, 300} <= ids or {104, 300} & ids
+    assert not any("531ccd" in r.text for r in rows)
+    assert [r.mix_position for r in rows] == sorted(r.mix_position for r in rows)
+
+
+def test_pipeline_of_nothing(spark, no_docs, tmp_path):
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    no_docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
