@@ -49,6 +49,8 @@ COUNT_RUN = 1 << 21
 LEAST_COUNT = 2
 # No set above this size can be small: the number of subsets multiplies from there on.
 MAX_SMALL = 13
+# One list in so many proposes the first comparison of a class; all lists take part afterwards.
+CHOICE_LISTS = 4
 # Bits of the filter for documents to verify: 2 MB.
 FILTER_BITS = 1 << 24
 # Classes a task remembers, to enter copies into the lists only once.
@@ -64,8 +66,14 @@ def partner_sizes(n: int, percent: int) -> range:
     return range(-(-percent * n // 100), 100 * n // percent + 1)
 
 
-def class_key(shingles: np.ndarray) -> bytes:
-    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+def class_key(shingles: np.ndarray) -> int:
+    """64 bits for a set, like those of a shingle."""
+    return _long(shingles.tobytes())
+
+
+def _long(data: bytes) -> int:
+    digest = hashlib.blake2b(data, digest_size=8).digest()
+    return int.from_bytes(digest, "little", signed=True)
 
 
 def _signed(values: np.ndarray) -> list[int]:
@@ -74,7 +82,7 @@ def _signed(values: np.ndarray) -> list[int]:
 
 # --- sets, frequent shingles and the boundary --------------------------------------------------
 
-SETS = "doc_id bigint, n bigint, class binary, shingle bigint"
+SETS = "doc_id bigint, n bigint, class bigint, shingle bigint"
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
@@ -155,7 +163,7 @@ def boundary(counted: DataFrame, percent: int) -> int:
 
 # --- meetings ----------------------------------------------------------------------------------
 
-ENTRIES = "class binary, n int, keys array<bigint>, frequent_from int, subsets array<bigint>"
+ENTRIES = "class bigint, n int, keys array<bigint>, frequent_from int, subsets array<bigint>"
 
 
 def _entries(docs: DataFrame, words: int, percent: int, frequent: np.ndarray, small: int):
@@ -184,12 +192,11 @@ def _entries(docs: DataFrame, words: int, percent: int, frequent: np.ndarray, sm
             sizes = np.array([min(n, m), max(n, m)], np.uint64).tobytes()
             for chosen in combinations(range(n), shared):
                 named = sizes + shingles[list(chosen)].tobytes()
-                digest = hashlib.blake2b(named, digest_size=8).digest()
-                keys.append(int.from_bytes(digest, "little", signed=True))
+                keys.append(_long(named))
         return keys
 
     def run(batches):
-        seen: set[bytes] = set()
+        seen: set[int] = set()
         for batch in batches:
             out = {n: [] for n in ("class", "n", "keys", "frequent_from", "subsets")}
             for shingles in shingle_sets(batch["body"], words):
@@ -252,6 +259,9 @@ def _pairs(met: DataFrame) -> DataFrame:
 
 
 def _pairs_with_best(meetings: DataFrame, percent: int) -> DataFrame:
+    """A class and the one it meets most often. This only saves comparisons later, so a quarter of
+    the lists, by hash, is enough to choose from."""
+    meetings = meetings.where(f"pmod(key, {CHOICE_LISTS}) = 0")
     earliest = stored(
         meetings.groupBy("key", "size_step")
         .agg(F.min(F.struct("pos", "class", "n")).alias("e"))
@@ -331,7 +341,7 @@ def _texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int) -> D
 
     read = docs.where("doc_id is not null").selectExpr("doc_id", f"{slot} as slot", "text")
     read = read.select("doc_id", "slot", as_bytes().alias("body"))
-    texts = map_batches(read, run, "doc_id bigint, class binary, body binary")
+    texts = map_batches(read, run, "doc_id bigint, class bigint, body binary")
     return texts.join(ids, ["doc_id", "class"], "left_semi").dropDuplicates(["class"]).drop("doc_id")
 
 
@@ -341,7 +351,7 @@ def _links(docs, nodes, pairs, words: int, percent: int) -> DataFrame:
     texts = stored(_texts(docs, nodes, pairs, words), "texts")
 
     def run(batches):
-        known: dict[bytes, np.ndarray] = {}
+        known: dict[int, np.ndarray] = {}
         for batch in batches:
             kept = {"a": [], "b": []}
             for a, b, body_a, body_b in zip(*(batch[c] for c in ("a", "b", "body_a", "body_b"))):
@@ -360,7 +370,7 @@ def _links(docs, nodes, pairs, words: int, percent: int) -> DataFrame:
             yield kept
 
     bodies = pairs.join(texts.toDF("a", "body_a"), "a").join(texts.toDF("b", "body_b"), "b")
-    links = stored(map_batches(bodies, run, "a binary, b binary"), "links")
+    links = stored(map_batches(bodies, run, "a bigint, b bigint"), "links")
     emptied(pairs)
     emptied(texts)
     return links
