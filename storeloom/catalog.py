@@ -126,7 +126,7 @@ def order_day_trunc(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def conform_types(spark: SparkSession, folder: str) -> DataFrame:
-    """Halves round to even, timestamps lose the time of day, numbers become text."""
+    """Halves round away from zero, timestamps lose the time of day, numbers become text."""
     items = sample_tables.read(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         (F.col("l_quantity") / 2).alias("half_quantity"),

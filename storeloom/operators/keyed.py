@@ -41,5 +41,9 @@ def absent_from(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
 def insert_if_absent(
     batch: DataFrame, target: DataFrame, key: str, order: Sequence[str] = ()
 ) -> DataFrame:
-    """The rows of ``batch`` an insert would add to ``target``."""
-    return absent_from(first_wins(batch, key, order), target, key)
+    """The rows of ``batch`` an insert would add to ``target``.
+
+    Known keys are dropped before the rows of a key are compared, so the sort and the shuffle of
+    that comparison follow the new rows.
+    """
+    return first_wins(absent_from(batch, target, key), key, order)

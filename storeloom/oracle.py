@@ -8,7 +8,7 @@ from __future__ import annotations
 
 LANDED = {
     "l_customers": """
-        SELECT c_custkey AS id, c_mktsegment AS first_name, right(c_name, 3) AS last_name,
+        SELECT c_custkey AS id, c_mktsegment AS first_name, c_name AS last_name,
                substr(c_mktsegment, 1, 1) AS gender,
                CAST(NULL AS VARCHAR) AS address, CAST(NULL AS VARCHAR) AS zip_code
         FROM customer""",
@@ -198,8 +198,8 @@ OTHERS = {
         SELECT 'login', id, CAST(date_trunc('day', attempted_at) AS TIMESTAMP) FROM l_logins""",
     "conform_types": """
         SELECT CAST(l_orderkey AS INTEGER) AS order_id,
-               CAST(round_even(l_quantity / 2, 0) AS INTEGER) AS half_quantity,
-               CAST(round_even(l_extendedprice, 0) AS BIGINT) AS price,
+               CAST(round(l_quantity / 2, 0) AS INTEGER) AS half_quantity,
+               CAST(round(l_extendedprice, 0) AS BIGINT) AS price,
                CAST(l_shipdate AS DATE) AS shipped, CAST(l_suppkey AS VARCHAR) AS supplier_code
         FROM lineitem""",
     "insert_if_absent": """

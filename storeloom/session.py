@@ -31,16 +31,25 @@ def build_session(app_name: str, master: str | None = None, **extra: str) -> Spa
     return builder.getOrCreate()
 
 
+# Where the temporary folder of a local session is kept. The setting of the cluster is static.
+LOCAL_FOLDER = "spark.storeloom.scratch"
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster; a temporary one only in local mode."""
+    local = spark.conf.get("spark.master", "").startswith("local")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        if not local and "://" not in configured and not configured.startswith("file:"):
+            raise ValueError("spark.checkpoint.dir needs a scheme, such as hdfs://, off local mode")
         return configured
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not local:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="storeloom-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", folder)
+    folder = spark.conf.get(LOCAL_FOLDER, None)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="storeloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.conf.set(LOCAL_FOLDER, folder)
     return folder
 
 

@@ -25,10 +25,10 @@ MISSING = [
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# Largest number that is still a date before the year 2262, per unit since 1970.
-MAX_SECONDS = 9_223_372_036
-MAX_MILLIS = 9_223_372_036_854
-MAX_MICROS = 9_223_372_036_854_775
+# Microseconds in one unit of a number since 1970.
+UNITS = {"s": 1_000_000, "ms": 1_000, "us": 1, "ns": 0.001}
+# A column for what a CSV row has beyond its header.
+BEYOND = "_beyond_header"
 
 
 def none_if_no_files(read: Callable) -> Callable:
@@ -44,29 +44,36 @@ def none_if_no_files(read: Callable) -> Callable:
     return landed
 
 
-def _typed(text: Column, kind: str) -> Column:
+def _typed(text: Column, kind: str, unit: str = "ms") -> Column:
     """A cell text as a value of the declared type; text that is not one fails the job."""
     if kind == "BIGINT":
-        # A whole number may be written "7.0" by a tool that keeps missing cells as floats.
-        return F.bround(text.cast("decimal(38,6)"), 0).cast("bigint")
+        # A whole number may be written "7.0" by a tool that keeps missing cells as floats. One
+        # with a fraction is not cut to fit.
+        number = text.cast("decimal(38,6)")
+        whole = F.round(number, 0)
+        failure = F.raise_error(F.concat(F.lit("a fraction in a whole-number column: "), text))
+        return F.when(number.isNull() | (number == whole), whole).otherwise(failure).cast("bigint")
     if kind.startswith("TIMESTAMP"):
-        return _timestamp(text)
+        return _timestamp(text, unit)
     return text.cast(kind)
 
 
-def _timestamp(text: Column) -> Column:
-    """A timestamp written as text, or as a number since 1970 in the unit its size implies."""
+def _timestamp(text: Column, unit: str) -> Column:
+    """A timestamp written as text, or as a number since 1970 in ``unit``: s, ms, us or ns.
+
+    Text with an offset is an instant and becomes its time in UTC.
+    """
     number = text.try_cast("bigint")
-    size = F.abs(number)
-    micros = (
-        F.when(size <= MAX_SECONDS, number * 1_000_000)
-        .when(size <= MAX_MILLIS, number * 1_000)
-        .when(size <= MAX_MICROS, number)
-        .otherwise((number / 1_000).cast("bigint"))
-    )
+    micros = F.floor(number.cast("decimal(38,3)") * F.lit(str(UNITS[unit])).cast("decimal(10,3)"))
     start = F.lit("1970-01-01").cast("timestamp_ntz")
-    return F.when(number.isNotNull(), F.timestamp_add("MICROSECOND", micros, start)).otherwise(
-        text.cast("timestamp_ntz")
+    instant = F.convert_timezone(
+        F.current_timezone(), F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz")
+    )
+    offset = text.rlike(r"\d\d:\d\d.*(Z|[+-]\d\d(:?\d\d)?)$")
+    return (
+        F.when(number.isNotNull(), F.timestamp_add("MICROSECOND", micros.cast("bigint"), start))
+        .when(offset, instant)
+        .otherwise(F.when(~offset, text).cast("timestamp_ntz"))
     )
 
 
@@ -90,11 +97,15 @@ def _headers(spark: SparkSession, path: str) -> dict[str, list[str]] | None:
     return found
 
 
-def land_csv(spark: SparkSession, path: str, ddl: str | None = None) -> DataFrame | None:
+def land_csv(
+    spark: SparkSession, path: str, ddl: str | None = None, line_breaks: bool = False
+) -> DataFrame | None:
     """CSV files with a header row. Columns are matched by name, in any order in each file.
 
-    A declared column that a file lacks is NULL there. Without ``ddl`` every column found in
-    any file is kept, as text.
+    A declared column that a file lacks is NULL there; a column that is not declared is an error.
+    Without ``ddl`` every column found in any file is kept, as text. Quotes inside a quoted cell
+    are doubled. A row with fewer cells than the header is filled up, one with more fails.
+    ``line_breaks`` allows them in quoted cells; each file is then read by one task.
     """
     headers = _headers(spark, path)
     if not headers:
@@ -103,8 +114,16 @@ def land_csv(spark: SparkSession, path: str, ddl: str | None = None) -> DataFram
     for header, files in sorted(headers.items()):
         found = next(csv.reader([header]))
         declared = schemas.columns(ddl) if ddl else [(name, "STRING") for name in found]
-        text = T.StructType([T.StructField(name, T.StringType()) for name in found])
-        rows = spark.read.csv(sorted(files), schema=text, header=True, enforceSchema=False)
+        unknown = set(found) - {name for name, _ in declared}
+        if unknown:
+            raise ValueError(f"columns that are not declared: {', '.join(sorted(unknown))}")
+        # All these files have this header, so cells are found by their place.
+        text = T.StructType([T.StructField(name, T.StringType()) for name in [*found, BEYOND]])
+        rows = spark.read.csv(
+            sorted(files), schema=text, header=True, escape='"', multiLine=line_breaks
+        )
+        too_long = F.raise_error(F.lit("a row with more cells than the header"))
+        rows = rows.where(F.when(F.col(BEYOND).isNull(), F.lit(True)).otherwise(too_long))
         cells = {
             name: F.when(~F.col(f"`{name}`").isin(MISSING), F.col(f"`{name}`")) for name in found
         }
@@ -120,17 +139,20 @@ def land_csv(spark: SparkSession, path: str, ddl: str | None = None) -> DataFram
 
 
 @none_if_no_files
-def land_column_json(spark: SparkSession, path: str, ddl: str) -> DataFrame | None:
+def land_column_json(
+    spark: SparkSession, path: str, ddl: str, unit: str = "ms"
+) -> DataFrame | None:
     """JSON files of the form ``{"column": {"row": value, ...}, ...}``.
 
     Rows are the union of the row keys of all columns; a column without a row's key is NULL
     there. Cells meet by (file, row key) in a shuffle, so a file costs time in proportion to
-    its cells. The document of one file is parsed by one task: this layout cannot be split.
+    its cells. The document of one file is parsed by one task: this layout cannot be split. A
+    broken document fails. ``unit`` is that of timestamps written as numbers.
     """
     names = schemas.names(ddl)
     text_map = T.MapType(T.StringType(), T.StringType())
     raw = T.StructType([T.StructField(name, text_map) for name in names])
-    documents = spark.read.json(path, schema=raw, multiLine=True)
+    documents = spark.read.json(path, schema=raw, multiLine=True, mode="FAILFAST")
 
     def cells(name: str) -> Column:
         return F.transform(
@@ -149,19 +171,22 @@ def land_column_json(spark: SparkSession, path: str, ddl: str) -> DataFrame | No
         documents.select("_metadata.file_path", F.explode(all_cells).alias("cell"))
         .groupBy("file_path", "cell.row")
         .agg(*[F.max(f"cell.{name}").alias(name) for name in names])
-        .select(*[_typed(F.col(n), kind).alias(n) for n, kind in schemas.columns(ddl)])
+        .select(*[_typed(F.col(n), kind, unit).alias(n) for n, kind in schemas.columns(ddl)])
     )
 
 
 @none_if_no_files
 def land_json_records(
-    spark: SparkSession, path: str, ddl: str, lines: bool = True
+    spark: SparkSession, path: str, ddl: str, lines: bool = True, unit: str = "ms"
 ) -> DataFrame | None:
-    """JSON lines (splittable), or with ``lines=False`` one array of records per file."""
+    """JSON lines (splittable), or with ``lines=False`` one array of records per file.
+
+    A broken record fails. ``unit`` is that of timestamps written as numbers.
+    """
     declared = schemas.columns(ddl)
     raw = T.StructType([T.StructField(name, T.StringType()) for name, _ in declared])
-    rows = spark.read.json(path, schema=raw, multiLine=not lines)
-    return rows.select(*[_typed(F.col(name), kind).alias(name) for name, kind in declared])
+    rows = spark.read.json(path, schema=raw, multiLine=not lines, mode="FAILFAST")
+    return rows.select(*[_typed(F.col(name), kind, unit).alias(name) for name, kind in declared])
 
 
 @none_if_no_files

@@ -48,7 +48,7 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
     return read(spark, folder, "customer").selectExpr(
         "c_custkey as id",
         "c_mktsegment as first_name",
-        "substring(c_name, -3, 3) as last_name",
+        "c_name as last_name",
         "substring(c_mktsegment, 1, 1) as gender",
         "cast(null as string) as address",
         "cast(null as string) as zip_code",

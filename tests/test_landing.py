@@ -112,15 +112,68 @@ def test_column_json_lacking_a_column(spark, tmp_path, rows):
     assert rows(land_column_json(spark, str(tmp_path / "coupons.json"), COUPONS)) == [(1, None)]
 
 
-@pytest.mark.parametrize("scale", [1, 1000, 10**6, 10**9])
+@pytest.mark.parametrize("unit, scale", [("s", 1), ("ms", 1000), ("us", 10**6), ("ns", 10**9)])
 @pytest.mark.parametrize("zone", ["UTC", "Asia/Jakarta"])
-def test_timestamps_written_as_numbers(spark, tmp_path, rows, conf, scale, zone):
+def test_timestamps_written_as_numbers(spark, tmp_path, rows, conf, unit, scale, zone):
     conf(spark__sql__session__timeZone=zone)
     put(tmp_path / "l.json", json.dumps({"id": 1, "attempted_at": 1714557600 * scale}))
-    (row,) = rows(land_json_records(spark, str(tmp_path / "l.json"), LOGINS))
+    (row,) = rows(land_json_records(spark, str(tmp_path / "l.json"), LOGINS, unit=unit))
     assert row == (1, None, None, datetime(2024, 5, 1, 10))
 
 
+def test_the_size_of_a_number_does_not_decide_its_unit(spark, tmp_path, rows):
+    put(tmp_path / "l.json", '{"id": 1, "attempted_at": 5000000000}')
+    (row,) = rows(land_json_records(spark, str(tmp_path / "l.json"), LOGINS, unit="ms"))
+    assert row[3] == datetime(1970, 2, 27, 20, 53, 20)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Jakarta"])
+def test_timestamps_with_an_offset_become_utc(spark, tmp_path, rows, conf, zone):
+    conf(spark__sql__session__timeZone=zone)
+    texts = ["2024-05-01T10:00:00+07:00", "2024-05-01T10:00:00Z", "2024-05-01 10:00:00", "2024-05-01"]
+    put(tmp_path / "l.json", "".join(json.dumps({"id": i, "attempted_at": t}) + "\n" for i, t in enumerate(texts)))
+    found = sorted(rows(land_json_records(spark, str(tmp_path / "l.json"), LOGINS)))
+    assert [r[3].hour for r in found] == [3, 10, 10, 0]
+
+
+def test_csv_quotes_and_line_breaks(spark, tmp_path, rows):
+    put(tmp_path / "customer_1.csv",
+        'id,first_name,last_name,address\n1,"Al ""Ace""","a\\",b\n2,x,y,"one\ntwo"\n')
+    found = rows(land_csv(spark, str(tmp_path / "customer_*.csv"), CUSTOMERS, line_breaks=True))
+    assert [r[:3] + (r[4],) for r in sorted(found)] == [
+        (1, 'Al "Ace"', "a\\", "b"), (2, "x", "y", "one\ntwo")]
+
+
+def test_csv_rows_that_are_too_long_fail_and_short_ones_are_filled(spark, tmp_path, rows):
+    put(tmp_path / "customer_1.csv", "id,first_name,last_name\n1,A\n")
+    assert rows(land_csv(spark, str(tmp_path / "customer_1.csv"), CUSTOMERS))[0][:3] == (1, "A", None)
+    put(tmp_path / "customer_2.csv", "id,first_name,last_name\n1,A,B,EXTRA,MORE\n")
+    with pytest.raises(Exception, match="more cells than the header"):
+        land_csv(spark, str(tmp_path / "customer_2.csv"), CUSTOMERS).select("id").collect()
+
+
+@pytest.mark.parametrize("header", ["id,email", "ID"])
+def test_csv_columns_that_are_not_declared_fail(spark, tmp_path, header):
+    put(tmp_path / "customer_1.csv", f"{header}\n1\n")
+    with pytest.raises(ValueError, match="not declared"):
+        land_csv(spark, str(tmp_path / "customer_1.csv"), CUSTOMERS)
+
+
+def test_csv_fractions_are_not_cut(spark, tmp_path):
+    put(tmp_path / "p.csv", "id,name,price\n1,ring,19.99\n")
+    with pytest.raises(Exception, match="a fraction in a whole-number column"):
+        land_csv(spark, str(tmp_path / "p.csv"), schemas.LANDING["products"]).collect()
+
+
+def test_broken_json_fails(spark, tmp_path):
+    put(tmp_path / "coupons.json", '{"id": {"0": 1, "1": 2}, "discount_percent": {"0": 10')
+    with pytest.raises(Exception, match="MALFORMED"):
+        land_column_json(spark, str(tmp_path / "coupons.json"), COUPONS).collect()
+    put(tmp_path / "l.json", '{"id": 1, "discount_percent": 5}\n{"id": 2, "disc\n')
+    with pytest.raises(Exception, match="MALFORMED"):
+        land_json_records(spark, str(tmp_path / "l.json"), COUPONS).collect()
+
+
 def test_json_records(spark, tmp_path, rows):
     put(tmp_path / "a.json", '[{"id": 1, "discount_percent": 5},\n {"id": 2}]')
     put(tmp_path / "b.json", '{"id": 1, "discount_percent": 5}\n{"id": 2}\n')

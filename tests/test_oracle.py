@@ -7,10 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from storeloom import catalog, oracle
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = catalog.QUERIES
+SQL = oracle.SQL
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +29,8 @@ def by_name(names, rows):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(SQL) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -1,10 +1,11 @@
 import pytest
 
-from storeloom.session import scratch_path, scratch_root
+from storeloom.session import LOCAL_FOLDER, scratch_path, scratch_root
 
 
 class Conf(dict):
     def set(self, key, value):
+        assert key != "spark.checkpoint.dir", "Spark refuses to change it at run time"
         self[key] = value
 
 
@@ -25,6 +26,18 @@ def test_a_cluster_without_a_folder_is_an_error():
         scratch_root(Session(spark__master="yarn"))
 
 
+def test_a_cluster_folder_needs_a_scheme():
+    with pytest.raises(ValueError, match="scheme"):
+        scratch_root(Session(spark__master="yarn", spark__checkpoint__dir="/tmp/checkpoints"))
+
+
 def test_local_mode_makes_one_folder():
     session = Session(spark__master="local[2]")
-    assert scratch_root(session) == scratch_root(session) == session.conf["spark.checkpoint.dir"]
+    assert scratch_root(session) == scratch_root(session) == session.conf[LOCAL_FOLDER]
+
+
+def test_a_real_session_takes_the_local_folder(spark):
+    before = spark.conf.get(LOCAL_FOLDER, None)
+    spark.conf.set(LOCAL_FOLDER, "x")
+    assert spark.conf.get(LOCAL_FOLDER) == "x"
+    spark.conf.unset(LOCAL_FOLDER) if before is None else spark.conf.set(LOCAL_FOLDER, before)

@@ -139,10 +139,10 @@ def test_create_if_absent_keeps_what_is_there(spark, table, tmp_path):
     assert spark.table(name).columns == ["a"]
 
 
-def test_halves_round_to_even(spark):
+def test_halves_round_away_from_zero(spark):
     values = [(2.5,), (3.5,), (-2.5,), (2.4,), (None,)]
     out = conform(spark.createDataFrame(values, "a DOUBLE"), "a INT")
-    assert [r.a for r in out.collect()] == [2, 4, -2, 2, None]
+    assert [r.a for r in out.collect()] == [3, 4, -3, 2, None]
 
 
 def test_assignment_casts(spark):
