@@ -18,8 +18,8 @@ def _assign(name: str, source: T.DataType, target: str) -> str:
         # The length is checked by the table write, which knows the declared limit.
         return f"cast(`{name}` as string) as `{name}`"
     if target in INTEGERS and isinstance(source, FRACTIONS):
-        # Halves round away from zero: the reference sends each number as literal text, which its
-        # database reads as an exact NUMERIC. A bare cast would truncate.
+        # Halves round away from zero, as for a number that is assigned as literal text and so is
+        # an exact NUMERIC. A bare cast would truncate.
         return f"cast(round(`{name}`, 0) as {target}) as `{name}`"
     return f"cast(`{name}` as {target}) as `{name}`"
 
