@@ -29,6 +29,7 @@ import math
 from itertools import combinations
 
 import numpy as np
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -306,14 +307,13 @@ def _pairs_between(meetings: DataFrame, labels: DataFrame, percent: int) -> Data
 
 
 def _texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """(class, body) of the classes in ``pairs``, read from one document of each.
+    """(class, body) of the classes in ``pairs``: one compressed text of each.
 
     A bit filter of fixed size first keeps the documents that may be asked for, so that only
-    their texts are moved.
+    their texts are moved, and copies among them meet in the map task.
     """
     asked = pairs.select("a").union(pairs.select(F.col("b").alias("a"))).distinct()
-    ids = nodes.join(asked.withColumnRenamed("a", "class"), "class").select("class", "doc_id")
-    ids = stored(ids, "asked")
+    ids = nodes.join(asked.withColumnRenamed("a", "class"), "class").select("doc_id")
     slot = f"pmod(xxhash64(doc_id), {FILTER_BITS}L)"
     rows = (
         ids.selectExpr(f"{slot} + 1 as slot")  # the bitmap functions count from 1
@@ -334,15 +334,15 @@ def _texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int) -> D
             chosen = np.flatnonzero(wanted[np.array(batch["slot"], np.int64)])
             bodies = [batch["body"][i] for i in chosen]
             yield {
-                "doc_id": [batch["doc_id"][i] for i in chosen],
                 "class": [class_key(s) for s in shingle_sets(bodies, words)],
-                "body": bodies,
+                "body": [zstandard.compress(body) for body in bodies],
             }
 
-    read = docs.where("doc_id is not null").selectExpr("doc_id", f"{slot} as slot", "text")
-    read = read.select("doc_id", "slot", as_bytes().alias("body"))
-    texts = map_batches(read, run, "doc_id bigint, class bigint, body binary")
-    return texts.join(ids, ["doc_id", "class"], "left_semi").dropDuplicates(["class"]).drop("doc_id")
+    read = docs.where("doc_id is not null").selectExpr(f"{slot} as slot", "text")
+    texts = map_batches(
+        read.select("slot", as_bytes().alias("body")), run, "class bigint, body binary"
+    )
+    return texts.dropDuplicates(["class"]).join(asked.toDF("class"), "class", "left_semi")
 
 
 def _links(docs, nodes, pairs, words: int, percent: int) -> DataFrame:
@@ -359,7 +359,7 @@ def _links(docs, nodes, pairs, words: int, percent: int) -> DataFrame:
                     known.clear()
                 for key, body in ((a, body_a), (b, body_b)):
                     if key not in known:
-                        known[key] = next(shingle_sets([body], words))
+                        known[key] = next(shingle_sets([zstandard.decompress(body)], words))
                 x, y = known[a], known[b]
                 both = len(x) + len(y)
                 if 100 * (same := both - len(distinct(np.concatenate([x, y])))) >= percent * (
