@@ -27,6 +27,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,10 +35,9 @@ from pyspark.sql import functions as F
 from storeloom.llm.frames import as_bytes, map_batches, most_frequent, stored
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-# Words sent to the tasks, of at most KEY bytes each, and spellings a task keeps.
+# Words sent to the tasks, of at most KEY bytes each. Longer words are spelled one by one.
 FREQUENT = 200_000
 KEY = 64
-KEPT_SPELLINGS = 200_000
 END = b" "
 LOG10 = math.log(10)
 
@@ -139,6 +139,118 @@ class Lattice:
                     usage[at] += part
 
 
+class Trie:
+    """Pieces as states of an automaton: 0 for none, 1 for the empty one, one per prefix."""
+
+    def __init__(self, weights: dict[bytes, float]):
+        prefixes = {p[:i] for p in weights for i in range(len(p) + 1)} | {b""}
+        self.pieces = [b"", *sorted(prefixes)]
+        states = {p: i for i, p in enumerate(self.pieces) if i}
+        self.next = np.zeros((len(self.pieces), 256), np.int32)
+        for prefix, state in states.items():
+            if prefix:
+                self.next[states[prefix[:-1]], prefix[-1]] = state
+        self.weight = np.full(len(self.pieces), -np.inf)
+        for piece, weight in weights.items():
+            self.weight[states[piece]] = weight
+
+
+class Speller:
+    """The recursions of a lattice over many words at once; words of one length go together."""
+
+    def __init__(self, lattice: Lattice):
+        self.lattice = lattice
+        self.start, self.inside = Trie(lattice.start), Trie(lattice.inside)
+        self.start_uses = np.zeros(len(self.start.pieces))
+        self.inside_uses = np.zeros(len(self.inside.pieces))
+        self.long_uses = (Counter(), Counter())
+
+    @staticmethod
+    def _groups(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places and bytes (a row per position) of the words of each length up to KEY."""
+        sizes = np.array([len(w) for w in words], np.int64)
+        for size in np.unique(sizes[sizes <= KEY]):
+            places = np.flatnonzero(sizes == size)
+            joined = np.frombuffer(b"".join([words[i] for i in places]), np.uint8)
+            yield places, np.ascontiguousarray(joined.reshape(len(places), size).T)
+
+    def _forward(self, text: np.ndarray) -> tuple[np.ndarray, list, list]:
+        """Log probability of reaching each position, and the edges: where, which words, pieces."""
+        size, count = text.shape
+        reach = np.full((size + 1, count), -np.inf)
+        starts, insides = [], []
+        words, states = np.arange(count), np.ones(count, np.int32)
+        for end in range(size + 1):
+            if end:
+                states = self.start.next[states, text[end - 1, words]]
+                words, states = words[states > 0], states[states > 0]
+            weights = self.start.weight[states]
+            found = weights > -np.inf
+            reach[end, words[found]] = weights[found]
+            starts.append((end, words[found], states[found]))
+        for at in range(size):
+            words = np.flatnonzero(reach[at] > -np.inf)
+            states = np.ones(len(words), np.int32)
+            for end in range(at + 1, size + 1):
+                states = self.inside.next[states, text[end - 1, words]]
+                words, states = words[states > 0], states[states > 0]
+                if not len(words):
+                    break
+                weights = self.inside.weight[states]
+                found = weights > -np.inf
+                edge, uses = words[found], states[found]
+                reach[end, edge] = np.logaddexp(reach[end, edge], reach[at, edge] + weights[found])
+                insides.append((at, end, edge, uses))
+        return reach, starts, insides
+
+    def spellings(self, words: list[bytes]) -> np.ndarray:
+        """Log probability of each word's spelling."""
+        found = np.empty(len(words))
+        for places, text in self._groups(words):
+            found[places] = self._forward(text)[0][-1] + self.lattice.stop
+        for place, word in enumerate(words):
+            if len(word) > KEY:
+                found[place] = self.lattice.spelling(word)
+        return found
+
+    def expect(self, words: list[bytes], counts: list[int]) -> None:
+        """Adds the expected number of uses of each piece in the words' occurrences."""
+        weights = np.array(counts, np.float64)
+        for places, text in self._groups(words):
+            reach, starts, insides = self._forward(text)
+            # Share of the probability of each place that goes on to the end of the word.
+            usage = np.zeros_like(reach)
+            usage[-1] = weights[places]
+            parts = []
+            for at, end, edge, states in reversed(insides):
+                way = self.inside.weight[states] + reach[at, edge] - reach[end, edge]
+                parts.append(usage[end, edge] * np.exp(way))
+                usage[at, edge] += parts[-1]
+            if parts:
+                states = np.concatenate([e[3] for e in reversed(insides)])
+                self.inside_uses += np.bincount(
+                    states, np.concatenate(parts), len(self.inside_uses)
+                )
+            for end, edge, states in starts:
+                way = self.start.weight[states] - reach[end, edge]
+                part = usage[end, edge] * np.exp(way)
+                self.start_uses += np.bincount(states, part, len(self.start_uses))
+        for word, count in zip(words, counts):
+            if len(word) > KEY:
+                self.lattice.expect(word, count, *self.long_uses)
+
+    def uses(self) -> tuple[Counter, Counter]:
+        """Expected uses of the pieces at the start of a word, and of those inside."""
+        start, inside = Counter(self.long_uses[0]), Counter(self.long_uses[1])
+        for sums, trie, found in (
+            (start, self.start, self.start_uses),
+            (inside, self.inside, self.inside_uses),
+        ):
+            for state in np.flatnonzero(found):
+                sums[trie.pieces[state]] += float(found[state])
+        return start, inside
+
+
 # --- counts ------------------------------------------------------------------------------------
 
 
@@ -163,12 +275,11 @@ def estimate(counts: DataFrame, prior: Lattice) -> Lattice:
     shared = counts.sparkSession.sparkContext.broadcast(_parts(prior))
 
     def run(batches):
-        lattice = Lattice(*shared.value)
-        start, inside, words = Counter(), Counter(), 0
+        speller, words = Speller(Lattice(*shared.value)), 0
         for batch in batches:
-            for word, n in zip(batch["word"], batch["n"]):
-                lattice.expect(word, n, start, inside)
-                words += n
+            speller.expect(batch["word"], batch["n"])
+            words += sum(batch["n"])
+        start, inside = speller.uses()
         yield {
             "place": [0] * len(start) + [1] * len(inside) + [2],
             "piece": [*start, *inside, b""],
@@ -195,9 +306,9 @@ def with_spellings(counts: DataFrame, lattice: Lattice) -> DataFrame:
     shared = counts.sparkSession.sparkContext.broadcast(_parts(lattice))
 
     def run(batches):
-        model = Lattice(*shared.value)
+        speller = Speller(Lattice(*shared.value))
         for batch in batches:
-            spelled = [model.spelling(w) / LOG10 for w in batch["word"]]
+            spelled = (speller.spellings(batch["word"]) / LOG10).tolist()
             yield {"key": batch["key"], "n": batch["n"], "spelling": spelled}
 
     return map_batches(counts, run, "key binary, n bigint, spelling double")
@@ -279,19 +390,19 @@ def score(docs: DataFrame, learn_from: Column, vocabulary: str = VOCABULARY) ->
         batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]],
     ) -> Iterator[pd.Series]:
         """Of a word in the table by its spelling there; of another it is found here."""
-        model, kept = None, {}
+        speller = None
         for count, spelling, key, word in batches:
-            values = []
-            for c, s, k, w in zip(count, spelling, key, word):
-                if s != s:
-                    model = model or Lattice(*shared.value[1])
-                    if k not in kept:
-                        if len(kept) >= KEPT_SPELLINGS:
-                            kept.clear()
-                        kept[k] = model.spelling(k if w is None else w) / LOG10
-                    s = kept[k]
-                values.append(mixed(int(c), s) - model_total)
-            yield pd.Series(values, dtype="float64")
+            spelled = spelling.to_numpy(np.float64, copy=True)
+            new = np.isnan(spelled)
+            if new.any():
+                speller = speller or Speller(Lattice(*shared.value[1]))
+                spelt = key[new].where(word[new].isna(), word[new])
+                places, words = pd.factorize(spelt)
+                spelled[new] = (speller.spellings(list(words)) / LOG10)[places]
+            rest = spelled_share + spelled
+            with np.errstate(divide="ignore"):
+                seen = np.log10(count.to_numpy(np.float64))
+            yield pd.Series(np.logaddexp(seen * LOG10, rest * LOG10) / LOG10 - model_total)
 
     n = F.coalesce("n", F.lit(0))
     met = (

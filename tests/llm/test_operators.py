@@ -238,6 +238,25 @@ def test_lattice_sums_all_segmentations():
         assert used == pytest.approx(3 * len(word))
 
 
+def test_lattice_of_many_words_at_once_equals_word_by_word():
+    """Words of one length, empty, repeated, of bytes outside the pieces, and too long to batch."""
+    model = lattice.Lattice.from_file(lattice.VOCABULARY)
+    words = [b"", b"a", b"the", b"the", b"tokens", b"tokenz", "žluťoučký".encode(), b"\xff\x00", b"x" * 64, b"x" * 65, b"internationalisation" * 4]
+    counts = [1, 2, 5, 5, 3, 1, 4, 2, 1, 7, 2]
+    speller = lattice.Speller(model)
+    plain = [model.spelling(w) for w in words]
+    assert speller.spellings(words).tolist() == pytest.approx(plain, rel=1e-12)
+    assert len(speller.spellings([])) == 0
+
+    start, inside = Counter(), Counter()
+    for word, n in zip(words, counts):
+        model.expect(word, n, start, inside)
+    speller.expect(words[:4], counts[:4])
+    speller.expect(words[4:], counts[4:])
+    for found, expected in zip(speller.uses(), (start, inside)):
+        assert dict(found) == pytest.approx({p: v for p, v in expected.items() if v}, rel=1e-9)
+
+
 def test_lattice_base_scores(docs):
     learn = F.coalesce(F.col("doc_id") % 3 != 0, F.lit(True))
     found = lattice.score(docs, learn).collect()
