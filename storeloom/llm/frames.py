@@ -41,7 +41,9 @@ def emptied(df: DataFrame) -> None:
 def map_batches(
     df: DataFrame, function: Callable[[Iterator[Batch]], Iterator[Batch]], schema: str
 ) -> DataFrame:
-    """``function`` over the batches of each partition, as lists of Python values by column."""
+    """``function`` over the batches of each partition, as lists of Python values by column.
+
+    It yields lists too, or Arrow arrays of the types of ``schema``."""
     types = df.sparkSession.createDataFrame([], schema)
     names = types.columns
     arrow = pa.schema([(f.name, _arrow(f.dataType)) for f in types.schema])
@@ -49,7 +51,10 @@ def map_batches(
     def run(batches):
         rows = ({n: b.column(n).to_pylist() for n in b.schema.names} for b in batches)
         for out in function(rows):
-            columns = [pa.array(out[n], arrow.field(n).type) for n in names]
+            columns = [
+                out[n] if isinstance(out[n], pa.Array) else pa.array(out[n], arrow.field(n).type)
+                for n in names
+            ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return df.mapInArrow(run, schema)

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -262,12 +263,17 @@ def word_counts(texts: DataFrame) -> DataFrame:
             counts = Counter()
             for body in batch["body"]:
                 counts.update(body.lower().split())
-            words = list(counts)
-            yield {"key": [word_key(w) for w in words], "word": words, "n": [counts[w] for w in words]}
+            yield {
+                "key": list(map(word_key, counts)),
+                "long": [w if len(w) > KEY else None for w in counts],
+                "n": list(counts.values()),
+            }
 
     read = texts.select(as_bytes().alias("body"))
-    counted = map_batches(read, run, "key binary, word binary, n bigint")
-    return counted.groupBy("key").agg(F.min("word").alias("word"), F.sum("n").alias("n"))
+    counted = map_batches(read, run, "key binary, long binary, n bigint")
+    # A key belongs to one word, so grouping by both changes nothing, and needs no sort.
+    sums = counted.groupBy("key", "long").agg(F.sum("n").alias("n"))
+    return sums.select("key", F.coalesce("long", "key").alias("word"), "n")
 
 
 def estimate(counts: DataFrame, prior: Lattice) -> Lattice:
@@ -356,29 +362,31 @@ def score(docs: DataFrame, learn_from: Column, vocabulary: str = VOCABULARY) ->
         return max(seen, rest) + math.log10(1 + 10 ** -abs(seen - rest))
 
     def run(batches):
-        ready = {
-            key: (math.log10(n + 1) - base_total, mixed(n, spelling) - model_total)
-            for key, (n, spelling) in shared.value[0].items()
-        }
+        frequent = shared.value[0]
+        places = {key: place for place, key in enumerate(frequent)}
+        bases = np.array([math.log10(n + 1) - base_total for n, _ in frequent.values()] + [0.0])
+        values = np.array([mixed(*found) - model_total for found in frequent.values()] + [0.0])
+        none = len(frequent)
         for batch in batches:
-            out: dict[str, list] = {n: [] for n in ("n_tokens", "n_known", "base", "score", "rare")}
+            out: dict[str, list] = {n: [] for n in ("n_tokens", "n_known", "base", "score")}
+            keys, uses, long, ends = [], [], [], [0]
             for body in batch["body"]:
-                words = Counter(body.lower().split())
-                tokens, seen, base, value = 1, int(texts > 0), end_base, end_score
-                rare = []
-                for word, n in words.items():
-                    tokens += n
-                    found = ready.get(word if len(word) <= KEY else word_key(word))
-                    if found is None:
-                        long = word if len(word) > KEY else None
-                        rare.append({"key": word_key(word), "uses": n, "word": long})
-                        continue
-                    seen += n
-                    base += n * found[0]
-                    value += n * found[1]
-                for column, x in zip(out.values(), (tokens, seen, base, value, rare)):
+                words = body.lower().split()
+                found = np.fromiter((places.get(w, none) for w in words), np.int64, len(words))
+                unmet = np.flatnonzero(found == none)
+                rare = Counter([words[i] for i in unmet])
+                keys += map(word_key, rare)
+                uses += rare.values()
+                long += [w if len(w) > KEY else None for w in rare]
+                ends.append(len(keys))
+                seen = len(words) - len(unmet) + int(texts > 0)
+                sums = end_base + bases[found].sum(), end_score + values[found].sum()
+                for column, x in zip(out.values(), (len(words) + 1, seen, *sums)):
                     column.append(x)
-            yield {"doc_id": batch["doc_id"], "row": batch["row"], **out}
+            columns = [pa.array(keys, pa.binary()), pa.array(uses, pa.int32()), pa.array(long, pa.binary())]
+            structs = pa.StructArray.from_arrays(columns, names=["key", "uses", "word"])
+            rare = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs)
+            yield {"doc_id": batch["doc_id"], "row": batch["row"], **out, "rare": rare}
 
     read = docs.select(
         "doc_id", F.monotonically_increasing_id().alias("row"), as_bytes().alias("body")
@@ -386,25 +394,26 @@ def score(docs: DataFrame, learn_from: Column, vocabulary: str = VOCABULARY) ->
     scored = stored(map_batches(read, run, PARTS), "scored")
 
     @F.pandas_udf("double")
-    def rare_score(
-        batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]],
-    ) -> Iterator[pd.Series]:
-        """Of a word in the table by its spelling there; of another it is found here."""
+    def spelled(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        """log10 probability of the spelling of each word; nulls are words of the table."""
         speller = None
-        for count, spelling, key, word in batches:
-            spelled = spelling.to_numpy(np.float64, copy=True)
-            new = np.isnan(spelled)
+        for words in batches:
+            found = np.full(len(words), np.nan)
+            new = words.notna().to_numpy()
             if new.any():
                 speller = speller or Speller(Lattice(*shared.value[1]))
-                spelt = key[new].where(word[new].isna(), word[new])
-                places, words = pd.factorize(spelt)
-                spelled[new] = (speller.spellings(list(words)) / LOG10)[places]
-            rest = spelled_share + spelled
-            with np.errstate(divide="ignore"):
-                seen = np.log10(count.to_numpy(np.float64))
-            yield pd.Series(np.logaddexp(seen * LOG10, rest * LOG10) / LOG10 - model_total)
+                places, distinct = pd.factorize(words[new])
+                found[new] = (speller.spellings(list(distinct)) / LOG10)[places]
+            yield pd.Series(found)
 
     n = F.coalesce("n", F.lit(0))
+    unknown = F.when(F.col("spelling").isNull(), F.coalesce("word", "key"))
+    rest = F.coalesce("spelling", spelled(unknown)) + spelled_share
+    seen = F.log10(n)
+    # As in ``mixed``.
+    value = F.when(n == 0, rest).otherwise(
+        F.greatest(seen, rest) + F.log10(1 + F.pow(F.lit(10.0), -F.abs(seen - rest)))
+    )
     met = (
         scored.select("row", F.inline("rare"))
         .join(words.where(F.col("n") < least), "key", "left")
@@ -413,7 +422,7 @@ def score(docs: DataFrame, learn_from: Column, vocabulary: str = VOCABULARY) ->
             "uses",
             F.when(n > 0, F.col("uses")).otherwise(0).alias("known"),
             (F.col("uses") * (F.log10(n + 1) - base_total)).alias("base"),
-            (F.col("uses") * rare_score(n, "spelling", "key", "word")).alias("value"),
+            (F.col("uses") * (value - model_total)).alias("value"),
         )
         .groupBy("row")
         .agg(
