@@ -373,6 +373,9 @@ def score(docs: DataFrame, learn_from: Column, vocabulary: str = VOCABULARY) ->
             for body in batch["body"]:
                 words = body.lower().split()
                 found = np.fromiter((places.get(w, none) for w in words), np.int64, len(words))
+                for place in np.flatnonzero(found == none):
+                    if len(words[place]) > KEY:
+                        found[place] = places.get(word_key(words[place]), none)
                 unmet = np.flatnonzero(found == none)
                 rare = Counter([words[i] for i in unmet])
                 keys += map(word_key, rare)
