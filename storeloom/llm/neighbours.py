@@ -3,11 +3,14 @@
 Vectors get one more component, so that all have the norm of the longest and the nearest by
 distance are those of the largest inner product. Each table hashes a vector to the cells of a few
 random projections. A query orders the occupied buckets of a table by the estimated probability
-that a neighbour at the expected distance falls in, and visits them in that order until the
-probabilities add up to ``success``. The candidates of all tables are merged and ranked by their
-exact inner product in double precision.
-
-The distance is estimated on a bounded sample; every vector is hashed, and no bucket is cut:
+that its k-th nearest vector falls in, and visits them in that order until the probabilities add up
+to ``success`` and the buckets hold ``k`` other vectors. The candidates of all tables are merged and
+ranked by their exact inner product in double precision.
+
+Each query has a distance of its own: that of the k-th nearest is estimated on a bounded sample in
+which equal vectors count once, so a group of copies shortens the way of its own members only. If
+the sample is too thin for it, the estimate is too far rather than too near, and the query reads
+more. Every vector is hashed, and no bucket is cut:
 buckets are packed into shards of bounded rows, a bucket larger than a shard is dealt over several
 by id, and queries meet a shard in blocks of bounded size. A task so holds one block of each side.
 
@@ -67,6 +70,7 @@ class Table:
         """Packs the buckets into shards from ``first_shard`` on; returns the next free one."""
         names = sorted(counts)
         self.number = {name: i for i, name in enumerate(names)}
+        self.sizes = np.array([counts[name] for name in names])
         self.cells = np.array([list(map(int, n.split(","))) for n in names])
         self.shards: list[list[int]] = []
         shard, filled = first_shard, 0
@@ -79,15 +83,17 @@ class Table:
             shard, filled = (shard, filled + n) if parts == 1 else (shard + parts, 0)
         return shard + (filled > 0)
 
-    def visits(self, place: np.ndarray, distance: float, success: float) -> np.ndarray:
-        """Buckets in estimated success order, as many as reach ``success``."""
+    def visits(self, place: np.ndarray, distance: float, success: float, k: int) -> np.ndarray:
+        """Buckets in estimated success order, as many as reach ``success`` and hold ``k`` vectors
+        besides the query's own."""
         chance = np.ones(len(self.cells))
         for i, at in enumerate(place):
             cells, which = np.unique(self.cells[:, i], return_inverse=True)
             low = (cells - at) * self.width / distance
             chance *= (_normal(low + self.width / distance) - _normal(low))[which]
         order = np.argsort(-chance, kind="stable")
-        return order[: np.searchsorted(np.cumsum(chance[order]), success) + 1]
+        likely = np.searchsorted(np.cumsum(chance[order]), success)
+        return order[: max(likely, np.searchsorted(np.cumsum(self.sizes[order]), k + 1)) + 1]
 
 
 def _matrix(packed: list[bytes]) -> np.ndarray:
@@ -115,13 +121,24 @@ def _packed(rows: DataFrame) -> DataFrame:
     return rows.select("vec_id", pack("e").alias("v"))
 
 
-def _distance(sample: np.ndarray, total: int, k: int, longest: float) -> float:
-    """Distance, with the norm filled up, of the k-th nearest of ``total`` vectors."""
-    products = sample[:500] @ sample.T
-    norms = (sample[:500] ** 2).sum(axis=1)
-    squares = np.sort(longest**2 + norms[:, None] - 2 * products, axis=1)[:, 1:]
-    share = min(1.0, k / max(1, total - 1))
-    return math.sqrt(max(1e-12, float(np.quantile(squares, share)))) if squares.size else longest
+class Distances:
+    """Distance, with the norm filled up, of the k-th nearest of ``total`` vectors to a query."""
+
+    def __init__(self, sample: np.ndarray, total: int, k: int, longest: float):
+        self.sample, self.longest = np.unique(sample, axis=0), longest
+        # So many sampled vectors are to be within, besides the query's own: k if every row is
+        # sampled, else the expected number and two deviations, as chance may sample more of them.
+        among = k * len(sample) / max(1, total)
+        self.within = 1 + (k if len(sample) >= total else math.ceil(among + 2 * math.sqrt(among)))
+
+    def of(self, vectors: np.ndarray) -> np.ndarray:
+        found = [self._of(vectors[i : i + STEP]) for i in range(0, len(vectors), STEP)]
+        return np.concatenate(found) if found else np.empty(0)
+
+    def _of(self, vectors: np.ndarray) -> np.ndarray:
+        squares = self.longest**2 + (vectors**2).sum(axis=1)[:, None] - 2 * vectors @ self.sample.T
+        at = min(self.within, squares.shape[1]) - 1
+        return np.sqrt(np.maximum(1e-12, np.partition(squares, at, axis=1)[:, at]))
 
 
 def _coded(rows: DataFrame, tables: list[Table]) -> DataFrame:
@@ -154,7 +171,7 @@ def nearest(
         return pd.Series(np.sqrt((_matrix(packed.tolist()) ** 2).sum(axis=1)) if len(packed) else [])
 
     longest = rows.agg(F.max(norm("v")).alias("n")).first().n
-    distance = _distance(sampled, total, k, longest)
+    distances = Distances(sampled, total, k, longest)
     # About a thousand rows a bucket, but at least four projections.
     hashes = max(4, round(math.log(max(1, total / 1000), 4)))
     width = 1.5 * longest
@@ -171,6 +188,7 @@ def nearest(
     queries = rows.where(is_query)
     blocks = -(-queries.count() // QUERY_ROWS) or 1
     shared = spark.sparkContext.broadcast(made)
+    known = spark.sparkContext.broadcast(distances)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -187,11 +205,12 @@ def nearest(
         for batch in batches:
             out = {n: [] for n in ("shard", "block", "buckets", "vec_id", "v")}
             matrix = _matrix(batch["v"].tolist()) if len(batch) else None
+            far = known.value.of(matrix) if len(batch) else []
             for table in shared.value:
                 places = table.places(matrix, False) if len(batch) else []
-                for place, vec_id, v in zip(places, batch["vec_id"], batch["v"]):
+                for place, distance, vec_id, v in zip(places, far, batch["vec_id"], batch["v"]):
                     by_shard: dict[int, list[int]] = {}
-                    for bucket in table.visits(place, distance, success):
+                    for bucket in table.visits(place, distance, success, k):
                         for shard in table.shards[bucket]:
                             by_shard.setdefault(shard, []).append(int(bucket))
                     for shard, buckets in by_shard.items():

@@ -293,6 +293,27 @@ def test_neighbours_reach_the_nearest(spark):
     assert not {r.vec_id for r in found} & {1000, 1001, 1002, 1003, 1004}
 
 
+@pytest.mark.parametrize("apart", [0.0, 1e-3])
+def test_neighbours_beside_a_third_of_copies(spark, apart):
+    """Copies of one vector, exact or nearly so, take no neighbours from the other queries."""
+    rng = np.random.default_rng(6)
+    matrix = rng.normal(size=(1500, 64))
+    matrix[::3] = matrix[0] + apart * rng.normal(size=(500, 64))
+    matrix /= np.sqrt((matrix**2).sum(axis=1))[:, None]
+    frame = spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate(matrix)], "vec_id bigint, embedding array<double>")
+    found = neighbours.nearest(frame, F.col("vec_id") % 20 == 0, k=20).collect()
+    hits, asked = 0, [q for q in range(0, 1500, 20) if q % 3]
+    for q in asked:
+        scores = matrix @ matrix[q]
+        scores[q] = -np.inf
+        least = np.sort(scores)[-20] - 1e-9
+        mine = {r.vec_id for r in found if r.query_id == q}
+        assert len(mine) == 20
+        hits += sum(scores[i] >= least for i in mine)
+    assert hits >= 0.9 * 20 * len(asked)
+
+
 def test_pages_come_back(spark):
     big = "<p>" + "ä" * 900
     rows = [(1, "http://a.org/x?y=1#z", big), (2, "https://b.a.org:8080", big), (3, None, big), (4, "no url\n", None),
