@@ -347,6 +347,29 @@ def test_perspectives(spark):
     assert max(r.n_turns for r in parts) < 4 * chat.MOST_ROWS
 
 
+def test_every_participant_gets_every_turn(spark):
+    """Silent in a segment, in a part, with repeated, missing and out of order turns."""
+    rng = random.Random(8)
+    rows = [(1, t, "ann" if t < 64 else "bob", f"a{t}") for t in range(200)]
+    rows += [(2, rng.randrange(3), rng.choice(["x", "y", None]), f"t{rng.randrange(300)}") for _ in range(900)]
+    rows += [(3, None, "eve", f"n{i:03}") for i in range(600)] + [(3, None, "zoe", "last")]
+    rows += [(None, 0, "q", "same")] * 700 + [(None, 90, "r", "end")]
+    rng.shuffle(rows)
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    frame = spark.createDataFrame(rows, schema)
+    found = chat.perspectives(frame, silent=True).collect()
+    for conv in (1, 2, 3, None):
+        own = [(-1 if t is None else t, r or "unknown", s) for c, t, r, s in rows if c == conv]
+        for speaker in {r for _, r, _ in own}:
+            texts = sorted((r.segment, r.part, r.text) for r in found if (r.conv_id, r.speaker) == (conv, speaker))
+            assert "".join(t for *_, t in texts) == "".join(
+                f"<|im_start|>{'assistant' if r == speaker else 'user name=' + r}\n{s}<|im_end|>\n"
+                for _, r, s in sorted(own))
+    assert max(r.n_turns for r in found) <= chat.MOST_ROWS
+    again = chat.perspectives(spark.createDataFrame(rows[::-1], schema).repartition(7), silent=True)
+    assert sorted(map(str, again.collect())) == sorted(map(str, found))
+
+
 def test_toxicity_learns(spark, docs):
     rng = random.Random(4)
     rows, marks = [], []
