@@ -53,8 +53,9 @@ PLACEHOLDER = re.compile(
 )
 THRESHOLD = 0.5
 _HEX_BYTES = bytes(0x31 if b in b"0123456789abcdef" else 0x30 for b in range(256))
-_PLAIN_NAMES = (b"passw", b"secret", b"token", b"apikey", b"api_key")
-_OTHER_NAMES = (b"passphrase", b"pwd", b"key", b"credential", b"auth", b"bearer")
+# What may part the words of a name, and the sensitive words that hold no other one.
+_APART = bytes(b for b in range(256) if b in b"0123456789_.-" or b > 127)
+_NAMES = tuple(w.encode() for w in SENSITIVE if not any(v in w for v in SENSITIVE if v != w))
 
 PAIR = re.compile(
     r"(?<![\w.\-])(?P<name>[A-Za-z_][\w.\-]*+)(?:\[?[\"']\]?)?[ \t]*+(?::=|=>|=(?![=~])|:(?![:/]))[ \t]*+"
@@ -132,9 +133,9 @@ def literal_spans(text: str) -> Iterator[Span]:
 
 def spans_of(body: bytes) -> list[Span]:
     """(start, kind, end) of all spans of a text in UTF-8, in order."""
-    lowered = body.lower()
-    plain = any(name in lowered for name in _PLAIN_NAMES)
-    named = plain or any(name in lowered for name in _OTHER_NAMES)
+    # The words of a name count together too, so its letters are searched without what parts them.
+    letters = body.translate(None, _APART).lower()
+    named = any(name in letters for name in _NAMES)
     assigns = named and (b"=" in body or b":" in body)
     if not (assigns or b"AKIA" in body or b"1" * LEAST_HEX in body.translate(_HEX_BYTES)):
         return []

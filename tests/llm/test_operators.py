@@ -171,6 +171,18 @@ def test_secrets_equal_plain_patterns(spark):
     assert [texts[0][a:b] for a, kind, b in first if kind == 3] == ["hunter22xyz!"]
 
 
+def test_no_telling_text_is_passed_over():
+    """Sensitive names split at every point, by every kind of separator."""
+    for word in secrets.SENSITIVE:
+        for at in range(len(word) + 1):
+            for apart in ("", "_", "-", "7", "__", "é"):
+                for name in (word[:at] + apart + word[at:], word[:at].upper() + apart + word[at:].upper()):
+                    text = f'x.my_{name} = "kJ8s9dkf0sKd"'
+                    whole = sorted({*secrets.plain_spans(text), *secrets.literal_spans(text)})
+                    assert secrets.spans_of(text.encode()) == whole, text
+    assert secrets.spans_of(b'pass_phrase = "kJ8s9dkf0sKd"') == [(15, 3, 27)]
+
+
 @pytest.mark.parametrize("text", ["password " * 40_000 + "=", 'key="' * 60_000, "x.y-" * 80_000 + " auth ="])
 def test_lexing_takes_time_in_proportion(text):
     import time
