@@ -8,7 +8,9 @@ names score by the sensitive words they hold, the literals by length, variety an
 placeholder; a literal of enough score is a ``literal`` span.
 
 Texts without any telling byte sequence are passed over by fast searches that cover the whole
-text; the others are lexed whole, in time that follows their length.
+text; the others are lexed whole. A name keeps references to the names it is made of, so this takes
+time that follows their length, and each assignment to a sensitive name the time of all the literals
+it is made of.
 
 Nulls and empties: a null or empty text has no spans. Places are code points, ends exclusive.
 Rows that repeat are scanned alike, other columns are not read, an empty table gives no rows.
@@ -98,35 +100,62 @@ def literal_weight(value: str) -> float:
     return min(1.0, bits / 3.5) * (1.0 if kinds > 1 else 0.5)
 
 
+class Kept:
+    """What a name was assigned: literals (value, start, end) and what other names had been."""
+
+    __slots__ = ("pieces", "weight")
+
+    def __init__(self, pieces: list):
+        self.pieces, self.weight = pieces, None
+
+    def literals(self) -> list:
+        """All literals, each once, in order."""
+        found, seen, open_ = {}, {id(self)}, [iter(self.pieces)]
+        while open_:
+            for piece in open_[-1]:
+                if not isinstance(piece, Kept):
+                    found[piece] = None
+                elif id(piece) not in seen:
+                    seen.add(id(piece))
+                    open_.append(iter(piece.pieces))
+                    break
+            else:
+                open_.pop()
+        return list(found)
+
+
 def _operands(text: str, at: int, known: dict) -> tuple[list, int]:
-    """Literals (value, start, end) of an expression from ``at``, and where it ends."""
-    literals: list = []
+    """Literals (value, start, end) and kept names of an expression from ``at``, and its end."""
+    pieces: list = []
     while operand := OPERAND.match(text, at):
         kind = operand.lastgroup
         at = operand.end()
         if kind == "bare" and operand[kind] in known:
-            literals += known[operand[kind]]
+            pieces.append(known[operand[kind]])
         else:
-            literals.append((operand[kind], operand.start(kind), operand.end(kind)))
+            pieces.append((operand[kind], operand.start(kind), operand.end(kind)))
         joined = JOIN.match(text, at)
         if not joined:
             break
         at = joined.end()
-    return literals, at
+    return pieces, at
 
 
 def literal_spans(text: str) -> Iterator[Span]:
     """Spans of literals assigned, directly or by way of other names, to sensitive names."""
-    known: dict[str, list] = {}
+    known: dict[str, Kept] = {}
     at, found = 0, set()
     while pair := PAIR.search(text, at):
-        literals, at = _operands(text, pair.end(), known)
+        pieces, at = _operands(text, pair.end(), known)
         at = max(at, pair.end())
-        # A chain of a name and itself would double at each step: the pieces are kept once.
-        literals = list(dict.fromkeys(literals))
-        known[pair["name"]] = literals[:16] if len(literals) <= 16 else []
-        value = "".join(v for v, _, _ in literals)
-        if literals and name_weight(pair["name"]) * literal_weight(value) >= THRESHOLD:
+        alone = len(pieces) == 1 and isinstance(pieces[0], Kept)
+        kept = known[pair["name"]] = pieces[0] if alone else Kept(pieces)
+        weight = name_weight(pair["name"])
+        if weight < THRESHOLD or kept.weight is not None and weight <= kept.weight:
+            continue
+        # The name's weight is kept: under no heavier name is there anything new to find.
+        kept.weight, literals = weight, kept.literals()
+        if weight * literal_weight("".join(v for v, _, _ in literals)) >= THRESHOLD:
             found.update((start, 3, end) for _, start, end in literals)
     yield from found
 

@@ -183,6 +183,29 @@ def test_no_telling_text_is_passed_over():
     assert secrets.spans_of(b'pass_phrase = "kJ8s9dkf0sKd"') == [(15, 3, 27)]
 
 
+@pytest.mark.parametrize("n", [16, 17, 100])
+def test_names_of_many_pieces_are_followed(n):
+    pieces = [f"kJ8s9dkf{i}" for i in range(n)]
+    joined = " + ".join(f'"{p}"' for p in pieces)
+    steps = "\n".join(f'k = k + "{p}"' for p in pieces[1:])
+    for text in (
+        f"password = {joined}", f"k = {joined}\npassword = k", f"k = {joined}\nm = k\npassword = m + k",
+        f'k = "{pieces[0]}"\n{steps}\nauth = k\npassword = k',
+    ):
+        spans = [s for s in secrets.spans_of(text.encode()) if s[1] == 3]
+        assert [text[a:b] for a, _, b in spans] == pieces
+
+
+def test_long_chains_of_names_take_time_in_proportion():
+    import time
+
+    chain = "".join(f'k = k + "{i:05}Qz" + k\n' for i in range(20_000))
+    text = 'k = "x1y2z3w4"\n' + chain + "token = k\n" * 20_000
+    start = time.process_time()
+    assert len([s for s in secrets.spans_of(text.encode()) if s[1] == 3]) == 20_001
+    assert time.process_time() - start < 5
+
+
 @pytest.mark.parametrize("text", ["password " * 40_000 + "=", 'key="' * 60_000, "x.y-" * 80_000 + " auth ="])
 def test_lexing_takes_time_in_proportion(text):
     import time
