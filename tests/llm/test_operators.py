@@ -392,14 +392,21 @@ def test_every_participant_gets_every_turn(spark):
     rng.shuffle(rows)
     schema = "conv_id bigint, turn bigint, role string, text string"
     frame = spark.createDataFrame(rows, schema)
-    found = chat.perspectives(frame, silent=True).collect()
-    for conv in (1, 2, 3, None):
+
+    def check(found, conv):
         own = [(-1 if t is None else t, r or "unknown", s) for c, t, r, s in rows if c == conv]
         for speaker in {r for _, r, _ in own}:
             texts = sorted((r.segment, r.part, r.text) for r in found if (r.conv_id, r.speaker) == (conv, speaker))
             assert "".join(t for *_, t in texts) == "".join(
                 f"<|im_start|>{'assistant' if r == speaker else 'user name=' + r}\n{s}<|im_end|>\n"
                 for _, r, s in sorted(own))
+
+    found = chat.perspectives(frame).collect()
+    check(found, 2)
+    check(found, 3)
+    found = chat.perspectives(frame, silent=True).collect()
+    for conv in (1, 2, 3, None):
+        check(found, conv)
     assert max(r.n_turns for r in found) <= chat.MOST_ROWS
     again = chat.perspectives(spark.createDataFrame(rows[::-1], schema).repartition(7), silent=True)
     assert sorted(map(str, again.collect())) == sorted(map(str, found))
