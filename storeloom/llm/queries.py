@@ -15,6 +15,7 @@ from storeloom.llm import (
     lattice,
     mixing,
     neighbours,
+    recompression,
     secrets,
     toxicity,
     warc,
@@ -123,3 +124,10 @@ def op5_perspective_chat(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
         F.array_join(spans, ",").alias("mask"),
     )
+
+
+@query
+def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the words of thirteen-word windows that start in an earlier one."""
+    found = recompression.without_repeats(read(spark, folder, "documents"), size=13)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

@@ -93,3 +93,24 @@ SELECT conv_id, segment, CAST(0 AS BIGINT) AS part, speaker, count(*) AS n_turns
     FILTER (WHERE own) AS mask
 FROM placed GROUP BY conv_id, segment, speaker
 """
+
+SQL["op11_substring_dedup"] = rf"""
+WITH
+worded AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS w FROM documents),
+placed AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM worded),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 11)) AS pos,
+    unnest(list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i:i + 12], ' '))) AS run
+  FROM worded WHERE len(w) >= 13),
+earliest AS (SELECT run, min(doc_id) AS owner FROM windows GROUP BY run),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + 13)) AS pos
+  FROM windows JOIN earliest USING (run) WHERE owner < doc_id),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS words
+  FROM placed ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+  CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+FROM worded LEFT JOIN kept USING (doc_id)
+"""
