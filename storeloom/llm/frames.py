@@ -32,6 +32,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return rows
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``stored``, and the shuffle files that led to the step go once it is written."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        return stored(df, name)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
+
+
 def emptied(df: DataFrame) -> None:
     """Frees the files of a stored step that nothing reads any more; an empty table stays."""
     rows = df.sparkSession.createDataFrame([], df.schema)

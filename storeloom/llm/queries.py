@@ -13,10 +13,12 @@ from storeloom.llm import (
     jaccard_join,
     language_id,
     lattice,
+    max_sketch,
     mixing,
     neighbours,
     recompression,
     secrets,
+    threshold,
     toxicity,
     warc,
 )
@@ -131,3 +133,18 @@ def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the words of thirteen-word windows that start in an earlier one."""
     found = recompression.without_repeats(read(spark, folder, "documents"), size=13)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for every test item."""
+    docs, items = read(spark, folder, "documents"), read(spark, folder, "benchmark")
+    return max_sketch.search(docs, items, k=10)
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, some of whose labels are moved on."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read(spark, folder, "embeddings").withColumn("label", moved)
+    return threshold.mine(vectors, F.col("vec_id") % 50 == 0)

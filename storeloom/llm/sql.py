@@ -114,3 +114,59 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
   CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
 FROM worded LEFT JOIN kept USING (doc_id)
 """
+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+SQL["op12_lexical_search"] = rf"""
+WITH
+said AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all({LOWER}, '{TERM}') AS w
+  FROM documents),
+termed AS (SELECT doc_id, row, CAST(len(w) AS BIGINT) AS n, w FROM said WHERE len(w) > 0),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS words FROM termed),
+counts AS (
+  SELECT row, any_value(doc_id) AS doc_id, any_value(n) AS n, term, CAST(count(*) AS BIGINT) AS tf
+  FROM (SELECT row, doc_id, n, unnest(w) AS term FROM termed) GROUP BY row, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS weight
+  FROM (SELECT term, CAST(count(*) AS BIGINT) AS df FROM counts GROUP BY term), totals),
+asked AS (
+  SELECT item_id, term, CAST(count(*) AS BIGINT) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all({LOWER}, '{TERM}')) AS term FROM benchmark)
+  GROUP BY item_id, term),
+scores AS (
+  SELECT item_id, doc_id, row, CAST(sum(times * weight * (
+    (1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // words)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN counts USING (term), totals
+  GROUP BY item_id, doc_id, row),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER)
+    AS rank, doc_id, score
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+SQL["op13_hard_negatives"] = """
+WITH
+usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id,
+    CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+met AS (
+  SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+    CAST(row_number() OVER (
+      PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM met WHERE rank <= 3
+"""
