@@ -8,18 +8,15 @@ smaller id. Windows are found by locally consistent names:
   digest of what it stands for, so all tasks give the same name without a dictionary, which would
   move every word of the corpus in every round.
 - *Inside of a window.* Each name knows the words it was derived from. Names derived from a window
-  alone occur wherever the window does; of those of the highest round the one of least digest is
-  the window's *key*. Equal windows have equal keys, and neighbours mostly share one.
-- *Reveal.* Keys that two documents share are found in one shuffle of (key, document). Windows with
-  such a key that follow each other make a passage.
-- *Verify.* Equal passages are named by 128 bits of their words and compared once: the first document
-  that holds a passage makes all of it go from later ones. The windows of that first copy alone are
-  compared with those of other passages, by 128 bits too.
-
-Scale: within a task, keys seen in two documents are known to be shared and send one row, so a key
-has as many rows as there are runs of keys, however many documents hold it. A passage moves its words
-once per task. Joins whose keys may be hot meet an aggregated side, and Spark splits the other. Every
-step that is used twice is written to the shared folder.
+  alone occur wherever the window does; the one that stands for the most words is the window's *key*,
+  of several the one of least digest. Equal windows have equal keys, and neighbours mostly share one.
+- *Reveal.* Keys that two documents share are found in one shuffle of (key, document).
+- *Verify.* Windows with such a key are compared by 96 bits of their words, in a second shuffle.
+
+Scale: within a task, what is settled there goes no further. A key seen in two documents of a run is
+known to be shared and sends one row, and of equal windows only those of the run's smallest document
+ask. So a key or window has as many rows to meet as there are runs, however many documents hold it.
+The steps are written to the shared folder.
 
 Nulls and empties: a null text has no words; a text below ``size`` words loses none. Rows with a null
 ``doc_id`` lose nothing and make nothing go. Rows that repeat a ``doc_id`` are one document: none makes
@@ -29,7 +26,7 @@ not read.
 
 from __future__ import annotations
 
-import hashlib
+from copy import copy
 
 import numpy as np
 import pyarrow as pa
@@ -37,17 +34,21 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeloom.llm.frames import as_bytes, stored
-from storeloom.llm.tokens import Chunk, Spelling
+from storeloom.llm.frames import as_bytes, settled
+from storeloom.llm.tokens import Chunk, Spelling, runs_of
 from storeloom.llm.words import IS_WORD, mix
 
 WORDS = Spelling(IS_WORD)
-# Keys that a task holds before it sends them on: 32 MB.
+# Keys or windows that a task holds before it sends them on: 40 MB.
 RUN = 1 << 20
-# Names of passages a task remembers, to send their words once.
-MAX_SEEN = 100_000
 # Keys have 48 bits. Two that meet by chance cost a comparison and change nothing.
 KEY_BITS = np.uint64(16)
+# A key of more words is as good as one of so many.
+WIDE = 6
+# Names of the first rounds stand for few words and are keys only where a window has no others.
+EARLY = 3
+# A range of words is one number: the first word, and in so many bits how many there are.
+LENGTH_BITS = 20
 
 _LEFT, _RIGHT = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
@@ -56,12 +57,14 @@ _LEFT, _RIGHT = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
 
 class Names:
-    """Names over the words of some texts, with the words [low, high) each was derived from."""
+    """Names over the words of some texts: how many words each stands for, and the words [low, high)
+    it was derived from. Arrays are replaced, not changed, so a copy keeps its round."""
 
     def __init__(self, words: np.ndarray, bounds: np.ndarray):
         full = bounds[:-1] < bounds[1:]
         self.begin, self.end = bounds[:-1][full], bounds[1:][full]
         self.name, self.low, self.high = words, np.arange(len(words)), np.arange(len(words)) + 1
+        self.width = np.ones(len(words), np.int64)
         self.head = np.zeros(len(words), bool)
         self.head[self.begin] = True
 
@@ -84,12 +87,13 @@ class Names:
         # That a run ends is told by the names next to it.
         self.low = self.low[np.maximum(first - 1, 0)]
         self.high = self.high[np.minimum(last + 1, len(same) - 1)]
-        self.head = self.head[first]
+        self.width, self.head = length.astype(np.int64), self.head[first]
         self._edges()
 
     def name_pairs(self, round: int) -> None:
         seed = mix(np.array([round], np.uint64) * _LEFT)
-        right = (mix(self.name + seed) >> np.uint64(40) & np.uint64(1)).astype(bool)
+        dealt = mix(self.name + seed)
+        right = (dealt >> np.uint64(40) & np.uint64(1)).astype(bool)
         pair = np.zeros(len(right), bool)
         pair[:-1] = ~right[:-1] & right[1:] & ~self.head[1:]
         kept = np.ones(len(right), bool)
@@ -98,11 +102,12 @@ class Names:
         after, before = np.minimum(at + 1, len(right) - 1), np.maximum(at - 1, 0)
         paired = pair[at]
         name = self.name[at]
-        self.name = np.where(paired, mix(name * _LEFT + mix(self.name[after] + seed) * _RIGHT), name)
+        self.name = np.where(paired, mix(name * _LEFT + dealt[after] * _RIGHT), name)
         # A left name looks at the one behind it, a right one that stays alone at the one before.
         alone = right[at]
         self.low = np.where(alone, self.low[before], self.low[at])
         self.high = np.where(alone, self.high[at], self.high[after])
+        self.width = np.add.reduceat(self.width, at)
         self.head = self.head[at]
         self._edges()
 
@@ -119,23 +124,34 @@ def window_keys(words: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.nd
     """Start of each window of the texts, and its key: a function of its words alone."""
     ends = np.repeat(bounds[1:], np.diff(bounds))
     windows = np.flatnonzero(np.arange(len(words)) + size <= ends)
-    keys = words[windows]
+    keys, widest = words[windows], np.zeros(len(windows), np.int64)
+
+    def choose(names: Names, of: np.ndarray) -> bool:
+        first, count = names.inside(windows[of], size)
+        of, first, count = of[count > 0], first[count > 0], count[count > 0]
+        width = np.minimum(names.width, WIDE)
+        for step in range(int(count.max(initial=0))):
+            if step:
+                more = count > step
+                of, first, count = of[more], first[more], count[more]
+            at = first + step
+            wider = width[at] - widest[of]
+            better = (wider > 0) | ((wider == 0) & (names.name[at] < keys[of]))
+            keys[of[better]], widest[of[better]] = names.name[at[better]], width[at[better]]
+        return len(of) > 0
+
     if len(windows):
-        names, round = Names(words, bounds), 0
+        names, early = Names(words, bounds), []
         names.name_runs()
-        while True:
-            first, count = names.inside(windows, size)
-            held = np.flatnonzero(count > 0)
-            if round and not len(held):
+        every = np.arange(len(windows))
+        for round in range(1, 100):
+            if round <= EARLY:
+                early.append(copy(names))
+            elif not choose(names, every):
                 break
-            first, count = first[held], count[held]
-            rank, best = mix(names.name), first
-            for step in range(1, int(count.max(initial=0))):
-                at = np.where(count > step, first + step, best)
-                best = np.where(rank[at] < rank[best], at, best)
-            keys[held] = names.name[best]
-            round += 1
             names.name_pairs(round)
+        for names in reversed(early):
+            choose(names, np.flatnonzero(widest == 0))
     return windows, keys >> KEY_BITS
 
 
@@ -149,13 +165,11 @@ def _batch(columns: dict[str, np.ndarray | pa.Array]) -> pa.RecordBatch:
 def _sent(keys: np.ndarray, docs: np.ndarray) -> pa.RecordBatch:
     """A run of keys. One that two documents of the run share is sent without a document, and for
     each of these under a number of its own, as known to be shared."""
-    order = np.lexsort((docs, keys))
+    order = np.argsort(keys)
     keys, docs = keys[order], docs[order]
-    new_key = np.append(True, keys[1:] != keys[:-1])
-    new = new_key | np.append(True, docs[1:] != docs[:-1])
-    keys, docs, group = keys[new], docs[new], np.cumsum(new_key[new]) - 1
-    many = np.bincount(group)[group] > 1
-    marked = np.unique(keys[many])
+    first = np.flatnonzero(_changes(keys))
+    two = np.minimum.reduceat(docs, first) < np.maximum.reduceat(docs, first)
+    marked, many = keys[first[two]], np.repeat(two, np.diff(np.append(first, len(keys))))
     known, own = keys[many].view(np.int64), mix(keys[many] ^ docs[many].view(np.uint64))
     route = np.concatenate([keys[~many], marked, own >> np.uint64(1) | np.uint64(1 << 62)])
     one, rest = int((~many).sum()), len(marked)
@@ -217,79 +231,9 @@ def shared_keys(docs: DataFrame, size: int) -> DataFrame:
     )
 
 
-# --- passages ----------------------------------------------------------------------------------
-
-PASSAGES = (
-    "name bigint, more bigint, doc_id bigint, digest bigint, start bigint, words bigint, body binary"
-)
-
-
-def _joined(chunk: Chunk, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of the chosen words, a blank behind each, and where each word of the chunk starts
-    in them."""
-    lengths = np.where(chosen, chunk.ends - chunk.starts + 1, 0)
-    place = np.concatenate([[0], np.cumsum(lengths)])
-    marks = np.zeros(len(chunk.data) + 2, np.int8)
-    marks[chunk.starts[chosen]] = 1
-    marks[chunk.ends[chosen] + 1] -= 1
-    inside = np.cumsum(marks[:-1], dtype=np.int8) > 0
-    data = np.append(chunk.data, np.uint8(32))
-    data[chunk.ends[chosen]] = 32
-    return data[inside], place
-
-
-def _passages(docs: DataFrame, shared: DataFrame, size: int) -> DataFrame:
-    """The passages of every document, as runs of windows with shared keys. The words of a passage
-    come with the first row of a task, and with any of a smaller ``doc_id``."""
-    keys = shared.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
+# --- verify ------------------------------------------------------------------------------------
 
-    def run(batches):
-        least: dict[bytes, int] = {}
-        packer = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            ids, digests = (batch.column(c).to_numpy() for c in ("doc_id", "digest"))
-            bodies = [zstandard.decompress(b) for b in batch.column("body").to_pylist()]
-            lists = batch.column("keys")
-            ends, values = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
-            for chunk in WORDS.chunks(bodies, size - 1):
-                windows, found = window_keys(WORDS.hashes(chunk), chunk.bounds, size)
-                text = np.searchsorted(chunk.bounds, windows, "right") - 1
-                first, last = chunk.texts.start, chunk.texts.stop
-                asked = values[ends[first] : ends[last]]
-                of = np.repeat(np.arange(last - first), np.diff(ends[first : last + 1]))
-                salt = mix(np.arange(1, last - first + 1, dtype=np.uint64))
-                hit = np.isin(found ^ salt[text], asked ^ salt[of])
-                windows, text = windows[hit], text[hit]
-                new = _changes(windows - np.arange(len(windows)), text)
-                starts = np.flatnonzero(new)
-                stops = np.append(starts[1:], len(windows)) - 1
-                rows = {n: [] for n in ("name", "more", "doc_id", "digest", "start", "words", "body")}
-                data, place = _joined(chunk, np.ones(len(chunk.starts), bool))
-                for a, b, t in zip(windows[starts], windows[stops] + size, text[starts]):
-                    words = data[place[a] : place[b] - 1].tobytes()
-                    name = hashlib.blake2b(words, digest_size=16).digest()
-                    doc = int(ids[first + t])
-                    send = least.get(name, doc + 1) > doc
-                    if send:
-                        if len(least) >= MAX_SEEN:
-                            least.clear()
-                        least[name] = doc
-                    rows["name"].append(int.from_bytes(name[:8], "little", signed=True))
-                    rows["more"].append(int.from_bytes(name[8:], "little", signed=True))
-                    rows["doc_id"].append(doc)
-                    rows["digest"].append(int(digests[first + t]))
-                    rows["start"].append(int(a - chunk.bounds[t]) + chunk.before)
-                    rows["words"].append(int(b - a))
-                    rows["body"].append(packer.compress(words) if send else None)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(c, pa.binary() if n == "body" else pa.int64())
-                        for n, c in rows.items()
-                    ],
-                    list(rows),
-                )
-
-    return _packed(docs).join(keys, "doc_id").mapInArrow(run, PASSAGES)
+ASKED = "h0 bigint, h1 int, doc_id bigint, digest bigint, words bigint"
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -305,102 +249,129 @@ def _packed(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, digest bigint, body binary")
 
 
-# --- verify ------------------------------------------------------------------------------------
+class Run:
+    """Windows of a task: the text of each by its number, and its place there."""
+
+    def __init__(self, size: int):
+        self.size, self.held = size, 0
+        self.ids, self.digests = [], []
+        self.parts: list[tuple[np.ndarray, ...]] = []
+
+    def add(self, text: np.ndarray, place: np.ndarray, h0: np.ndarray, h1: np.ndarray) -> None:
+        self.parts.append((text, place, h0, h1))
+        self.held += len(text)
+
+    def sent(self) -> pa.RecordBatch:
+        """The windows of the smallest document that holds them ask. The others go, as ranges."""
+        text, place, h0, h1 = (np.concatenate(c) for c in zip(*self.parts))
+        ids, digests = np.array(self.ids, np.int64), np.array(self.digests, np.int64)
+        order = np.argsort(h0)
+        new = _changes(h0[order])
+        if (_changes(h1[order]) & ~new).any():  # h0 alone doesn't tell these apart
+            order = np.lexsort((h1, h0))
+            new = _changes(h0[order], h1[order])
+        smallest = np.minimum.reduceat(ids[text[order]], np.flatnonzero(new))
+        least = np.empty(len(order), np.int64)
+        least[order] = smallest[np.cumsum(new) - 1]
+        later = ids[text] > least
+        asks = np.flatnonzero(~later)
+        gone = np.flatnonzero(later)
+        gone = gone[np.lexsort((place[gone], text[gone]))]
+        start = np.flatnonzero(
+            _changes(place[gone] - np.arange(len(gone)), text[gone]) | (np.arange(len(gone)) % 8192 == 0)
+        )
+        count = np.diff(np.append(start, len(gone)))
+        begun = gone[start]
+        words = np.concatenate([place[asks], place[begun]]) << LENGTH_BITS
+        words += np.concatenate([np.full(len(asks), self.size), count + self.size - 1])
+        of = np.concatenate([text[asks], text[begun]])
+        return _batch(
+            {
+                "h0": np.concatenate([h0[asks], mix(h0[begun] + np.uint64(1))]).view(np.int64),
+                "h1": pa.array(
+                    np.concatenate([h1[asks], h1[begun]]).view(np.int32),
+                    mask=np.repeat([False, True], [len(asks), len(begun)]),
+                ),
+                "doc_id": ids[of],
+                "digest": digests[of],
+                "words": words,
+            }
+        )
 
 
-def _repeated_windows(first: DataFrame, size: int) -> DataFrame:
-    """(name, doc_id, places): windows of the first copies that start in a smaller document."""
+def _windows(docs: DataFrame, shared: DataFrame, size: int) -> DataFrame:
+    """Windows with a shared key: rows that ask, and without ``h1`` ranges that go."""
+    def hashed(chunk: Chunk, which: int, at: np.ndarray) -> np.ndarray:
+        return runs_of(WORDS.hashes(chunk, which), at, size, which)
 
     def run(batches):
-        power = [np.uint64(pow(0x9E3779B97F4A7C15, i + 1, 1 << 64)) for i in range(size)]
+        held = Run(size)
         for batch in batches:
-            names, ids = (batch.column(c).to_numpy() for c in ("name", "doc_id"))
+            ids, digests = (batch.column(c).to_numpy() for c in ("doc_id", "digest"))
             bodies = [zstandard.decompress(b) for b in batch.column("body").to_pylist()]
+            lists = batch.column("keys")
+            ends, values = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
             for chunk in WORDS.chunks(bodies, size - 1):
-                ends = np.repeat(chunk.bounds[1:], np.diff(chunk.bounds))
-                at = np.flatnonzero(np.arange(len(ends)) + size <= ends)
-                text = np.searchsorted(chunk.bounds, at, "right") - 1
-                both = {}
-                for which in (0, 1):
-                    words = WORDS.hashes(chunk, which)
-                    value = np.full(len(at), size, np.uint64)
-                    for i, p in enumerate(power):
-                        value += words[at + i] * p
-                    both[f"h{which}"] = mix(value).view(np.int64)
-                of = text + chunk.texts.start
-                yield _batch(
-                    {
-                        **both,
-                        "doc_id": ids[of],
-                        "name": names[of],
-                        "place": (at - chunk.bounds[text] + chunk.before).astype(np.int64),
-                    }
-                )
-
-    windows = stored(
-        first.mapInArrow(run, "h0 bigint, h1 bigint, doc_id bigint, name bigint, place bigint"),
-        "windows",
-    )
-    least = windows.groupBy("h0", "h1").agg(
-        F.min("doc_id").alias("least"), F.max("doc_id").alias("most")
-    )
-    least = least.where("least < most").select("h0", "h1", "least").hint("rebalance")
-    return (
-        windows.join(least, ["h0", "h1"])
-        .where("least < doc_id")
-        .groupBy("name", "doc_id")
-        .agg(F.collect_list("place").alias("places"))
-    )
+                windows, found = window_keys(WORDS.hashes(chunk), chunk.bounds, size)
+                text = np.searchsorted(chunk.bounds, windows, "right") - 1
+                first, last = chunk.texts.start, chunk.texts.stop
+                asked = values[ends[first] : ends[last]]
+                of = np.repeat(np.arange(last - first), np.diff(ends[first : last + 1]))
+                salt = mix(np.arange(1, last - first + 1, dtype=np.uint64))
+                hit = np.isin(found ^ salt[text], asked ^ salt[of])
+                windows, text = windows[hit], text[hit]
+                h1 = (hashed(chunk, 1, windows) >> np.uint64(32)).astype(np.uint32)
+                place = windows - chunk.bounds[text] + chunk.before
+                held.add(text + len(held.ids), place, hashed(chunk, 0, windows), h1)
+                held.ids += ids[first:last].tolist()
+                held.digests += digests[first:last].tolist()
+                if held.held >= RUN:
+                    yield held.sent()
+                    held = Run(size)
+        if held.held:
+            yield held.sent()
+
+    return _packed(docs).join(shared, "doc_id").mapInArrow(run, ASKED)
 
 
 def repeats(docs: DataFrame, size: int = 13) -> DataFrame:
-    """(doc_id, digest, start, stop): the words that go, as ranges that may overlap. ``digest`` is
-    the xxhash64 of the text."""
-    passages = stored(_passages(docs, shared_keys(docs, size), size), "passages")
-    first = (
-        passages.where("body is not null")
-        .groupBy("name", "more")
-        .agg(F.min(F.struct("doc_id", "body")).alias("r"))
-        .select("name", "more", "r.*")
-    )
-    first = stored(first, "first")
-    owners = first.select("name", "more", F.col("doc_id").alias("owner")).hint("rebalance")
-    owned = passages.drop("body").join(owners, ["name", "more"])
-    later = owned.where("doc_id > owner").selectExpr(
-        "doc_id", "digest", "start", "start + words as stop"
-    )
-    places = _repeated_windows(first, size)
-    own = owned.where("doc_id = owner").join(places, ["name", "doc_id"])
-    place = F.explode("places").alias("place")
-    own = own.select("doc_id", "digest", "start", place).selectExpr(
-        "doc_id", "digest", "start + place as start", f"start + place + {size} as stop"
-    )
-    return later.union(own)
+    """(doc_id, digest, words): for each text that loses any, the ranges of words that go, which may
+    overlap. ``digest`` is the xxhash64 of the text."""
+    keys = shared_keys(docs, size).groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
+    windows = _windows(docs, settled(keys, "keys"), size)
+    earlier = windows.selectExpr("*", "min(doc_id) over (partition by h0, h1) < doc_id as earlier")
+    gone = earlier.where("h1 is null or earlier")
+    return settled(gone.groupBy("doc_id", "digest").agg(F.collect_list("words").alias("words")), "gone")
+
+
+def _joined(chunk: Chunk, chosen: np.ndarray) -> bytes:
+    """The chosen words, a blank behind each."""
+    marks = np.zeros(len(chunk.data) + 2, np.int8)
+    marks[chunk.starts[chosen]] = 1
+    marks[chunk.ends[chosen] + 1] -= 1
+    data = np.append(chunk.data, np.uint8(32))
+    data[chunk.ends[chosen]] = 32
+    return data[np.cumsum(marks[:-1], dtype=np.int8) > 0].tobytes()
 
 
 def without_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): per row of ``docs`` its words that stay, one blank between
     two, as UTF-8."""
-    found = (
-        repeats(docs, size)
-        .groupBy("doc_id", "digest")
-        .agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops"))
-    )
-
     def run(batches):
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("body", "starts", "stops")]
+            columns = [batch.column(c).to_pylist() for c in ("body", "words")]
             out = {"doc_id": batch.column("doc_id"), "n_words": [], "n_removed": [], "kept": []}
-            for body, starts, stops in zip(*columns):
+            for body, ranges in zip(*columns):
                 kept, total, gone = [], 0, 0
-                edges = np.array(starts or [], np.int64), np.array(stops or [], np.int64)
+                start = np.array(ranges or [], np.int64)
+                edges = start >> LENGTH_BITS, (start >> LENGTH_BITS) + (start & (1 << LENGTH_BITS) - 1)
                 for chunk in WORDS.chunks([zstandard.decompress(body)]):
                     n = len(chunk.starts)
                     depth = np.zeros(n + 1, np.int64)
                     for at, by in zip(edges, (1, -1)):
                         np.add.at(depth, np.clip(at - chunk.before, 0, n), by)
                     stays = np.cumsum(depth[:-1]) == 0
-                    kept.append(_joined(chunk, stays)[0].tobytes())
+                    kept.append(_joined(chunk, stays))
                     total, gone = total + n, gone + int(n - stays.sum())
                 out["n_words"].append(total)
                 out["n_removed"].append(gone)
@@ -410,9 +381,9 @@ def without_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
                 [pa.array(c, kinds[n]) if n in kinds else c for n, c in out.items()], list(out)
             )
 
+    found = repeats(docs, size).withColumnsRenamed({"doc_id": "d", "digest": "t"})
     rows = _packed(docs)
-    named = found.select(F.col("doc_id").alias("d"), F.col("digest").alias("t"), "starts", "stops")
-    joined = rows.join(named, (rows.doc_id == named.d) & (rows.digest == named.t), "left")
-    return joined.select("doc_id", "body", "starts", "stops").mapInArrow(
+    joined = rows.join(found, (rows.doc_id == found.d) & (rows.digest == found.t), "left")
+    return joined.select("doc_id", "body", "words").mapInArrow(
         run, "doc_id bigint, n_words bigint, n_removed bigint, kept binary"
     )

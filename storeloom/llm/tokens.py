@@ -27,6 +27,28 @@ class Chunk:
     before: int = 0
 
 
+_SERIES: dict[tuple[int, int], np.ndarray] = {}
+
+
+def _powers(factor: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a factor and of its inverse modulo 2**64."""
+    size, both = 1 << max(18, int(n).bit_length()), (factor, pow(factor, -1, 1 << 64))
+    for base in both:
+        if (base, size) not in _SERIES:
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            _SERIES[base, size] = np.multiply.accumulate(steps)
+    return _SERIES[both[0], size], _SERIES[both[1], size]
+
+
+def runs_of(words: np.ndarray, at: np.ndarray, size: int, which: int = 0) -> np.ndarray:
+    """A hash of the ``size`` words from each place on."""
+    up, down = _powers(FACTORS[which], len(words) + 1)
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * up[: len(words)], out=sums[1:])
+    return mix((sums[at + size] - sums[at]) * down[at] + np.uint64(size))
+
+
 class Spelling:
     """Which bytes make a word (a table of 256), and as what they count."""
 
@@ -34,17 +56,6 @@ class Spelling:
         self.inside = inside
         codes = np.arange(256) if counted_as is None else counted_as
         self.values = codes.astype(np.uint64) + np.uint64(1)
-        self._series: dict[tuple[int, int], np.ndarray] = {}
-
-    def _powers(self, factor: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Powers of a factor and of its inverse modulo 2**64."""
-        size = 1 << max(18, int(n).bit_length())
-        for base in (factor, pow(factor, -1, 1 << 64)):
-            if (base, size) not in self._series:
-                steps = np.full(size, base, np.uint64)
-                steps[0] = 1
-                self._series[base, size] = np.multiply.accumulate(steps)
-        return self._series[factor, size], self._series[pow(factor, -1, 1 << 64), size]
 
     def find(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and end of each word."""
@@ -56,7 +67,7 @@ class Spelling:
         data, starts, ends = chunk.data, chunk.starts, chunk.ends
         if not len(starts):
             return np.zeros(0, np.uint64)
-        up, down = self._powers(FACTORS[which], len(data) + 1)
+        up, down = _powers(FACTORS[which], len(data) + 1)
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(self.values[data] * up[: len(data)], out=sums[1:])
         value = (sums[ends] - sums[starts]) * down[starts]
