@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeloom import schemas
-from storeloom.functions import conform, day_of, full_name, net_of, percent_of
+from storeloom.functions import conform, day_of, full_name, net_of, percent_of, product_of
 from storeloom.operators import append, create_if_absent, load_keyed, replace
-from storeloom.plans import marts, warehouse
+from storeloom.plans import daily, marts, warehouse
 from storeloom.session import scratch_path
 from storeloom.sources import (
     activities,
@@ -25,6 +25,13 @@ from storeloom.sources import (
 from storeloom.streaming import load_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _doubles(rows: DataFrame, *names: str) -> DataFrame:
+    """Exact decimals as doubles, which every engine shows alike."""
+    return rows.withColumns({name: F.col(name).cast("double") for name in names})
+
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -51,7 +58,8 @@ def dim_coupons(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def fact_sales_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return warehouse.fact_sales_lines(sample_tables.landing(spark, folder))
+    lines = warehouse.fact_sales_lines(sample_tables.landing(spark, folder))
+    return _doubles(lines, "price", "total_amount", "total_price")
 
 
 # --- joins and expressions -------------------------------------------------------------------
@@ -62,9 +70,10 @@ def sales_lines_join(spark: SparkSession, folder: str) -> DataFrame:
     landing = sample_tables.landing(spark, folder)
     items = warehouse.priced_items(landing["order_items"], landing["products"])
     heads = landing["orders"].select(F.col("id").alias("order_id"), "customer_id")
-    return heads.join(items.withColumnRenamed("id", "item_id"), "order_id").select(
+    lines = heads.join(items.withColumnRenamed("id", "item_id"), "order_id").select(
         "order_id", "customer_id", "item_id", "product_id", "amount", "price"
     )
+    return _doubles(lines, "price")
 
 
 @query
@@ -96,17 +105,18 @@ def discount_math(spark: SparkSession, folder: str) -> DataFrame:
     landing = sample_tables.landing(spark, folder)
     items = warehouse.priced_items(landing["order_items"], landing["products"])
     coupons = landing["coupons"].withColumnRenamed("id", "known_coupon")
-    return (
-        items.withColumn("gross", F.col("amount") * F.col("price"))
+    lines = (
+        items.withColumn("gross", F.expr(product_of("amount", "price", whole=False)))
         .join(coupons, F.col("coupon_id") == F.col("known_coupon"), "left")
         .select(
             F.col("id").alias("item_id"),
             "gross",
             F.coalesce("discount_percent", F.lit(0)).alias("percent"),
-            percent_of("gross", "coalesce(discount_percent, 0)").alias("discount"),
-            net_of("gross", "known_coupon", "discount_percent").alias("net"),
+            percent_of("gross", "coalesce(discount_percent, 0)", whole=False).alias("discount"),
+            net_of("gross", "known_coupon", "discount_percent", whole=False).alias("net"),
         )
     )
+    return _doubles(lines, "gross", "discount", "net")
 
 
 @query
@@ -257,6 +267,24 @@ def land_login_attempts_json(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def land_login_attempts_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with a map per column, each of the logins of so many ids."""
+    rows = sample_tables.login_attempts(spark, folder)
+    cells = [
+        F.map_from_entries(
+            F.collect_list(F.struct(F.col("id").cast("string").alias("row"), F.col(name).alias("cell")))
+        ).alias(name)
+        for name in rows.columns
+    ]
+    texts = rows.withColumn("attempted_at", F.col("attempted_at").cast("string"))
+    documents = texts.groupBy(F.expr("id div 5000").alias("document")).agg(*cells)
+    place = scratch_path(spark, "login_documents")
+    text = documents.select("document", F.to_json(F.struct(*rows.columns)).alias("value"))
+    text.write.partitionBy("document").text(place)
+    return land_column_json(spark, f"{place}/document=*", schemas.LANDING["login_attempts"])
+
+
 @query
 def land_coupons_json(spark: SparkSession, folder: str) -> DataFrame:
     """One document with a map per column. It holds the fixed coupons in use, ten at most."""
@@ -274,7 +302,7 @@ def land_coupons_json(spark: SparkSession, folder: str) -> DataFrame:
 def land_products(spark: SparkSession, folder: str) -> DataFrame:
     place = scratch_path(spark, "products")
     sample_tables.products(spark, folder).write.csv(place, header=True)
-    return land_csv(spark, place, schemas.LANDING["products"])
+    return _doubles(land_csv(spark, place, schemas.FILED["products"]), "price")
 
 
 @query
@@ -292,6 +320,14 @@ def land_supplier(spark: SparkSession, folder: str) -> DataFrame:
     return land_table(spark, place)
 
 
+@query
+def land_supplier_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The export of the workbook: no columns are declared, all are kept as text."""
+    place = scratch_path(spark, "supplier_csv")
+    sample_tables.supplier(spark, folder).write.csv(place, header=True)
+    return land_csv(spark, place)
+
+
 @query
 def land_orders_parquet(spark: SparkSession, folder: str) -> DataFrame:
     place = scratch_path(spark, "orders")
@@ -349,3 +385,13 @@ def activities_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "activity_data")
     write_activities(_one_per_event(spark, folder), path)
     return land_activities(spark, path)
+
+
+@query
+def activities_job(spark: SparkSession, folder: str) -> DataFrame:
+    """Generated, written as CSV, landed, and put in place of the run before."""
+    ids = sample_tables.read(spark, folder, "events").select(F.col("event_id").alias("id"))
+    with ScratchTable(spark, "activities_job") as table:
+        for seed in (1, 2):
+            daily.load_activities(activities(ids, seed), table.name, table.location)
+        return table.rows()

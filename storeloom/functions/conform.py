@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -24,11 +25,12 @@ def _assign(name: str, source: T.DataType, target: str) -> str:
     return f"cast(`{name}` as {target}) as `{name}`"
 
 
-def conform(df: DataFrame, ddl: str) -> DataFrame:
-    """``df`` cut to the declared columns, in declared order and type."""
+def conform(df: DataFrame, ddl: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``df`` cut to the declared columns, in declared order and type, and to those of ``keep``."""
     found = df.schema
     return df.selectExpr(
-        *[_assign(name, found[name].dataType, kind) for name, kind in schemas.columns(ddl)]
+        *[_assign(name, found[name].dataType, kind) for name, kind in schemas.columns(ddl)],
+        *[f"`{name}`" for name in keep],
     )
 
 

@@ -14,18 +14,28 @@ def full_name(first: str, last: str) -> Column:
     return F.expr(f"concat(coalesce({first}, ''), ' ', coalesce({last}, ''))")
 
 
-def percent_of(value: str, percent: str) -> Column:
-    """``percent`` per cent of an integer ``value``, truncated toward zero for each row.
+def product_of(amount: str, price: str, whole: bool = True) -> str:
+    """``amount`` times ``price``, exactly; ``whole`` says that prices are integers."""
+    return f"{amount} * {price}" if whole else f"(cast({amount} as decimal(12,0)) * {price})"
 
-    The product is BIGINT so that it does not overflow before the division.
-    """
-    return F.expr(f"(cast({value} as bigint) * {percent}) div 100")
+
+def _share(value: str, percent: str, whole: bool) -> str:
+    if whole:
+        # The product is BIGINT so that it does not overflow before the division.
+        return f"(cast({value} as bigint) * {percent}) div 100"
+    # A division would round; DECIMAL(29,4) by DECIMAL(5,0) by a hundredth fits 38 digits.
+    return f"({value} * cast({percent} as decimal(5,0)) * 0.01BD)"
+
+
+def percent_of(value: str, percent: str, whole: bool = True) -> Column:
+    """``percent`` per cent of ``value``: of integers truncated toward zero for each row, of
+    decimals exact."""
+    return F.expr(_share(value, percent, whole))
 
 
-def net_of(gross: str, coupon_id: str, percent: str) -> Column:
+def net_of(gross: str, coupon_id: str, percent: str, whole: bool = True) -> Column:
     """``gross`` less the coupon. A known coupon without a percentage gives NULL."""
-    discount = f"(cast({gross} as bigint) * {percent}) div 100"
-    return F.expr(f"{gross} - if({coupon_id} is not null, {discount}, 0)")
+    return F.expr(f"{gross} - if({coupon_id} is not null, {_share(gross, percent, whole)}, 0)")
 
 
 def day_of(ts: str) -> Column:

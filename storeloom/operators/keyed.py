@@ -1,4 +1,8 @@
-"""Loading rows under a key: the first row of a key stays, later ones are ignored."""
+"""Loading rows under a key: the first row of a key stays, later ones are ignored.
+
+Rows of a table have no order of their own. First is the lowest by the columns named, which for landed
+rows is the batch they came in, and among these the lowest by all other columns.
+"""
 
 from __future__ import annotations
 

@@ -13,7 +13,7 @@ LANDED = {
                CAST(NULL AS VARCHAR) AS address, CAST(NULL AS VARCHAR) AS zip_code
         FROM customer""",
     "l_products": """
-        SELECT p_partkey AS id, p_name AS name, CAST(floor(p_retailprice) AS BIGINT) AS price,
+        SELECT p_partkey AS id, p_name AS name, CAST(p_retailprice AS DECIMAL(16, 4)) AS price,
                CAST('0x' || substr(md5(p_type), 1, 15) AS BIGINT) AS category_id,
                CAST(NULL AS BIGINT) AS supplier_id
         FROM part""",
@@ -26,7 +26,7 @@ LANDED = {
         FROM orders""",
     "l_items": """
         SELECT row_number() OVER () AS id, l_orderkey AS order_id, l_partkey AS product_id,
-               CAST(floor(l_quantity) AS BIGINT) AS amount,
+               CAST(round(l_quantity) AS BIGINT) AS amount,
                nullif(CAST(round(l_discount * 100) AS BIGINT), 0) AS coupon_id
         FROM lineitem""",
     "l_coupons": """
@@ -48,18 +48,25 @@ def keyed(select: str, key: str, *order: str) -> str:
     return f"{select} QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {by}) = 1"
 
 
+# What every item costs, with the share that its coupon takes off. Prices are exact decimals.
 LINES = """
-    SELECT o.id AS order_id, o.customer_id, i.product_id, i.coupon_id, o.status AS order_status,
-           CAST(o.created_at AS DATE) AS order_date, i.amount, p.price,
-           i.amount * p.price AS total_amount,
-           coalesce(c.discount_percent, 0) AS discount_percent,
-           i.amount * p.price - CASE WHEN c.id IS NOT NULL
-               THEN (i.amount * p.price * c.discount_percent) // 100 ELSE 0 END AS total_price
-           {extra}
-    FROM l_orders o
-    JOIN l_items i ON i.order_id = o.id
-    JOIN l_products p ON p.id = i.product_id
-    LEFT JOIN l_coupons c ON c.id = i.coupon_id"""
+    WITH costs AS (
+        SELECT l_items.id AS item_id, order_id, product_id, coupon_id, amount, price,
+               CAST(amount AS DECIMAL(12, 0)) * price AS gross
+        FROM l_items, l_products WHERE product_id = l_products.id),
+    shares AS (
+        SELECT id AS coupon_id, discount_percent,
+               CAST(discount_percent AS DECIMAL(5, 0)) * CAST(0.01 AS DECIMAL(2, 2)) AS share
+        FROM l_coupons)
+    SELECT order_id, customer_id, product_id, costs.coupon_id, status AS order_status,
+           CAST(created_at AS DATE) AS order_date, amount, price, gross AS total_amount,
+           ifnull(discount_percent, 0) AS discount_percent,
+           gross - ifnull(gross * share, 0) AS total_price, item_id
+    FROM costs LEFT JOIN shares USING (coupon_id), l_orders WHERE order_id = l_orders.id"""
+
+# Decimals that a query returns as they are; those assigned to a column are rounded instead.
+AS_DOUBLE = "CAST({0} AS DOUBLE) AS {0}".format
+ROUNDED = "CAST(round({0}, 0) AS BIGINT) AS {0}".format
 
 STAR = {
     "dim_customers": keyed(
@@ -71,8 +78,8 @@ STAR = {
         "id", "customer_id", "status", "CAST(created_at AS DATE)",
     ),
     "dim_products": keyed(
-        "SELECT id, name, price, category_id, supplier_id FROM l_products",
-        "id", "name", "price", "category_id", "supplier_id",
+        f"SELECT id, name, {ROUNDED('price')}, category_id, supplier_id FROM l_products",
+        "id", "name", "round(price, 0)", "category_id", "supplier_id",
     ),
     "dim_order_items": keyed(
         "SELECT id, order_id, product_id, amount, coupon_id FROM l_items",
@@ -85,20 +92,32 @@ STAR = {
         "id", "customer_id", "login_successful", "attempted_at",
     ),
     "fact_sales": f"""
-        SELECT * EXCLUDE (item_id)
-        FROM ({LINES.format(extra=", i.id AS item_id")})
+        SELECT order_id, customer_id, product_id, coupon_id, order_status, order_date, amount,
+               {ROUNDED("price")}, {ROUNDED("total_amount")}, discount_percent,
+               {ROUNDED("total_price")}
+        FROM ({LINES})
         QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY item_id) = 1""",
 }
 
+BESIDE = {
+    # Every login of a customer beside every sale of the same one.
+    "beside": """
+        SELECT people.*, visit.id AS login, attempted_at, order_id, amount
+        FROM dim_customers AS people, fact_login_attempts AS visit
+        LEFT JOIN fact_sales AS sale ON sale.customer_id = visit.customer_id
+        WHERE visit.customer_id = people.id""",
+    # The sales under the name of their customer.
+    "named": """
+        SELECT first_name, last_name, gender, fact_sales.*
+        FROM fact_sales, dim_customers WHERE dim_customers.id = fact_sales.customer_id""",
+}
+
 LOGIN_PURCHASE = """
-    SELECT concat(c.first_name, ' ', c.last_name) AS customer_name,
-           min(l.attempted_at) AS first_login, max(l.attempted_at) AS last_login,
-           count(DISTINCT l.id) AS login_count, count(DISTINCT s.order_id) AS total_orders,
-           CAST(sum(s.amount) AS BIGINT) AS total_items_bought
-    FROM dim_customers c
-    JOIN fact_login_attempts l ON l.customer_id = c.id
-    LEFT JOIN fact_sales s ON s.customer_id = c.id
-    GROUP BY c.first_name, c.last_name"""
+    SELECT any_value(concat(first_name, ' ', last_name)) AS customer_name,
+           min(attempted_at) AS first_login, max(attempted_at) AS last_login,
+           count(DISTINCT login) AS login_count, count(DISTINCT order_id) AS total_orders,
+           CAST(sum(amount) AS BIGINT) AS total_items_bought
+    FROM beside GROUP BY first_name, last_name"""
 
 TRUE_ITEMS = """
     SELECT concat(n.first_name, ' ', n.last_name) AS customer_name, n.first_login, n.last_login,
@@ -127,18 +146,14 @@ MARTS = {
     "login_purchase_correlations": LOGIN_PURCHASE + " ORDER BY login_count DESC",
     "login_purchase_true_items": TRUE_ITEMS + " ORDER BY login_count DESC",
     "rfm": """
-        SELECT concat(c.first_name, ' ', c.last_name) AS customer_name,
-               CAST(max(s.order_date) AS TIMESTAMP) AS last_purchase_date,
-               count(s.order_id) AS frequency, CAST(sum(s.total_amount) AS BIGINT) AS monetary
-        FROM dim_customers c JOIN fact_sales s ON s.customer_id = c.id
-        GROUP BY c.first_name, c.last_name
-        ORDER BY last_purchase_date DESC, frequency DESC, monetary DESC""",
+        SELECT any_value(concat(first_name, ' ', last_name)) AS customer_name,
+               CAST(max(order_date) AS TIMESTAMP) AS last_purchase_date,
+               count(*) AS frequency, CAST(sum(total_amount) AS BIGINT) AS monetary
+        FROM named GROUP BY first_name, last_name""",
     "top_spender": """
-        SELECT concat(c.first_name, ' ', c.last_name) AS customer_name,
-               CAST(sum(s.total_price) AS BIGINT) AS total_spending
-        FROM fact_sales s JOIN dim_customers c ON c.id = s.customer_id
-        GROUP BY c.first_name, c.last_name
-        ORDER BY total_spending DESC NULLS FIRST""",
+        SELECT any_value(concat(first_name, ' ', last_name)) AS customer_name,
+               CAST(sum(total_price) AS BIGINT) AS total_spending
+        FROM named GROUP BY first_name, last_name""",
     "product_sales_category": """
         SELECT p.name AS product_name, g.name AS category_name,
                CAST(sum(s.total_amount) AS BIGINT) AS total_sales
@@ -148,9 +163,7 @@ MARTS = {
         GROUP BY p.name, g.name
         ORDER BY total_sales DESC NULLS FIRST""",
     "customer_gender_sales": """
-        SELECT c.gender, CAST(sum(s.total_price) AS BIGINT) AS total_sales
-        FROM dim_customers c JOIN fact_sales s ON s.customer_id = c.id
-        GROUP BY c.gender""",
+        SELECT gender, CAST(sum(total_price) AS BIGINT) AS total_sales FROM named GROUP BY gender""",
 }
 
 
@@ -170,9 +183,13 @@ def activities(seed: int, timestamp: str) -> str:
 MINUTE = "TIMESTAMP '2021-01-01 00:00:00' + to_minutes(event_id)"
 
 OTHERS = {
-    "fact_sales_lines": LINES.format(extra=""),
+    "fact_sales_lines": f"""
+        SELECT * EXCLUDE (item_id, price, total_amount, total_price),
+               {AS_DOUBLE("price")}, {AS_DOUBLE("total_amount")}, {AS_DOUBLE("total_price")}
+        FROM ({LINES})""",
     "sales_lines_join": """
-        SELECT o.id AS order_id, o.customer_id, i.id AS item_id, i.product_id, i.amount, p.price
+        SELECT o.id AS order_id, o.customer_id, i.id AS item_id, i.product_id, i.amount,
+               CAST(p.price AS DOUBLE) AS price
         FROM l_orders o
         JOIN l_items i ON i.order_id = o.id
         JOIN l_products p ON p.id = i.product_id""",
@@ -182,11 +199,13 @@ OTHERS = {
     "product_category_join": """
         SELECT p.id AS product_id, p.name AS product_name, g.name AS category_name
         FROM l_products p JOIN l_category g ON g.id = p.category_id""",
-    "discount_math": """
-        SELECT item_id, gross, percent, (gross * percent) // 100 AS discount,
-               gross - CASE WHEN known THEN (gross * percent) // 100 ELSE 0 END AS net
-        FROM (SELECT i.id AS item_id, i.amount * p.price AS gross, c.id IS NOT NULL AS known,
-                     coalesce(c.discount_percent, 0) AS percent
+    "discount_math": f"""
+        SELECT item_id, {AS_DOUBLE("gross")}, percent, CAST(gross * share AS DOUBLE) AS discount,
+               CAST(gross - CASE WHEN known THEN gross * share ELSE 0 END AS DOUBLE) AS net
+        FROM (SELECT i.id AS item_id, CAST(i.amount AS DECIMAL(12, 0)) * p.price AS gross,
+                     c.id IS NOT NULL AS known, coalesce(c.discount_percent, 0) AS percent,
+                     CAST(coalesce(c.discount_percent, 0) AS DECIMAL(5, 0))
+                         * CAST(0.01 AS DECIMAL(2, 2)) AS share
               FROM l_items i JOIN l_products p ON p.id = i.product_id
               LEFT JOIN l_coupons c ON c.id = i.coupon_id)""",
     "customer_full_name": """
@@ -215,13 +234,19 @@ OTHERS = {
     "land_customers_csv": "SELECT * FROM l_customers",
     "land_login_attempts_json": "SELECT * FROM l_logins",
     "land_coupons_json": "SELECT * FROM l_coupons_in_use",
-    "land_products": "SELECT * FROM l_products",
+    "land_login_attempts_columns": "SELECT * FROM l_logins",
+    "land_products": "SELECT * REPLACE (CAST(price AS DOUBLE) AS price) FROM l_products",
     "land_product_category": "SELECT * FROM l_category",
     "land_supplier": "SELECT * FROM supplier",
+    "land_supplier_csv": """
+        SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name,
+               CAST(s_nationkey AS VARCHAR) AS s_nationkey, CAST(s_acctbal AS VARCHAR) AS s_acctbal
+        FROM supplier""",
     "land_orders_parquet": "SELECT * FROM l_orders",
     "land_order_items": "SELECT * FROM l_items",
     "activities_synthetic": activities(0, MINUTE),
     "activities_spine": f"SELECT {MINUTE} AS timestamp FROM events",
+    "activities_job": activities(2, f"strftime({MINUTE}, '%Y-%m-%d %H:%M:%S')"),
     "activities_roundtrip": activities(0, f"strftime({MINUTE}, '%Y-%m-%d %H:%M:%S')"),
 }
 
@@ -233,6 +258,6 @@ def _with(body: str, *groups: dict[str, str]) -> str:
 
 SQL = {
     **{name: _with(f"SELECT * FROM {name}", LANDED, STAR) for name in STAR},
-    **{name: _with(sql, LANDED, STAR) for name, sql in (MARTS | OTHERS).items()},
+    **{name: _with(sql, LANDED, STAR, BESIDE) for name, sql in (MARTS | OTHERS).items()},
     "dim_coupons": _with("SELECT * FROM l_coupons_in_use", LANDED),
 }

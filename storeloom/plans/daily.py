@@ -2,6 +2,10 @@
 
 Each stage writes Parquet tables that the next one reads. The loads of one stage do not
 depend on each other and are submitted together.
+
+Every landing run is a batch, and a partition of each table it lands in. A warehouse table records the
+last batch it has taken in, and its next load reads only later ones. A load that is run again after a
+failure reads its batches again and finds the keys it has loaded.
 """
 
 from __future__ import annotations
@@ -15,10 +19,27 @@ from pyspark.sql import DataFrame, SparkSession
 from storeloom import schemas
 from storeloom.frames import Frames
 from storeloom.functions import conform
-from storeloom.operators import absent_from, append, create_if_absent, load_keyed, replace
+from storeloom.operators import (
+    absent_from,
+    append,
+    batches,
+    create_batched,
+    load_keyed,
+    replace,
+    rows_of,
+    take,
+    taken,
+)
 from storeloom.plans import marts, warehouse
 from storeloom.session import scratch_path
-from storeloom.sources import land_column_json, land_csv, land_json_records, land_table
+from storeloom.sources import (
+    land_activities,
+    land_column_json,
+    land_csv,
+    land_json_records,
+    land_table,
+    write_activities,
+)
 
 # The file names of each landing table. Workbooks arrive as CSV exports.
 FILES = {
@@ -59,9 +80,19 @@ class Store:
     def create(self, database: str, table: str, ddl: str, **options) -> str:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         name = f"{database}.{table}"
-        create_if_absent(self.spark, name, ddl, self.location(database, table), **options)
+        create_batched(self.spark, name, ddl, self.location(database, table), **options)
         return name
 
+    def newest(self) -> int:
+        """The number of the last landing run."""
+        tables = [f"{self.landing}.{name}" for name in FILES]
+        return max((n for table in tables for n in batches(self.spark, table)), default=0)
+
+    def landed(self, after: int = 0, upto: int | None = None) -> Frames:
+        """The landing rows of the batches above ``after``, each with its batch."""
+        read = lambda n: rows_of(self.spark, f"{self.landing}.{n}", after, upto)
+        return Frames({n: lambda n=n: read(n) for n in schemas.LANDING})
+
     def tables(self, database: str, names: Iterable[str]) -> Frames:
         return Frames({n: lambda n=n: self.spark.table(f"{database}.{n}") for n in names})
 
@@ -88,7 +119,7 @@ def read_files(
         return f"{folder.rstrip('/')}/{files[table]}"
 
     def ddl(table: str) -> str:
-        return schemas.LANDING[table]
+        return schemas.FILED[table]
 
     def logins() -> DataFrame | None:
         if login_layout == "columns":
@@ -116,16 +147,17 @@ def read_files(
 
 
 def load_landing(store: Store, frames: Frames) -> None:
-    """Append every frame to its table. Running it again appends the rows again."""
+    """Append every frame to its table, as a batch. Running it again appends the rows again."""
+    batch = store.newest() + 1
 
     def load(name: str) -> None:
         rows = frames[name]
         if rows is None:
             return
-        ddl = schemas.LANDING.get(name) or ", ".join(
+        ddl = schemas.FILED.get(name) or ", ".join(
             f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema
         )
-        append(rows, store.create(store.landing, name, ddl))
+        append(rows, store.create(store.landing, name, ddl), batch)
 
     _together(load, frames)
 
@@ -149,18 +181,54 @@ def without_loaded_orders(landing: Frames, sales: DataFrame) -> Frames:
     return landing.replaced("orders", orders).replaced("order_items", items)
 
 
+# Landing rows that wait for the rest of their sale: an order for an item of a known product, an
+# item for its order. A row leaves when a sale of its order is loaded.
+OPEN = {"orders": ("open_orders", "id"), "order_items": ("open_order_items", "order_id")}
+
+
+def _with_open(store: Store, landing: Frames) -> Frames:
+    """``landing`` with the rows of earlier batches that no sale has come of."""
+    for name, (table, _) in OPEN.items():
+        table = f"{store.warehouse}.{table}"
+        if store.spark.catalog.tableExists(table):
+            earlier = store.spark.table(table)
+            landing = landing.replaced(name, landing[name].unionByName(earlier))
+    return landing
+
+
+def _keep_open(store: Store, landing: Frames, sales: DataFrame) -> None:
+    """Store the rows of ``landing`` that no sale has come of."""
+    loaded = sales.selectExpr("cast(order_id as bigint) as loaded")
+    for name, (table, key) in OPEN.items():
+        rows = landing[name].where(f"{key} is not null").dropDuplicates()
+        waiting = rows.join(loaded, rows[key] == loaded.loaded, "left_anti")
+        versions = store.location(store.warehouse, f"{table}.versions")
+        replace(waiting, f"{store.warehouse}.{table}", versions)
+
+
 def load_warehouse(store: Store) -> None:
-    """Insert the landing rows whose key is new."""
-    landing = store.tables(store.landing, schemas.LANDING)
+    """Insert the landing rows whose key is new, from the batches not taken in yet."""
+    newest = store.newest()
 
     def load(name: str) -> None:
         ddl = store.ddl(schemas.WAREHOUSE[name])
         bucket = (schemas.key_of(name), store.buckets) if store.buckets else None
         table = store.create(store.warehouse, name, ddl, bucket=bucket)
-        source = landing
+        landing = store.landed(taken(store.spark, table), newest)
+        if name == "fact_sales":
+            # A new order may be for an old product, and its price is not among the dimensions.
+            every = store.landed(upto=newest)
+            landing = _with_open(store, landing)
+            source = landing.replaced("products", warehouse.prices_as_found(every["products"]))
+            source = source.replaced("coupons", every["coupons"])
+            source = without_loaded_orders(source, store.spark.table(table))
+        else:
+            source = landing
+        rows = warehouse.LOADS[name](source)
+        load_keyed(rows, table, ddl, warehouse.landed(rows))
         if name == "fact_sales":
-            source = without_loaded_orders(landing, store.spark.table(table))
-        load_keyed(warehouse.LOADS[name](source), table, ddl)
+            _keep_open(store, landing, store.spark.table(table))
+        take(store.spark, table, newest)
 
     _together(load, warehouse.LOADS)
 
@@ -179,7 +247,7 @@ def load_marts(store: Store, mode: str = "overwrite") -> None:
 
     def load(name: str) -> None:
         ddl = store.ddl(schemas.MARTS[name])
-        rows = conform(marts.MARTS[name](shared), ddl)
+        rows = conform(marts.unsorted(name)(shared), ddl)
         if mode == "append":
             append(rows, store.create(store.marts, name, ddl))
         else:
@@ -190,6 +258,14 @@ def load_marts(store: Store, mode: str = "overwrite") -> None:
     _together(load, marts.MARTS)
 
 
+def load_activities(rows: DataFrame, table: str, location: str) -> None:
+    """Activities to a CSV file, and the file in place of what the table holds. The file has no
+    types, so times stay text in the table."""
+    file = scratch_path(rows.sparkSession, "activity_data")
+    write_activities(rows, file)
+    replace(land_activities(rows.sparkSession, file), table, location)
+
+
 def run(store: Store, frames: Frames, mart_mode: str = "overwrite") -> None:
     """All three stages, one after the other."""
     load_landing(store, frames)

@@ -5,13 +5,14 @@ or product with a large share of all sales crosses the shuffle as one row per ma
 Ids are unique in every warehouse table; the sums below rely on that. The functions take the
 tables of ``with_totals``.
 
-Rows come sorted. The name columns break ties, which the sort key alone would leave in one
-range partition however many rows share a value.
+Rows come sorted; ``unsorted`` gives a mart for a sink, which keeps no order. The name columns break
+ties, which the sort key alone would leave in one range partition however many rows share a value.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +24,28 @@ Tables = Mapping[str, DataFrame]
 NAME = ("first_name", "last_name")
 
 
-def _down(column: str) -> Column:
-    return F.col(column).desc_nulls_first()
+Mart = Callable[[Tables], DataFrame]
+
+
+def ordered(*by: str) -> Callable[[Mart], Mart]:
+    """A mart in this order: "-" before a column is descending with NULL first, "+" ascending with
+    NULL last, none ascending with NULL first."""
+
+    def key(name: str) -> Column:
+        column = F.col(name.lstrip("+-"))
+        if name[0] == "-":
+            return column.desc_nulls_first()
+        return column.asc_nulls_last() if name[0] == "+" else column.asc_nulls_first()
+
+    def wrap(build: Mart) -> Mart:
+        @wraps(build)
+        def mart(star: Tables) -> DataFrame:
+            return build(star).orderBy(*[key(name) for name in by])
+
+        mart.rows = build
+        return mart
+
+    return wrap
 
 
 def sales_by_customer(sales: DataFrame) -> DataFrame:
@@ -57,6 +78,7 @@ def with_totals(star: Tables) -> Frames:
     )
 
 
+@ordered("+day")
 def burn_rate(star: Tables) -> DataFrame:
     """Discount given per day, truncated for each sale before it is added."""
     sales = star["fact_sales"].select("product_id", "coupon_id", "order_date", "amount")
@@ -68,7 +90,6 @@ def burn_rate(star: Tables) -> DataFrame:
         .join(percents, "coupon_id", "left")
         .groupBy(day_of("order_date").alias("day"))
         .agg(F.sum(discount).alias("total_discount_given"))
-        .orderBy(F.col("day").asc_nulls_last())
     )
 
 
@@ -100,10 +121,10 @@ def _by_name(totals: DataFrame, items: Column) -> DataFrame:
             "total_orders",
             "total_items_bought",
         )
-        .orderBy(_down("login_count"), "customer_name")
     )
 
 
+@ordered("-login_count", "customer_name")
 def login_purchase_correlations(star: Tables) -> DataFrame:
     """Logins and purchases per customer name.
 
@@ -113,11 +134,13 @@ def login_purchase_correlations(star: Tables) -> DataFrame:
     return _by_name(_logins_and_sales(star), F.sum(F.col("logins") * F.col("items")))
 
 
+@ordered("-login_count", "customer_name")
 def login_purchase_true_items(star: Tables) -> DataFrame:
     """The same mart with every item counted once."""
     return _by_name(_logins_and_sales(star), F.sum("items"))
 
 
+@ordered("-last_purchase_date", "-frequency", "-monetary", "customer_name")
 def rfm(star: Tables) -> DataFrame:
     """Last purchase, number of orders and gross sales per customer name."""
     return (
@@ -133,12 +156,10 @@ def rfm(star: Tables) -> DataFrame:
         .select(
             full_name(*NAME).alias("customer_name"), "last_purchase_date", "frequency", "monetary"
         )
-        .orderBy(
-            _down("last_purchase_date"), _down("frequency"), _down("monetary"), "customer_name"
-        )
     )
 
 
+@ordered("-total_spending", "customer_name")
 def top_spender(star: Tables) -> DataFrame:
     """Net sales per customer name, highest first. Every customer with a sale is listed."""
     return (
@@ -148,10 +169,10 @@ def top_spender(star: Tables) -> DataFrame:
         .groupBy(*NAME)
         .agg(F.sum("net").alias("total_spending"))
         .select(full_name(*NAME).alias("customer_name"), "total_spending")
-        .orderBy(_down("total_spending"), "customer_name")
     )
 
 
+@ordered("-total_sales", "product_name", "category_name")
 def product_sales_category(star: Tables) -> DataFrame:
     """Gross sales per product name and category name."""
     by_product = star["fact_sales"].groupBy("product_id").agg(F.sum("total_amount").alias("gross"))
@@ -164,7 +185,6 @@ def product_sales_category(star: Tables) -> DataFrame:
         .join(categories, "category_id")
         .groupBy("product_name", "category_name")
         .agg(F.sum("gross").alias("total_sales"))
-        .orderBy(_down("total_sales"), "product_name", "category_name")
     )
 
 
@@ -187,3 +207,8 @@ MARTS = {
     "product_sales_category": product_sales_category,
     "customer_gender_sales": customer_gender_sales,
 }
+
+
+def unsorted(name: str) -> Mart:
+    """The builder of a mart without its order."""
+    return getattr(MARTS[name], "rows", MARTS[name])

@@ -23,6 +23,13 @@ LANDING: dict[str, str] = {
     "coupon_id BIGINT",
 }
 
+# Prices in files may have cents. They stay exact up to the assignment to a warehouse column.
+FILED: dict[str, str] = {
+    **LANDING,
+    "products": "id BIGINT, name STRING, price DECIMAL(16,4), category_id BIGINT, "
+    "supplier_id BIGINT",
+}
+
 # The column names and types the warehouse and mart tables are declared with.
 WAREHOUSE: dict[str, str] = {
     "fact_sales": "order_id INT, customer_id INT, product_id INT, coupon_id INT, "

@@ -18,6 +18,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
     "spark.ui.enabled": "false",
 }
 

@@ -1,13 +1,18 @@
 """Landing readers. Each takes a path or glob and gives a frame in the declared columns.
 
-A path that matches nothing gives ``None``: there is then nothing to land.
+A path that matches nothing gives ``None``: there is then nothing to land. What a reader can't keep
+fails the job: a cell beyond the header, a key or column that is not declared, digits that a column
+has no room for.
 """
 
 from __future__ import annotations
 
 import csv
+import json
+import re
 from collections import defaultdict
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce, wraps
 from urllib.parse import unquote
 
@@ -27,8 +32,18 @@ MISSING = [
 
 # Microseconds in one unit of a number since 1970.
 UNITS = {"s": 1_000_000, "ms": 1_000, "us": 1, "ns": 0.001}
-# A column for what a CSV row has beyond its header.
-BEYOND = "_beyond_header"
+# A column for the text of a CSV row that has more or fewer cells than its header.
+RECORD = "_whole_record"
+# A cell of such a row: quoted, with doubled quotes inside, or up to the next comma.
+CELL = r'("(?:[^"]|"")*"|[^,]*)(?:,|$)'
+# Bytes read for the header of a file; twice as many as long as no line ends among them.
+HEADER_BYTES = 1 << 16
+# Files whose header or schema is read at the same time.
+AT_ONCE = 32
+# Formats whose schemas Spark merges.
+MERGED = {"parquet", "orc"}
+# Parquet times in nanoseconds are read as numbers, which Spark does only where this is set.
+NANOS = "spark.sql.legacy.parquet.nanosAsLong"
 
 
 def none_if_no_files(read: Callable) -> Callable:
@@ -55,6 +70,11 @@ def _typed(text: Column, kind: str, unit: str = "ms") -> Column:
         return F.when(number.isNull() | (number == whole), whole).otherwise(failure).cast("bigint")
     if kind.startswith("TIMESTAMP"):
         return _timestamp(text, unit)
+    if kind.startswith("DECIMAL"):
+        exact = text.cast("decimal(38,12)")
+        failure = F.raise_error(F.concat(F.lit(f"more digits than {kind}: "), text))
+        fits = exact.isNull() | (exact == exact.cast(kind))
+        return F.when(fits, exact).otherwise(failure).cast(kind)
     return text.cast(kind)
 
 
@@ -77,24 +97,52 @@ def _timestamp(text: Column, unit: str) -> Column:
     )
 
 
+def _first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a file of any store that Spark reads, from a bounded number of bytes."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+    stream = place.getFileSystem(conf).open(place)
+    try:
+        stream = codec.createInputStream(stream) if codec else stream
+        found, size = b"", HEADER_BYTES
+        while True:
+            more = bytes(stream.readNBytes(size))
+            found, size = found + more, 2 * size
+            line = re.match(rb"[^\r\n]*(?=[\r\n])", found)
+            if line or not more:
+                text = (line.group() if line else found).decode("utf-8-sig", "replace")
+                return text or None
+    finally:
+        stream.close()
+
+
 @none_if_no_files
-def _headers(spark: SparkSession, path: str) -> dict[str, list[str]] | None:
-    """Header line -> files that start with it.
+def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Header line -> files that start with it. The driver gets a path and a line per file."""
+    files = spark.read.text(path).inputFiles()
+    found = defaultdict(list)
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        lines = pool.map(lambda file: _first_line(spark, file), files)
+        for file, line in zip(files, lines):
+            if line is not None:
+                found[line].append(unquote(file))
+    return found
+
+
+def _nothing_beyond(record: Column, width: int, cell: Column) -> Column:
+    """True for a row whose cells beyond the header, if any, are blank; other rows fail.
 
-    The first line of a file is the first row of the split that begins at its byte 0, and
-    one task reads that split in order. The driver gets one line per file.
+    ``cell`` is one of the row's cells: Spark doesn't read a record's text alone.
     """
-    first_lines = (
-        spark.read.text(path)
-        .select("value", "_metadata.file_path", "_metadata.file_block_start")
-        .where("file_block_start = 0")
-        .groupBy("file_path")
-        .agg(F.first("value").alias("header"))
+    cells = F.regexp_extract_all(record, F.lit(CELL), F.lit(1))
+    beyond = F.filter(
+        F.slice(cells, F.lit(width + 1), F.size(cells)),
+        lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))) != "",
     )
-    found = defaultdict(list)
-    for row in first_lines.toLocalIterator():
-        found[row.header].append(unquote(row.file_path))
-    return found
+    what = F.concat(F.lit("a row with more cells than the header: "), record)
+    failure = F.raise_error(F.concat(what, F.substring(F.coalesce(cell, F.lit("")), 1, 0)))
+    return F.when(record.isNull() | (F.size(beyond) == 0), F.lit(True)).otherwise(failure)
 
 
 def land_csv(
@@ -104,7 +152,8 @@ def land_csv(
 
     A declared column that a file lacks is NULL there; a column that is not declared is an error.
     Without ``ddl`` every column found in any file is kept, as text. Quotes inside a quoted cell
-    are doubled. A row with fewer cells than the header is filled up, one with more fails.
+    are doubled. A row with fewer cells than the header is filled up. Of one with more, blank cells
+    beyond the header are let go, as a comma at the end of a line makes one; any other fails.
     ``line_breaks`` allows them in quoted cells; each file is then read by one task.
     """
     headers = _headers(spark, path)
@@ -117,13 +166,20 @@ def land_csv(
         unknown = set(found) - {name for name, _ in declared}
         if unknown:
             raise ValueError(f"columns that are not declared: {', '.join(sorted(unknown))}")
+        if len(set(found)) < len(found):
+            raise ValueError(f"a column that is there twice: {header}")
         # All these files have this header, so cells are found by their place.
-        text = T.StructType([T.StructField(name, T.StringType()) for name in [*found, BEYOND]])
-        rows = spark.read.csv(
-            sorted(files), schema=text, header=True, escape='"', multiLine=line_breaks
+        text = T.StructType([T.StructField(name, T.StringType()) for name in [*found, RECORD]])
+        # A parser that skips cells nobody reads doesn't count them.
+        rows = spark.read.option("columnPruning", False).csv(
+            sorted(files),
+            schema=text,
+            header=True,
+            escape='"',
+            multiLine=line_breaks,
+            columnNameOfCorruptRecord=RECORD,
         )
-        too_long = F.raise_error(F.lit("a row with more cells than the header"))
-        rows = rows.where(F.when(F.col(BEYOND).isNull(), F.lit(True)).otherwise(too_long))
+        rows = rows.where(_nothing_beyond(F.col(RECORD), len(found), F.col(f"`{found[0]}`")))
         cells = {
             name: F.when(~F.col(f"`{name}`").isin(MISSING), F.col(f"`{name}`")) for name in found
         }
@@ -138,6 +194,16 @@ def land_csv(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _only(declared: list[str], keys: Column) -> Column:
+    """True for a record without keys beyond the declared ones; any other fails."""
+    unknown = F.array_except(keys, F.array(*[F.lit(name) for name in declared]))
+    what = F.concat(F.lit("keys that are not declared: "), F.array_join(unknown, ", "))
+    return F.when(F.size(unknown) == 0, F.lit(True)).otherwise(F.raise_error(what))
+
+
+STRICT = {"mode": "FAILFAST"}
+
+
 @none_if_no_files
 def land_column_json(
     spark: SparkSession, path: str, ddl: str, unit: str = "ms"
@@ -147,30 +213,23 @@ def land_column_json(
     Rows are the union of the row keys of all columns; a column without a row's key is NULL
     there. Cells meet by (file, row key) in a shuffle, so a file costs time in proportion to
     its cells. The document of one file is parsed by one task: this layout cannot be split. A
-    broken document fails. ``unit`` is that of timestamps written as numbers.
+    broken document fails, and so does a column that is not declared. ``unit`` is that of
+    timestamps written as numbers.
     """
     names = schemas.names(ddl)
-    text_map = T.MapType(T.StringType(), T.StringType())
-    raw = T.StructType([T.StructField(name, text_map) for name in names])
-    documents = spark.read.json(path, schema=raw, multiLine=True, mode="FAILFAST")
-
-    def cells(name: str) -> Column:
-        return F.transform(
-            F.map_entries(name),
-            lambda cell: F.struct(
-                cell["key"].alias("row"),
-                *[
-                    (cell["value"] if n == name else F.lit(None).cast("string")).alias(n)
-                    for n in names
-                ],
-            ),
-        )
-
-    all_cells = F.concat(*[F.coalesce(cells(name), F.array()) for name in names])
+    documents = spark.read.text(path, wholetext=True).select(
+        "_metadata.file_path",
+        F.from_json("value", "map<string,map<string,string>>", STRICT).alias("columns"),
+    )
+    cells = (
+        documents.where(_only(names, F.map_keys("columns")))
+        .select("file_path", F.explode("columns").alias("name", "cells"))
+        .select("file_path", "name", F.explode("cells").alias("row", "cell"))
+    )
+    of = {name: F.max(F.when(F.col("name") == name, F.col("cell"))) for name in names}
     return (
-        documents.select("_metadata.file_path", F.explode(all_cells).alias("cell"))
-        .groupBy("file_path", "cell.row")
-        .agg(*[F.max(f"cell.{name}").alias(name) for name in names])
+        cells.groupBy("file_path", "row")
+        .agg(*[cell.alias(name) for name, cell in of.items()])
         .select(*[_typed(F.col(n), kind, unit).alias(n) for n, kind in schemas.columns(ddl)])
     )
 
@@ -181,21 +240,78 @@ def land_json_records(
 ) -> DataFrame | None:
     """JSON lines (splittable), or with ``lines=False`` one array of records per file.
 
-    A broken record fails. ``unit`` is that of timestamps written as numbers.
+    A broken record fails, and so does one with a key that is not declared. ``unit`` is that of
+    timestamps written as numbers.
     """
     declared = schemas.columns(ddl)
-    raw = T.StructType([T.StructField(name, T.StringType()) for name, _ in declared])
-    rows = spark.read.json(path, schema=raw, multiLine=not lines, mode="FAILFAST")
-    return rows.select(*[_typed(F.col(name), kind, unit).alias(name) for name, kind in declared])
+    text = spark.read.text(path, wholetext=not lines).where(~F.col("value").rlike(r"^\s*$"))
+    if lines:
+        records = text.select(F.from_json("value", "map<string,string>", STRICT).alias("record"))
+    else:
+        one = F.concat(F.lit("["), "value", F.lit("]"))
+        listed = F.when(F.col("value").rlike(r"^\s*\{"), one).otherwise(F.col("value"))
+        found = F.from_json(listed, "array<map<string,string>>", STRICT)
+        records = text.select(F.explode(found).alias("record"))
+    rows = records.where(_only([name for name, _ in declared], F.map_keys("record")))
+    return rows.select(
+        *[_typed(F.col("record")[name], kind, unit).alias(name) for name, kind in declared]
+    )
+
+
+def _as_declared(rows: DataFrame, ddl: str | None, unit: str) -> DataFrame:
+    """``conform``, with NULL for a column that is lacking and times made from numbers."""
+    if ddl is None:
+        return rows
+    found, cells = rows.schema, []
+    for name, kind in schemas.columns(ddl):
+        if name not in found.names:
+            cells.append(F.lit(None).cast("string").alias(name))
+        elif kind.startswith("TIMESTAMP") and isinstance(found[name].dataType, T.LongType):
+            cells.append(_timestamp(F.col(f"`{name}`").cast("string"), unit).alias(name))
+        else:
+            cells.append(F.col(f"`{name}`"))
+    return conform(rows.select(*cells), ddl)
+
+
+def _by_schema(spark: SparkSession, files: list[str], format: str) -> list[DataFrame]:
+    """A frame per schema that the files carry. The driver gets a path and a schema per file."""
+    place = {unquote(file): file for file in files}
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        kinds = pool.map(lambda file: spark.read.format(format).load(file).schema, place)
+        found = defaultdict(list)
+        for file, kind in zip(place, kinds):
+            found[kind.json()].append(file)
+    return [
+        spark.read.format(format).schema(T.StructType.fromJson(json.loads(kind))).load(part)
+        for kind, part in sorted(found.items())
+    ]
 
 
 @none_if_no_files
 def land_table(
-    spark: SparkSession, path: str, ddl: str | None = None, format: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    ddl: str | None = None,
+    format: str = "parquet",
+    unit: str = "ns",
 ) -> DataFrame | None:
     """Files that carry their own schema: Parquet, Avro, ORC.
 
-    Without ``ddl`` every column is kept as it is.
+    Columns are matched by name. Files may differ in their columns and in the types of these: a
+    column that a file lacks is NULL there. Without ``ddl`` every column of any file is kept.
+    Spark merges schemas of Parquet and ORC in tasks; only where types differ, and for formats it
+    doesn't merge, the files are grouped by schema. Times that a file holds as numbers, which
+    includes Parquet's nanoseconds, are in ``unit``; digits beyond microseconds are cut.
     """
-    rows = spark.read.format(format).load(path)
-    return conform(rows, ddl) if ddl else rows
+    spark.conf.set(NANOS, "true")
+    rows = spark.read.format(format).option("mergeSchema", True)
+    if format in MERGED:
+        try:
+            return _as_declared(rows.load(path), ddl, unit)
+        except Exception as error:
+            if "MERGE_SCHEMAS" not in str(error):
+                raise
+    # The schema given keeps Spark from merging those of the files, whose names alone are needed.
+    files = spark.read.format(format).schema("storeloom_none INT").load(path).inputFiles()
+    parts = [_as_declared(part, ddl, unit) for part in _by_schema(spark, files, format)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

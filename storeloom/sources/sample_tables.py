@@ -56,11 +56,10 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
-    # A bare cast of a double rounds on some engines and truncates on others.
     return read(spark, folder, "part").selectExpr(
         "p_partkey as id",
         "p_name as name",
-        "cast(floor(p_retailprice) as bigint) as price",
+        "cast(p_retailprice as decimal(16,4)) as price",
         f"{name_digest('p_type')} as category_id",
         "cast(null as bigint) as supplier_id",
     )
@@ -88,7 +87,7 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
     """The id is the row's place in the table, from 1."""
     lines = read(spark, folder, "lineitem")
     place = "_metadata.row_index + 1"
-    files = len(lines._jdf.inputFiles())  # counted in the JVM: the names stay there
+    files = len(lines.inputFiles())
     if files > 1:
         # Rows before each file: one row per file, from the file footers alone. Each line
         # finds its file by a number, which is cheaper to compare than the name.
@@ -104,7 +103,8 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
         f"{place} as id",
         "l_orderkey as order_id",
         "l_partkey as product_id",
-        "cast(floor(l_quantity) as bigint) as amount",
+        # A bare cast of a double rounds on some engines and truncates on others.
+        "cast(round(l_quantity) as bigint) as amount",
         f"{COUPON} as coupon_id",
     )
 
