@@ -1,6 +1,10 @@
+import gzip
 import json
 from datetime import datetime
+from decimal import Decimal
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from storeloom import schemas
@@ -235,3 +239,123 @@ def test_item_ids_over_several_files(spark, tmp_path):
     )
     expected = [r.l_orderkey for r in by_file.orderBy("file_path", "row_index").collect()]
     assert [r.order_id for r in items.orderBy("id").collect()] == expected
+
+
+@pytest.mark.parametrize("row", ["2,20,,X", "2,20,X", '2,20,,"a, ""b"""', "2,20,,,,0"])
+def test_csv_cells_beyond_the_header_fail_wherever_they_stand(spark, tmp_path, row):
+    put(tmp_path / "c.csv", f"id,discount_percent\n1,10\n{row}\n")
+    for read in (
+        lambda f: f.collect(),
+        lambda f: f.select("id").collect(),
+        lambda f: f.count(),
+        lambda f: f.agg({"id": "sum"}).collect(),
+    ):
+        with pytest.raises(Exception, match="more cells than the header"):
+            read(land_csv(spark, str(tmp_path / "c.csv"), COUPONS))
+
+
+@pytest.mark.parametrize("row", ["2,20,", "2,20,,,", '2,20,""', "2,20, "])
+def test_csv_blank_cells_beyond_the_header_are_let_go(spark, tmp_path, rows, row):
+    put(tmp_path / "c.csv", f"id,discount_percent\n1,10\n{row}\n")
+    found = land_csv(spark, str(tmp_path / "c.csv"), COUPONS)
+    assert rows(found) == [(1, 10), (2, 20)] and found.count() == 2
+
+
+def test_csv_column_that_is_there_twice_fails(spark, tmp_path):
+    put(tmp_path / "c.csv", "id,discount_percent,id\n1,10,2\n")
+    with pytest.raises(ValueError, match="there twice"):
+        land_csv(spark, str(tmp_path / "c.csv"), COUPONS)
+
+
+def test_csv_headers_are_read_from_few_bytes(spark, tmp_path, conf):
+    conf(spark__sql__files__maxPartitionBytes="200000")
+    put(tmp_path / "c.csv", "id,discount_percent\n" + "".join(f"{n},{n % 90}\n" for n in range(400_000)))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    before = sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    found = land_csv(spark, str(tmp_path / "c.csv"), COUPONS)
+    after = sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    jobs = tracker.getJobIdsForGroup("headers")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs, "no job reads the file for its header"
+    assert after - before < 300_000 < (tmp_path / "c.csv").stat().st_size
+    assert found.rdd.getNumPartitions() > 8 and found.count() == 400_000
+
+
+def test_csv_headers_of_any_length_and_line_end(spark, tmp_path, rows):
+    wide = [f"column_{n}_{'x' * 50}" for n in range(3000)]
+    put(tmp_path / "a" / "wide.csv", ",".join(wide) + "\r\n" + ",".join("1" for _ in wide) + "\r\n")
+    found = land_csv(spark, str(tmp_path / "a" / "wide.csv"))
+    assert found.columns == wide and set(rows(found)[0]) == {"1"}
+    put(tmp_path / "b" / "c.csv", "﻿id,discount_percent\n")
+    assert rows(land_csv(spark, str(tmp_path / "b" / "c.csv"), COUPONS)) == []
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "c.csv").write_text("id")
+    assert rows(land_csv(spark, str(tmp_path / "d" / "c.csv"), COUPONS)) == []
+    with gzip.open(tmp_path / "d" / "z.csv.gz", "wt") as out:
+        out.write("discount_percent,id\n5,1\n")
+    assert rows(land_csv(spark, str(tmp_path / "d" / "*.gz"), COUPONS)) == [(1, 5)]
+
+
+def test_json_keys_that_are_not_declared_fail(spark, tmp_path):
+    put(tmp_path / "a.json", '{"id":1,"discount_percent":10}\n\n{"id":2,"discount_percent":10,"extra":5}\n')
+    put(tmp_path / "b.json", '[{"id":1},{"id":2,"extra":null}]')
+    for name, lines in (("a.json", True), ("b.json", False)):
+        with pytest.raises(Exception, match="not declared: extra"):
+            land_json_records(spark, str(tmp_path / name), COUPONS, lines).select("id").collect()
+    put(tmp_path / "c.json", '{"id": {"0": 1}, "extra": {"0": 1}, "more": {}}')
+    with pytest.raises(Exception, match="not declared: extra, more"):
+        land_column_json(spark, str(tmp_path / "c.json"), COUPONS).collect()
+
+
+def test_json_records_of_one_object_and_none(spark, tmp_path, rows):
+    put(tmp_path / "a.json", ' \n{"id": 1,\n "discount_percent": null}')
+    assert rows(land_json_records(spark, str(tmp_path / "a.json"), COUPONS, lines=False)) == [(1, None)]
+    put(tmp_path / "b.json", "[]")
+    assert rows(land_json_records(spark, str(tmp_path / "b.json"), COUPONS, lines=False)) == []
+    put(tmp_path / "c.json", '{"id": {}, "discount_percent": {}}')
+    assert rows(land_column_json(spark, str(tmp_path / "c.json"), COUPONS)) == []
+
+
+def test_prices_keep_their_cents_and_no_digit_is_cut(spark, tmp_path, rows):
+    filed = schemas.FILED["products"]
+    put(tmp_path / "p.csv", "id,name,price\n1,ring,19.99\n2,bolt,7\n3,nut,\n4,pin,1e2\n")
+    found = rows(land_csv(spark, str(tmp_path / "p.csv"), filed).select("price"))
+    assert found == [(Decimal("19.99"),), (Decimal("7"),), (None,), (Decimal("100"),)]
+    put(tmp_path / "q.csv", "id,name,price\n1,ring,19.99999\n")
+    with pytest.raises(Exception, match="more digits than"):
+        land_csv(spark, str(tmp_path / "q.csv"), filed).collect()
+
+
+def test_parquet_with_nanoseconds(spark, tmp_path, rows):
+    times = pa.array([1714557600_123456789, None], pa.timestamp("ns"))
+    kept = pa.array([1714557600_123456, None], pa.timestamp("us"))
+    for name, column in (("a", times), ("b", kept)):
+        table = pa.table({"id": [1, 2], "customer_id": [7, 7], "status": ["A", None], "created_at": column})
+        pq.write_table(table, tmp_path / f"{name}.parquet", version="2.6")
+    expected = [(1, 7, "A", datetime(2024, 5, 1, 10, 0, 0, 123456)), (2, 7, None, None)]
+    orders = schemas.LANDING["orders"]
+    assert rows(land_table(spark, str(tmp_path / "a.parquet"), orders)) == expected
+    both = rows(land_table(spark, str(tmp_path / "*.parquet"), orders))
+    assert sorted(both, key=str) == sorted(2 * expected, key=str)
+
+
+@pytest.mark.parametrize("format", ["parquet", "orc"])
+def test_files_of_differing_columns(spark, tmp_path, rows, format):
+    place = str(tmp_path / "items")
+    for sql in (
+        "select 11L id, 1L order_id, 5L product_id, 2L amount",
+        "select 3L coupon_id, 6 product_id, 1 order_id, 12 id, 4.0D amount",
+        "select '13' id, '2' order_id, 6L product_id, cast(null as bigint) amount",
+    ):
+        spark.sql(sql).coalesce(1).write.mode("append").format(format).save(place)
+    found = rows(land_table(spark, place, schemas.LANDING["order_items"], format))
+    assert sorted(found) == [(11, 1, 5, 2, None), (12, 1, 6, 4, 3), (13, 2, 6, None, None)]
+
+
+def test_files_of_differing_columns_without_declared_ones(spark, tmp_path):
+    place = str(tmp_path / "supplier")
+    spark.sql("select 1 id, 'x' name").write.parquet(place)
+    spark.sql("select 2 id, 'y' phone").write.mode("append").parquet(place)
+    found = {r.id: (r.name, r.phone) for r in land_table(spark, place).collect()}
+    assert found == {1: ("x", None), 2: (None, "y")}
