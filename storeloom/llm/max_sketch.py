@@ -50,8 +50,9 @@ IS_TERM = (
     | ((_CODES >= 97) & (_CODES <= 122))
     | (_CODES >= 128)
 )
-TERMS = Spelling(IS_TERM, LOWER - 1)
+TERMS = Spelling(IS_TERM, LOWER)
 
+# A power of two, 65,536 at most.
 SLOTS = 1 << 14
 # Terms of the queries of one block, and cells that a lookup holds: 32 MB.
 BLOCK_TERMS = 1 << 16
@@ -104,8 +105,8 @@ def _words(chunk: Chunk):
     return of, TERMS.hashes(chunk), np.ones(len(of), np.int64)
 
 
-def _slots(terms: np.ndarray) -> np.ndarray:
-    return (terms >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+def _slots(terms: np.ndarray, slots: int) -> np.ndarray:
+    return (terms >> np.uint64(65 - slots.bit_length())).astype(np.int64)
 
 
 # --- sketches ----------------------------------------------------------------------------------
@@ -118,15 +119,15 @@ def _named(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.md5(body).alias("digest"), body.alias("body"))
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, n, slots, most) of each text with a term: its slots in use (uint16) and the
-    largest frequency in each (uint32)."""
+def sketches(docs: DataFrame, among: int = SLOTS) -> DataFrame:
+    """(doc_id, digest, n, slots, most) of each text with a term: its slots in use, of ``among``
+    (uint16), and the largest frequency in each (uint32)."""
 
     def run(batches):
         for batch in batches:
             out = {"n": [], "slots": [], "most": []}
             for part in counted(batch.column("body").to_pylist()):
-                of, slots = part.of, _slots(part.terms)
+                of, slots = part.of, _slots(part.terms, among)
                 order = np.lexsort((part.counts, slots, of))
                 of, slots, counts = of[order], slots[order], part.counts[order]
                 last = np.ones(len(of), bool)
@@ -252,13 +253,15 @@ def _documents_with(docs: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
 ASKED = "query int, doc_id bigint, digest string, bound bigint"
 
 
-def _lookup(index: DataFrame, shared, least: np.ndarray | None, most: int) -> DataFrame:
+def _lookup(
+    index: DataFrame, among: int, shared, least: np.ndarray | None, most: int = 0
+) -> DataFrame:
     """(query, doc_id, digest, bound). With ``least``, all whose bound reaches the query's; without,
     the ``most`` highest of a task."""
 
     def bounds(queries: Queries, batch) -> Iterator[tuple[int, np.ndarray]]:
-        slots, columns = np.unique(_slots(queries.vocabulary), return_inverse=True)
-        column = np.full(SLOTS, len(slots))
+        slots, columns = np.unique(_slots(queries.vocabulary, among), return_inverse=True)
+        column = np.full(among, len(slots))
         column[slots] = np.arange(len(slots))
         sizes = batch.column("n").to_numpy()
         lengths = queries.lengths(sizes)
@@ -374,11 +377,17 @@ def _best(scored: DataFrame, k: int) -> DataFrame:
     return scored.where("score > 0").selectExpr("*", rank).where(F.col("rank") <= k)
 
 
-def search(docs: DataFrame, items: DataFrame, k: int = 10, index: DataFrame | None = None) -> DataFrame:
+def search(
+    docs: DataFrame,
+    items: DataFrame,
+    k: int = 10,
+    index: DataFrame | None = None,
+    among: int = SLOTS,
+) -> DataFrame:
     """(item_id, rank, doc_id, score): the ``k`` best documents of each item. ``index`` are the
-    ``sketches`` of ``docs``, where they are kept; else they are made."""
+    ``sketches`` of ``docs``, of ``among`` slots, where they are kept; else they are made."""
     spark = docs.sparkSession
-    index = settled(sketches(docs), "sketches") if index is None else index
+    index = settled(sketches(docs, among), "sketches") if index is None else index
     totals = index.agg(F.count("*").alias("documents"), F.sum("n").alias("words")).first()
     queries = settled(_query_terms(items), "queries")
     kind = items.schema["item_id"].dataType.simpleString()
@@ -395,13 +404,13 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, index: DataFrame | No
         asked.weights = np.array([_weight(totals.documents, int(n)) for n in holding], np.int64)
         shared = spark.sparkContext.broadcast(asked)
         highest = "row_number() over (partition by query order by bound desc) as place"
-        first = _lookup(index, shared, None, FIRST * k).selectExpr("*", highest)
+        first = _lookup(index, among, shared, None, FIRST * k).selectExpr("*", highest)
         first = first.where(F.col("place") <= FIRST * k).drop("place")
         known = _best(_scored(docs, settled(first, "first"), shared, k), k)
         least = np.ones(len(rows), np.int64)
         for row in known.where(F.col("rank") == k).collect():
             least[row.query] = row.score
-        rest = settled(_lookup(index, shared, least, 0), "candidates")
+        rest = settled(_lookup(index, among, shared, least), "candidates")
         best = _best(_scored(docs, rest, shared, k), k)
         names = spark.createDataFrame(
             [(i, r.item_id) for i, r in enumerate(rows)], f"query int, item_id {kind}"

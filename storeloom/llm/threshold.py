@@ -36,8 +36,8 @@ SCALE = 256
 # Rows of a shard, and anchors that are sent to the tasks at once.
 SHARD_ROWS = 4096
 ANCHORS = 4096
-# Rows read from each list before the threshold is looked at; twice as many each time.
-FIRST_DEPTH = 32
+# Rows read from each list before the threshold is looked at; four times as many each time.
+FIRST_DEPTH = 64
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -103,42 +103,68 @@ class Shard:
         self.largest = int(np.abs(self.values).max(initial=0))
         self.floats = self.values.astype(np.float64)
 
-    def scorer(self, anchor: np.ndarray):
+    def scores(self, anchor: np.ndarray, rows: np.ndarray) -> np.ndarray:
         bound = self.largest * int(np.abs(anchor).sum())
         if bound >= 1 << 63:
             raise OverflowError("scores of these vectors do not fit 64 bits")
-        if bound < 1 << 53:
-            weights = anchor.astype(np.float64)
-            return lambda rows: (self.floats[rows] @ weights).astype(np.int64)
-        return lambda rows: self.values[rows] @ anchor
-
-    def read(self, anchor: np.ndarray, wanted, done, scores: np.ndarray, ids: np.ndarray):
-        """Reads the lists until ``done`` (threshold, scores) says so. Takes the rows for which
-        ``wanted`` (row numbers) holds; gives scores and ids, highest first, with those given."""
-        score, n = self.scorer(anchor), len(self.ids)
+        values = self.floats if bound < 1 << 53 else self.values
+        # Rows are copied to be picked, so for many it is cheaper to pick their scores.
+        if 8 * len(rows) > len(self.ids):
+            return (values @ anchor.astype(values.dtype))[rows].astype(np.int64)
+        return (values[rows] @ anchor.astype(values.dtype)).astype(np.int64)
+
+    def read(
+        self, anchor: np.ndarray, wanted: np.ndarray, done, found: Ranked, *, first: int = FIRST_DEPTH
+    ) -> Ranked:
+        """Reads the lists until ``done`` (threshold, found) says so or no row is left. Adds the
+        rows met for which ``wanted`` holds to those ``found`` in other shards."""
+        n, depth, last = len(self.ids), 0, first
         up, down = np.flatnonzero(anchor > 0), np.flatnonzero(anchor < 0)
-        new = ~np.isin(self.ids, ids)
-        depth, last = 0, FIRST_DEPTH
-        while depth < n:
+        left = np.ones(n, bool)
+        while left.any():
             last = min(last, n)
             met = np.zeros(n, bool)
             met[self.lists[up, depth:last].ravel()] = True
             met[self.lists[down, n - last : n - depth].ravel()] = True
             if last == n:
                 met[:] = True  # also what an anchor of zeros reads from no list
-            rows = np.flatnonzero(met & new)
-            new[rows] = False
-            rows = rows[wanted(rows)]
-            scores = np.concatenate([scores, score(rows)])
-            ids = np.concatenate([ids, self.ids[rows]])
-            order = np.lexsort((ids, -scores))
-            scores, ids = scores[order], ids[order]
+            rows = np.flatnonzero(met & left & wanted)
+            left &= ~met
+            found = found.with_(self.scores(anchor, rows), self.ids[rows])
             high = self.values[self.lists[up, last - 1], up]
             low = self.values[self.lists[down, n - last], down]
-            if done(int(high @ anchor[up] + low @ anchor[down]), scores):
+            if done(int(high @ anchor[up] + low @ anchor[down]), found):
                 break
-            depth, last = last, 2 * last
-        return scores, ids
+            depth, last = last, 4 * last
+        return found
+
+
+class Ranked:
+    """Scores from the highest down, and the ids of their rows. Ties are in no order."""
+
+    def __init__(self, scores: np.ndarray, ids: np.ndarray):
+        order = np.argsort(-scores)
+        self.scores, self.ids = scores[order], ids[order]
+
+    def with_(self, scores: np.ndarray, ids: np.ndarray) -> Ranked:
+        return Ranked(np.concatenate([self.scores, scores]), np.concatenate([self.ids, ids]))
+
+    def place(self, high: int) -> int:
+        """Rows that score more."""
+        return int(np.searchsorted(-self.scores, -high))
+
+    def best(self, k: int, high: int, low: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ``k`` first of those that score from ``low`` to ``high``, ties by the smaller id."""
+        first, end = self.place(high), self.place(low - 1)
+        if end - first > k:
+            end = self.place(int(self.scores[first + k - 1]) - 1)
+        scores, ids = self.scores[first:end], self.ids[first:end]
+        order = np.lexsort((ids, -scores))[:k]
+        return scores[order], ids[order]
+
+
+NOTHING = Ranked(np.zeros(0, np.int64), np.zeros(0, np.int64))
+LOWEST, HIGHEST = -(1 << 62), 1 << 62
 
 
 # --- anchors -----------------------------------------------------------------------------------
@@ -150,15 +176,14 @@ class Positives:
     def __init__(self, k: int):
         self.k = k
 
-    def find(self, shard: Shard, anchor: tuple, scores, ids):
+    def find(self, shard: Shard, anchor: tuple, found: Ranked) -> Ranked:
         own, label, vector, _ = anchor
-        same = (shard.labels == label) & (shard.ids != own)
 
-        def done(threshold: int, found: np.ndarray) -> bool:
-            return len(found) >= self.k and threshold < found[self.k - 1]
+        def done(threshold: int, found: Ranked) -> bool:
+            return len(found.scores) >= self.k and threshold < found.scores[self.k - 1]
 
-        scores, ids = shard.read(vector, lambda rows: same[rows], done, scores, ids)
-        return scores[: self.k], ids[: self.k]
+        same = (shard.labels == label) & (shard.ids != own)
+        return Ranked(*shard.read(vector, same, done, found).best(self.k, HIGHEST, LOWEST))
 
 
 class Negatives:
@@ -167,30 +192,26 @@ class Negatives:
     def __init__(self, k: int):
         self.k = k
 
-    def find(self, shard: Shard, anchor: tuple, scores, ids):
+    def find(self, shard: Shard, anchor: tuple, found: Ranked) -> Ranked:
         own, label, vector, windows = anchor
-        other = (shard.labels != label) & (shard.ids != own)
-        open_ = [(low, high) for low, high in windows if low <= high]
-        if not open_:
-            return scores, ids
+        windows = [(low, high) for low, high in windows if low <= high]
+        if not windows:
+            return found
 
-        def places(found: np.ndarray):
-            """First place of each window and the place behind its k-th row."""
-            for low, high in open_:
-                first = int(np.searchsorted(-found, -high))
-                yield low, first, first + self.k
+        def settled_(threshold: int, found: Ranked, low: int, high: int) -> bool:
+            last = found.place(high) + self.k - 1
+            kth = found.scores[last] if last < len(found.scores) else LOWEST
+            return threshold < max(low, kth)
 
-        def done(threshold: int, found: np.ndarray) -> bool:
-            return all(
-                threshold < low or (end <= len(found) and threshold < found[end - 1] >= low)
-                for low, _, end in places(found)
-            )
+        def done(threshold: int, found: Ranked) -> bool:
+            return all(settled_(threshold, found, low, high) for low, high in windows)
 
-        scores, ids = shard.read(vector, lambda rows: other[rows], done, scores, ids)
-        kept = np.zeros(len(scores), bool)
-        for low, first, end in places(scores):
-            kept[first:end] |= scores[first:end] >= low
-        return scores[kept], ids[kept]
+        other = (shard.labels != label) & (shard.ids != own)
+        found = shard.read(vector, other, done, found)
+        parts = [found.best(self.k, high, low) for low, high in windows]
+        scores, ids = (np.concatenate(c) for c in zip(*parts))
+        ids, first = np.unique(ids, return_index=True)
+        return Ranked(scores[first], ids)
 
 
 def _best(shards: DataFrame, anchors: list[tuple], goal) -> DataFrame:
@@ -198,17 +219,16 @@ def _best(shards: DataFrame, anchors: list[tuple], goal) -> DataFrame:
     shared = shards.sparkSession.sparkContext.broadcast(anchors)
 
     def run(batches):
-        nothing = np.zeros(0, np.int64)
-        held = [(nothing, nothing)] * len(shared.value)
+        held = [NOTHING] * len(shared.value)
         for batch in batches:
             for row in batch.itertuples():
                 shard = Shard(row)
-                held = [goal.find(shard, a, *h) for a, h in zip(shared.value, held)]
+                held = [goal.find(shard, a, h) for a, h in zip(shared.value, held)]
         yield pd.DataFrame(
             {
-                "anchor_id": np.repeat([a[0] for a in shared.value], [len(h[0]) for h in held]),
-                "vec_id": np.concatenate([h[1] for h in held] or [nothing]),
-                "score": np.concatenate([h[0] for h in held] or [nothing]),
+                "anchor_id": np.repeat([a[0] for a in shared.value], [len(h.ids) for h in held]),
+                "vec_id": np.concatenate([NOTHING.ids, *[h.ids for h in held]]),
+                "score": np.concatenate([NOTHING.scores, *[h.scores for h in held]]),
             }
         )
 

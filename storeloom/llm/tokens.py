@@ -9,8 +9,7 @@ import numpy as np
 
 from storeloom.llm.words import mix
 
-# Bytes that are worked on together. A longer text goes in pieces that end between words.
-CHUNK = 1 << 18
+SEEDS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -50,12 +49,14 @@ def runs_of(words: np.ndarray, at: np.ndarray, size: int, which: int = 0) -> np.
 
 
 class Spelling:
-    """Which bytes make a word (a table of 256), and as what they count."""
+    """Which bytes make a word (a table of 256), and as what they count. ``chunk`` bytes are worked
+    on together; a longer text goes in pieces that end between words."""
 
-    def __init__(self, inside: np.ndarray, counted_as: np.ndarray | None = None):
-        self.inside = inside
+    def __init__(self, inside: np.ndarray, counted_as: np.ndarray | None = None, chunk: int = 1 << 18):
+        self.inside, self.chunk = inside, chunk
         codes = np.arange(256) if counted_as is None else counted_as
-        self.values = codes.astype(np.uint64) + np.uint64(1)
+        # For each of the two functions a number of 64 bits for every byte.
+        self.values = [mix(codes.astype(np.uint64) + np.uint64(seed)) for seed in SEEDS]
 
     def find(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and end of each word."""
@@ -69,7 +70,7 @@ class Spelling:
             return np.zeros(0, np.uint64)
         up, down = _powers(FACTORS[which], len(data) + 1)
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.values[data] * up[: len(data)], out=sums[1:])
+        np.cumsum(self.values[which][data] * up[: len(data)], out=sums[1:])
         value = (sums[ends] - sums[starts]) * down[starts]
         return mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB))
 
@@ -78,12 +79,12 @@ class Spelling:
         Each further piece of a long text starts with the last ``overlap`` words before it."""
         at = 0
         while at < len(texts):
-            if len(texts[at]) > CHUNK:
+            if len(texts[at]) > self.chunk:
                 yield from self._pieces(at, texts[at], overlap)
                 at += 1
                 continue
             end, size = at, 0
-            while end < len(texts) and (end == at or size + len(texts[end]) < CHUNK):
+            while end < len(texts) and (end == at or size + len(texts[end]) < self.chunk):
                 size += len(texts[end]) + 1
                 end += 1
             data = np.frombuffer(b"\n".join(texts[at:end]), np.uint8)
@@ -93,7 +94,7 @@ class Spelling:
             at = end
 
     def _pieces(self, at: int, text: bytes, overlap: int) -> Iterator[Chunk]:
-        start, before, size = 0, 0, CHUNK
+        start, before, size = 0, 0, self.chunk
         while True:
             end = min(len(text), start + size)
             while end < len(text) and self.inside[text[end]]:
@@ -107,4 +108,4 @@ class Spelling:
             if end == len(text):
                 return
             before += len(starts) - overlap
-            start, size = (start + int(starts[-overlap]) if overlap else end), CHUNK
+            start, size = (start + int(starts[-overlap]) if overlap else end), self.chunk
