@@ -2,22 +2,21 @@
 
 A dialogue is rendered once for every participant: that speaker's turns as the assistant's, all
 others as turns of users named for their speakers. The mask tells which characters a model is to
-learn: what the participant says, with the mark that ends the turn.
+learn: what the participant says, with the mark that ends the turn. Every participant gets every
+turn, also one who says little.
 
-Turns follow by number, then by speaker and text. A dialogue is cut into segments by turn number,
-``SEGMENT_TURNS`` numbers each, as the query's SQL has it, so a text doesn't grow with the length of
-a dialogue; a segment that holds many more rows than numbers is cut into parts, each a run of
-``MOST_ROWS`` turns in order. Every run is rendered for each speaker of its segment or, with
-``silent``, of its dialogue: then every participant gets every turn.
+Turns follow by number, then by speaker and text; a dialogue is one text. Only one of more than
+``MOST_ROWS`` turns is cut, into parts of so many turns in order, and each part is rendered for
+every participant of the dialogue: a text doesn't outgrow a task, however long a dialogue is.
 
-Runs follow from places in the order of the turns, counted by ranges of that order over many tasks;
-equal turns are counted together, so which of them comes first decides nothing. Ranges part turns
-by number, speaker and the start of the text, ``RANGE_CHARS`` characters.
+The parts follow from places in the order of the turns, counted by ranges of that order over many
+tasks; equal turns are counted together, so which of them comes first decides nothing. Ranges part
+turns by number, speaker and the start of the text, ``RANGE_CHARS`` characters.
 
 Nulls and empties: turns without speaker are of the speaker ``unknown``, a null text is empty and
-is rendered; turns without number form the segment -1; a null conversation id is an id like
-others. Rows that repeat are turns of their own. Other columns are not read; an empty table gives
-no rows. A mark inside a text is broken up by a blank, so it cannot end a turn.
+is rendered; turns without number come first; a null conversation id is an id like others. Rows that
+repeat are turns of their own. Other columns are not read; an empty table gives no rows. A mark
+inside a text is broken up by a blank, so it cannot end a turn.
 """
 
 from __future__ import annotations
@@ -27,40 +26,39 @@ from pyspark.sql import functions as F
 
 from storeloom.llm.frames import stored
 
-SEGMENT_TURNS = 64
-MOST_ROWS = 4 * SEGMENT_TURNS
+MOST_ROWS = 1024
 RANGE_CHARS = 256
 # The marks of a turn.
 BEGIN, END = "<|im_start|>", "<|im_end|>"
 
 
 def _runs(rows: DataFrame) -> DataFrame:
-    """Equal turns of each (conv_id, segment) by run of ``MOST_ROWS`` turns: their part and copies."""
-    alike = rows.groupBy("conv_id", "segment", "turn", "speaker", "said").agg(F.count("*").alias("n"))
+    """Equal turns of each dialogue by run of ``MOST_ROWS`` turns: their part and copies."""
+    alike = rows.groupBy("conv_id", "turn", "speaker", "said").agg(F.count("*").alias("n"))
     start = F.substring("said", 1, RANGE_CHARS)
-    ranges = alike.repartitionByRange("conv_id", "segment", "turn", "speaker", start)
+    ranges = alike.repartitionByRange("conv_id", "turn", "speaker", start)
     turns = stored(ranges.withColumn("place", F.spark_partition_id()), "turns")
     before = (
-        turns.groupBy("conv_id", "segment", "place")
+        turns.groupBy("conv_id", "place")
         .agg(F.sum("n").alias("n"))
         .selectExpr(
-            "conv_id as c", "segment as s", "place as p", "sum(n) over (partition by conv_id, segment"
-            " order by place rows between unbounded preceding and current row) - n as earlier",
+            "conv_id as c", "place as p", "sum(n) over (partition by conv_id order by place"
+            " rows between unbounded preceding and current row) - n as earlier",
         )
     )
     within = (
-        "sum(n) over (partition by place, conv_id, segment order by turn, speaker, said"
+        "sum(n) over (partition by place, conv_id order by turn, speaker, said"
         " rows between unbounded preceding and current row) - n as at"
     )
     return (
         turns.selectExpr("*", within)
-        .join(before.hint("rebalance"), F.expr("conv_id <=> c and segment = s and place = p"))
+        .join(before.hint("rebalance"), F.expr("conv_id <=> c and place = p"))
         .withColumn("at", F.expr("at + earlier"))
         .withColumn(
             "part", F.expr(f"explode(sequence(at div {MOST_ROWS}, (at + n - 1) div {MOST_ROWS}))")
         )
         .selectExpr(
-            "conv_id", "segment", "part", "turn", "speaker", "said",
+            "conv_id", "part", "turn", "speaker", "said",
             f"cast(least(at + n, (part + 1) * {MOST_ROWS}) - greatest(at, part * {MOST_ROWS}) as int)"
             " as copies",
         )
@@ -69,7 +67,7 @@ def _runs(rows: DataFrame) -> DataFrame:
 
 def _together(turns: DataFrame) -> DataFrame:
     """The turns of each part, in order, each as often as it has copies."""
-    grouped = turns.groupBy("conv_id", "segment", "part").agg(
+    grouped = turns.groupBy("conv_id", "part").agg(
         F.array_sort(F.collect_list(F.struct("turn", "speaker", "said", "copies"))).alias("turns")
     )
     return grouped.withColumn(
@@ -77,43 +75,29 @@ def _together(turns: DataFrame) -> DataFrame:
     )
 
 
-def perspectives(turns: DataFrame, silent: bool = False) -> DataFrame:
-    """(conv_id, segment, part, speaker, n_turns, text, mask) for rows conv_id, turn, role, text.
+def perspectives(turns: DataFrame) -> DataFrame:
+    """(conv_id, part, speaker, n_turns, text, mask) for rows conv_id, turn, role, text.
 
-    ``mask`` lists (start, end) in code points of the text, ends exclusive. With ``silent``
-    participants also get the segments in which they say nothing.
+    ``mask`` lists (start, end) in code points of the text, ends exclusive.
     """
     rows = turns.selectExpr(
         "conv_id",
-        f"coalesce(floor(turn / {SEGMENT_TURNS}), -1L) as segment",
         "turn",
         "coalesce(role, 'unknown') as speaker",
         f"replace(replace(coalesce(text, ''), '{BEGIN}', '< |im_start|>'), '{END}', '< |im_end|>')"
         " as said",
     )
-    # Segments that are cut into parts and, with ``silent``, all of a dialogue of several runs. The
-    # speakers of the others are those of their one run.
-    counts = rows.groupBy("conv_id", "segment").agg(F.count("*").alias("n_rows"))
-    counts = counts.withColumnsRenamed({"conv_id": "c", "segment": "s"})
-    if silent:
-        runs = counts.groupBy("c").agg(F.count("*").alias("runs"), F.max("n_rows").alias("most"))
-        runs = runs.where(f"runs > 1 or most > {MOST_ROWS}").selectExpr("c as d").hint("rebalance")
-        several = counts.hint("rebalance").join(runs, F.expr("c <=> d"), "left_semi")
-    else:
-        several = counts.where(f"n_rows > {MOST_ROWS}")
-    marked = rows.join(several.hint("rebalance"), F.expr("conv_id <=> c and segment = s"), "left")
-    whole = marked.selectExpr(
-        "conv_id", "segment", "0L as part", "turn", "speaker", "said", "1 as copies", "n_rows"
+    counts = rows.groupBy("conv_id").agg(F.count("*").alias("n_rows"))
+    large = counts.where(f"n_rows > {MOST_ROWS}").withColumnRenamed("conv_id", "c")
+    marked = rows.join(large.hint("rebalance"), F.expr("conv_id <=> c"), "left")
+    short = marked.where("n_rows is null").selectExpr(
+        "conv_id", "0L as part", "turn", "speaker", "said", "1 as copies"
     )
-    short = _together(whole.where("n_rows is null").drop("n_rows"))
-    short = short.withColumn("speaker", F.explode(F.array_distinct("turns.speaker")))
-    cut = _runs(marked.where(f"n_rows > {MOST_ROWS}").drop("c", "s", "n_rows"))
-    long = _together(whole.where(f"n_rows <= {MOST_ROWS}").drop("n_rows").union(cut))
-    heard = marked.where("n_rows is not null")
-    heard = heard.selectExpr("conv_id as c", *([] if silent else ["segment as s"]), "speaker")
-    same = "conv_id <=> c" if silent else "conv_id <=> c and segment = s"
-    long = long.join(heard.distinct().hint("rebalance"), F.expr(same)).select(*short.columns)
-    rotated = short.union(long)
+    short = _together(short).withColumn("speaker", F.explode(F.array_distinct("turns.speaker")))
+    cut = marked.where("n_rows is not null").drop("c", "n_rows")
+    heard = cut.selectExpr("conv_id as c", "speaker").distinct()
+    long = _together(_runs(cut)).join(heard.hint("rebalance"), F.expr("conv_id <=> c"))
+    rotated = short.union(long.select(*short.columns))
     own = "t.speaker = speaker"
     head = f"if({own}, '{BEGIN}assistant\\n', concat('{BEGIN}user name=', t.speaker, '\\n'))"
     pieces = f"transform(turns, t -> struct({own} as own, {head} as head, concat(t.said, '{END}') as body))"
@@ -126,7 +110,6 @@ def perspectives(turns: DataFrame, silent: bool = False) -> DataFrame:
     )
     return rotated.withColumn("pieces", F.expr(pieces)).selectExpr(
         "conv_id",
-        "segment",
         "part",
         "speaker",
         "cast(size(turns) as bigint) as n_turns",

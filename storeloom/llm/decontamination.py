@@ -5,9 +5,10 @@ taken as blanks). Each run of ``window`` item words is a pattern, as is an item
 document is scanned once in its normalised form; the words inside any occurrence are counted, and
 their places are given in code points of the original text.
 
-The automaton is sent to the tasks, so its size is bounded: items are dealt into as many blocks
-as keep each near ``BLOCK_WORDS`` words (of six bytes), and with more than one block the documents are scanned
-once per block. Documents are never shuffled with one block, and only their hits with more.
+The automaton is sent to the tasks, so its size is bounded: distinct windows are dealt into as many
+blocks as keep each near ``BLOCK_WORDS`` of them, however long an item is, and the documents are
+scanned once per block. One block is brought to the driver and sent to the tasks at a time. Documents
+are never shuffled with one block, and only their hits with more.
 
 Nulls and empties: a null or empty text has no words and no hits; an item without words has no
 window. Items without id mark words, but are not listed. Items that share an id are one. Rows
@@ -26,8 +27,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeloom.llm.frames import as_bytes, map_batches
+from storeloom.llm.frames import as_bytes, map_batches, stored
 
+# Windows of ten words of six bytes: 14 MB.
 BLOCK_WORDS = 200_000
 
 # The bytes of words. The others of ASCII are blanks.
@@ -43,15 +45,11 @@ def normalised(body: bytes) -> list[bytes]:
     return body.lower().translate(BLANKS).split()
 
 
-def patterns(items: list[tuple[int | None, bytes]], window: int) -> dict[str, list[int | None]]:
-    """Window text, framed by blanks, and the ids of the items that have it."""
-    found: dict[str, set] = {}
-    for item_id, body in items:
-        words = normalised(body)
-        for i in range(max(1, len(words) - window + 1) if words else 0):
-            text = b" " + b" ".join(words[i : i + window]) + b" "
-            found.setdefault(text.decode("latin-1"), set()).add(item_id)
-    return {text: list(ids) for text, ids in found.items()}
+def windows_of(body: bytes, window: int) -> set[bytes]:
+    """The windows of an item, each framed by blanks."""
+    words = normalised(body)
+    starts = range(max(1, len(words) - window + 1) if words else 0)
+    return {b" " + b" ".join(words[i : i + window]) + b" " for i in starts}
 
 
 def automaton(found: dict[str, list]) -> ahocorasick.Automaton:
@@ -94,9 +92,7 @@ def original_places(body: bytes, hits: np.ndarray) -> tuple[list[int], list[int]
     return [places[r[0]][0] for r in runs], [places[r[-1]][1] for r in runs]
 
 
-def _scan(docs: DataFrame, items: list, window: int) -> DataFrame:
-    found = docs.sparkSession.sparkContext.broadcast(patterns(items, window))
-
+def _scan(docs: DataFrame, found) -> DataFrame:
     def run(batches):
         built = automaton(found.value)
         for batch in batches:
@@ -113,20 +109,42 @@ def _scan(docs: DataFrame, items: list, window: int) -> DataFrame:
     return map_batches(docs, run, SCAN)
 
 
-def _blocks(benchmark: DataFrame) -> list[list]:
-    """The items in parts of bounded size. One is brought to the driver at a time."""
+def _blocks(benchmark: DataFrame, window: int) -> list:
+    """A function per block of windows, which sends it to the tasks: window -> ids of its items."""
+
+    def run(batches):
+        for batch in batches:
+            out = {"window": [], "item_id": []}
+            for item_id, body in zip(batch["item_id"], batch["body"]):
+                found = windows_of(body, window)
+                out["window"] += found
+                out["item_id"] += [item_id] * len(found)
+            yield out
+
     items = benchmark.select("item_id", as_bytes().alias("body"))
-    size = items.agg(F.sum(F.length("body")).alias("n")).first().n or 0
-    blocks = size // (6 * BLOCK_WORDS) + 1
-    block = F.pmod(F.xxhash64("item_id", "body"), F.lit(blocks))
-    return [[tuple(r) for r in items.where(block == i).collect()] for i in range(blocks)]
+    found = map_batches(items, run, "window binary, item_id bigint")
+    found = found.groupBy("window").agg(F.collect_set("item_id").alias("items"),
+                                        F.max(F.col("item_id").isNull()).alias("unnamed"))
+    found = stored(found, "windows")
+    blocks = max(1, -(-found.count() // BLOCK_WORDS))
+
+    def sent(block: int):
+        rows = found.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == block).collect()
+        known = {r.window.decode("latin-1"): [*r["items"], *[None] * r.unnamed] for r in rows}
+        return benchmark.sparkSession.sparkContext.broadcast(known)
+
+    return [lambda block=block: sent(block) for block in range(blocks)]
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The rows of ``docs``, with all their columns, in which no window occurs."""
-    for items in _blocks(benchmark):
-        found = docs.sparkSession.sparkContext.broadcast(patterns(items, window))
+    blocks = _blocks(benchmark, window)
+    for send in blocks:
+        found = send()
         docs = docs.where(~_holds_any(found)(as_bytes()))
+        if len(blocks) > 1:
+            docs = stored(docs, "clean")
+            found.destroy()
     return docs
 
 
@@ -146,11 +164,17 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     ``items`` lists the ids of the items (item_id, text) with an occurring window; ``spans`` the
     hit runs of words as (start, end). With more than one block these may touch or overlap.
     """
-    parts = _blocks(benchmark)
-    row = F.xxhash64("doc_id", "text") if len(parts) > 1 else F.lit(0).cast("bigint")
+    blocks = _blocks(benchmark, window)
+    row = F.xxhash64("doc_id", "text") if len(blocks) > 1 else F.lit(0).cast("bigint")
     read = docs.select(row.alias("row"), "doc_id", as_bytes().alias("body"))
-    scans = [_scan(read, items, window) for items in parts]
-    if len(parts) == 1:
+    scans = []
+    for send in blocks:
+        found = send()
+        scans.append(_scan(read, found))
+        if len(blocks) > 1:
+            scans[-1] = stored(scans[-1], "scan")
+            found.destroy()
+    if len(blocks) == 1:
         found = scans[0].withColumn("n_hit", F.size("hits").cast("bigint"))
         spans = F.arrays_zip("starts", "ends")
         return found.select("doc_id", "n_words", "n_hit", "items", spans.alias("spans"))

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeloom.session import scratch_path
@@ -19,6 +20,11 @@ def read(spark, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def columns(df: DataFrame) -> list[Column]:
+    """All columns, whatever signs their names hold."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in df.columns]
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared scratch folder and read again.
 
@@ -33,6 +39,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# What a batch on its way to Python may hold at most: long texts would make it as large as they are.
+BATCH_LIMITS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 2000,
+    "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20,
+}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Keeps the batches that Python gets within BATCH_LIMITS for this session; smaller ones stay."""
+    for name, limit in BATCH_LIMITS.items():
+        found = re.fullmatch(r"(\d+)b?", str(spark.conf.get(name, None)).lower())
+        if not found or not 0 < int(found[1]) <= limit:
+            spark.conf.set(name, str(limit))
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
@@ -117,7 +136,7 @@ def component_labels(links: DataFrame, name: str = "links") -> DataFrame:
     The edges never outnumber the links, a hub's edges are dealt over tasks by Spark's
     skewed-join handling, and each round is a stored table.
     """
-    edges = stored(
+    edges = settled(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .where("a <> b")
         .distinct(),
@@ -129,11 +148,11 @@ def component_labels(links: DataFrame, name: str = "links") -> DataFrame:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m"))
         low = low.select("a", F.least("a", "m").alias("m")).hint("rebalance")
-        large = stored(
+        large = settled(
             edges.toDF("v", "a").join(low, "a").selectExpr("v as a", "m as b").distinct(), name
         )
         parent = large.groupBy("a").agg(F.min("b").alias("m")).hint("rebalance")
-        edges = stored(
+        edges = settled(
             large.join(parent, "a")
             .selectExpr("inline(array(struct(a, m as b), struct(b as a, m as b)))")
             .where("a <> b")

@@ -11,8 +11,9 @@ Documents of one shingle set form a class, and classes are joined:
 
 Every meeting of two classes is verified on the whole texts, except where that cannot change a
 component. First each class is compared with one other: of the earliest members of like size in
-its lists, the one it meets most often. Then only classes that are still in different components
-are compared.
+its lists, the one it meets most often. Rounds follow in which a list names a few of its members by
+chance, and each class is compared with a bounded number of those in other components, until none
+links. Then the classes that still meet in different components are compared.
 A group of near copies so costs little more than its size, while no link that joins two
 components is lost.
 
@@ -35,25 +36,32 @@ from pyspark.sql import functions as F
 
 from storeloom.llm.frames import (
     as_bytes,
+    bound_batches,
+    columns,
     component_labels,
     emptied,
     map_batches,
     most_frequent,
-    stored,
+    settled,
 )
 from storeloom.llm.words import distinct, shingle_sets
 
 # Frequent shingles that are ordered last: 16 bytes each, so 8 MB are sent to a task.
 MAX_FREQUENT = 500_000
-# Shingles are counted in runs of so many, and a count below the second number is not reported.
-COUNT_RUN = 1 << 21
+# Shingles are counted in runs of so many (8 MB), and a count below the second number is not reported.
+COUNT_RUN = 1 << 20
 LEAST_COUNT = 2
 # No set above this size can be small: the number of subsets multiplies from there on.
 MAX_SMALL = 13
 # One list in so many proposes the first comparison of a class; all lists take part afterwards.
 CHOICE_LISTS = 4
+# Members that a list names and partners of a class in the first round, twice as many in each further
+# one, and rounds at most.
+NAMED, PARTNERS, ROUNDS = 4, 8, 6
 # Bits of the filter for documents to verify: 2 MB.
 FILTER_BITS = 1 << 24
+# Shingles that a comparing task keeps from one pair to the next: 4 MB.
+KNOWN_SHINGLES = 1 << 19
 # Classes a task remembers, to enter copies into the lists only once.
 MAX_SEEN = 100_000
 
@@ -170,10 +178,11 @@ ENTRIES = "class bigint, n int, keys array<bigint>, frequent_from int, subsets a
 def _entries(docs: DataFrame, words: int, percent: int, frequent: np.ndarray, small: int):
     """Per class (and task) the first shingles in the common order, and the subsets."""
     order = np.argsort(frequent)
-    sorted_values, rank = frequent[order], order
+    shared = docs.sparkSession.sparkContext.broadcast((frequent[order], order))
     near_large = -(-percent * (small + 1) // 100)
 
     def first_ones(shingles: np.ndarray) -> tuple[np.ndarray, int]:
+        sorted_values, rank = shared.value
         n = len(shingles)
         size = n - -(-percent * n // 100) + 1
         if not len(sorted_values):
@@ -217,7 +226,7 @@ def _entries(docs: DataFrame, words: int, percent: int, frequent: np.ndarray, sm
             yield out
 
     named = docs.where("doc_id is not null").select(as_bytes().alias("body"))
-    return map_batches(named, run, ENTRIES)
+    return map_batches(named, run, ENTRIES), shared
 
 
 def _meetings(entries: DataFrame, percent: int) -> DataFrame:
@@ -263,7 +272,7 @@ def _pairs_with_best(meetings: DataFrame, percent: int) -> DataFrame:
     """A class and the one it meets most often. This only saves comparisons later, so a quarter of
     the lists, by hash, is enough to choose from."""
     meetings = meetings.where(f"pmod(key, {CHOICE_LISTS}) = 0")
-    earliest = stored(
+    earliest = settled(
         meetings.groupBy("key", "size_step")
         .agg(F.min(F.struct("pos", "class", "n")).alias("e"))
         .select("key", "size_step", "e.*"),
@@ -284,20 +293,46 @@ def _pairs_with_best(meetings: DataFrame, percent: int) -> DataFrame:
     ).distinct()
 
 
-def _pairs_between(meetings: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs in one list whose classes lie in different components."""
-    labelled = stored(
-        meetings.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn(
-            "label", F.coalesce("label", "class")
-        ),
+def _mixed(meetings: DataFrame, labels: DataFrame) -> DataFrame:
+    """The list entries, with the label of their class, of lists that meet two components."""
+    known = labels.withColumnRenamed("node", "class").hint("rebalance")
+    labelled = settled(
+        meetings.drop("label")
+        .join(known, "class", "left")
+        .withColumn("label", F.coalesce("label", "class")),
         "labelled",
     )
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = stored(mixed.where("low <> high").select("key"), "mixed")
-    left = labelled.join(mixed, "key", "left_semi")
+    mixed = mixed.where("low <> high").select("key").hint("rebalance")
+    return settled(labelled.join(mixed, "key", "left_semi"), "mixed")
+
+
+def _pairs_by_chance(mixed: DataFrame, round: int, percent: int) -> DataFrame:
+    """Pairs of a class and members that its lists name, of those it meets most often some few."""
+    # Spark keeps so many of a list in every map task before it deals the rows.
+    order = f"row_number() over (partition by key order by xxhash64(class, key, {round}), class)"
+    named = mixed.selectExpr("*", f"{order} as place").where(F.col("place") <= NAMED << round)
+    named = named.drop("place").hint("rebalance")
+    met = (
+        mixed.alias("x")
+        .join(named.alias("y"), "key")
+        .where("x.label <> y.label")
+        .where(_may_link(percent))
+        .groupBy("x.class", F.col("y.class").alias("partner"))
+        .agg(F.count("*").alias("lists"))
+    )
+    order = "row_number() over (partition by class order by lists desc, partner) as place"
+    few = met.selectExpr("class", "partner", order).where(F.col("place") <= PARTNERS << round)
+    return few.select(
+        F.least("class", "partner").alias("a"), F.greatest("class", "partner").alias("b")
+    ).distinct()
+
+
+def _pairs_between(mixed: DataFrame, percent: int) -> DataFrame:
+    """Pairs in one list whose classes lie in different components."""
     return _pairs(
-        left.alias("x")
-        .join(left.alias("y"), "key")
+        mixed.alias("x")
+        .join(mixed.alias("y"), "key")
         .where("x.label < y.label")
         .where(_may_link(percent))
     )
@@ -306,14 +341,13 @@ def _pairs_between(meetings: DataFrame, labels: DataFrame, percent: int) -> Data
 # --- verification ------------------------------------------------------------------------------
 
 
-def _texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """(class, body) of the classes in ``pairs``: one compressed text of each.
+def _texts(docs: DataFrame, nodes: DataFrame, asked: DataFrame, words: int) -> DataFrame:
+    """(class, body) of the classes ``asked``: one compressed text of each.
 
     A bit filter of fixed size first keeps the documents that may be asked for, so that only
     their texts are moved, and copies among them meet in the map task.
     """
-    asked = pairs.select("a").union(pairs.select(F.col("b").alias("a"))).distinct()
-    ids = nodes.join(asked.withColumnRenamed("a", "class"), "class").select("doc_id")
+    ids = nodes.join(asked, "class").select("doc_id")
     slot = f"pmod(xxhash64(doc_id), {FILTER_BITS}L)"
     rows = (
         ids.selectExpr(f"{slot} + 1 as slot")  # the bitmap functions count from 1
@@ -342,24 +376,26 @@ def _texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int) -> D
     texts = map_batches(
         read.select("slot", as_bytes().alias("body")), run, "class bigint, body binary"
     )
-    return texts.dropDuplicates(["class"]).join(asked.toDF("class"), "class", "left_semi")
+    texts = texts.dropDuplicates(["class"]).join(asked, "class", "left_semi")
+    return settled(texts, "texts")
 
 
-def _links(docs, nodes, pairs, words: int, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs whose whole texts reach ``percent``."""
-    pairs = stored(pairs, "pairs")
-    texts = stored(_texts(docs, nodes, pairs, words), "texts")
 
     def run(batches):
         known: dict[int, np.ndarray] = {}
+        held = 0
         for batch in batches:
             kept = {"a": [], "b": []}
             for a, b, body_a, body_b in zip(*(batch[c] for c in ("a", "b", "body_a", "body_b"))):
-                if len(known) > 64:
+                if held > KNOWN_SHINGLES:
                     known.clear()
+                    held = 0
                 for key, body in ((a, body_a), (b, body_b)):
                     if key not in known:
                         known[key] = next(shingle_sets([zstandard.decompress(body)], words))
+                        held += len(known[key])
                 x, y = known[a], known[b]
                 both = len(x) + len(y)
                 if 100 * (same := both - len(distinct(np.concatenate([x, y])))) >= percent * (
@@ -370,34 +406,53 @@ def _links(docs, nodes, pairs, words: int, percent: int) -> DataFrame:
             yield kept
 
     bodies = pairs.join(texts.toDF("a", "body_a"), "a").join(texts.toDF("b", "body_b"), "b")
-    links = stored(map_batches(bodies, run, "a bigint, b bigint"), "links")
-    emptied(pairs)
-    emptied(texts)
-    return links
+    return settled(map_batches(bodies, run, "a bigint, b bigint"), "links")
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text)."""
-    counted = stored(_sets(docs, words), "sets")
+    bound_batches(docs.sparkSession)
+    counted = settled(_sets(docs, words), "sets")
     small = boundary(counted, percent)
-    entries = _entries(docs, words, percent, _frequent(counted), small)
-    meetings = stored(_meetings(entries, percent), "meetings")
+    entries, shared = _entries(docs, words, percent, _frequent(counted), small)
+    meetings = settled(_meetings(entries, percent), "meetings")
+    shared.destroy()
     sets = counted.where("class is not null").select("doc_id", "n", "class")
     nodes = sets.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    nodes = stored(nodes, "nodes")
+    nodes = settled(nodes, "nodes")
 
-    first = _links(docs, nodes, _pairs_with_best(meetings, percent), words, percent)
-    labels = stored(component_labels(first), "labels")
-    rest = _links(docs, nodes, _pairs_between(meetings, labels, percent), words, percent)
+    tried = settled(_pairs_with_best(meetings, percent), "pairs")
+    asked = tried.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    texts = _texts(docs, nodes, asked, words)
+    links = _links(tried, texts, words, percent)
+    emptied(texts)
+    labels = settled(component_labels(links), "labels")
+    mixed = _mixed(meetings, labels)
     emptied(meetings)
-    labels = stored(component_labels(first.union(rest)), "labels")
+    texts = _texts(docs, nodes, mixed.select("class").distinct(), words)
+
+    for round in range(ROUNDS):
+        pairs = _pairs_by_chance(mixed, round, percent).join(tried, ["a", "b"], "left_anti")
+        pairs = settled(pairs, "pairs")
+        found = _links(pairs, texts, words, percent)
+        tried, links = tried.union(pairs), links.union(found)
+        linked = found.count()
+        if linked:
+            labels = settled(component_labels(links), "labels")
+            mixed = _mixed(mixed, labels)
+        else:
+            break
+    rest = settled(_pairs_between(mixed, percent).join(tried, ["a", "b"], "left_anti"), "pairs")
+    links = links.union(_links(rest, texts, words, percent))
+    emptied(texts)
+    labels = settled(component_labels(links), "labels")
 
     grouped = nodes.join(labels.withColumnRenamed("node", "class"), "class", "left")
     grouped = grouped.withColumn("label", F.coalesce("label", "class"))
     lowest = grouped.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_class = grouped.join(stored(lowest, "lowest"), "label").select("class", "component_id")
+    of_class = grouped.join(settled(lowest, "lowest"), "label").select("class", "component_id")
     own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return sets.join(stored(of_class, "components"), "class", "left").select(
+    return sets.join(settled(of_class, "components"), "class", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), own).alias("component_id"),
@@ -411,4 +466,4 @@ def one_per_component(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
     """
     found = jaccard_components(docs.select("doc_id", "text"), words, percent)
     gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*columns(docs))

@@ -16,7 +16,7 @@ rows, bucket sums are added up first, and only the rows of one bucket are number
 Nulls and empties: a null text has size 0; documents of size 0 are taken 0 times and have no
 position, as are those the mix does not reach. A null source is a source of its own and sorts
 last. Rows that repeat are documents of their own. An empty table gives an empty result. Of other
-columns none is read, and ``mixed_copies`` hands all of them on.
+columns none is read, and ``mixed_copies`` hands on all but those named like its own.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeloom.llm.frames import stored
+from storeloom.llm.frames import columns, settled
 
 Schedule = Sequence[tuple[float, float]]
 
@@ -113,15 +113,15 @@ def mix(
     """
     size = F.expr(f"cast(regexp_count(coalesce(text, ''), '{WORD}') as bigint)")
     place = F.xxhash64("doc_id", "text")
-    sized = stored(
+    sized = settled(
         docs.select("doc_id", "source", size.alias("size"), place.alias("place")), "sizes"
     )
     sources = sized.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count("*").alias("n_docs")
     )
-    targets = stored(_targets(sources, schedules, share, most), "targets")
+    targets = settled(_targets(sources, schedules, share, most), "targets")
     buckets = f"cast(ceil(n_docs / {BUCKET_ROWS}) as bigint)"
-    dealt = stored(
+    dealt = settled(
         sized.alias("d")
         .join(targets.alias("t"), F.expr("d.source <=> t.source"))
         .selectExpr(
@@ -177,16 +177,17 @@ def mixed_copies(docs: DataFrame, **options) -> DataFrame:
     """A row of ``docs`` per copy taken, with epoch, position and words, sorted by position.
 
     Rows are found by ``doc_id``: those with a null one are not in the mix, and rows that repeat
-    one are taken as often as their copies are.
+    one are taken as often as their copies are. A column of ``docs`` that is named like one of the
+    three new ones gives way to it.
     """
     named = docs.where("doc_id is not null")
     numbered = named.selectExpr("doc_id", "source", "text")
-    plan = mix(numbered, **options).select("doc_id", F.inline("copies")).toDF(
-        "doc_id", "mix_position", "mix_epoch", "mix_words"
-    )
-    plan = plan.groupBy("doc_id", "mix_epoch").agg(
-        F.min("mix_position").alias("mix_position"), F.min("mix_words").alias("mix_words")
+    plan = mix(numbered, **options).select(F.col("doc_id").alias("of"), F.inline("copies"))
+    plan = plan.groupBy("of", "epoch").agg(
+        F.min("position").alias("position"), F.min("words").alias("words")
     )
-    return named.join(plan, "doc_id").select(
-        *docs.columns, "mix_epoch", "mix_position", "mix_words"
-    ).orderBy("mix_position", "doc_id", "mix_epoch")
+    new = {"mix_epoch": "epoch", "mix_position": "position", "mix_words": "words"}
+    rows = named.select(F.col("doc_id").alias("id"), F.struct(*columns(named)).alias("doc"))
+    rows = rows.join(plan, F.col("id") == F.col("of")).orderBy("position", "id", "epoch")
+    kept = [F.col("doc")[name].alias(name) for name in docs.columns if name not in new]
+    return rows.select(*kept, *[F.col(old).alias(name) for name, old in new.items()])

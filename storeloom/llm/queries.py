@@ -113,12 +113,11 @@ def op7_warc_index(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op5_perspective_chat(spark: SparkSession, folder: str) -> DataFrame:
-    """Every dialogue from the perspective of each of its speakers."""
+    """Every dialogue, whole, from the perspective of each of its participants."""
     found = chat.perspectives(read(spark, folder, "conversations"))
     spans = F.transform("mask", lambda s: F.concat_ws(":", s["start"], s["end"]))
     return found.select(
         "conv_id",
-        "segment",
         "part",
         "speaker",
         "n_turns",

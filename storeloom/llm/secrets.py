@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeloom.llm.frames import as_bytes, map_batches
+from storeloom.llm.frames import as_bytes, columns, map_batches
 
 Span = tuple[int, int, int]
 KINDS = ("assign", "access", "hex", "literal")
@@ -156,7 +156,7 @@ def literal_spans(text: str) -> Iterator[Span]:
         # The name's weight is kept: under no heavier name is there anything new to find.
         kept.weight, literals = weight, kept.literals()
         if weight * literal_weight("".join(v for v, _, _ in literals)) >= THRESHOLD:
-            found.update((start, 3, end) for _, start, end in literals)
+            found.update((start, 3, end) for _, start, end in literals if start < end)
     yield from found
 
 
@@ -217,11 +217,11 @@ def masked_documents(docs: DataFrame) -> DataFrame:
         found = [spans_of(b) for b in bodies]
         return pd.Series([masked(b, s) if s else None for b, s in zip(bodies, found)], dtype=object)
 
-    both = docs.select(F.struct(*docs.columns).alias("doc"), run(as_bytes()).alias("masked"))
+    both = docs.select(F.struct(*columns(docs)).alias("doc"), run(as_bytes()).alias("masked"))
     new = {"text": F.col("masked"), "n_chars": F.length("masked").cast("bigint")}
     return both.select(
         *[
-            F.coalesce(new[name], f"doc.{name}").alias(name) if name in new else f"doc.`{name}`"
+            (F.coalesce(new[name], F.col("doc")[name]) if name in new else F.col("doc")[name]).alias(name)
             for name in docs.columns
         ]
     )

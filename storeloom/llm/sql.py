@@ -72,26 +72,27 @@ FROM paid LEFT JOIN last USING (digest)
 
 # The sample dialogues have few turns, so each is one part.
 SQL["op5_perspective_chat"] = r"""
-WITH rows_ AS (
-  SELECT conv_id, CAST(turn // 64 AS BIGINT) AS segment, turn, role AS speaker,
-    replace(replace(text, '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>') AS said
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS who,
+    replace(replace(coalesce(text, ''), '<|im_start|>', '< |im_start|>'),
+      '<|im_end|>', '< |im_end|>') || '<|im_end|>' AS body
   FROM conversations),
-heard AS (SELECT DISTINCT conv_id, segment, speaker FROM rows_),
-pieces AS (
-  SELECT r.conv_id, r.segment, h.speaker, r.turn, r.speaker = h.speaker AS own,
-    CASE WHEN r.speaker = h.speaker THEN '<|im_start|>assistant' || chr(10)
-      ELSE '<|im_start|>user name=' || r.speaker || chr(10) END AS head,
-    said || '<|im_end|>' AS body, r.speaker AS who
-  FROM rows_ r JOIN heard h ON r.conv_id = h.conv_id AND r.segment = h.segment),
+participants AS (SELECT DISTINCT conv_id AS of, who AS speaker FROM said),
+rendered AS (
+  SELECT conv_id, turn, speaker, who, body,
+    CASE WHEN who = speaker THEN '<|im_start|>assistant' || chr(10)
+      ELSE '<|im_start|>user name=' || who || chr(10) END AS head
+  FROM said JOIN participants ON conv_id IS NOT DISTINCT FROM of),
 placed AS (
   SELECT *, sum(length(head) + length(body) + 1) OVER (
-    PARTITION BY conv_id, segment, speaker ORDER BY turn, who, body) AS till FROM pieces)
-SELECT conv_id, segment, CAST(0 AS BIGINT) AS part, speaker, count(*) AS n_turns,
+    PARTITION BY conv_id, speaker ORDER BY turn NULLS FIRST, who, body ROWS UNBOUNDED PRECEDING) AS till
+  FROM rendered)
+SELECT conv_id, CAST(0 AS BIGINT) AS part, speaker, count(*) AS n_turns,
   CAST(sum(length(head) + length(body) + 1) AS BIGINT) AS n_chars,
-  sha256(string_agg(head || body || chr(10), '' ORDER BY turn, who, body)) AS text_sha256,
-  string_agg((till - 1 - length(body)) || ':' || (till - 1), ',' ORDER BY turn, who, body)
-    FILTER (WHERE own) AS mask
-FROM placed GROUP BY conv_id, segment, speaker
+  sha256(string_agg(head || body || chr(10), '' ORDER BY till)) AS text_sha256,
+  string_agg((till - 1 - length(body)) || ':' || (till - 1), ',' ORDER BY till)
+    FILTER (WHERE who = speaker) AS mask
+FROM placed GROUP BY conv_id, speaker
 """
 
 SQL["op11_substring_dedup"] = rf"""

@@ -13,7 +13,8 @@ follows a revisit to its response by the same way.
 
 Nulls: a null html is an empty payload, a null url has the empty key, a null page_id sorts before
 all others. Rows that repeat a page_id are captures of their own; of equal payloads all rows with
-the largest id are responses. Other columns are not read; an empty table gives no rows. Control
+the largest id are responses. A revisit is followed to a response of the payload it states, as rows
+of one id and url may differ in theirs. Other columns are not read; an empty table gives no rows. Control
 characters in a URL are written as %XX.
 """
 
@@ -38,6 +39,8 @@ from storeloom.session import scratch_path
 
 ARCHIVE_BYTES = 256 << 20
 BLOCK_LINES = 512
+# Bytes of records that a task reads back.
+TASK_BYTES = 64 << 20
 INDEX_FILE_ROWS = 1 << 20
 KEPT = 256
 NO_ID = -(1 << 63)
@@ -115,19 +118,23 @@ def write(pages: DataFrame, folder: str, least: int = 1000) -> DataFrame:
     read = pages.select("page_id", "url", payload.alias("payload"))
     read = read.withColumns({"digest": F.sha1("payload"), "bytes": F.length("payload")})
     large = read.where(F.col("bytes") >= least)
-    # The largest id of each payload, with its url. Rebalanced, so that Spark can split a hot one.
+    # Only payloads that may be revisits are moved. The largest id of each comes with its url;
+    # rebalanced, so that Spark can split a hot one.
     last = large.groupBy("digest").agg(F.max(F.struct("page_id", "url")).alias("last"))
     last = last.hint("rebalance")
     revisit = (F.col("bytes") >= least) & (F.col("page_id") < F.col("last.page_id")) | (
         F.col("page_id").isNull() & F.col("last.page_id").isNotNull()
     )
-    rows = read.join(last, "digest", "left").select(
+    names = ("page_id", "url", "digest", "to_page", "to_url", "payload")
+    rows = large.join(last, "digest", "left").select(
         "page_id", "url", "digest",
         F.when(revisit, F.col("last.page_id")).alias("to_page"),
         F.when(revisit, F.col("last.url")).alias("to_url"),
-        F.length("payload").alias("bytes"),
         "payload",
     )
+    none = F.lit(None)
+    small = read.where(F.col("bytes") < least).withColumns({"to_page": none, "to_url": none})
+    rows = rows.unionByName(small.select(*names))
 
     def run(batches):
         system, path = _files(folder)
@@ -135,7 +142,7 @@ def write(pages: DataFrame, folder: str, least: int = 1000) -> DataFrame:
         for batch in batches:
             out = {n: [] for n in ("key", "page", "archive", "place", "size")}
             for page, url, digest, to_page, to_url, body in zip(
-                *(batch[c] for c in ("page_id", "url", "digest", "to_page", "to_url", "payload"))
+                *(batch[c] for c in names)
             ):
                 if stream is None or stream.tell() >= ARCHIVE_BYTES:
                     if stream:
@@ -255,25 +262,28 @@ class Reader:
                     first += 1
             at += 1
 
-    def full_payload(self, key: bytes, page: int) -> tuple[int, str]:
-        """Size and digest of the payload of a response."""
+    def full_payload(self, key: bytes, page: int, stated: str) -> tuple[int, str]:
+        """Size and digest of the payload of the response whose record states this digest."""
 
         def make():
             for capture in self.captures(key, page):
                 headers, payload = parsed(self.bytes_at(*capture))
-                if headers["WARC-Type"] == "response":
+                if headers["WARC-Type"] == "response" and headers["WARC-Payload-Digest"] == stated:
                     return len(payload), hashlib.sha1(payload).hexdigest()
-            raise KeyError(f"no response for page {page}")
+            raise KeyError(f"no response for page {page} with payload {stated}")
 
-        return self._keep(self.payloads, (key, page), make)
+        return self._keep(self.payloads, (key, page, stated), make)
 
 
 def lookup(wanted: DataFrame, folder: str, tops: list[tuple]) -> DataFrame:
     """All captures of the distinct (key, page) of ``wanted``, read by way of the index."""
     spark = wanted.sparkSession
     shared = spark.sparkContext.broadcast(tops)
+    # The keys are small, so the number of tasks follows the records that they point to.
+    size = wanted.agg(F.sum("size")).first()[0] or 0
+    tasks = max(-(-size // TASK_BYTES), spark.sparkContext.defaultParallelism)
     asked = wanted.select("key", "page").distinct()
-    near = asked.repartitionByRange("key", "page").sortWithinPartitions("key", "page")
+    near = asked.repartitionByRange(tasks, "key", "page").sortWithinPartitions("key", "page")
 
     def run(batches):
         reader = Reader(folder, shared.value)
@@ -282,15 +292,14 @@ def lookup(wanted: DataFrame, folder: str, tops: list[tuple]) -> DataFrame:
             for key, page in zip(batch["key"], batch["page"]):
                 for capture in reader.captures(key.encode(), page):
                     headers, payload = parsed(reader.bytes_at(*capture))
-                    to = None
+                    to, stated = None, headers["WARC-Payload-Digest"]
                     if headers["WARC-Type"] == "revisit":
                         to = _page_of(headers["WARC-Refers-To"])
                         to_key = url_key(headers["WARC-Refers-To-Target-URI"]).encode()
-                        size, digest = reader.full_payload(to_key, to)
+                        size, digest = reader.full_payload(to_key, to, stated)
                     else:
                         size, digest = len(payload), hashlib.sha1(payload).hexdigest()
-                    stated = headers["WARC-Payload-Digest"].removeprefix("sha1:")
-                    if base64.b32encode(bytes.fromhex(digest)).decode() != stated:
+                    if base64.b32encode(bytes.fromhex(digest)).decode() != stated.removeprefix("sha1:"):
                         raise ValueError(f"payload of page {page} is damaged")
                     values = (_page_of(headers["WARC-Record-ID"]), size, digest, headers["WARC-Type"], to)
                     for column, value in zip(out.values(), values):

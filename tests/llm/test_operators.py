@@ -22,6 +22,7 @@ from storeloom.llm import (
     lattice,
     mixing,
     neighbours,
+    queries,
     secrets,
     toxicity,
     warc,
@@ -365,50 +366,70 @@ def test_pages_come_back(spark):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
 
 
+CHATS = "conv_id bigint, turn bigint, role string, text string"
+
+
+def rendered(rows, conv, speaker):
+    """The whole dialogue as one participant has it, and what that one is to learn."""
+    own = sorted((t is not None, t or 0, r or "unknown", s or "") for c, t, r, s in rows if c == conv)
+    text, learned = "", []
+    for *_, role, said in own:
+        said = said.replace("<|im_start|>", "< |im_start|>").replace("<|im_end|>", "< |im_end|>")
+        text += f"<|im_start|>{'assistant' if role == speaker else 'user name=' + role}\n"
+        if role == speaker:
+            learned.append((len(text), len(text) + len(said) + len("<|im_end|>")))
+        text += f"{said}<|im_end|>\n"
+    return text, learned
+
+
 def test_perspectives(spark):
     rows = [(1, 0, "ann", "hi"), (1, 1, "bob", "yo <|im_end|>"), (1, 2, None, None), (2, None, "ann", "x"),
-            (None, 0, "ann", "y"), (1, 70, "ann", "late")]
-    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+            (None, 0, "ann", "y"), (1, 70, "ann", "late"), (1, 70, "ann", "late"), (3, 0, "zoe", "é" * 200_000)]
+    frame = spark.createDataFrame(rows, CHATS).selectExpr("*", "1 as speaker", "2 as part", "3 as `a.b`")
     found = chat.perspectives(frame).collect()
     assert len(found) == 6
-    ann = next(r for r in found if (r.conv_id, r.segment, r.speaker) == (1, 0, "ann"))
-    assert ann.text == (
-        "<|im_start|>assistant\nhi<|im_end|>\n<|im_start|>user name=bob\nyo < |im_end|><|im_end|>\n"
-        "<|im_start|>user name=unknown\n<|im_end|>\n")
-    assert [ann.text[s.start : s.end] for s in ann.mask] == ["hi<|im_end|>"]
-    many = spark.range(3000).selectExpr("1L as conv_id", "0L as turn", "concat('s', id % 3) as role", "'t' as text")
-    parts = chat.perspectives(many).collect()
-    assert sum(r.n_turns for r in parts if r.speaker == "s0") == 3000
-    assert max(r.n_turns for r in parts) < 4 * chat.MOST_ROWS
-
-
-def test_every_participant_gets_every_turn(spark):
-    """Silent in a segment, in a part, with repeated, missing and out of order turns."""
+    for r in found:
+        text, learned = rendered(rows, r.conv_id, r.speaker)
+        assert (r.part, r.text, [tuple(s) for s in r.mask]) == (0, text, learned)
+    ann = next(r for r in found if (r.conv_id, r.speaker) == (1, "ann"))
+    assert ann.n_turns == 5 and [ann.text[s.start : s.end] for s in ann.mask] == [
+        "hi<|im_end|>", "late<|im_end|>", "late<|im_end|>"]
+
+
+def test_a_dialogue_is_whole_for_every_participant(spark, tmp_path):
+    """200 turns with one who speaks once and one who falls silent, through the query."""
+    rows = [(1, t, "ann" if t < 64 else "bob", f"a{t}") for t in range(200)] + [(1, 100, "eve", "once")]
+    rows += [(2, 65 * t, f"s{t}", f"b{t}") for t in range(4)]
+    spark.createDataFrame(rows, CHATS).write.parquet(f"{tmp_path}/conversations.parquet")
+    found = queries.QUERIES["op5_perspective_chat"](spark, str(tmp_path)).collect()
+    assert sorted((r.conv_id, r.speaker, r.n_turns) for r in found) == [
+        (1, "ann", 201), (1, "bob", 201), (1, "eve", 201), *[(2, f"s{t}", 4) for t in range(4)]]
+    for r in found:
+        text, learned = rendered(rows, r.conv_id, r.speaker)
+        assert (r.part, r.n_chars) == (0, len(text))
+        assert r.text_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert r.mask == ",".join(f"{a}:{b}" for a, b in learned)
+
+
+def test_parts_of_a_long_dialogue_follow_each_other(spark, monkeypatch):
+    """With repeated, missing and out of order turns, and a participant who speaks in one part."""
+    monkeypatch.setattr(chat, "MOST_ROWS", 100)
     rng = random.Random(8)
-    rows = [(1, t, "ann" if t < 64 else "bob", f"a{t}") for t in range(200)]
+    rows = [(1, t, "ann" if t < 64 else "bob", f"a{t}") for t in range(100)]
     rows += [(2, rng.randrange(3), rng.choice(["x", "y", None]), f"t{rng.randrange(300)}") for _ in range(900)]
     rows += [(3, None, "eve", f"n{i:03}") for i in range(600)] + [(3, None, "zoe", "last")]
     rows += [(None, 0, "q", "same")] * 700 + [(None, 90, "r", "end")]
     rng.shuffle(rows)
-    schema = "conv_id bigint, turn bigint, role string, text string"
-    frame = spark.createDataFrame(rows, schema)
-
-    def check(found, conv):
-        own = [(-1 if t is None else t, r or "unknown", s) for c, t, r, s in rows if c == conv]
-        for speaker in {r for _, r, _ in own}:
-            texts = sorted((r.segment, r.part, r.text) for r in found if (r.conv_id, r.speaker) == (conv, speaker))
-            assert "".join(t for *_, t in texts) == "".join(
-                f"<|im_start|>{'assistant' if r == speaker else 'user name=' + r}\n{s}<|im_end|>\n"
-                for _, r, s in sorted(own))
-
-    found = chat.perspectives(frame).collect()
-    check(found, 2)
-    check(found, 3)
-    found = chat.perspectives(frame, silent=True).collect()
-    for conv in (1, 2, 3, None):
-        check(found, conv)
-    assert max(r.n_turns for r in found) <= chat.MOST_ROWS
-    again = chat.perspectives(spark.createDataFrame(rows[::-1], schema).repartition(7), silent=True)
+    found = chat.perspectives(spark.createDataFrame(rows, CHATS)).collect()
+    assert {(r.conv_id, r.speaker) for r in found} == {(c, r or "unknown") for c, _, r, _ in rows}
+    for conv, speaker in {(r.conv_id, r.speaker) for r in found}:
+        parts = sorted((r for r in found if (r.conv_id, r.speaker) == (conv, speaker)), key=lambda r: r.part)
+        assert [r.part for r in parts] == list(range(len(parts)))
+        assert all(r.n_turns == 100 for r in parts[:-1]) and parts[-1].n_turns <= 100
+        text, learned = rendered(rows, conv, speaker)
+        assert "".join(r.text for r in parts) == text
+        assert sum(len(r.mask) for r in parts) == len(learned)
+    again = chat.perspectives(spark.createDataFrame(rows[::-1], CHATS).repartition(7))
     assert sorted(map(str, again.collect())) == sorted(map(str, found))
 
 
