@@ -3,8 +3,8 @@
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns the rows
 that go on. Each stage but the last returns the columns of ``documents``:
 
-- ``language``: documents without a letter, or whose language is not told with a probability of
-  at least ``LEAST_LANGUAGE``, go;
+- ``language``: documents without a letter, mostly in scripts that no labelled document has, or
+  whose language is told less surely than half the least sure right answer on held-out rows, go;
 - ``near_duplicates``: one document, that of the smallest id, stays of each group of documents
   whose sets of five-word shingles are 80 % alike;
 - ``decontamination``: documents that hold a ten-word window of a test item go;
@@ -21,14 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeloom.llm import decontamination, jaccard_join, language_id, mixing, secrets
-from storeloom.llm.frames import read, stored
-
-LEAST_LANGUAGE = 0.3
+from storeloom.llm.frames import bound_batches, read, settled
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     model = language_id.fit(docs.select("doc_id", "text", F.col("lang").alias("label")))
-    return language_id.told(docs, model, LEAST_LANGUAGE)
+    return language_id.told(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,10 +35,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return decontamination.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return secrets.masked_documents(docs)
 
 
@@ -63,5 +64,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each over what the one before it wrote."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = settled(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
