@@ -180,7 +180,7 @@ def test_pooling_by_brute_force(monkeypatch):
     network, rng = toxicity.Network(), np.random.default_rng(4)
     for length in (1, 2, 5, 70):
         buckets = rng.integers(0, 500, length).astype(np.int32)
-        padded = np.concatenate([buckets, [0, 0, 0]])
+        padded = np.concatenate([buckets, [0, 0]])
         wide = []
         for filters, bias, width in zip(network.filters, network.bias, toxicity.WIDTHS):
             places = range(max(1, length))
