@@ -183,7 +183,7 @@ def test_pooling_by_brute_force(monkeypatch):
         padded = np.concatenate([buckets, [0, 0]])
         wide = []
         for filters, bias, width in zip(network.filters, network.bias, toxicity.WIDTHS):
-            places = range(max(1, length))
+            places = range(length + 3 - width)
             wide.append(max((sum(network.embedding[padded[p + i]] @ filters[i] for i in range(width)) for p in places),
                             key=lambda v: v[0])[0] + bias[0])
         for part in (1 << 15, 3):
