@@ -138,9 +138,9 @@ def read_files(
             "products": exported("products"),
             "product_category": exported("product_category"),
             "supplier": lambda: land_csv(spark, at("supplier")),
-            "orders": lambda: land_table(spark, at("orders"), ddl("orders")),
+            "orders": lambda: land_table(spark, at("orders"), ddl("orders"), strict=True),
             "order_items": lambda: land_table(
-                spark, at("order_items"), ddl("order_items"), item_format
+                spark, at("order_items"), ddl("order_items"), item_format, strict=True
             ),
         }
     )

@@ -258,11 +258,14 @@ def land_json_records(
     )
 
 
-def _as_declared(rows: DataFrame, ddl: str | None, unit: str) -> DataFrame:
+def _as_declared(rows: DataFrame, ddl: str | None, unit: str, strict: bool) -> DataFrame:
     """``conform``, with NULL for a column that is lacking and times made from numbers."""
     if ddl is None:
         return rows
     found, cells = rows.schema, []
+    unknown = set(found.names) - set(schemas.names(ddl))
+    if strict and unknown:
+        raise ValueError(f"columns that are not declared: {', '.join(sorted(unknown))}")
     for name, kind in schemas.columns(ddl):
         if name not in found.names:
             cells.append(F.lit(None).cast("string").alias(name))
@@ -294,11 +297,13 @@ def land_table(
     ddl: str | None = None,
     format: str = "parquet",
     unit: str = "ns",
+    strict: bool = False,
 ) -> DataFrame | None:
     """Files that carry their own schema: Parquet, Avro, ORC.
 
     Columns are matched by name. Files may differ in their columns and in the types of these: a
-    column that a file lacks is NULL there. Without ``ddl`` every column of any file is kept.
+    column that a file lacks is NULL there. Without ``ddl`` every column of any file is kept; with it
+    others are left out, unread, or with ``strict`` fail.
     Spark merges schemas of Parquet and ORC in tasks; only where types differ, and for formats it
     doesn't merge, the files are grouped by schema. Times that a file holds as numbers, which
     includes Parquet's nanoseconds, are in ``unit``; digits beyond microseconds are cut.
@@ -307,11 +312,11 @@ def land_table(
     rows = spark.read.format(format).option("mergeSchema", True)
     if format in MERGED:
         try:
-            return _as_declared(rows.load(path), ddl, unit)
+            return _as_declared(rows.load(path), ddl, unit, strict)
         except Exception as error:
             if "MERGE_SCHEMAS" not in str(error):
                 raise
     # The schema given keeps Spark from merging those of the files, whose names alone are needed.
     files = spark.read.format(format).schema("storeloom_none INT").load(path).inputFiles()
-    parts = [_as_declared(part, ddl, unit) for part in _by_schema(spark, files, format)]
+    parts = [_as_declared(part, ddl, unit, strict) for part in _by_schema(spark, files, format)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

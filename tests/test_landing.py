@@ -359,3 +359,22 @@ def test_files_of_differing_columns_without_declared_ones(spark, tmp_path):
     spark.sql("select 2 id, 'y' phone").write.mode("append").parquet(place)
     found = {r.id: (r.name, r.phone) for r in land_table(spark, place).collect()}
     assert found == {1: ("x", None), 2: (None, "y")}
+
+
+def test_undeclared_columns_of_a_table_fail_where_asked(spark, tmp_path):
+    place = str(tmp_path / "c")
+    spark.sql("select 1 id, 'x' name").write.parquet(place)
+    spark.sql("select 2L id, 'y' name, 5 extra").write.mode("append").parquet(place)
+    category = schemas.LANDING["product_category"]
+    assert sorted(r.id for r in land_table(spark, place, category).collect()) == [1, 2]
+    with pytest.raises(ValueError, match="not declared: extra"):
+        land_table(spark, place, category, strict=True)
+
+
+def test_a_file_of_daily_landing_with_an_undeclared_column_fails(spark, tmp_path):
+    from storeloom.plans import daily
+
+    store = daily.Store(spark, str(tmp_path / "store"))
+    spark.sql("select 1L id, 1L customer_id, 'A' status, 7 extra").write.parquet(str(tmp_path / "order.parquet"))
+    with pytest.raises(ValueError, match="not declared: extra"):
+        daily.read_files(store, str(tmp_path))["orders"]
