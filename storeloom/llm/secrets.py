@@ -2,10 +2,13 @@
 
 Three plain patterns come first (assignments to telling names, access keys, long hexadecimal
 runs). Beyond them, source and configuration syntax is lexed into pairs of a name and the literals
-assigned to it: ``name = "x" + "y"``, ``name: x``, ``"name": "x"``, ``name := x``, ``name => x``.
-A literal that is first kept under another name is followed to the name it ends up under. The
-names score by the sensitive words they hold, the literals by length, variety and by not being a
-placeholder; a literal of enough score is a ``literal`` span.
+assigned to it: ``name = "x" + "y"``, ``name: x``, ``"name": "x"``, ``name := x``, ``name => x``,
+``a = name = "x"``, ``name = y || "x"``, ``name = get("key", "x")``, ``<name>x</name>`` and
+``set_name("x")``, on one line, after a line break that is escaped, or in brackets.
+A literal that is first kept under another name, or under a key, is followed to the name it ends up
+under. The names score by the sensitive words they hold, the literals by length, variety and by not
+being a placeholder; a literal of enough score is a ``literal`` span. Several words weigh only as a
+quoted pass phrase. Where an expression has quoted parts, names that nothing is known of are no text.
 
 Texts without any telling byte sequence are passed over by fast searches that cover the whole
 text; the others are lexed whole. A name keeps references to the names it is made of, so this takes
@@ -54,6 +57,8 @@ PLACEHOLDER = re.compile(
     re.DOTALL,
 )
 THRESHOLD = 0.5
+# Calls with a default inside each other that are followed.
+MOST_CALLS = 8
 _HEX_BYTES = bytes(0x31 if b in b"0123456789abcdef" else 0x30 for b in range(256))
 # What may part the words of a name, and the sensitive words that hold no other one.
 _APART = bytes(b for b in range(256) if b in b"0123456789_.-" or b > 127)
@@ -62,12 +67,30 @@ _NAMES = tuple(w.encode() for w in SENSITIVE if not any(v in w for v in SENSITIV
 PAIR = re.compile(
     r"(?<![\w.\-])(?P<name>[A-Za-z_][\w.\-]*+)(?:\[?[\"']\]?)?[ \t]*+(?::=|=>|=(?![=~])|:(?![:/]))[ \t]*+"
 )
+# What may stand between the sign and the value: an escaped line break, or a bracket with blanks.
+OPENED = re.compile(r"(?:\\\r?\n[ \t]*+)?(?:(?P<bracket>\()\s*+)?")
 OPERAND = re.compile(
     r"[rbuf]{0,2}(?:\"(?P<double>(?:[^\"\\\n]|\\.)*+)\"|'(?P<single>(?:[^'\\\n]|\\.)*+)'"
-    r"|`(?P<tick>[^`\n]*+)`)|(?P<bare>[^\s\"'`,;{}()\[\]#+]++)",
+    r"|`(?P<tick>[^`\n]*+)`)|(?P<bare>(?:[^\s\"'`,;{}()\[\]#+|]|\|(?!\|))++)",
     re.ASCII,
 )
-JOIN = re.compile(r"[ \t]*+(?:\+|\.\.|\\\n)?[ \t]*+(?=[\"'`])|[ \t]*+\+[ \t]*+")
+JOIN = re.compile(
+    r"[ \t]*+(?:\+|\.\.|\\\n)?[ \t]*+(?=[\"'`])|[ \t]*+\+[ \t]*+"
+    r"|[ \t]*+(?:\|\||\?\?|(?<=[ \t])or(?=[ \t]))[ \t]*+"
+)
+# In a bracket, strings and signs may stand on further lines.
+JOIN_LINES = re.compile(r"\s*+(?:\+|\.\.)?\s*+(?=[\"'`])")
+# After a bare name: a key in brackets, or a call with a key and a default.
+KEY = re.compile(r"\[[\"'](?P<key>[\w.\-]++)[\"']\]")
+DEFAULT = re.compile(r"\(\s*+(?:\"[^\"\n]*+\"|'[^'\n]*+')\s*+,\s*+")
+ELEMENT = re.compile(r"<(?P<name>[A-Za-z_][\w.\-]*+)(?:\s[^<>]*+)?>(?P<value>[^<>\n]++)</(?P=name)\s*+>")
+SETTER = re.compile(
+    r"(?:(?<![\w.])|(?<=\.))(?P<name>(?:set|with|put|use)_?[A-Za-z]\w*+)\(\s*+"
+    r"(?:\"(?P<double>(?:[^\"\\\n]|\\.)*+)\"|'(?P<single>(?:[^'\\\n]|\\.)*+)')\s*+\)"
+)
+# Words of names whose value may be several words.
+PHRASES = ("pass", "pwd")
+LEAST_PHRASE, MOST_PHRASE = 3, 10
 
 
 def plain_spans(text: str) -> Iterator[Span]:
@@ -90,9 +113,11 @@ def name_weight(name: str) -> float:
     return max((SENSITIVE.get(w, 0.0) for w in [*words, *pairs]), default=0.0)
 
 
-def literal_weight(value: str) -> float:
+def literal_weight(value: str, name: str = "") -> float:
     """From 0 for a placeholder or a short or uniform text to 1 for a long and varied one."""
-    if len(value) < LEAST_VALUE or PLACEHOLDER.fullmatch(value) or re.search(r"\s", value):
+    if len(value) < LEAST_VALUE or PLACEHOLDER.fullmatch(value) or re.search(r"[^\S ]", value):
+        return 0.0
+    if " " in value and not _is_phrase(value, name):
         return 0.0
     counts = Counter(value)
     bits = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
@@ -100,6 +125,17 @@ def literal_weight(value: str) -> float:
     return min(1.0, bits / 3.5) * (1.0 if kinds > 1 else 0.5)
 
 
+def _is_phrase(value: str, name: str) -> bool:
+    """Some plain words under the name of a pass word or phrase, none of them about secrets."""
+    words = value.lower().split(" ")
+    return (
+        any(word in name.lower() for word in PHRASES)
+        and LEAST_PHRASE <= len(words) <= MOST_PHRASE
+        and all(re.fullmatch(r"[a-z0-9]+", word) for word in words)
+        and not any(known in word for word in words for known in (*SENSITIVE, "enter", "please"))
+    )
+
+
 class Kept:
     """What a name was assigned: literals (value, start, end) and what other names had been."""
 
@@ -127,18 +163,35 @@ class Kept:
 def _operands(text: str, at: int, known: dict) -> tuple[list, int]:
     """Literals (value, start, end) and kept names of an expression from ``at``, and its end."""
     pieces: list = []
+    opened = OPENED.match(text, at)
+    join = JOIN_LINES if opened["bracket"] else JOIN
+    inner, quoted, calls = opened.end(), False, 0
+    if not OPERAND.match(text, inner):
+        inner = at
+    at = inner
     while operand := OPERAND.match(text, at):
-        kind = operand.lastgroup
+        kind, value = operand.lastgroup, operand[operand.lastgroup]
         at = operand.end()
-        if kind == "bare" and operand[kind] in known:
-            pieces.append(known[operand[kind]])
+        if kind != "bare":
+            quoted = True
+            pieces.append((value, operand.start(kind), at - 1))
+        elif default := DEFAULT.match(text, at):
+            at = default.end()
+            calls += 1
+            if calls < MOST_CALLS:
+                continue
         else:
-            pieces.append((operand[kind], operand.start(kind), operand.end(kind)))
-        joined = JOIN.match(text, at)
+            if key := KEY.match(text, at):
+                value, at = key["key"], key.end()
+            pieces.append(known[value] if value in known else (value, operand.start(), operand.end(), 0))
+        joined = join.match(text, at) or JOIN.match(text, at)
         if not joined:
             break
         at = joined.end()
-    return pieces, at
+    # A bare piece has a fourth part.
+    if quoted:
+        pieces = [p for p in pieces if isinstance(p, Kept) or len(p) == 3]
+    return [p if isinstance(p, Kept) else p[:3] for p in pieces], at
 
 
 def literal_spans(text: str) -> Iterator[Span]:
@@ -146,17 +199,28 @@ def literal_spans(text: str) -> Iterator[Span]:
     known: dict[str, Kept] = {}
     at, found = 0, set()
     while pair := PAIR.search(text, at):
-        pieces, at = _operands(text, pair.end(), known)
-        at = max(at, pair.end())
+        names, at = [pair["name"]], pair.end()
+        while pair := PAIR.match(text, at):  # a = b = value
+            names.append(pair["name"])
+            at = pair.end()
+        pieces, end = _operands(text, at, known)
+        at = max(at, end)
         alone = len(pieces) == 1 and isinstance(pieces[0], Kept)
-        kept = known[pair["name"]] = pieces[0] if alone else Kept(pieces)
-        weight = name_weight(pair["name"])
+        kept = pieces[0] if alone else Kept(pieces)
+        name = max(names, key=name_weight)
+        known.update(dict.fromkeys(names, kept))
+        weight = name_weight(name)
         if weight < THRESHOLD or kept.weight is not None and weight <= kept.weight:
             continue
         # The name's weight is kept: under no heavier name is there anything new to find.
         kept.weight, literals = weight, kept.literals()
-        if weight * literal_weight("".join(v for v, _, _ in literals)) >= THRESHOLD:
+        if weight * literal_weight("".join(v for v, _, _ in literals), name) >= THRESHOLD:
             found.update((start, 3, end) for _, start, end in literals if start < end)
+    for form in (ELEMENT, SETTER):
+        for given in form.finditer(text):
+            name, kind = given["name"], given.lastgroup
+            if name_weight(name) * literal_weight(given[kind], name) >= THRESHOLD:
+                found.add((given.start(kind), 3, given.end(kind)))
     yield from found
 
 
@@ -165,7 +229,7 @@ def spans_of(body: bytes) -> list[Span]:
     # The words of a name count together too, so its letters are searched without what parts them.
     letters = body.translate(None, _APART).lower()
     named = any(name in letters for name in _NAMES)
-    assigns = named and (b"=" in body or b":" in body)
+    assigns = named and any(sign in body for sign in (b"=", b":", b"</", b"("))
     if not (assigns or b"AKIA" in body or b"1" * LEAST_HEX in body.translate(_HEX_BYTES)):
         return []
     text = body.decode("utf-8", "replace")

@@ -93,6 +93,54 @@ def test_empty_literals_are_no_spans():
     assert secrets.masked(body, spans).count("[SECRET]") == 2
 
 
+V = "kJ8s9dkf0sKdXy"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        f'a = b = "{V}"\npassword = a', f'a = b = "{V}"\npassword = b', f'password = \\\n  "{V}"',
+        f'password = (\n   "{V}"\n)', f'd["password"] = "{V}"', f'keys["k1"] = "{V}"\nsecret = keys["k1"]',
+        f"{{'k1': '{V}'}}\npassword = cfg['k1']", f'password = process.env.PASS || "{V}"',
+        f'password = os.getenv("PASS", "{V}")', f'password = get("A", get("B", "{V}"))', f'password = env or "{V}"',
+        f'api_key = a ?? b ?? "{V}"', f"<password>{V}</password>", f'<db>\n<dbPassword a="1">{V}</dbPassword></db>',
+        f'client.setPassword("{V}")', f"set_token('{V}')", f"login(user, password='{V}')", f'"password": "{V}"',
+        f'pass_word = """{V}"""', f"password: {V}", f"password = x + \"{V}\"", f"é password = `{V}`",
+    ],
+)
+def test_the_lexer_finds_a_literal_and_nothing_else(text):
+    spans = secrets.spans_of(text.encode())
+    assert [text[a:b] for a, kind, b in spans if kind == 3] == [V]
+    assert V not in secrets.masked(text.encode(), spans)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        f'x = "{V}"', "password = get_it()", 'password = "Enter your password please"', "token: the quick brown",
+        "secret = a | b | c", 'password = ""', "<password></password>",
+        "<password>changeme123</password>", 'get_secret("my-db-secret")', f'settle("{V}")', "<a>password</a>",
+        'password = "two words"', 'token = "three or four words"',
+    ],
+)
+def test_the_lexer_leaves_other_text_alone(text):
+    assert not [s for s in secrets.spans_of(text.encode()) if s[1] == 3]
+
+
+def test_pass_phrases_are_literals():
+    text = 'passphrase = "correct horse battery staple"'
+    assert [text[a:b] for a, _, b in secrets.spans_of(text.encode())] == ["correct horse battery staple"]
+
+
+@pytest.mark.parametrize("unit", ['password=("', "a=", "<a ", "<a>x", 'set_password("', 'k["x"]||', 'get("x",', "password=\\\n"])
+def test_new_forms_take_time_in_proportion(unit):
+    import time
+
+    start = time.process_time()
+    secrets.spans_of((unit * 40_000 + "password").encode())
+    assert time.process_time() - start < 5
+
+
 # --- language ----------------------------------------------------------------------------------
 
 
