@@ -9,7 +9,16 @@ from pyspark.sql import functions as F
 
 from storeloom import schemas
 from storeloom.functions import conform, day_of, full_name, net_of, percent_of, product_of
-from storeloom.operators import append, create_if_absent, load_keyed, replace
+from storeloom.operators import (
+    append,
+    create_batched,
+    create_if_absent,
+    load_keyed,
+    publish,
+    replace,
+    rows_of,
+)
+from storeloom.operators.sinks import BELOW
 from storeloom.plans import daily, marts, warehouse
 from storeloom.session import scratch_path
 from storeloom.sources import (
@@ -214,6 +223,48 @@ def insert_if_absent(spark: SparkSession, folder: str) -> DataFrame:
         return table.rows()
 
 
+@query
+def fact_sales_in_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders and items land in three batches, a third of the ids in each, and sales are loaded after
+    every one. An order may land before its items or after them."""
+    root = scratch_path(spark, "sales_in_batches")
+    tag = root.rsplit("/", 1)[1].replace("-", "_")
+    databases = [f"{tag}_{name}" for name in ("landing", "warehouse", "marts")]
+    store = daily.Store(spark, root, *databases, strict=False)
+    landing = sample_tables.landing(spark, folder)
+    try:
+        for batch in range(3):
+            frames = {n: landing[n].where(f"id % 3 = {batch}") for n in ("orders", "order_items")}
+            if not batch:
+                frames |= {n: landing[n] for n in ("products", "coupons")}
+            daily.load_landing(store, frames)
+            daily.load_warehouse(store, ["fact_sales"])
+        sales = spark.table(f"{store.warehouse}.fact_sales")
+        sales.write.parquet(f"{root}/result")
+        return spark.read.schema(sales.schema).parquet(f"{root}/result")
+    finally:
+        for database in databases:
+            spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
+@query
+def landing_since_a_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Logins land in four batches; those after the second are read, with their number."""
+    logins = sample_tables.login_attempts(spark, folder)
+    with ScratchTable(spark, "login_batches") as table:
+        create_batched(spark, table.name, schemas.LANDING["login_attempts"], table.location)
+        try:
+            for part in range(4):
+                publish(logins.where(f"id % 4 = {part}"), table.name)
+            later = rows_of(spark, table.name, after=2)
+            place = scratch_path(spark, "later_logins")
+            later.write.parquet(place)
+            return spark.read.schema(later.schema).parquet(place)
+        finally:
+            spark.sql(f"DROP VIEW IF EXISTS {table.name}")
+            spark.sql(f"DROP TABLE IF EXISTS {table.name}{BELOW}")
+
+
 @query
 def land_append_twice(spark: SparkSession, folder: str) -> DataFrame:
     """Landing appends, so a second run of the same file leaves every row twice."""

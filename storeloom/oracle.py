@@ -68,6 +68,12 @@ LINES = """
 AS_DOUBLE = "CAST({0} AS DOUBLE) AS {0}".format
 ROUNDED = "CAST(round({0}, 0) AS BIGINT) AS {0}".format
 
+SALES = f"""
+    SELECT order_id, customer_id, product_id, coupon_id, order_status, order_date, amount,
+           {ROUNDED("price")}, {ROUNDED("total_amount")}, discount_percent, {ROUNDED("total_price")}
+    FROM ({LINES})
+    QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY {{order}}) = 1"""
+
 STAR = {
     "dim_customers": keyed(
         "SELECT id, first_name, last_name, gender, address, zip_code FROM l_customers",
@@ -91,12 +97,7 @@ STAR = {
         "SELECT id, customer_id, login_successful, attempted_at FROM l_logins",
         "id", "customer_id", "login_successful", "attempted_at",
     ),
-    "fact_sales": f"""
-        SELECT order_id, customer_id, product_id, coupon_id, order_status, order_date, amount,
-               {ROUNDED("price")}, {ROUNDED("total_amount")}, discount_percent,
-               {ROUNDED("total_price")}
-        FROM ({LINES})
-        QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY item_id) = 1""",
+    "fact_sales": SALES.format(order="item_id"),
 }
 
 BESIDE = {
@@ -183,6 +184,9 @@ def activities(seed: int, timestamp: str) -> str:
 MINUTE = "TIMESTAMP '2021-01-01 00:00:00' + to_minutes(event_id)"
 
 OTHERS = {
+    "fact_sales_in_batches": SALES.format(order="item_id % 3, item_id"),
+    "landing_since_a_batch": """
+        SELECT *, id % 4 + 1 AS landed_batch FROM l_logins WHERE id % 4 + 1 > 2""",
     "fact_sales_lines": f"""
         SELECT * EXCLUDE (item_id, price, total_amount, total_price),
                {AS_DOUBLE("price")}, {AS_DOUBLE("total_amount")}, {AS_DOUBLE("total_price")}

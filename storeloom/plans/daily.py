@@ -206,7 +206,7 @@ def _keep_open(store: Store, landing: Frames, sales: DataFrame) -> None:
         replace(waiting, f"{store.warehouse}.{table}", versions)
 
 
-def load_warehouse(store: Store) -> None:
+def load_warehouse(store: Store, names: Iterable[str] = tuple(warehouse.LOADS)) -> None:
     """Insert the landing rows whose key is new, from the batches not taken in yet."""
     newest = store.newest()
 
@@ -230,7 +230,7 @@ def load_warehouse(store: Store) -> None:
             _keep_open(store, landing, store.spark.table(table))
         take(store.spark, table, newest)
 
-    _together(load, warehouse.LOADS)
+    _together(load, names)
 
 
 def load_marts(store: Store, mode: str = "overwrite") -> None:
