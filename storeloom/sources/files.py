@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import csv
 import json
-import re
 from collections import defaultdict
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -36,8 +35,6 @@ UNITS = {"s": 1_000_000, "ms": 1_000, "us": 1, "ns": 0.001}
 RECORD = "_whole_record"
 # A cell of such a row: quoted, with doubled quotes inside, or up to the next comma.
 CELL = r'("(?:[^"]|"")*"|[^,]*)(?:,|$)'
-# Bytes read for the header of a file; twice as many as long as no line ends among them.
-HEADER_BYTES = 1 << 16
 # Files whose header or schema is read at the same time.
 AT_ONCE = 32
 # Formats whose schemas Spark merges.
@@ -98,35 +95,22 @@ def _timestamp(text: Column, unit: str) -> Column:
 
 
 def _first_line(spark: SparkSession, file: str) -> str | None:
-    """The first line of a file of any store that Spark reads, from a bounded number of bytes."""
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
-    stream = place.getFileSystem(conf).open(place)
-    try:
-        stream = codec.createInputStream(stream) if codec else stream
-        found, size = b"", HEADER_BYTES
-        while True:
-            more = bytes(stream.readNBytes(size))
-            found, size = found + more, 2 * size
-            line = re.match(rb"[^\r\n]*(?=[\r\n])", found)
-            if line or not more:
-                text = (line.group() if line else found).decode("utf-8-sig", "replace")
-                return text or None
-    finally:
-        stream.close()
+    """The first line of a file. Its job ends with the first row, so it reads one buffer, however
+    many splits the file has."""
+    row = spark.read.text(file).first()
+    return row.value if row else None
 
 
 @none_if_no_files
 def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
     """Header line -> files that start with it. The driver gets a path and a line per file."""
-    files = spark.read.text(path).inputFiles()
+    files = [unquote(file) for file in spark.read.text(path).inputFiles()]
     found = defaultdict(list)
     with ThreadPoolExecutor(AT_ONCE) as pool:
         lines = pool.map(lambda file: _first_line(spark, file), files)
         for file, line in zip(files, lines):
-            if line is not None:
-                found[line].append(unquote(file))
+            if line:
+                found[line].append(file)
     return found
 
 
