@@ -24,13 +24,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeloom.llm.frames import stored
+from storeloom.llm.frames import settled
 
 TABLES = 2
 SUCCESS = 0.75
@@ -38,9 +39,10 @@ SUCCESS = 0.75
 # are widened.
 SAMPLE = 2000
 MAX_BUCKETS = 20_000
-SHARD_ROWS = 8192
 QUERY_ROWS = 4096
 STEP = 256
+# Candidates that a task keeps before it drops those that others have passed: 12 MB.
+KEPT = 1 << 19
 
 
 def _normal(x: np.ndarray) -> np.ndarray:
@@ -49,7 +51,7 @@ def _normal(x: np.ndarray) -> np.ndarray:
 
 
 class Table:
-    """One table: projections, cells, and the occupied buckets with their shards."""
+    """One table: projections, cells, and the occupied buckets."""
 
     def __init__(self, seed: int, dim: int, hashes: int, width: float, longest: float):
         rng = np.random.default_rng(seed)
@@ -66,22 +68,11 @@ class Table:
     def codes(self, vectors: np.ndarray) -> list[str]:
         return [",".join(map(str, c)) for c in np.floor(self.places(vectors, True)).astype(int)]
 
-    def occupy(self, counts: dict[str, int], first_shard: int) -> int:
-        """Packs the buckets into shards from ``first_shard`` on; returns the next free one."""
+    def occupy(self, counts: dict[str, int]) -> None:
         names = sorted(counts)
         self.number = {name: i for i, name in enumerate(names)}
         self.sizes = np.array([counts[name] for name in names])
         self.cells = np.array([list(map(int, n.split(","))) for n in names])
-        self.shards: list[list[int]] = []
-        shard, filled = first_shard, 0
-        for name in names:
-            n = counts[name]
-            if filled and filled + n > SHARD_ROWS:
-                shard, filled = shard + 1, 0
-            parts = -(-n // SHARD_ROWS)
-            self.shards.append(list(range(shard, shard + parts)))
-            shard, filled = (shard, filled + n) if parts == 1 else (shard + parts, 0)
-        return shard + (filled > 0)
 
     def visits(self, place: np.ndarray, distance: float, success: float, k: int) -> np.ndarray:
         """Buckets in estimated success order, as many as reach ``success`` and hold ``k`` vectors
@@ -154,11 +145,69 @@ def _coded(rows: DataFrame, tables: list[Table]) -> DataFrame:
     return rows.mapInPandas(run, "t int, code string, vec_id bigint, v binary")
 
 
+class Block:
+    """Some queries, with a bit for each bucket of each table that they visit."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, visited: list[np.ndarray]):
+        self.ids, self.vectors, self.visited = ids, vectors, visited
+
+    def visiting(self, table: int, bucket: int) -> np.ndarray:
+        """Numbers of the queries that visit a bucket."""
+        return np.flatnonzero(self.visited[table][:, bucket >> 3] >> (7 - (bucket & 7)) & 1)
+
+
+class Best:
+    """The ``k`` best rows of each query so far. Others are dropped from time to time."""
+
+    def __init__(self, block: Block, k: int):
+        self.block, self.k = block, k
+        self.least = np.full(len(block.ids), -np.inf)
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.held = 0
+
+    def add(self, asking: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
+        for start in range(0, len(asking), STEP):
+            part = asking[start : start + STEP]
+            scores = self.block.vectors[part] @ vectors.T
+            # The product may differ from the score in the last places.
+            least = self.least[part]
+            near = scores >= np.where(np.isfinite(least), least - 1e-9 * (1 + np.abs(least)), least)[:, None]
+            query, row = np.nonzero(near)
+            query = part[query]
+            other = self.block.ids[query] != ids[row]
+            query, row = query[other], row[other]
+            exact = np.einsum("ij,ij->i", self.block.vectors[query], vectors[row])
+            self.parts.append((query, ids[row], exact))
+            self.held += len(query)
+            if self.held > KEPT:
+                self.shrink()
+
+    def shrink(self) -> None:
+        query, ids, scores = (np.concatenate(c) for c in zip(*self.parts))
+        order = np.lexsort((ids, -scores, query))
+        query, ids, scores = query[order], ids[order], scores[order]
+        new = np.ones(len(query), bool)  # a row may be met in each table
+        new[1:] = (query[1:] != query[:-1]) | (ids[1:] != ids[:-1])
+        query, ids, scores = query[new], ids[new], scores[new]
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        kept = place < self.k
+        last = place == self.k - 1
+        self.least[query[last]] = scores[last]
+        self.parts = [(query[kept], ids[kept], scores[kept])]
+        self.held = int(kept.sum())
+
+    def found(self) -> pd.DataFrame:
+        if self.parts:
+            self.shrink()
+        query, ids, scores = self.parts[0] if self.parts else (np.zeros(0, np.int64),) * 3
+        return pd.DataFrame({"query_id": self.block.ids[query], "vec_id": ids, "score": scores})
+
+
 def nearest(
     vectors: DataFrame, is_query, k: int = 20, tables: int = TABLES, success: float = SUCCESS
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``k`` nearest found for rows of ``is_query``."""
-    rows = stored(_packed(usable(vectors)), "vectors")
+    rows = settled(_packed(usable(vectors)), "vectors")
     spark = vectors.sparkSession
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()
     if not len(sample):
@@ -177,89 +226,66 @@ def nearest(
     width = 1.5 * longest
     while True:
         made = [Table(i, sampled.shape[1], hashes, width, longest) for i in range(tables)]
-        coded = stored(_coded(rows, made), "coded")
+        # Rows of a bucket lie together in each partition, so that a task meets it few times.
+        coded = settled(_coded(rows, made).sortWithinPartitions("t", "code"), "coded")
         counts = coded.groupBy("t", "code").count().limit(tables * MAX_BUCKETS + 1).collect()
         if len(counts) <= tables * MAX_BUCKETS:
             break
         width *= 2
-    shards = 0
     for i, table in enumerate(made):
-        shards = table.occupy({r.code: r["count"] for r in counts if r.t == i}, shards)
+        table.occupy({r.code: r["count"] for r in counts if r.t == i})
     queries = rows.where(is_query)
-    blocks = -(-queries.count() // QUERY_ROWS) or 1
+    blocks = -(-queries.count() // QUERY_ROWS)
     shared = spark.sparkContext.broadcast(made)
     known = spark.sparkContext.broadcast(distances)
 
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = {n: [] for n in ("shard", "block", "bucket", "vec_id", "v")}
-            for t, code, vec_id, v in zip(batch["t"], batch["code"], batch["vec_id"], batch["v"]):
-                bucket = shared.value[t].number[code]
-                parts = shared.value[t].shards[bucket]
-                for block in range(blocks):
-                    for name, x in zip(out, (parts[vec_id % len(parts)], block, bucket, vec_id, v)):
-                        out[name].append(x)
-            yield pd.DataFrame(out)
-
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = {n: [] for n in ("shard", "block", "buckets", "vec_id", "v")}
-            matrix = _matrix(batch["v"].tolist()) if len(batch) else None
-            far = known.value.of(matrix) if len(batch) else []
-            for table in shared.value:
-                places = table.places(matrix, False) if len(batch) else []
-                for place, distance, vec_id, v in zip(places, far, batch["vec_id"], batch["v"]):
-                    by_shard: dict[int, list[int]] = {}
-                    for bucket in table.visits(place, distance, success, k):
-                        for shard in table.shards[bucket]:
-                            by_shard.setdefault(shard, []).append(int(bucket))
-                    for shard, buckets in by_shard.items():
-                        row = (shard, vec_id // 7 % blocks, buckets, vec_id, v)
-                        for name, x in zip(out, row):
-                            out[name].append(x)
-            yield pd.DataFrame(out)
-
-    def rank(data: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        parts = []
-        if len(data) and len(asked):
-            order = np.argsort(data["vec_id"].to_numpy(), kind="stable")
-            ids = data["vec_id"].to_numpy()[order]
-            buckets, local = np.unique(data["bucket"].to_numpy()[order], return_inverse=True)
-            matrix = _matrix(data["v"].tolist())[order]
-            for start in range(0, len(asked), STEP):
-                part = asked.iloc[start : start + STEP]
-                wanted = _matrix(part["v"].tolist())
-                visited = np.zeros((len(part), len(buckets)), bool)
-                for i, seen in enumerate(part["buckets"]):
-                    visited[i, np.searchsorted(buckets, np.intersect1d(seen, buckets))] = True
-                scores = wanted @ matrix.T
-                scores[~visited[:, local]] = -np.inf
-                scores[part["vec_id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
-                for i, query_id in enumerate(part["vec_id"]):
-                    near = scores[i]
-                    at = max(0, len(near) - k)
-                    least = np.partition(near, at)[at]
-                    chosen = np.flatnonzero((near >= least - 1e-9 * (1 + abs(least))) & (near > -np.inf)
-                                            if np.isfinite(least) else near > -np.inf)
-                    exact = np.einsum("ij,j->i", matrix[chosen], wanted[i])
-                    best = np.lexsort((ids[chosen], -exact))[:k]
-                    parts.append(pd.DataFrame(
-                        {"query_id": query_id, "vec_id": ids[chosen][best], "score": exact[best]}
-                    ))
-        found = "query_id", "vec_id", "score"
-        return pd.concat(parts) if parts else pd.DataFrame({n: [] for n in found})
-
-    data = coded.mapInPandas(deal, "shard int, block int, bucket int, vec_id bigint, v binary")
-    asked = queries.mapInPandas(
-        probe, "shard int, block int, buckets array<int>, vec_id bigint, v binary"
-    )
-    found = (
-        data.groupBy("shard", "block")
-        .cogroup(asked.groupBy("shard", "block"))
-        .applyInPandas(rank, "query_id bigint, vec_id bigint, score double")
-        .groupBy("query_id", "vec_id")
-        .agg(F.max("score").alias("score"))
-    )
+            if not len(batch):
+                continue
+            matrix = _matrix(batch["v"].tolist())
+            far = known.value.of(matrix)
+            for t, table in enumerate(shared.value):
+                bits = np.zeros((len(batch), len(table.cells)), bool)
+                for i, place in enumerate(table.places(matrix, False)):
+                    bits[i, table.visits(place, far[i], success, k)] = True
+                packed = [b.tobytes() for b in np.packbits(bits, axis=1)]
+                yield pd.DataFrame(
+                    {"t": t, "vec_id": batch["vec_id"], "v": batch["v"], "visited": packed}
+                )
+
+    found = []
+    for block in range(blocks):
+        asked = queries.where(f"pmod(xxhash64(vec_id), {blocks}) = {block}")
+        asked = asked.mapInPandas(probe, "t int, vec_id bigint, v binary, visited binary").toPandas()
+        asked = asked.sort_values(["t", "vec_id"])
+        first = asked[asked["t"] == 0]
+        visited = [
+            np.array([np.frombuffer(b, np.uint8) for b in asked["visited"][asked["t"] == t]])
+            for t in range(tables)
+        ]
+        if not len(first):
+            continue
+        ids, matrix = first["vec_id"].to_numpy(), _matrix(first["v"].tolist())
+        found.append(_block_best(coded, spark.sparkContext.broadcast(Block(ids, matrix, visited)), shared, k))
+    if not found:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    best = reduce(DataFrame.union, found).groupBy("query_id", "vec_id")
     order = "row_number() over (partition by query_id order by score desc, vec_id) as rank"
-    ranked = found.selectExpr("query_id", order, "vec_id", "score")
+    ranked = best.agg(F.max("score").alias("score")).selectExpr("query_id", order, "vec_id", "score")
     return ranked.where(F.col("rank") <= k)
+
+
+def _block_best(coded: DataFrame, block, tables, k: int) -> DataFrame:
+    """(query_id, vec_id, score): the best rows of each task for the queries of a block."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = Best(block.value, k)
+        for batch in batches:
+            for (t, code), rows in batch.groupby(["t", "code"], sort=False):
+                asking = block.value.visiting(t, tables.value[t].number[code])
+                if len(asking):
+                    best.add(asking, rows["vec_id"].to_numpy(), _matrix(rows["v"].tolist()))
+        yield best.found()
+
+    return coded.mapInPandas(run, "query_id bigint, vec_id bigint, score double")
