@@ -3,14 +3,25 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from storeloom.llm import decontamination, jaccard_join, language_id, mixing, secrets, toxicity, warc
+from storeloom.llm import (
+    decontamination,
+    jaccard_join,
+    language_id,
+    lattice,
+    mixing,
+    secrets,
+    toxicity,
+    warc,
+)
 
 EN = "the house of the old man and the sea with this and that "
 DE = "der hund und die katze über das große haus für immer schön "
@@ -307,3 +318,42 @@ def test_jaccard_components_do_not_hang_on_what_a_task_keeps(spark, monkeypatch)
     monkeypatch.setattr(jaccard_join, "KNOWN_SHINGLES", 10)
     monkeypatch.setattr(jaccard_join, "COUNT_RUN", 100)
     assert sorted(map(tuple, jaccard_join.jaccard_components(frame).collect())) == one
+
+
+# --- lattice -----------------------------------------------------------------------------------
+
+
+def test_lattice_scores_by_brute_force(spark, docs):
+    """Every term of the score, from plain counts and the plain recursion over each word."""
+    extra = [(200, None, None, None, 0), (201, "", None, None, 0), (202, "qqq zzz the " + "x" * 100, "en", "s", 0),
+             (202, "qqq zzz the " + "x" * 100, "en", "s", 0), (203, "é" * 80 + " the", "en", "s", 0)]
+    frame = docs.union(spark.createDataFrame(extra, DOCS))
+    learned = (F.col("doc_id") % 3 != 0) & (F.col("doc_id") < 203)
+    found = lattice.score(frame, learned).collect()
+
+    texts = [r.text for r in frame.where(learned).collect()]
+    counts = Counter(w for t in texts for w in (t or "").encode().lower().split())
+    prior = lattice.Lattice.from_file(lattice.VOCABULARY)
+    start, inside = Counter(), Counter()
+    for word, n in counts.items():
+        prior.expect(word, n, start, inside)
+    fitted = lattice.Lattice.of_weights(
+        {p: start[p] + len(prior.start) * math.exp(w) for p, w in prior.start.items()},
+        {p: inside[p] + len(prior.inside) * math.exp(w) for p, w in prior.inside.items()},
+        sum(counts.values()) + len(prior.inside) * math.exp(prior.stop),
+    )
+    total, distinct = sum(counts.values()) + len(texts), len(counts) + 1
+    whole, scored = math.log10(total + distinct + 1), set()
+    text_of = {r.doc_id: r.text for r in frame.collect()}
+    for r in found:
+        words = (text_of[r.doc_id] or "").encode().lower().split()
+        score = math.log10(len(texts) + (distinct + 1) * 1e-3) - whole
+        base = math.log10(len(texts) + 1) - whole
+        for w in words:
+            spelled = fitted.spelling(w) / math.log(10) + math.log10((distinct + 1) * (1 - 1e-3))
+            score += (math.log10(counts[w] + 10**spelled) if counts[w] else spelled) - whole
+            base += math.log10(counts[w] + 1) - whole
+        assert r.n_tokens == len(words) + 1 and r.n_known == 1 + sum(w in counts for w in words)
+        assert abs(r.score - score) < 1e-6 and abs(r.base_score - base) < 1e-6, r.doc_id
+        scored.add(r.doc_id)
+    assert scored == set(text_of)
