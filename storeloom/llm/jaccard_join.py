@@ -11,9 +11,9 @@ Documents of one shingle set form a class, and classes are joined:
 
 Every meeting of two classes is verified on the whole texts, except where that cannot change a
 component. First each class is compared with one other: of the earliest members of like size in
-its lists, the one it meets most often. Rounds follow in which a list names a few of its members by
-chance, and each class is compared with a bounded number of those in other components, until none
-links. Then the classes that still meet in different components are compared.
+its lists, the one it meets most often. Rounds follow for lists of many classes: each names a few of
+its members by chance, and a class is compared with a bounded number of those in other components,
+until none links. Then the classes that still meet in different components are compared.
 A group of near copies so costs little more than its size, while no link that joins two
 components is lost.
 
@@ -58,6 +58,8 @@ CHOICE_LISTS = 4
 # Members that a list names and partners of a class in the first round, twice as many in each further
 # one, and rounds at most.
 NAMED, PARTNERS, ROUNDS = 4, 8, 6
+# Lists of more classes take part in the rounds; in shorter ones, fewer pairs than that a class are left.
+MANY = 64
 # Bits of the filter for documents to verify: 2 MB.
 FILTER_BITS = 1 << 24
 # Shingles that a comparing task keeps from one pair to the next: 4 MB.
@@ -293,18 +295,34 @@ def _pairs_with_best(meetings: DataFrame, percent: int) -> DataFrame:
     ).distinct()
 
 
-def _mixed(meetings: DataFrame, labels: DataFrame) -> DataFrame:
-    """The list entries, with the label of their class, of lists that meet two components."""
-    known = labels.withColumnRenamed("node", "class").hint("rebalance")
-    labelled = settled(
-        meetings.drop("label")
-        .join(known, "class", "left")
-        .withColumn("label", F.coalesce("label", "class")),
-        "labelled",
+def _mixed(labelled: DataFrame, least: int = 2) -> DataFrame:
+    """The entries of lists that meet two components and have ``least`` entries."""
+    lists = labelled.groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("entries")
     )
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = mixed.where("low <> high").select("key").hint("rebalance")
-    return settled(labelled.join(mixed, "key", "left_semi"), "mixed")
+    lists = lists.where(f"low <> high and entries >= {least}").select("key").hint("rebalance")
+    return settled(labelled.join(lists, "key", "left_semi"), "mixed")
+
+
+def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """List entries with the label of their class, which is the class itself where it has no link."""
+    known = labels.withColumnRenamed("node", "class").hint("rebalance")
+    found = entries.drop("label").join(known, "class", "left")
+    return settled(found.withColumn("label", F.coalesce("label", "class")), "labelled")
+
+
+def _merged(mixed: DataFrame, links: DataFrame) -> DataFrame:
+    """``mixed`` with the labels that ``links`` join made one, over at most four of them in a row.
+    Components may stay apart here, which costs comparisons and changes nothing."""
+    label = mixed.select("class", "label").distinct()
+    met = links.join(label.toDF("a", "la"), "a").join(label.toDF("b", "lb"), "b").where("la <> lb")
+    hop = met.groupBy(F.greatest("la", "lb").alias("l")).agg(F.min(F.least("la", "lb")).alias("m"))
+    for _ in range(2):
+        further = hop.select(F.col("l").alias("m"), F.col("m").alias("next"))
+        hop = hop.join(further, "m", "left").select("l", F.coalesce("next", "m").alias("m"))
+    hop = hop.hint("rebalance")
+    found = mixed.join(hop, F.col("label") == F.col("l"), "left")
+    return found.withColumn("label", F.coalesce("m", "label")).drop("l", "m")
 
 
 def _pairs_by_chance(mixed: DataFrame, round: int, percent: int) -> DataFrame:
@@ -427,25 +445,39 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     links = _links(tried, texts, words, percent)
     emptied(texts)
     labels = settled(component_labels(links), "labels")
-    mixed = _mixed(meetings, labels)
+    labelled = _labelled(meetings, labels)
     emptied(meetings)
+    mixed = _mixed(labelled)
+    emptied(labelled)
     texts = _texts(docs, nodes, mixed.select("class").distinct(), words)
 
+    many, linked = _mixed(mixed, MANY), 0
     for round in range(ROUNDS):
-        pairs = _pairs_by_chance(mixed, round, percent).join(tried, ["a", "b"], "left_anti")
+        if many.isEmpty():
+            break
+        pairs = _pairs_by_chance(many, round, percent).join(tried, ["a", "b"], "left_anti")
         pairs = settled(pairs, "pairs")
         found = _links(pairs, texts, words, percent)
         tried, links = tried.union(pairs), links.union(found)
-        linked = found.count()
-        if linked:
-            labels = settled(component_labels(links), "labels")
-            mixed = _mixed(mixed, labels)
-        else:
+        if found.isEmpty():
             break
+        linked, before = linked + 1, many
+        many = _mixed(_merged(many, found), MANY)
+        emptied(before)
+    emptied(many)
+    if linked:
+        labels = settled(component_labels(links), "labels")
+        labelled = _labelled(mixed, labels)
+        emptied(mixed)
+        mixed = _mixed(labelled)
+        emptied(labelled)
     rest = settled(_pairs_between(mixed, percent).join(tried, ["a", "b"], "left_anti"), "pairs")
-    links = links.union(_links(rest, texts, words, percent))
+    found = _links(rest, texts, words, percent)
     emptied(texts)
-    labels = settled(component_labels(links), "labels")
+    emptied(mixed)
+    if not found.isEmpty():
+        links = links.union(found)
+        labels = settled(component_labels(links), "labels")
 
     grouped = nodes.join(labels.withColumnRenamed("node", "class"), "class", "left")
     grouped = grouped.withColumn("label", F.coalesce("label", "class"))
