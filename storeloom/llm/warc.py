@@ -34,7 +34,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeloom.llm.frames import map_batches, stored
+from storeloom.llm.frames import bound_batches, map_batches, stored
 from storeloom.session import scratch_path
 
 ARCHIVE_BYTES = 256 << 20
@@ -132,9 +132,9 @@ def write(pages: DataFrame, folder: str, least: int = 1000) -> DataFrame:
         F.when(revisit, F.col("last.url")).alias("to_url"),
         "payload",
     )
-    none = F.lit(None)
+    none = F.lit(None).cast("string")
     small = read.where(F.col("bytes") < least).withColumns({"to_page": none, "to_url": none})
-    rows = rows.unionByName(small.select(*names))
+    bound_batches(pages.sparkSession)
 
     def run(batches):
         system, path = _files(folder)
@@ -159,7 +159,9 @@ def write(pages: DataFrame, folder: str, least: int = 1000) -> DataFrame:
         if stream:
             stream.close()
 
-    return stored(map_batches(rows, run, CAPTURE), "captures")
+    # Each in a job of its own: beside others, Spark would not split a payload that many pages have.
+    parts = [stored(map_batches(r.select(*names), run, CAPTURE), "captures") for r in (rows, small)]
+    return parts[0].union(parts[1])
 
 
 def _header(url: str | None) -> str:
