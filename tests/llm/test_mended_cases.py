@@ -250,22 +250,27 @@ def test_pooling_by_brute_force(monkeypatch):
             assert np.allclose(network.pooled(buckets)[0][:, 0], wide, atol=1e-5)
 
 
-def test_long_labelled_texts_are_learned_from(spark):
-    """The only toxic rows are longer than most."""
+def test_long_texts_have_a_threshold_of_their_own(spark):
+    """Every second text has more words than those trained on."""
     rng, rows, marks = random.Random(4), [], []
-    for i in range(120):
-        n = 4000 if i % 3 == 0 else 40
+    for i in range(240):
+        n = toxicity.TRAINED_WORDS + 500 if i % 2 else 40
         words = [rng.choice(EN.split()) for _ in range(n)]
         if i % 3 == 0:
             words[rng.randrange(n)] = "scum"
         rows.append((i, " ".join(words), "en"))
         marks.append((i, int(i % 3 == 0)))
+    rows += [(500, "the " * 60_000, "en"), (500, "the " * 9, "en")]  # more words than the sample takes
+    marks.append((500, 1))
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     labels = spark.createDataFrame(marks, "doc_id bigint, toxic int")
-    model = toxicity.fit(frame, labels, F.col("doc_id") % 4 != 2)
-    assert model is not None
-    score = {w: model[0].score(toxicity.word_buckets(w.encode())) for w in (EN, EN + "scum")}
-    assert score[EN + "scum"] > 0.5 > score[EN]
+    learn = F.col("doc_id") % 4 != 2
+    assert toxicity.LONG in toxicity.fit(frame, labels, learn)[2]
+    got = {r.doc_id: r.score for r in toxicity.score(frame, labels, learn).collect()}
+    for long in (0, 1):
+        asked = [i for i in range(240) if i % 2 == long]
+        right = sum((got[i] >= toxicity.DECISION) == (i % 3 == 0) for i in asked)
+        assert right >= 0.95 * len(asked)
 
 
 # --- decontamination ---------------------------------------------------------------------------
