@@ -58,7 +58,7 @@ CHOICE_LISTS = 4
 # Members that a list names and partners of a class in the first round, twice as many in each further
 # one, and rounds at most.
 NAMED, PARTNERS, ROUNDS = 4, 8, 6
-# Lists of more classes take part in the rounds; in shorter ones, fewer pairs than that a class are left.
+# Entries with more of like size in their list take part in the rounds; others have few pairs.
 MANY = 64
 # Bits of the filter for documents to verify: 2 MB.
 FILTER_BITS = 1 << 24
@@ -295,13 +295,30 @@ def _pairs_with_best(meetings: DataFrame, percent: int) -> DataFrame:
     ).distinct()
 
 
-def _mixed(labelled: DataFrame, least: int = 2) -> DataFrame:
-    """The entries of lists that meet two components and have ``least`` entries."""
-    lists = labelled.groupBy("key").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("entries")
+def _mixed(labelled: DataFrame, percent: int) -> DataFrame:
+    """The entries that may link to one of another component in their list: among those of like
+    size, as their size step and the ones next to it are, some are of another component, and the
+    smallest size and the most that is left of a set there allow it. ``near`` counts these.
+
+    A list has few size steps, however many entries, so it is their totals that meet.
+    """
+    steps = labelled.groupBy("key", "size_step").agg(
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
+        F.min("n").alias("least"),
+        F.max(F.col("n") - F.col("pos")).alias("left"),
+        F.count("*").alias("entries"),
     )
-    lists = lists.where(f"low <> high and entries >= {least}").select("key").hint("rebalance")
-    return settled(labelled.join(lists, "key", "left_semi"), "mixed")
+    within = "over (partition by key order by size_step range between 1 preceding and 1 following)"
+    steps = steps.selectExpr(
+        "key as k", "size_step as s", f"min(low) {within} <> max(high) {within} as meets",
+        f"min(least) {within} as least", f"max(left) {within} as left",
+        f"sum(entries) {within} as near",
+    )
+    steps = steps.where("meets").drop("meets").hint("rebalance")
+    found = labelled.drop("near").join(steps, F.expr("key = k and size_step = s"))
+    may = f"least(n - pos, left) * {100 + percent} >= {percent} * (n + least)"
+    return settled(found.where(may).drop("k", "s", "least", "left"), "mixed")
 
 
 def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
@@ -447,11 +464,11 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     labels = settled(component_labels(links), "labels")
     labelled = _labelled(meetings, labels)
     emptied(meetings)
-    mixed = _mixed(labelled)
+    mixed = _mixed(labelled, percent)
     emptied(labelled)
     texts = _texts(docs, nodes, mixed.select("class").distinct(), words)
 
-    many, linked = _mixed(mixed, MANY), 0
+    many, linked = settled(mixed.where(F.col("near") > MANY), "many"), 0
     for round in range(ROUNDS):
         if many.isEmpty():
             break
@@ -462,14 +479,14 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
         if found.isEmpty():
             break
         linked, before = linked + 1, many
-        many = _mixed(_merged(many, found), MANY)
+        many = _mixed(_merged(many, found), percent)
         emptied(before)
     emptied(many)
     if linked:
         labels = settled(component_labels(links), "labels")
         labelled = _labelled(mixed, labels)
         emptied(mixed)
-        mixed = _mixed(labelled)
+        mixed = _mixed(labelled, percent)
         emptied(labelled)
     rest = settled(_pairs_between(mixed, percent).join(tried, ["a", "b"], "left_anti"), "pairs")
     found = _links(rest, texts, words, percent)
