@@ -64,7 +64,8 @@ def _typed(text: Column, kind: str, unit: str = "ms") -> Column:
         number = text.cast("decimal(38,6)")
         whole = F.round(number, 0)
         failure = F.raise_error(F.concat(F.lit("a fraction in a whole-number column: "), text))
-        return F.when(number.isNull() | (number == whole), whole).otherwise(failure).cast("bigint")
+        exact = F.when(number.isNull() | (number == whole), whole).otherwise(failure).cast("bigint")
+        return F.coalesce(text.try_cast("bigint"), exact)
     if kind.startswith("TIMESTAMP"):
         return _timestamp(text, unit)
     if kind.startswith("DECIMAL"):
@@ -230,12 +231,13 @@ def land_json_records(
     declared = schemas.columns(ddl)
     text = spark.read.text(path, wholetext=not lines).where(~F.col("value").rlike(r"^\s*$"))
     if lines:
-        records = text.select(F.from_json("value", "map<string,string>", STRICT).alias("record"))
+        found = F.array(F.from_json("value", "map<string,string>", STRICT))
     else:
         one = F.concat(F.lit("["), "value", F.lit("]"))
         listed = F.when(F.col("value").rlike(r"^\s*\{"), one).otherwise(F.col("value"))
         found = F.from_json(listed, "array<map<string,string>>", STRICT)
-        records = text.select(F.explode(found).alias("record"))
+    # What a generator gives is not copied into the filter, so a record is parsed once.
+    records = text.select(F.explode(found).alias("record"))
     rows = records.where(_only([name for name, _ in declared], F.map_keys("record")))
     return rows.select(
         *[_typed(F.col("record")[name], kind, unit).alias(name) for name, kind in declared]
