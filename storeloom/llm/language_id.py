@@ -38,10 +38,10 @@ FEATURES = 1 << 15
 SAMPLE_PER_LABEL = 400
 MAX_LABELS = 200
 PART = 1 << 19
-# What a sure answer scores at least, as a share of the least right one, and letters of a script
-# that the sample must hold for each of its letters to count as known.
+# What a sure answer scores at least, as a share of the least right one, and the share of the letters
+# of some label that a script needs to be one of the sample's; a few rows may bear a wrong label.
 MARGIN = 0.5
-SCRIPT_SHARE = 1e-4
+SCRIPT_SHARE = 0.005
 
 
 # --- features ----------------------------------------------------------------------------------
@@ -284,10 +284,11 @@ def fit(labelled: DataFrame, key: str = "doc_id", per_label: int = SAMPLE_PER_LA
     model = train(
         [(r.label, np.array(r.features, np.intp), np.array(r.counts)) for r in rows], idf
     )
-    letters = np.zeros(0x110000 >> 7, np.int64)
+    letters = {label: np.zeros(0x110000 >> 7, np.int64) for label in model.labels}
     for r in rows:
-        letters[r.blocks] += np.array(r.letters, np.int64)
-    model.known = frozenset(np.flatnonzero(letters >= max(1, SCRIPT_SHARE * letters.sum())).tolist())
+        letters[r.label][r.blocks] += np.array(r.letters, np.int64)
+    known = [np.flatnonzero(n >= max(1, SCRIPT_SHARE * n.sum())) for n in letters.values()]
+    model.known = frozenset(np.concatenate(known).tolist())
     return model
 
 
