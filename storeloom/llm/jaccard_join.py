@@ -57,7 +57,7 @@ MAX_SMALL = 13
 CHOICE_LISTS = 4
 # Members that a list names and partners of a class in the first round, twice as many in each further
 # one, and rounds at most.
-NAMED, PARTNERS, ROUNDS = 4, 8, 6
+NAMED, PARTNERS, ROUNDS = 4, 8, 4
 # Entries with more of like size in their list take part in the rounds; others have few pairs.
 MANY = 64
 # Bits of the filter for documents to verify: 2 MB.
@@ -479,8 +479,10 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
         if found.isEmpty():
             break
         linked, before = linked + 1, many
-        many = _mixed(_merged(many, found), percent)
+        merged = settled(_merged(many, found), "merged")
+        many = _mixed(merged, percent)
         emptied(before)
+        emptied(merged)
     emptied(many)
     if linked:
         labels = settled(component_labels(links), "labels")

@@ -15,7 +15,7 @@ Nulls and empties: a text that is null or without letters is ``und`` with score
 text if no row can be learned from. A null label is not learned from, nor are labels beyond the
 ``MAX_LABELS`` most frequent ones (of equal ones those that sort first). Ties go to the label that
 sorts first. Rows that repeat are scored alike; of the rows that repeat an id under one label one is
-learned from, that of the lowest features. Other columns are not read, and an empty table gives an
+learned from, that of the lowest features as bytes. Other columns are not read, and an empty table gives an
 empty result.
 """
 
@@ -258,10 +258,10 @@ def fit(labelled: DataFrame, key: str = "doc_id", per_label: int = SAMPLE_PER_LA
             yield {
                 "id": batch["id"],
                 "label": batch["label"],
-                "features": [features.tolist() for features, _ in found],
-                "counts": [counts.tolist() for _, counts in found],
-                "blocks": [index.tolist() for index, _ in blocks],
-                "letters": [letters.tolist() for _, letters in blocks],
+                "features": [features.astype(np.int32).tobytes() for features, _ in found],
+                "counts": [counts.tobytes() for _, counts in found],
+                "blocks": [index.astype(np.int32).tobytes() for index, _ in blocks],
+                "letters": [letters.tobytes() for _, letters in blocks],
             }
 
     spark = labelled.sparkSession
@@ -272,21 +272,24 @@ def fit(labelled: DataFrame, key: str = "doc_id", per_label: int = SAMPLE_PER_LA
     found = map_batches(
         texts.select(F.col(key).cast("string").alias("id"), F.col("of").alias("label"), "text"),
         run,
-        "id string, label string, features array<int>, counts array<bigint>, blocks array<int>, "
-        "letters array<bigint>",
+        "id string, label string, features binary, counts binary, blocks binary, letters binary",
     )
     # One row per id and label that was chosen, so as many as the sample has.
     one = found.groupBy("id", "label").agg(
         F.min(F.struct("features", "counts", "blocks", "letters")).alias("r")
     )
     rows = one.select("label", "r.*").collect()
-    rows = sorted(rows, key=lambda r: (r.label, r.features, r.counts))
+    rows = sorted(rows, key=lambda r: (r.label, bytes(r.features), bytes(r.counts)))
     model = train(
-        [(r.label, np.array(r.features, np.intp), np.array(r.counts)) for r in rows], idf
+        [
+            (r.label, np.frombuffer(r.features, np.int32), np.frombuffer(r.counts, np.int64))
+            for r in rows
+        ],
+        idf,
     )
     letters = {label: np.zeros(0x110000 >> 7, np.int64) for label in model.labels}
     for r in rows:
-        letters[r.label][r.blocks] += np.array(r.letters, np.int64)
+        letters[r.label][np.frombuffer(r.blocks, np.int32)] += np.frombuffer(r.letters, np.int64)
     known = [np.flatnonzero(n >= max(1, SCRIPT_SHARE * n.sum())) for n in letters.values()]
     model.known = frozenset(np.concatenate(known).tolist())
     return model

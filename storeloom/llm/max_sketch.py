@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeloom.llm.frames import as_bytes, settled
+from storeloom.llm.frames import as_bytes, bound_batches, settled
 from storeloom.llm.tokens import Chunk, Spelling
 from storeloom.llm.words import LOWER
 
@@ -54,9 +54,9 @@ TERMS = Spelling(IS_TERM, LOWER)
 
 # A power of two, 65,536 at most.
 SLOTS = 1 << 14
-# Terms of the queries of one block, and cells that a lookup holds: 32 MB.
+# Terms of the queries of one block, and cells that a lookup holds: 8 MB.
 BLOCK_TERMS = 1 << 16
-CELLS = 1 << 22
+CELLS = 1 << 20
 # Documents that set the threshold, for each one wanted.
 FIRST = 4
 # What weighs a document's length, in per cent.
@@ -387,6 +387,7 @@ def search(
     """(item_id, rank, doc_id, score): the ``k`` best documents of each item. ``index`` are the
     ``sketches`` of ``docs``, of ``among`` slots, where they are kept; else they are made."""
     spark = docs.sparkSession
+    bound_batches(spark)
     index = settled(sketches(docs, among), "sketches") if index is None else index
     totals = index.agg(F.count("*").alias("documents"), F.sum("n").alias("words")).first()
     queries = settled(_query_terms(items), "queries")

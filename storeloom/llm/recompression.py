@@ -34,13 +34,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeloom.llm.frames import as_bytes, settled
+from storeloom.llm.frames import as_bytes, bound_batches, settled
 from storeloom.llm.tokens import Chunk, Spelling, runs_of
 from storeloom.llm.words import IS_WORD, mix
 
 WORDS = Spelling(IS_WORD)
-# Keys or windows that a task holds before it sends them on: 40 MB.
-RUN = 1 << 20
+# Keys or windows that a task holds before it sends them on: 20 MB.
+RUN = 1 << 19
 # Keys have 48 bits. Two that meet by chance cost a comparison and change nothing.
 KEY_BITS = np.uint64(16)
 # A key of more words is as good as one of so many.
@@ -337,6 +337,7 @@ def _windows(docs: DataFrame, shared: DataFrame, size: int) -> DataFrame:
 def repeats(docs: DataFrame, size: int = 13) -> DataFrame:
     """(doc_id, digest, words): for each text that loses any, the ranges of words that go, which may
     overlap. ``digest`` is the xxhash64 of the text."""
+    bound_batches(docs.sparkSession)
     keys = shared_keys(docs, size).groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
     windows = _windows(docs, settled(keys, "keys"), size)
     earlier = windows.selectExpr("*", "min(doc_id) over (partition by h0, h1) < doc_id as earlier")
