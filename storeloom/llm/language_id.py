@@ -8,7 +8,8 @@ a part of the sample that it does not see sets the temperature of the probabilit
 below which an answer is not sure. Every text is then scored whole, in the tasks.
 
 A text is told *surely* if its answer scores at least ``MARGIN`` times the least score of a right
-answer in that part, and most of its letters are of scripts that the sample holds. The margin is for
+answer in that part, lies ``FROM_EVEN`` of the way from even odds to certainty, and most of its letters
+are of scripts that the sample holds. The margin is for
 the right answers of all the texts that the part, bounded as it is, doesn't show.
 
 Nulls and empties: a text that is null or without letters is ``und`` with score 0, as is every
@@ -41,6 +42,8 @@ PART = 1 << 19
 # What a sure answer scores at least, as a share of the least right one, and the share of the letters
 # of some label that a script needs to be one of the sample's; a few rows may bear a wrong label.
 MARGIN = 0.5
+# How far it lies at least on the way from even odds to certainty.
+FROM_EVEN = 0.1
 SCRIPT_SHARE = 0.005
 
 
@@ -185,7 +188,8 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], idf: np.ndarray, epoch
     model.weights, model.bias = weights(np.arange(FEATURES)), weights(FEATURES)
     model.temperature = _temperature(model, held)
     right = [score for score, label, of in _answers(model, held) if label == of]
-    model.least = MARGIN * min(right, default=0.0)
+    even = 1 / len(labels)
+    model.least = max(MARGIN * min(right, default=0.0), even + FROM_EVEN * (1 - even))
     return model
 
 
