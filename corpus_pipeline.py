@@ -3,8 +3,9 @@
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns the rows
 that go on. Each stage but the last returns the columns of ``documents``:
 
-- ``language``: documents without a letter, mostly in scripts that no labelled document has, or
-  whose language is told less surely than half the least sure right answer on held-out rows, go;
+- ``language``: documents without a letter, mostly in scripts that are not those of a label, or whose
+  language is told hardly better than by even odds, or less surely than half the least sure right
+  answer on held-out rows, go;
 - ``near_duplicates``: one document, that of the smallest id, stays of each group of documents
   whose sets of five-word shingles are 80 % alike;
 - ``decontamination``: documents that hold a ten-word window of a test item go;
