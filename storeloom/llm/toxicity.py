@@ -2,13 +2,14 @@
 
 Words are hashed to embeddings; filters of several widths slide over them, and the largest
 response of each filter over the whole text goes into a logistic output. It is trained in numpy by
-Adagrad on a bounded sample of labelled rows. A part of the sample that training does not see sets
-a threshold for each language, so that precision and recall are balanced at the true share of
-toxic rows; languages with few toxic rows share one. A maximum over many words is larger than one over
-few, so texts of more words than those trained on have a threshold of their own, if the sample has
-enough of them. The language is told from the text by the
-classifier of ``language_id``, which learns from the same rows. Scores are stretched on either
-side of a language's threshold to put it at ``DECISION``.
+Adagrad on every labelled row, in tasks: in each round every task goes over its rows from the network
+of the round before, and the changes are averaged, those of an embedding over the tasks that met its
+word. A quarter of the labelled rows, which training does not see, sets a threshold for each language
+from counts of all their scores, so that precision and recall are balanced; languages with few toxic
+rows share one. A maximum over many words is larger than one over few, so long texts have a threshold
+of their own, if enough of them are toxic. The language is told from the text by the
+classifier of ``language_id``, which learns from the same rows, within its own bounds. Scores are
+stretched on either side of a language's threshold to put it at ``DECISION``.
 
 Every text is scored whole, part by part, in the tasks.
 
@@ -21,22 +22,29 @@ columns are not read, and an empty table gives an empty result.
 
 from __future__ import annotations
 
+import copy
 import zlib
 
 import numpy as np
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storeloom.llm import language_id
 from storeloom.llm.decontamination import normalised
-from storeloom.llm.frames import as_bytes, map_batches, stored
+from storeloom.llm.frames import as_bytes, bound_batches, emptied, map_batches, settled
 
 BUCKETS, DEPTH, FILTERS, WIDTHS = 1 << 16, 16, 16, (1, 2, 3)
-# Documented bounds of the sample: rows of each label, words of a row that is trained on, and of one
-# that sets the thresholds. A longer one is left out.
-SAMPLE_PER_LABEL = 3000
+# Rounds over the labelled rows, and rows that a task goes over in one.
+ROUNDS = 6
+ROWS_A_TASK = 16384
+# Texts of more words have a threshold of their own.
 TRAINED_WORDS = 3000
-SAMPLE_WORDS = 50_000
+# Scores are counted by their log odds, in so many steps for each; counts keep the ends of a step.
+STEPS = 64
+# Groups that the embeddings' changes are averaged in.
+CHUNKS = 64
 DECISION = 0.3
 LEAST_TOXIC = 15
 # The threshold of long texts, and toxic ones that it needs.
@@ -87,59 +95,57 @@ class Network:
         features = np.maximum(self.pooled(buckets)[0], 0).ravel()
         return float(1 / (1 + np.exp(-(features @ self.output + self.offset[0]))))
 
-    def train(self, rows: list[tuple[np.ndarray, int]], epochs: int = 6, rate: float = 0.08) -> None:
-        sums = {
-            "embedding": np.full_like(self.embedding, 1e-3),
-            "filters": [np.full_like(f, 1e-3) for f in self.filters],
-            "bias": [np.full_like(b, 1e-3) for b in self.bias],
-            "output": np.full_like(self.output, 1e-3),
-            "offset": np.full_like(self.offset, 1e-3),
-        }
+    def dense(self) -> list[np.ndarray]:
+        """All parameters but the embeddings."""
+        return [*self.filters, *self.bias, self.output, self.offset]
+
+    def untrained(self) -> None:
+        """Sums of squared gradients as Adagrad begins."""
+        self.met = np.full_like(self.embedding, 1e-3)
+        self.sums = [np.full_like(p, 1e-3) for p in self.dense()]
+
+    def learn(self, buckets: np.ndarray, label: int, rate: float = 0.08) -> list[int]:
+        """One step of Adagrad. Returns the buckets whose embeddings it changed."""
 
         def step(values, squares, gradient, index=...):
             squares[index] += gradient * gradient
             values[index] -= rate * gradient / np.sqrt(squares[index])
 
-        rng = np.random.default_rng(1)
-        for _ in range(epochs):
-            for row in rng.permutation(len(rows)):
-                buckets, label = rows[row]
-                best, place = self.pooled(buckets)
-                features = np.maximum(best, 0).ravel()
-                error = 1 / (1 + np.exp(-(features @ self.output + self.offset[0]))) - label
-                back = (error * self.output * (features > 0)).reshape(best.shape)
-                padded = np.concatenate([buckets, np.zeros(max(WIDTHS), np.int32)])
-                touched: dict[int, np.ndarray] = {}
-                for i, width in enumerate(WIDTHS):
-                    live = np.flatnonzero(back[i])
-                    if not len(live):
-                        continue
-                    change = np.zeros_like(self.filters[i])
-                    for p in range(width):
-                        words = padded[place[i][live] + p]
-                        change[p][:, live] = self.embedding[words].T * back[i][live]
-                        flow = self.filters[i][p][:, live].T * back[i][live][:, None]
-                        for word, part in zip(words.tolist(), flow):
-                            touched[word] = touched.get(word, 0) + part
-                    step(self.filters[i], sums["filters"][i], change)
-                    step(self.bias[i], sums["bias"][i], back[i])
-                step(self.output, sums["output"], error * features + 1e-4 * self.output)
-                step(self.offset, sums["offset"], np.array([error], np.float32))
-                touched.pop(0, None)
-                if touched:
-                    words = np.array(list(touched))
-                    step(self.embedding, sums["embedding"], np.array(list(touched.values())), words)
-
-
-def best_threshold(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
-    """Between two scores, where the F1 measure of the weighted rows is largest."""
-    order = np.argsort(-scores, kind="stable")
-    s, y, w = scores[order], labels[order], weights[order]
-    hits = np.cumsum(w * y)
-    f1 = 2 * hits / (np.cumsum(w) + (w * y).sum())
-    f1[:-1][s[:-1] == s[1:]] = -1
-    at = int(f1.argmax())
-    return float((s[at] + (s[at + 1] if at + 1 < len(s) else 0)) / 2)
+        wide = len(WIDTHS)
+        best, place = self.pooled(buckets)
+        features = np.maximum(best, 0).ravel()
+        error = 1 / (1 + np.exp(-(features @ self.output + self.offset[0]))) - label
+        back = (error * self.output * (features > 0)).reshape(best.shape)
+        padded = np.concatenate([buckets, np.zeros(max(WIDTHS), np.int32)])
+        touched: dict[int, np.ndarray] = {}
+        for i, width in enumerate(WIDTHS):
+            live = np.flatnonzero(back[i])
+            if not len(live):
+                continue
+            change = np.zeros_like(self.filters[i])
+            for p in range(width):
+                words = padded[place[i][live] + p]
+                change[p][:, live] = self.embedding[words].T * back[i][live]
+                flow = self.filters[i][p][:, live].T * back[i][live][:, None]
+                for word, part in zip(words.tolist(), flow):
+                    touched[word] = touched.get(word, 0) + part
+            step(self.filters[i], self.sums[i], change)
+            step(self.bias[i], self.sums[wide + i], back[i])
+        step(self.output, self.sums[-2], error * features + 1e-4 * self.output)
+        step(self.offset, self.sums[-1], np.array([error], np.float32))
+        touched.pop(0, None)
+        if touched:
+            step(self.embedding, self.met, np.array(list(touched.values())), np.array(list(touched)))
+        return list(touched)
+
+
+def best_threshold(low: np.ndarray, high: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> float:
+    """Between two steps of scores, where the F1 measure is largest. A step has its lowest and highest
+    score and the numbers of rows of either label."""
+    order = np.argsort(-low, kind="stable")
+    low, high, clean, toxic = low[order], high[order], clean[order], toxic[order]
+    at = int((2 * np.cumsum(toxic) / (np.cumsum(clean + toxic) + toxic.sum())).argmax())
+    return float((low[at] + (high[at + 1] if at + 1 < len(low) else 0)) / 2)
 
 
 def stretched(score: float, threshold: float) -> float:
@@ -149,69 +155,148 @@ def stretched(score: float, threshold: float) -> float:
     return DECISION + (1 - DECISION) * (score - threshold) / max(1 - threshold, 1e-9)
 
 
-def _sample(docs: DataFrame, labels: DataFrame, learn_from: Column):
-    """(rows of doc_id, toxic), rows of each label. At most SAMPLE_PER_LABEL of each."""
-    known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id")
-    known = known.agg(F.max("toxic").alias("toxic"))
-    known = stored(
-        docs.where(learn_from).select("doc_id").distinct().join(known, "doc_id"), "labelled"
-    )
-    counts = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
-    known = known.selectExpr("doc_id", "toxic", "xxhash64(doc_id) as h")
-    for among in ("toxic, pmod(h, 64)", "toxic"):
-        rank = f"row_number() over (partition by {among} order by h, doc_id) as r"
-        known = known.selectExpr("doc_id", "toxic", "h", rank).where(F.col("r") <= SAMPLE_PER_LABEL)
-    return known.select("doc_id", "toxic").collect(), counts
+LABELLED = "doc_id bigint, toxic int, held boolean, buckets binary, lang string"
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn_from: Column):
-    """(network, language model, thresholds by language), or None without both labels."""
-    chosen, counts = _sample(docs, labels, learn_from)
-    if not (counts.get(0) and counts.get(1)):
-        return None
-    languages = language_id.fit(
-        docs.where(learn_from).select("doc_id", "text", F.col("lang").alias("label"))
-    )
+def _labelled(docs: DataFrame, labels: DataFrame, learn_from: Column, languages) -> DataFrame:
+    """A row per labelled ``doc_id``: its label, words, and whether it sets thresholds. Only those rows
+    have a language. Dealt by the id and ordered by its hash, so that each file is a fair part."""
+    known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id")
+    known = known.agg(F.max("toxic").cast("int").alias("toxic"))
+    held = "pmod(xxhash64(doc_id, 'held'), 4) = 0"
+    texts = docs.where(learn_from).join(known, "doc_id").selectExpr("*", f"{held} as held")
+    shared = docs.sparkSession.sparkContext.broadcast(languages)
 
     def run(batches):
+        model = shared.value
         for batch in batches:
-            found = [word_buckets(body) for body in batch["body"]]
-            told = [_language(languages, body) for body in batch["body"]]
-            kept = [i for i, b in enumerate(found) if len(b) <= SAMPLE_WORDS]
             yield {
-                "doc_id": [batch["doc_id"][i] for i in kept],
-                "lang": [told[i] for i in kept],
-                "buckets": [found[i].tobytes() for i in kept],
+                **{name: batch[name] for name in ("doc_id", "toxic", "held")},
+                "buckets": [word_buckets(body).tobytes() for body in batch["body"]],
+                "lang": [_language(model, body) if h else None
+                         for body, h in zip(batch["body"], batch["held"])],
+            }
+
+    rows = map_batches(texts.select("doc_id", "toxic", "held", as_bytes().alias("body")), run, LABELLED)
+    tasks = max(1, -(-known.count() // ROWS_A_TASK))
+    one = rows.repartition(tasks, "doc_id").groupBy("doc_id", "toxic", "held")
+    one = one.agg(F.min(F.struct("buckets", "lang")).alias("r")).select("doc_id", "toxic", "held", "r.*")
+    ordered = one.sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
+    return settled(ordered, "labelled")
+
+
+CHANGES = "chunk int, task int, at binary, change binary, tasks binary"
+
+
+def _round(rows: DataFrame, network: Network, number: int) -> None:
+    """Every task goes over its rows once; ``network`` moves by the mean of their changes."""
+    shared = rows.sparkSession.sparkContext.broadcast(network)
+    share = BUCKETS // CHUNKS
+
+    def run(batches):
+        own, rng = copy.deepcopy(shared.value), np.random.default_rng(number)
+        met: set[int] = set()
+        seen = 0
+        for batch in batches:
+            for i in rng.permutation(len(batch["buckets"])):
+                met.update(own.learn(np.frombuffer(batch["buckets"][i], np.int32), batch["toxic"][i]))
+                seen += 1
+        if not seen:
+            return
+        began, task = shared.value, TaskContext.get().partitionId()
+        at = np.array(sorted(met), np.int64)
+        for chunk in np.unique(at // share).tolist():
+            here = at[at // share == chunk]
+            change = np.hstack([own.embedding[here] - began.embedding[here], own.met[here] - began.met[here]])
+            yield {"chunk": [chunk], "task": [task], "at": [here.tobytes()],
+                   "change": [change.astype(np.float64).tobytes()],
+                   "tasks": [np.ones(len(here)).tobytes()]}
+        change = [a - b for a, b in zip(own.dense() + own.sums, began.dense() + began.sums)]
+        change = np.concatenate([c.ravel() for c in change]).astype(np.float64)
+        yield {"chunk": [-1], "task": [task], "at": [np.zeros(1, np.int64).tobytes()],
+               "change": [change.tobytes()], "tasks": [np.ones(1).tobytes()]}
+
+    def added(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("task")
+        at = np.concatenate([np.frombuffer(b, np.int64) for b in group["at"]])
+        change = np.concatenate([np.frombuffer(b) for b in group["change"]]).reshape(len(at), -1)
+        places, of = np.unique(at, return_inverse=True)
+        total = np.zeros((len(places), change.shape[1]))
+        np.add.at(total, of, change)
+        return pd.DataFrame({
+            "chunk": group["chunk"].iloc[:1].to_numpy(), "task": [0], "at": [places.tobytes()],
+            "change": [total.tobytes()], "tasks": [np.bincount(of).astype(float).tobytes()],
+        })
+
+    changes = map_batches(rows.select("toxic", "buckets"), run, CHANGES)
+    # The driver gets each parameter once, however many tasks there are.
+    for r in changes.groupBy("chunk").applyInPandas(added, CHANGES).collect():
+        at = np.frombuffer(r.at, np.int64)
+        change = np.frombuffer(r.change).reshape(len(at), -1) / np.frombuffer(r.tasks)[:, None]
+        if r.chunk >= 0:
+            network.embedding[at] += change[:, :DEPTH].astype(np.float32)
+            network.met[at] += change[:, DEPTH:].astype(np.float32)
+            continue
+        for values in network.dense() + network.sums:
+            values += change[0, : values.size].reshape(values.shape).astype(np.float32)
+            change = change[:, values.size :]
+    shared.destroy()
+
+
+def _steps(rows: DataFrame, network: Network) -> pd.DataFrame:
+    """Numbers of rows of either label, by language, length and step of the score."""
+    shared = rows.sparkSession.sparkContext.broadcast(network)
+
+    def run(batches):
+        for batch in batches:
+            found = [np.frombuffer(b, np.int32) for b in batch["buckets"]]
+            yield {
+                "lang": batch["lang"],
+                "toxic": batch["toxic"],
+                "long": [len(b) > TRAINED_WORDS for b in found],
+                "score": [shared.value.score(b) for b in found],
             }
 
-    spark = docs.sparkSession
-    ids = F.broadcast(spark.createDataFrame([(r.doc_id,) for r in chosen], "doc_id bigint"))
-    texts = docs.join(ids, "doc_id", "left_semi").select("doc_id", as_bytes().alias("body"))
-    rows = map_batches(texts, run, "doc_id bigint, lang string, buckets binary")
-    toxic = {r.doc_id: int(r.toxic) for r in chosen}
-    # One row per id, so as many as were chosen.
-    rows = rows.groupBy("doc_id").agg(F.min(F.struct("buckets", "lang")).alias("r"))
-    rows = rows.select("doc_id", "r.*").collect()
-    rows = sorted(((r.doc_id, toxic[r.doc_id], r.lang, np.frombuffer(r.buckets, np.int32)) for r in rows),
-                  key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0], r[2], r[3].tolist()))
-    held, trained = rows[::4], [r for i, r in enumerate(rows) if i % 4]
+    scored = map_batches(
+        rows.select("lang", "toxic", "buckets"), run, "lang string, toxic int, long boolean, score double"
+    )
+    odds = f"round({STEPS} * ln((score + 1e-12) / (1 - score + 1e-12)))"
+    steps = scored.withColumn("step", F.expr(odds).cast("int")).groupBy("lang", "long", "step")
+    return steps.agg(
+        F.min("score").alias("low"), F.max("score").alias("high"),
+        F.sum(1 - F.col("toxic")).alias("clean"), F.sum("toxic").alias("toxic"),
+    ).toPandas()
+
+
+def fit(docs: DataFrame, labels: DataFrame, learn_from: Column):
+    """(network, language model, thresholds by language), or None without both labels."""
+    learned = docs.where(learn_from)
+    marked = labels.where("toxic in (0, 1)").join(learned.select("doc_id"), "doc_id", "left_semi")
+    if marked.select("toxic").distinct().count() < 2:
+        return None
+    languages = language_id.fit(learned.select("doc_id", "text", F.col("lang").alias("label")))
+    bound_batches(docs.sparkSession)
+    rows = _labelled(docs, labels, learn_from, languages)
     network = Network()
-    network.train([(b, label) for _, label, _, b in trained if len(b) <= TRAINED_WORDS])
-    scores = np.array([network.score(b) for _, _, _, b in held])
-    truth = np.array([label for _, label, _, _ in held])
-    weights = np.array([counts[label] / max(1, (truth == label).sum()) for label in truth])
-    told = np.array([lang for _, _, lang, _ in held])
-    long = np.array([len(b) > TRAINED_WORDS for _, _, _, b in held], bool)
+    network.untrained()
+    trained = rows.where("not held")
+    for number in range(ROUNDS):
+        _round(trained, network, number)
+    del network.met, network.sums
+    steps = _steps(rows.where("held"), network)
+    emptied(rows)
     thresholds = {"": 0.5}
 
-    def calibrate(name: str, of: np.ndarray, least: int) -> None:
-        if least <= truth[of].sum() < of.sum():
-            thresholds[name] = best_threshold(scores[of], truth[of], weights[of])
+    def calibrate(name: str, of: pd.DataFrame, least: int) -> None:
+        if len(of) and least <= of["toxic"].sum() and of["clean"].sum():
+            one = of.groupby("step").agg({"low": "min", "high": "max", "clean": "sum", "toxic": "sum"})
+            thresholds[name] = best_threshold(*(one[c].to_numpy() for c in one.columns))
 
-    calibrate("", ~long, 1)
-    for lang in set(told.tolist()):
-        calibrate(lang, (told == lang) & ~long, LEAST_TOXIC)
-    calibrate(LONG, long, LEAST_LONG)
+    short = steps[~steps["long"].astype(bool)]
+    calibrate("", short, 1)
+    for lang in sorted(set(short["lang"])):
+        calibrate(lang, short[short["lang"] == lang], LEAST_TOXIC)
+    calibrate(LONG, steps[steps["long"].astype(bool)], LEAST_LONG)
     return network, languages, thresholds
 
 

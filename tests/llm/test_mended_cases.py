@@ -362,3 +362,33 @@ def test_lattice_scores_by_brute_force(spark, docs):
         assert abs(r.score - score) < 1e-6 and abs(r.base_score - base) < 1e-6, r.doc_id
         scored.add(r.doc_id)
     assert scored == set(text_of)
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """The word that marks toxic rows is learned from long texts alone, in several tasks."""
+    monkeypatch.setattr(toxicity, "ROWS_A_TASK", 60)
+    rng, rows, marks = random.Random(4), [], []
+    for i in range(320):
+        toxic = i % 2
+        n = (toxicity.TRAINED_WORDS + 500) * toxic + 40 if i < 240 else 40
+        words = [rng.choice(EN.split()) for _ in range(n)]
+        if toxic:
+            words[rng.randrange(40)] = "scum"
+        rows.append((i, " ".join(words), "en"))
+        marks.append((i, toxic))
+    rows.append((1000, "the " * 55_000, "en"))
+    marks.append((1000, 0))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(5)
+    labels = spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    learn = ~F.col("doc_id").between(240, 319)
+    kept = toxicity._labelled(frame, labels, learn, None)
+    assert kept.count() == 241 and kept.where("length(buckets) = 220000").count() == 1
+    got = {r.doc_id: r.raw for r in toxicity.score(frame, labels, learn).collect()}
+    assert min(got[i] for i in range(241, 320, 2)) > max(got[i] for i in range(240, 320, 2))
+
+
+def test_threshold_from_steps():
+    """Between the steps, wherever the largest F1 measure splits them."""
+    low, high = np.array([0.1, 0.5, 0.8]), np.array([0.3, 0.6, 0.9])
+    clean, toxic = np.array([9, 1, 0]), np.array([0, 3, 4])
+    assert toxicity.best_threshold(low, high, clean, toxic) == pytest.approx(0.4)
