@@ -35,11 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storeloom.llm.frames import (
+    ID_SLOT,
     as_bytes,
     bound_batches,
     columns,
     component_labels,
     emptied,
+    id_filter,
     map_batches,
     most_frequent,
     settled,
@@ -60,8 +62,6 @@ CHOICE_LISTS = 4
 NAMED, PARTNERS, ROUNDS = 4, 8, 4
 # Entries with more of like size in their list take part in the rounds; others have few pairs.
 MANY = 64
-# Bits of the filter for documents to verify: 2 MB.
-FILTER_BITS = 1 << 24
 # Shingles that a comparing task keeps from one pair to the next: 4 MB.
 KNOWN_SHINGLES = 1 << 19
 # Classes a task remembers, to enter copies into the lists only once.
@@ -382,20 +382,7 @@ def _texts(docs: DataFrame, nodes: DataFrame, asked: DataFrame, words: int) -> D
     A bit filter of fixed size first keeps the documents that may be asked for, so that only
     their texts are moved, and copies among them meet in the map task.
     """
-    ids = nodes.join(asked, "class").select("doc_id")
-    slot = f"pmod(xxhash64(doc_id), {FILTER_BITS}L)"
-    rows = (
-        ids.selectExpr(f"{slot} + 1 as slot")  # the bitmap functions count from 1
-        .groupBy(F.expr("bitmap_bucket_number(slot)").alias("bucket"))
-        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bits"))
-        .collect()
-    )
-    bits = np.zeros(FILTER_BITS, bool)
-    for row in rows:
-        found = np.unpackbits(np.frombuffer(row.bits, np.uint8), bitorder="little")
-        start = (row.bucket - 1) * len(found)
-        bits[start : start + len(found)] = found[: FILTER_BITS - start]
-    packed = np.packbits(bits)
+    packed = id_filter(nodes.join(asked, "class"))
 
     def run(batches):
         wanted = np.unpackbits(packed).astype(bool)
@@ -407,10 +394,8 @@ def _texts(docs: DataFrame, nodes: DataFrame, asked: DataFrame, words: int) -> D
                 "body": [zstandard.compress(body) for body in bodies],
             }
 
-    read = docs.where("doc_id is not null").selectExpr(f"{slot} as slot", "text")
-    texts = map_batches(
-        read.select("slot", as_bytes().alias("body")), run, "class bigint, body binary"
-    )
+    read = docs.where("doc_id is not null").select(F.expr(ID_SLOT).alias("slot"), as_bytes().alias("body"))
+    texts = map_batches(read, run, "class bigint, body binary")
     texts = texts.dropDuplicates(["class"]).join(asked, "class", "left_semi")
     return settled(texts, "texts")
 

@@ -83,10 +83,10 @@ def _buckets(codes: np.ndarray, known: int) -> Iterator[np.ndarray]:
 
 def term_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Features of a text and how often each occurs, the same in however many parts."""
-    total = np.zeros(FEATURES, np.int64)
+    total = 0
     for codes, known in _parts(text):
-        for found in _buckets(codes, known):
-            total += np.bincount(found, minlength=FEATURES)
+        found = np.concatenate([np.zeros(0, np.intp), *_buckets(codes, known)])
+        total = total + np.bincount(found, minlength=FEATURES)
     index = np.flatnonzero(total)
     return index, total[index]
 

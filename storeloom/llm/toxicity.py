@@ -33,7 +33,15 @@ from pyspark.sql import functions as F
 
 from storeloom.llm import language_id
 from storeloom.llm.decontamination import normalised
-from storeloom.llm.frames import as_bytes, bound_batches, emptied, map_batches, settled
+from storeloom.llm.frames import (
+    ID_SLOT,
+    as_bytes,
+    bound_batches,
+    emptied,
+    id_filter,
+    map_batches,
+    settled,
+)
 
 BUCKETS, DEPTH, FILTERS, WIDTHS = 1 << 16, 16, 16, (1, 2, 3)
 # Rounds over the labelled rows, and rows that a task goes over in one.
@@ -54,8 +62,8 @@ PART = 1 << 15
 
 def word_buckets(body: bytes) -> np.ndarray:
     """Buckets of the words; 0 stands for a blank."""
-    crc = zlib.crc32
-    return np.array([crc(w) % (BUCKETS - 1) + 1 for w in normalised(body)], np.int32)
+    found = np.fromiter(map(zlib.crc32, normalised(body)), np.uint32)
+    return (found % np.uint32(BUCKETS - 1) + np.uint32(1)).astype(np.int32)
 
 
 class Network:
@@ -70,8 +78,8 @@ class Network:
         self.output = rng.normal(0, 0.1, FILTERS * len(WIDTHS)).astype(np.float32)
         self.offset = np.zeros(1, np.float32)
 
-    def pooled(self, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Largest response of each filter over the text, and where it is."""
+    def pooled(self, buckets: np.ndarray, places: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Largest response of each filter over the text, and where it is, if ``places`` are asked for."""
         best = np.full((len(WIDTHS), FILTERS), -np.inf, np.float32)
         place = np.zeros((len(WIDTHS), FILTERS), np.int64)
         overlap = max(WIDTHS) - 1
@@ -85,6 +93,9 @@ class Network:
                 response = words[:count] @ self.filters[i][0]
                 for p in range(1, width):
                     response += words[p : p + count] @ self.filters[i][p]
+                if not places:
+                    best[i] = np.maximum(best[i], response.max(axis=0) + self.bias[i])
+                    continue
                 at = response.argmax(axis=0)
                 value = response[at, np.arange(FILTERS)] + self.bias[i]
                 better = value > best[i]
@@ -92,7 +103,7 @@ class Network:
         return best, place
 
     def score(self, buckets: np.ndarray) -> float:
-        features = np.maximum(self.pooled(buckets)[0], 0).ravel()
+        features = np.maximum(self.pooled(buckets, places=False)[0], 0).ravel()
         return float(1 / (1 + np.exp(-(features @ self.output + self.offset[0]))))
 
     def dense(self) -> list[np.ndarray]:
@@ -117,26 +128,29 @@ class Network:
         error = 1 / (1 + np.exp(-(features @ self.output + self.offset[0]))) - label
         back = (error * self.output * (features > 0)).reshape(best.shape)
         padded = np.concatenate([buckets, np.zeros(max(WIDTHS), np.int32)])
-        touched: dict[int, np.ndarray] = {}
+        met, flows = [np.zeros(0, np.int32)], [np.zeros((0, DEPTH), np.float32)]
         for i, width in enumerate(WIDTHS):
             live = np.flatnonzero(back[i])
             if not len(live):
                 continue
+            own = back[i][live][:, None]
+            words = padded[place[i][live] + np.arange(width)[:, None]]
             change = np.zeros_like(self.filters[i])
-            for p in range(width):
-                words = padded[place[i][live] + p]
-                change[p][:, live] = self.embedding[words].T * back[i][live]
-                flow = self.filters[i][p][:, live].T * back[i][live][:, None]
-                for word, part in zip(words.tolist(), flow):
-                    touched[word] = touched.get(word, 0) + part
+            change[:, :, live] = (self.embedding[words] * own).transpose(0, 2, 1)
+            flow = self.filters[i][:, :, live].transpose(0, 2, 1) * own
+            met.append(words.ravel())
+            flows.append(flow.reshape(-1, DEPTH))
             step(self.filters[i], self.sums[i], change)
             step(self.bias[i], self.sums[wide + i], back[i])
         step(self.output, self.sums[-2], error * features + 1e-4 * self.output)
         step(self.offset, self.sums[-1], np.array([error], np.float32))
-        touched.pop(0, None)
-        if touched:
-            step(self.embedding, self.met, np.array(list(touched.values())), np.array(list(touched)))
-        return list(touched)
+        words, of = np.unique(np.concatenate(met), return_inverse=True)
+        total = np.zeros((len(words), DEPTH), np.float32)
+        np.add.at(total, of, np.concatenate(flows))
+        kept = words > 0
+        if kept.any():
+            step(self.embedding, self.met, total[kept], words[kept])
+        return words[kept].tolist()
 
 
 def best_threshold(low: np.ndarray, high: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> float:
@@ -155,37 +169,45 @@ def stretched(score: float, threshold: float) -> float:
     return DECISION + (1 - DECISION) * (score - threshold) / max(1 - threshold, 1e-9)
 
 
-LABELLED = "doc_id bigint, toxic int, held boolean, buckets binary, lang string"
+LABELLED = "doc_id bigint, held boolean, buckets binary, lang string"
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, learn_from: Column, languages) -> DataFrame:
     """A row per labelled ``doc_id``: its label, words, and whether it sets thresholds. Only those rows
-    have a language. Dealt by the id and ordered by its hash, so that each file is a fair part."""
+    have a language. Dealt by the id and ordered by its hash, so that each file is a fair part.
+
+    Words are told where the texts are read, of documents that a filter says may be labelled, and
+    moved once; texts are not moved."""
     known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id")
     known = known.agg(F.max("toxic").cast("int").alias("toxic"))
-    held = "pmod(xxhash64(doc_id, 'held'), 4) = 0"
-    texts = docs.where(learn_from).join(known, "doc_id").selectExpr("*", f"{held} as held")
-    shared = docs.sparkSession.sparkContext.broadcast(languages)
+    shared = docs.sparkSession.sparkContext.broadcast((languages, id_filter(known)))
 
     def run(batches):
-        model = shared.value
+        model, packed = shared.value
+        wanted = np.unpackbits(packed).astype(bool)
         for batch in batches:
+            chosen = np.flatnonzero(wanted[np.array(batch["slot"], np.int64)])
+            bodies, held = ([batch[name][i] for i in chosen] for name in ("body", "held"))
             yield {
-                **{name: batch[name] for name in ("doc_id", "toxic", "held")},
-                "buckets": [word_buckets(body).tobytes() for body in batch["body"]],
-                "lang": [_language(model, body) if h else None
-                         for body, h in zip(batch["body"], batch["held"])],
-            }
+                "doc_id": [batch["doc_id"][i] for i in chosen],
+                "held": held,
+                "buckets": [word_buckets(body).tobytes() for body in bodies],
+                "lang": [_language(model, body) if h else None for body, h in zip(bodies, held)],
+            }
 
-    rows = map_batches(texts.select("doc_id", "toxic", "held", as_bytes().alias("body")), run, LABELLED)
+    texts = docs.where(learn_from).where("doc_id is not null")
+    held = F.expr("pmod(xxhash64(doc_id, 'held'), 4) = 0").alias("held")
+    texts = texts.select("doc_id", F.expr(ID_SLOT).alias("slot"), held, as_bytes().alias("body"))
     tasks = max(1, -(-known.count() // ROWS_A_TASK))
-    one = rows.repartition(tasks, "doc_id").groupBy("doc_id", "toxic", "held")
+    rows = map_batches(texts, run, LABELLED).repartition(tasks, "doc_id")
+    one = rows.join(known.repartition(tasks, "doc_id"), "doc_id").groupBy("doc_id", "toxic", "held")
     one = one.agg(F.min(F.struct("buckets", "lang")).alias("r")).select("doc_id", "toxic", "held", "r.*")
     ordered = one.sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
     return settled(ordered, "labelled")
 
 
-CHANGES = "chunk int, task int, at binary, change binary, tasks binary"
+CHANGES = "chunk int, task int, at binary, change binary"
+TOTALS = "chunk int, at binary, change binary, tasks binary"
 
 
 def _round(rows: DataFrame, network: Network, number: int) -> None:
@@ -208,29 +230,29 @@ def _round(rows: DataFrame, network: Network, number: int) -> None:
         for chunk in np.unique(at // share).tolist():
             here = at[at // share == chunk]
             change = np.hstack([own.embedding[here] - began.embedding[here], own.met[here] - began.met[here]])
-            yield {"chunk": [chunk], "task": [task], "at": [here.tobytes()],
-                   "change": [change.astype(np.float64).tobytes()],
-                   "tasks": [np.ones(len(here)).tobytes()]}
+            yield {"chunk": [chunk], "task": [task], "at": [here.astype(np.uint16).tobytes()],
+                   "change": [change.tobytes()]}
         change = [a - b for a, b in zip(own.dense() + own.sums, began.dense() + began.sums)]
-        change = np.concatenate([c.ravel() for c in change]).astype(np.float64)
-        yield {"chunk": [-1], "task": [task], "at": [np.zeros(1, np.int64).tobytes()],
-               "change": [change.tobytes()], "tasks": [np.ones(1).tobytes()]}
+        change = np.concatenate([c.ravel() for c in change])
+        yield {"chunk": [-1], "task": [task], "at": [np.zeros(1, np.uint16).tobytes()],
+               "change": [change.tobytes()]}
 
     def added(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("task")
-        at = np.concatenate([np.frombuffer(b, np.int64) for b in group["at"]])
-        change = np.concatenate([np.frombuffer(b) for b in group["change"]]).reshape(len(at), -1)
+        at = np.concatenate([np.frombuffer(b, np.uint16) for b in group["at"]])
+        change = np.concatenate([np.frombuffer(b, np.float32) for b in group["change"]])
+        change = change.reshape(len(at), -1)
         places, of = np.unique(at, return_inverse=True)
         total = np.zeros((len(places), change.shape[1]))
         np.add.at(total, of, change)
         return pd.DataFrame({
-            "chunk": group["chunk"].iloc[:1].to_numpy(), "task": [0], "at": [places.tobytes()],
+            "chunk": group["chunk"].iloc[:1].to_numpy(), "at": [places.astype(np.int64).tobytes()],
             "change": [total.tobytes()], "tasks": [np.bincount(of).astype(float).tobytes()],
         })
 
     changes = map_batches(rows.select("toxic", "buckets"), run, CHANGES)
     # The driver gets each parameter once, however many tasks there are.
-    for r in changes.groupBy("chunk").applyInPandas(added, CHANGES).collect():
+    for r in changes.groupBy("chunk").applyInPandas(added, TOTALS).collect():
         at = np.frombuffer(r.at, np.int64)
         change = np.frombuffer(r.change).reshape(len(at), -1) / np.frombuffer(r.tasks)[:, None]
         if r.chunk >= 0:

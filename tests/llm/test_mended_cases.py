@@ -392,3 +392,41 @@ def test_threshold_from_steps():
     low, high = np.array([0.1, 0.5, 0.8]), np.array([0.3, 0.6, 0.9])
     clean, toxic = np.array([9, 1, 0]), np.array([0, 3, 4])
     assert toxicity.best_threshold(low, high, clean, toxic) == pytest.approx(0.4)
+
+
+def test_a_step_of_the_network_by_hand():
+    """The embeddings move by the sum of what flows back to each word, blanks by nothing."""
+    rng = np.random.default_rng(5)
+    for text in ([3, 3, 9, 4, 3], [7], []):
+        network, buckets = toxicity.Network(), np.array(text, np.int32)
+        network.untrained()
+        network.output = rng.normal(0, 1, network.output.shape).astype(np.float32)
+        began = network.embedding.copy()
+        best, place = network.pooled(buckets)
+        error = network.score(buckets) - 1
+        back = (error * network.output * (best.ravel() > 0)).reshape(best.shape)
+        flow, padded = {}, [*text, 0, 0, 0]
+        for i, width in enumerate(toxicity.WIDTHS):
+            for f in np.flatnonzero(back[i]):
+                for p in range(width):
+                    word = padded[place[i][f] + p]
+                    flow[word] = flow.get(word, 0) + network.filters[i][p][:, f] * back[i][f]
+        flow.pop(0, None)
+        assert sorted(network.learn(buckets, 1)) == sorted(flow)
+        for word, gradient in flow.items():
+            moved = -0.08 * gradient / np.sqrt(1e-3 + gradient**2)
+            assert np.allclose(network.embedding[word] - began[word], moved, atol=1e-4)
+        rest = np.setdiff1d(np.arange(toxicity.BUCKETS), list(flow))
+        assert (network.embedding[rest] == began[rest]).all()
+
+
+def test_toxicity_tells_words_of_labelled_documents_alone(spark, monkeypatch):
+    """What moves is the words of labelled rows: no text, and nothing of other documents."""
+    rows = [(i, f"words {'bad' if i % 2 else 'good'} of {i}", "en") for i in range(400)]
+    frame = spark.createDataFrame([*rows, (None, "bad", "en")], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, toxic int")
+    told, plain = [], toxicity.map_batches
+    monkeypatch.setattr(toxicity, "map_batches", lambda *a: told.append(plain(*a)) or told[-1])
+    found = toxicity._labelled(frame, labels, F.lit(True), None)
+    assert sorted(r.doc_id for r in found.collect()) == list(range(40))
+    assert 40 <= told[0].count() < 60
