@@ -199,9 +199,17 @@ def _labelled(docs: DataFrame, labels: DataFrame, learn_from: Column, languages)
     held = F.expr("pmod(xxhash64(doc_id, 'held'), 4) = 0").alias("held")
     texts = texts.select("doc_id", F.expr(ID_SLOT).alias("slot"), held, as_bytes().alias("body"))
     tasks = max(1, -(-known.count() // ROWS_A_TASK))
-    rows = map_batches(texts, run, LABELLED).repartition(tasks, "doc_id")
-    one = rows.join(known.repartition(tasks, "doc_id"), "doc_id").groupBy("doc_id", "toxic", "held")
-    one = one.agg(F.min(F.struct("buckets", "lang")).alias("r")).select("doc_id", "toxic", "held", "r.*")
+    rows = map_batches(texts, run, LABELLED).selectExpr(
+        "doc_id", "cast(null as int) as toxic", "held", "struct(buckets, lang) as r"
+    )
+    # Labels meet words in a group: a join would deal both anew, into a number of parts of its own.
+    marks = known.selectExpr(
+        "doc_id", "toxic", "cast(null as boolean) as held",
+        "cast(null as struct<buckets:binary,lang:string>) as r",
+    )
+    one = rows.union(marks).repartition(tasks, "doc_id").groupBy("doc_id")
+    one = one.agg(F.max("toxic").alias("toxic"), F.max("held").alias("held"), F.min("r").alias("r"))
+    one = one.where("toxic is not null and r is not null").select("doc_id", "toxic", "held", "r.*")
     ordered = one.sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
     return settled(ordered, "labelled")
 
