@@ -26,6 +26,7 @@ not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from copy import copy
 
 import numpy as np
@@ -41,6 +42,8 @@ from storeloom.llm.words import IS_WORD, mix
 WORDS = Spelling(IS_WORD)
 # Keys or windows that a task holds before it sends them on: 20 MB.
 RUN = 1 << 19
+# Rows of a batch that goes to Spark, which holds batches outside of its heap: 2 MB.
+SENT = 1 << 16
 # Keys have 48 bits. Two that meet by chance cost a comparison and change nothing.
 KEY_BITS = np.uint64(16)
 # A key of more words is as good as one of so many.
@@ -162,6 +165,11 @@ def _batch(columns: dict[str, np.ndarray | pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for start in range(0, batch.num_rows, SENT):
+        yield batch.slice(start, SENT)
+
+
 def _sent(keys: np.ndarray, docs: np.ndarray) -> pa.RecordBatch:
     """A run of keys. One that two documents of the run share is sent without a document, and for
     each of these under a number of its own, as known to be shared."""
@@ -212,10 +220,10 @@ def shared_keys(docs: DataFrame, size: int) -> DataFrame:
                 owners.append(ids[text[new]])
                 held += len(keys[-1])
                 if held >= RUN:
-                    yield _sent(np.concatenate(keys), np.concatenate(owners))
+                    yield from _pieces(_sent(np.concatenate(keys), np.concatenate(owners)))
                     keys, owners, held = [], [], 0
         if held:
-            yield _sent(np.concatenate(keys), np.concatenate(owners))
+            yield from _pieces(_sent(np.concatenate(keys), np.concatenate(owners)))
 
     rows = docs.where("doc_id is not null").select("doc_id", as_bytes().alias("body"))
     sent = rows.mapInArrow(run, "route bigint, doc_id bigint, key bigint")
@@ -326,10 +334,10 @@ def _windows(docs: DataFrame, shared: DataFrame, size: int) -> DataFrame:
                 held.ids += ids[first:last].tolist()
                 held.digests += digests[first:last].tolist()
                 if held.held >= RUN:
-                    yield held.sent()
+                    yield from _pieces(held.sent())
                     held = Run(size)
         if held.held:
-            yield held.sent()
+            yield from _pieces(held.sent())
 
     return _packed(docs).join(shared, "doc_id").mapInArrow(run, ASKED)
 

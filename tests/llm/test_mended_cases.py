@@ -8,6 +8,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from storeloom.llm import (
     language_id,
     lattice,
     mixing,
+    recompression,
     secrets,
     toxicity,
     warc,
@@ -430,3 +432,36 @@ def test_toxicity_tells_words_of_labelled_documents_alone(spark, monkeypatch):
     found = toxicity._labelled(frame, labels, F.lit(True), None)
     assert sorted(r.doc_id for r in found.collect()) == list(range(40))
     assert 40 <= told[0].count() < 60
+    monkeypatch.setattr(toxicity, "ROWS_A_TASK", 16)
+    found = toxicity._labelled(frame, labels, F.lit(True), None)
+    assert found.select("_metadata.file_path").distinct().count() == 3
+
+
+def test_keys_and_windows_go_on_in_small_batches(spark):
+    """Spark holds a batch outside of its heap, so a run of many keys is handed on in pieces."""
+
+    class Frame:
+        def __getattr__(self, name):
+            return lambda *arguments: self
+
+        def mapInArrow(self, run, schema):
+            self.run = run
+            return self
+
+    frame, n = Frame(), 2 * recompression.SENT
+    text = " ".join(map(str, range(n))).encode()
+    recompression.shared_keys(frame, 1)
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([text, text])], ["doc_id", "body"])
+    sent = list(frame.run(iter([batch])))
+    assert max(b.num_rows for b in sent) <= recompression.SENT
+    keys = pa.Table.from_batches(sent).to_pydict()
+    assert sum(d is None for d in keys["doc_id"]) == len(set(keys["key"]) - {None}) > n // 2
+    run = recompression.Run(1)
+    run.ids, run.digests = [1, 2], [3, 4]
+    words = np.arange(n, dtype=np.uint64)
+    for text in range(2):
+        run.add(np.full(n, text), np.arange(n), words, words.astype(np.uint32))
+    whole = run.sent()
+    pieces = list(recompression._pieces(whole))
+    assert max(b.num_rows for b in pieces) <= recompression.SENT < whole.num_rows
+    assert pa.Table.from_batches(pieces).equals(pa.Table.from_batches([whole]).combine_chunks())
