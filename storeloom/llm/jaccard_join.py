@@ -400,6 +400,21 @@ def _texts(docs: DataFrame, nodes: DataFrame, asked: DataFrame, words: int) -> D
     return settled(texts, "texts")
 
 
+def _texts_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``texts`` without most of those that no pair names, so that a round of few pairs moves few of
+    them. A bit filter of fixed size lets some others by, which then meet no pair."""
+    packed = id_filter(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
+
+    def run(batches):
+        wanted = np.unpackbits(packed).astype(bool)
+        for batch in batches:
+            chosen = np.flatnonzero(wanted[np.array(batch["slot"], np.int64)])
+            yield {name: [batch[name][i] for i in chosen] for name in ("class", "body")}
+
+    slot = F.expr(ID_SLOT.replace("doc_id", "class")).alias("slot")
+    return map_batches(texts.select("class", "body", slot), run, "class bigint, body binary")
+
+
 def _links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs whose whole texts reach ``percent``."""
 
@@ -459,7 +474,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
             break
         pairs = _pairs_by_chance(many, round, percent).join(tried, ["a", "b"], "left_anti")
         pairs = settled(pairs, "pairs")
-        found = _links(pairs, texts, words, percent)
+        found = _links(pairs, _texts_of(texts, pairs), words, percent)
         tried, links = tried.union(pairs), links.union(found)
         if found.isEmpty():
             break
@@ -476,7 +491,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
         mixed = _mixed(labelled, percent)
         emptied(labelled)
     rest = settled(_pairs_between(mixed, percent).join(tried, ["a", "b"], "left_anti"), "pairs")
-    found = _links(rest, texts, words, percent)
+    found = _links(rest, _texts_of(texts, rest), words, percent)
     emptied(texts)
     emptied(mixed)
     if not found.isEmpty():
